@@ -13,8 +13,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.text import strip_title
+from ..operators import quality as Q
 from ..operators import reports as R
-from ..sources.fact import fact
+from ..operators import stats as S
+from ..sources.fact import base_columns, fact
+from .oracle_eda import eda_sql
 from .oracle_reports import report_sql
 
 # Registered thresholds (the survey's selective values for the test tables).
@@ -62,13 +66,58 @@ def report_queries() -> dict[str, Query]:
     }
 
 
+def _on_base(fn, **kw) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(base_columns(fact(spark, sf_dir)), **kw)
+    run.__name__ = fn.__name__
+    return run
+
+
+def _on_gaps(fn, **kw) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(Q.with_gaps(fact(spark, sf_dir)), **kw)
+    run.__name__ = fn.__name__
+    return run
+
+
+DEDUPE_COLS = ["product_type", "customer_demographics", "shipping_carriers", "location",
+               "transportation_modes", "routes"]
+
+
+def eda_queries() -> dict[str, Query]:
+    return {
+        "missing_profile": _on_gaps(Q.missing_profile),
+        "duplicate_count": _on_base(Q.duplicate_count),
+        "category_audit": _on_base(Q.category_audit),
+        "drop_sparse_columns": _on_gaps(Q.drop_sparse_columns),
+        "impute_median_mode": _on_gaps(lambda g: Q.impute(Q.drop_sparse_columns(g))),
+        "dedupe": _on_base(lambda b: Q.dedupe(b.select(*DEDUPE_COLS))),
+        "standardise_text": _on_gaps(lambda g: g.select(
+            "sku", strip_title("inspection_results").alias("inspection_results"),
+            strip_title("transportation_modes").alias("transportation_modes"))),
+        "clean_pipeline": _on_gaps(Q.clean),
+        "describe_numeric": _on_base(S.describe),
+        "mean_median": _on_base(S.mean_median),
+        "histogram20": _on_base(S.histogram),
+        "box_summary": _on_base(S.box_summary),
+        "correlation_matrix": _on_base(S.correlation_matrix),
+        "target_correlations_top": _on_base(S.target_correlations),
+        "target_correlations_bottom": _on_base(S.target_correlations, bottom=True),
+        "correlation_lower_triangle": _on_base(S.correlation_lower_triangle),
+        "value_counts_top10": _on_base(S.value_counts_top),
+        "category_mean_top10": _on_base(S.category_mean_top),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(report_queries())
+    out.update(eda_queries())
     return out
 
 
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(report_sql(PARAMS))
+    out.update(eda_sql())
     return out

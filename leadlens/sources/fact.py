@@ -124,3 +124,9 @@ def materialized_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     return materialized_fact(spark, sf_dir) if materialize else build_fact(spark, sf_dir)
 
+
+
+def base_columns(fact_df: DataFrame) -> DataFrame:
+    """The 24 columns of the reference's base table, in table order."""
+    from ..schema import FACT_COLUMNS
+    return fact_df.select(*[n for n, _ in FACT_COLUMNS])
