@@ -43,8 +43,9 @@ def _ranks_for(n: int, probs: list[float]) -> list[tuple[float, int, int, float]
     return out
 
 
-def _pick_small(vc: DataFrame, need: dict[str, set[int]]) -> dict[tuple[str, int], float]:
-    """Values at the needed 0-based ranks for keys with bounded distinct counts."""
+def _pick_small(vc: DataFrame, need: dict[str, set[int]]) -> dict[tuple[str, int], tuple[float, int]]:
+    """(value, first rank holding it) at the needed 0-based ranks, for keys
+    with bounded distinct counts."""
     if not need:
         return {}
     w = Window.partitionBy("key").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -58,12 +59,12 @@ def _pick_small(vc: DataFrame, need: dict[str, set[int]]) -> dict[tuple[str, int
     for row in cum.where(cond).select("key", "x", "n", "cum").collect():
         for r in need[row.key]:
             if row.cum - row.n <= r < row.cum:
-                out[(row.key, r)] = row.x
+                out[(row.key, r)] = (row.x, row.cum - row.n)
     return out
 
 
 def _pick_large(vc: DataFrame, key: str, ranks: set[int], max_distinct: int, fanout: int,
-                lo: float | None = None, hi: float | None = None, depth: int = 0) -> dict[int, float]:
+                lo: float | None = None, hi: float | None = None, depth: int = 0) -> dict[int, tuple[float, int]]:
     """Narrow one key's distinct values to the ranges holding ``ranks``."""
     sub = vc.where(F.col("key") == key)
     if lo is not None:
@@ -79,7 +80,7 @@ def _pick_large(vc: DataFrame, key: str, ranks: set[int], max_distinct: int, fan
     stats = (sub.withColumn("b", bucket).groupBy("b")
              .agg(F.sum("n").alias("cnt"), F.count(F.lit(1)).alias("d")).orderBy("b").collect())
     edges = [lo] + cuts + [hi]
-    out: dict[int, float] = {}
+    out: dict[int, tuple[float, int]] = {}
     start = 0
     pending: dict[int, set[int]] = {}
     for s in stats:
@@ -101,11 +102,44 @@ def _pick_large(vc: DataFrame, key: str, ranks: set[int], max_distinct: int, fan
                 vals = {r: got[(key, r)] for r in local}
             else:
                 vals = _pick_large(vc, key, local, max_distinct, fanout, b_lo, b_hi, depth + 1)
-            for r, v in vals.items():
-                out[r + s_start] = v
+            for r, (v, first) in vals.items():
+                out[r + s_start] = (v, first + s_start)
     return out
 
 
+def _select(vc: DataFrame, ranks_of, max_distinct: int, fanout: int):
+    """Run the selection on value counts ``vc(key, x, n)``; ``ranks_of(n)``
+    gives the ranks needed for a key with ``n`` rows."""
+    stats = {r.key: (r.N, r.D) for r in
+             vc.groupBy("key").agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("D")).collect()}
+    need_small: dict[str, set[int]] = {}
+    need_large: dict[str, set[int]] = {}
+    for k, (n, d) in stats.items():
+        rs = set(ranks_of(k, n))
+        if rs:
+            (need_small if d <= max_distinct else need_large).setdefault(k, set()).update(rs)
+    picked = _pick_small(vc, need_small)
+    for k, rs in need_large.items():
+        for r, v in _pick_large(vc, k, rs, max_distinct, fanout).items():
+            picked[(k, r)] = v
+    return stats, picked
+
+
+def values_at_ranks(df: DataFrame, key_col: str, value_col: str, ranks: dict[str, list[int]],
+                    max_distinct: int = 500_000, fanout: int = 1000) -> dict[tuple[str, int], tuple[float, int]]:
+    """For each group, the value at each 0-based rank of its ascending order
+    (NULLs skipped), with the first rank holding that value (so ties at the
+    value can be told apart)."""
+    vc = (df.select(F.col(key_col).cast("string").alias("key"), F.col(value_col).cast("double").alias("x"))
+          .where(F.col("x").isNotNull()).groupBy("key", "x").agg(F.count(F.lit(1)).alias("n"))
+          .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        _, picked = _select(vc, lambda k, n: [r for r in ranks.get(k, []) if 0 <= r < n], max_distinct, fanout)
+    finally:
+        vc.unpersist()
+    return picked
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     max_distinct: int = 500_000, fanout: int = 1000) -> dict[str, list[float | None]]:
     """Exact linearly interpolated quantiles of each column (NULL/NaN skipped).
@@ -115,17 +149,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     vc = (_long(df, cols).groupBy("key", "x").agg(F.count(F.lit(1)).alias("n"))
           .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        stats = {r.key: (r.N, r.D) for r in
-                 vc.groupBy("key").agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("D")).collect()}
-        need_small: dict[str, set[int]] = {}
-        need_large: dict[str, set[int]] = {}
-        for k, (n, d) in stats.items():
-            rs = {r for _, a, b, _ in _ranks_for(n, probs) for r in (a, b)}
-            (need_small if d <= max_distinct else need_large).setdefault(k, set()).update(rs)
-        picked = _pick_small(vc, need_small)
-        for k, rs in need_large.items():
-            for r, v in _pick_large(vc, k, rs, max_distinct, fanout).items():
-                picked[(k, r)] = v
+        stats, picked = _select(vc, lambda k, n: [r for _, a, b, _ in _ranks_for(n, probs) for r in (a, b)],
+                                max_distinct, fanout)
     finally:
         vc.unpersist()
     out: dict[str, list[float | None]] = {}
@@ -135,7 +160,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
             continue
         vals = []
         for _, a, b, pos in _ranks_for(stats[c][0], probs):
-            xa, xb = picked[(c, a)], picked[(c, b)]
+            xa, xb = picked[(c, a)][0], picked[(c, b)][0]
             vals.append(xa if a == b else xa + (xb - xa) * (pos - a))
         out[c] = vals
     return out

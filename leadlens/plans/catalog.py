@@ -14,11 +14,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.text import strip_title
+from pyspark.sql import functions as F
+
+from ..operators import features as FE
+from ..operators import knn as K
 from ..operators import quality as Q
+from ..operators import split as SP
 from ..operators import reports as R
 from ..operators import stats as S
-from ..sources.fact import base_columns, fact
+from ..sources.fact import base_columns, fact, items
 from .oracle_eda import eda_sql
+from .oracle_features import KNN_FEATURES, features_sql
 from .oracle_reports import report_sql
 
 # Registered thresholds (the survey's selective values for the test tables).
@@ -109,10 +115,80 @@ def eda_queries() -> dict[str, Query]:
     }
 
 
+def _round(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
+def split_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SKU-grain items with their train/test split (seed 42, 20 % test,
+    stratified by product type)."""
+    return SP.stratified_split(items(fact(spark, sf_dir)))
+
+
+def knn_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = split_items(spark, sf_dir).withColumn("label", F.col("lead_time"))
+    train = s.where(F.col("split") == "train")
+    pred = K.knn_regress(train, s, KNN_FEATURES, k=5)
+    return s.select("sku", "split", "label").join(pred, "sku")
+
+
+def overfit(metrics: DataFrame) -> DataFrame:
+    a = metrics.where(F.col("split") == "train").select(F.col("r2").alias("train_r2"))
+    b = metrics.where(F.col("split") == "test").select(F.col("r2").alias("test_r2"))
+    return a.crossJoin(b).select("train_r2", "test_r2", F.when(F.col("train_r2") == 0, F.lit(0.0)).otherwise(
+        F.round((F.col("train_r2") - F.col("test_r2")) / F.col("train_r2") * 100, 6)).alias("overfit_pct"))
+
+
+def feature_queries() -> dict[str, Query]:
+    return {
+        "log_features": _on_base(lambda b: _round(FE.log_features(b).select(
+            "sku", "production_volumes_log", "costs_log", "revenue_generated_log"),
+            ["production_volumes_log", "costs_log", "revenue_generated_log"])),
+        "interaction_features": _on_base(lambda b: FE.interaction_features(b).select(
+            "sku", "defect_production_interaction", "price_order_interaction")),
+        "ratio_features": _on_base(lambda b: FE.ratio_features(b).select(
+            "sku", "profit_margin", "inventory_turnover_ratio")),
+        "squared_features": _on_base(lambda b: FE.squared_features(b).select(
+            "sku", "defect_rates_squared", "production_volumes_squared", "price_squared")),
+        "cut_bins": _on_base(lambda b: b.select(
+            "sku", F.col("defect_rates").cast("double").alias("defect_rates"),
+            FE.cut(F.col("defect_rates").cast("double"), FE.DEFECT_BIN_EDGES, FE.DEFECT_BIN_LABELS)
+            .alias("defect_rate_category"))),
+        "quartile_bins": _on_base(lambda b: FE.bin_features(b.drop("defect_rates")).select(
+            "sku", F.col("production_volumes").cast("double").alias("production_volumes"),
+            "production_volume_category")),
+        "efficiency": _on_base(lambda b: FE.efficiency_feature(b).select("sku", "manufacturing_efficiency")),
+        "target_encode_all": _on_base(lambda b: FE.target_encode(b).select(
+            "sku", *[f"{c}_lead_time_mean" for c in Q.string_columns(b) if c != "sku"])),
+        "encode_product_type": _on_base(lambda b: FE.encoding_view(b, "product_type")),
+        "encode_location": _on_base(lambda b: FE.encoding_view(b, "location")),
+        "encode_sku": _on_base(lambda b: FE.encoding_view(b, "sku")),
+        "encoded_fact": _on_base(FE.encoded_fact),
+        "ml_ready": _on_base(FE.ml_ready),
+        "zscore_features": _on_base(lambda b: _round(FE.zscore_features(b),
+                                                     ["defect_rate_z", "production_volume_z", "price_z",
+                                                      "shipping_cost_z"])),
+        "standard_scale": _on_base(lambda b: _round(FE.standard_scale(b), [
+            f"{c}_scaled" for c in FE.CLUSTER_FEATURES])),
+        "feature_matrix_width": _on_base(lambda b: FE.engineer(b).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(len(b.columns)).alias("columns_before"),
+            F.lit(len(FE.engineer(b).columns)).alias("columns_after"), "rows")),
+        "one_hot_drop_first": lambda spark, sf: FE.model_matrix(FE.engineer(items(fact(spark, sf))))[0],
+        "sku_items": lambda spark, sf: items(fact(spark, sf)),
+        "stratified_split": lambda spark, sf: split_items(spark, sf).select("sku", "product_type", "split"),
+        "split_sizes": lambda spark, sf: split_items(spark, sf).groupBy("split", "product_type").agg(
+            F.count(F.lit(1)).alias("n")),
+        "knn_regression": lambda spark, sf: _round(knn_predictions(spark, sf), ["prediction"]),
+        "regression_metrics": lambda spark, sf: K.regression_metrics(knn_predictions(spark, sf), by=["split"]),
+        "overfit_pct": lambda spark, sf: overfit(K.regression_metrics(knn_predictions(spark, sf), by=["split"])),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(report_queries())
     out.update(eda_queries())
+    out.update(feature_queries())
     return out
 
 
@@ -120,4 +196,5 @@ def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(report_sql(PARAMS))
     out.update(eda_sql())
+    out.update(features_sql())
     return out

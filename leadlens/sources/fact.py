@@ -130,3 +130,29 @@ def base_columns(fact_df: DataFrame) -> DataFrame:
     """The 24 columns of the reference's base table, in table order."""
     from ..schema import FACT_COLUMNS
     return fact_df.select(*[n for n, _ in FACT_COLUMNS])
+
+
+def items(fact_df: DataFrame) -> DataFrame:
+    """One row per SKU, the population of the model and clustering stages
+    (each row of the reference's table is one SKU).
+
+    Numeric columns are SKU means (double), category columns the SKU's most
+    frequent value (lowest among ties).  One aggregation keyed by ``sku``
+    with map-side partial aggregates: a SKU holding a third of the rows is
+    still one partial row per map task, and a mode buffer holds at most the
+    column's distinct values for that SKU.
+    """
+    from ..functions.aggs import mean
+    from ..schema import FACT_COLUMNS
+    aggs = []
+    for name, t in FACT_COLUMNS:
+        if name == "sku":
+            continue
+        if name == "product_type":
+            aggs.append(F.min(name).alias(name))
+        elif t == "string":
+            aggs.append(F.mode(name, True).alias(name))
+        else:
+            aggs.append(mean(name).alias(name))
+    out = fact_df.groupBy("sku").agg(*aggs)
+    return out.select(*[n for n, _ in FACT_COLUMNS])
