@@ -243,12 +243,13 @@ def engineer(df: DataFrame) -> DataFrame:
     return efficiency_feature(out)
 
 
-def model_matrix(features: DataFrame, target: str = TARGET, key: str = "sku") -> tuple[DataFrame, list[str]]:
-    """The design matrix: every column but the key and the target, with
-    category columns as drop-first dummies, all double; plus ``label``.
-    Returns the frame and the ordered feature names."""
-    cats = [c for c in string_columns(features) if c != key]
+def model_matrix(features: DataFrame, target: str = TARGET, key: str = "sku",
+                 keep: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
+    """The design matrix: every column but the key, the target and ``keep``
+    (passed through untouched), with category columns as drop-first dummies,
+    all double; plus ``label``.  Returns the frame and the feature names."""
+    cats = [c for c in string_columns(features) if c not in (key, *keep)]
     enc = one_hot_drop_first(features, cats)
-    names = [c for c in enc.columns if c not in (key, target)]
-    return enc.select(key, F.col(target).cast("double").alias("label"),
+    names = [c for c in enc.columns if c not in (key, target, *keep)]
+    return enc.select(key, *keep, F.col(target).cast("double").alias("label"),
                       *[F.col(f"`{c}`").cast("double").alias(c) for c in names]), names

@@ -24,6 +24,7 @@ from ..operators import reports as R
 from ..operators import stats as S
 from ..sources.fact import base_columns, fact, items
 from .oracle_eda import eda_sql
+from .ml_catalog import ml_queries, ml_sql
 from .oracle_features import KNN_FEATURES, features_sql
 from .oracle_reports import report_sql
 
@@ -189,6 +190,7 @@ def all_queries() -> dict[str, Query]:
     out.update(report_queries())
     out.update(eda_queries())
     out.update(feature_queries())
+    out.update(ml_queries())
     return out
 
 
@@ -197,4 +199,5 @@ def all_oracles() -> dict[str, str]:
     out.update(report_sql(PARAMS))
     out.update(eda_sql())
     out.update(features_sql())
+    out.update(ml_sql())
     return out

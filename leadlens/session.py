@@ -45,21 +45,25 @@ def _is_local(spark: SparkSession) -> bool:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder named by ``spark.checkpoint.dir`` (and make
+    it the RDD checkpoint folder).
 
-    Only a local session without one gets a private folder; a cluster
-    session must name a shared folder (a machine-local temp folder would
-    not survive executor loss).
+    Only a local session without one gets a fixed local folder; a cluster
+    session must name a shared folder (a machine-local folder would not
+    survive executor loss).
     """
     sc = spark.sparkContext
-    cur = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if cur:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(cur)
-        return sc.getCheckpointDir()
-    if not _is_local(spark):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="leadlens-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if not _is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        base = os.environ.get("LEADLENS_LOCAL_CHECKPOINT_DIR",
+                              os.path.join(tempfile.gettempdir(), "leadlens-checkpoints"))
+        os.makedirs(base, exist_ok=True)
+        try:
+            spark.conf.set("spark.checkpoint.dir", base)
+        except Exception:  # noqa: BLE001 - some deployments reject core confs at run time
+            pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
+    return base
