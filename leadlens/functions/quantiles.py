@@ -1,60 +1,134 @@
-"""Exact quantiles (linear interpolation, as pandas / SQL ``quantile_cont``)
-computed as distributed selection.
+"""Exact order statistics and quantiles (linear interpolation, as pandas /
+SQL ``quantile_cont``) computed as distributed selection.
 
 Spark's exact ``percentile`` merges a map of every distinct value of a
 group in one task, which does not hold for high-cardinality doubles.
-Here the work is split:
-
-1. ``(key, x) -> n`` value counts: one shuffle with map-side combine, so
-   a value holding a third of the rows becomes a single row.
-2. Per key, the total row count gives the ranks each quantile needs.
-3. A key with few distinct values is ranked with a running sum over its
-   sorted distinct values (one window partition of bounded size).  A key
-   with many distinct values is first narrowed: approximate quantiles of
-   its distinct values cut it into ``fanout`` ranges, per-range counts
-   (``fanout`` rows) locate the range holding each needed rank, and the
-   search recurses into that range only.
-
-Only bounded data reaches the driver: per-range counts and the selected
-order statistics.
+Here each needed rank is found in a constant number of passes over the
+input, for every column at once.  A first pass counts rows and estimates
+distinct values.  A column with few distinct values (below
+``max_distinct``) is ranked exactly from its value counts.  For the others:
+
+1. row counts, then exact percentiles of a bounded Bernoulli sample just
+   below and above each needed rank (binomial margin): a bracket
+   ``[lo, hi]``;
+2. the exact number of rows below and inside each bracket (conditional
+   counts), which proves the rank lies inside;
+3. the rows inside the brackets, as (bracket, value) -> count (a value
+   holding a third of the rows is one row), ranked by a running sum per
+   bracket; only the row holding the rank is collected.
+
+If a rank is not inside its bracket (an unlucky sample) or the bracket
+is too large, the fallback narrows by value ranges: per-range counts (``fanout`` rows)
+locate the range holding the rank and the search recurses into it.
+
+Only bounded data reaches the driver: counts, bracket edges and the
+selected order statistics.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _long(df: DataFrame, cols: list[str]) -> DataFrame:
-    parts = [F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("x")) for c in cols]
-    return (df.select(F.explode(F.array(*parts)).alias("kv")).select("kv.key", "kv.x")
-            .where(F.col("x").isNotNull() & ~F.isnan("x")))
-
-
 def _ranks_for(n: int, probs: list[float]) -> list[tuple[float, int, int, float]]:
     out = []
     for p in probs:
         pos = (n - 1) * p
-        lo, hi = math.floor(pos), math.ceil(pos)
-        out.append((p, lo, hi, pos))
+        out.append((p, math.floor(pos), math.ceil(pos), pos))
+    return out
+
+
+def _agg_chunked(df: DataFrame, exprs: list[Column], chunk: int = 80) -> dict:
+    """Many aggregates as a few one-row aggregates small enough for codegen."""
+    out: dict = {}
+    for i in range(0, len(exprs), chunk):
+        out.update(df.agg(*exprs[i:i + chunk]).first().asDict())
+    return out
+
+
+def _lit_map(vals: list) -> Column:
+    return F.create_map(*[x for i, v in enumerate(vals) for x in (F.lit(i), F.lit(v))])
+
+
+def _bracketed(df: DataFrame, exprs: dict[str, Column], need: dict[str, set[int]], sizes: dict[str, int],
+               sample_rows: int, max_bracket_rows: int) -> dict[tuple[str, int], tuple[float, int]]:
+    """(value, first rank holding it) for each (name, rank) it can place."""
+    if not need:
+        return {}
+    n_max = max(sizes[k] for k in need)
+    f = min(1.0, sample_rows / n_max)
+    slots = []
+    for k, rs in need.items():
+        n = sizes[k]
+        for r in sorted(rs):
+            p = r / (n - 1) if n > 1 else 0.0
+            m = 0.0 if f >= 1.0 else 6.0 * math.sqrt(p * (1 - p) / (f * n)) + 3.0 / (f * n)
+            slots.append((k, r, max(0.0, p - m), min(1.0, p + m)))
+    probs = {k: sorted({q for kk, _, a, b in slots if kk == k for q in (a, b)}) for k in need}
+    names = list(need)
+    src = df if f >= 1.0 else df.sample(False, f, seed=42)
+    # exact percentiles of a bounded sample: the value map holds <= sample_rows values
+    approx = src.agg(*[F.percentile(exprs[k], probs[k]).alias(f"a{i}") for i, k in enumerate(names)]).first()
+    edge = {k: dict(zip(probs[k], approx[f"a{i}"] or [])) for i, k in enumerate(names)}
+    bounds = [(k, r, edge[k].get(a), edge[k].get(b)) for k, r, a, b in slots]
+    bounds = [(k, r, lo, hi) for k, r, lo, hi in bounds if lo is not None and hi is not None]
+    if not bounds:
+        return {}
+    counts = _agg_chunked(df, [x for i, (k, _, lo, hi) in enumerate(bounds) for x in (
+        F.count_if(exprs[k] < lo).alias(f"b{i}"), F.count_if(exprs[k].between(lo, hi)).alias(f"c{i}"))])
+    # keep the brackets that provably hold their rank and are small enough
+    ok = [i for i, (k, r, lo, hi) in enumerate(bounds)
+          if counts[f"b{i}"] <= r < counts[f"b{i}"] + counts[f"c{i}"] and counts[f"c{i}"] <= max_bracket_rows]
+    if not ok:
+        return {}
+    bounds = [bounds[i] for i in ok]
+    below = [counts[f"b{i}"] for i in ok]
+    # values inside the brackets: one narrow filtered select per column
+    # (hot values collapse in the count), then each value is tagged with the
+    # brackets of its column that hold it
+    per_key: dict[str, list[int]] = {}
+    for i, (k, _, _, _) in enumerate(bounds):
+        per_key.setdefault(k, []).append(i)
+    parts = []
+    for k, idx in per_key.items():
+        cond = F.lit(False)
+        for i in idx:
+            cond = cond | exprs[k].between(bounds[i][2], bounds[i][3])
+        parts.append(df.where(cond).select(F.lit(k).alias("key"), exprs[k].alias("x")))
+    vals = reduce(DataFrame.unionByName, parts).groupBy("key", "x").agg(F.count(F.lit(1)).alias("n"))
+    slot_ids = F.array_compact(F.array(*[
+        F.when((F.col("key") == k) & F.col("x").between(lo, hi), F.lit(i)) for i, (k, _, lo, hi) in enumerate(bounds)]))
+    base = F.element_at(_lit_map(below), F.col("slot"))
+    rank = F.element_at(_lit_map([r for _, r, _, _ in bounds]), F.col("slot"))
+    w = Window.partitionBy("slot").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hits = (vals.select("x", "n", F.explode(slot_ids).alias("slot"))
+            .withColumn("cum", F.sum("n").over(w))
+            .where((base + F.col("cum") - F.col("n") <= rank) & (rank < base + F.col("cum")))
+            .select("slot", "x", (base + F.col("cum") - F.col("n")).alias("first")).collect())
+    out = {}
+    for h in hits:
+        k, r, _, _ = bounds[h.slot]
+        out[(k, r)] = (h.x, int(h["first"]))
     return out
 
 
+# ---- fallback: narrowing by value ranges --------------------------------
+
 def _pick_small(vc: DataFrame, need: dict[str, set[int]]) -> dict[tuple[str, int], tuple[float, int]]:
-    """(value, first rank holding it) at the needed 0-based ranks, for keys
-    with bounded distinct counts."""
+    """Ranks in value counts ``vc(key, x, n)`` of keys with few distinct values."""
     if not need:
         return {}
     w = Window.partitionBy("key").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = vc.where(F.col("key").isin(list(need))).withColumn("cum", F.sum("n").over(w))
-    cond = None
+    cond = F.lit(False)
     for k, ranks in need.items():
         for r in ranks:
-            c = (F.col("key") == k) & (F.col("cum") - F.col("n") <= r) & (F.col("cum") > r)
-            cond = c if cond is None else cond | c
+            cond = cond | ((F.col("key") == k) & (F.col("cum") - F.col("n") <= r) & (F.col("cum") > r))
     out = {}
     for row in cum.where(cond).select("key", "x", "n", "cum").collect():
         for r in need[row.key]:
@@ -65,33 +139,25 @@ def _pick_small(vc: DataFrame, need: dict[str, set[int]]) -> dict[tuple[str, int
 
 def _pick_large(vc: DataFrame, key: str, ranks: set[int], max_distinct: int, fanout: int,
                 lo: float | None = None, hi: float | None = None, depth: int = 0) -> dict[int, tuple[float, int]]:
-    """Narrow one key's distinct values to the ranges holding ``ranks``."""
+    """Cut one key's distinct values into ``fanout`` ranges (approximate
+    quantiles), count each range, recurse into the ranges holding ranks."""
     sub = vc.where(F.col("key") == key)
     if lo is not None:
         sub = sub.where(F.col("x") >= lo)
     if hi is not None:
         sub = sub.where(F.col("x") < hi)
-    probs = [i / fanout for i in range(1, fanout)]
-    cuts = sub.agg(F.percentile_approx("x", probs, fanout * 10).alias("q")).first().q or []
-    cuts = sorted(set(cuts))
-    # range index = number of cuts <= x (cuts are few; binary search would also do)
-    bucket = F.size(F.filter(F.lit(cuts) if cuts else F.array().cast("array<double>"),
-                             lambda c: c <= F.col("x")))
+    cuts = sub.agg(F.percentile_approx("x", [i / fanout for i in range(1, fanout)], fanout * 10).alias("q")).first().q
+    cuts = sorted(set(cuts or []))
+    bucket = F.size(F.filter(F.lit(cuts) if cuts else F.array().cast("array<double>"), lambda c: c <= F.col("x")))
     stats = (sub.withColumn("b", bucket).groupBy("b")
              .agg(F.sum("n").alias("cnt"), F.count(F.lit(1)).alias("d")).orderBy("b").collect())
     edges = [lo] + cuts + [hi]
     out: dict[int, tuple[float, int]] = {}
     start = 0
-    pending: dict[int, set[int]] = {}
     for s in stats:
-        for r in ranks:
-            if start <= r < start + s.cnt:
-                pending.setdefault(s.b, set()).add(r - start)
-        s_start = start
-        start += s.cnt
-        if s.b in pending:
+        local = {r - start for r in ranks if start <= r < start + s.cnt}
+        if local:
             b_lo, b_hi = edges[s.b], edges[s.b + 1]
-            local = pending[s.b]
             if s.d <= max_distinct or depth >= 6 or len(stats) == 1:
                 part = vc.where(F.col("key") == key)
                 if b_lo is not None:
@@ -103,63 +169,97 @@ def _pick_large(vc: DataFrame, key: str, ranks: set[int], max_distinct: int, fan
             else:
                 vals = _pick_large(vc, key, local, max_distinct, fanout, b_lo, b_hi, depth + 1)
             for r, (v, first) in vals.items():
-                out[r + s_start] = (v, first + s_start)
+                out[r + start] = (v, first + start)
+        start += s.cnt
     return out
 
 
-def _select(vc: DataFrame, ranks_of, max_distinct: int, fanout: int):
-    """Run the selection on value counts ``vc(key, x, n)``; ``ranks_of(n)``
-    gives the ranks needed for a key with ``n`` rows."""
-    stats = {r.key: (r.N, r.D) for r in
-             vc.groupBy("key").agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("D")).collect()}
-    need_small: dict[str, set[int]] = {}
-    need_large: dict[str, set[int]] = {}
-    for k, (n, d) in stats.items():
-        rs = set(ranks_of(k, n))
-        if rs:
-            (need_small if d <= max_distinct else need_large).setdefault(k, set()).update(rs)
-    picked = _pick_small(vc, need_small)
-    for k, rs in need_large.items():
-        for r, v in _pick_large(vc, k, rs, max_distinct, fanout).items():
-            picked[(k, r)] = v
-    return stats, picked
-
-
-def values_at_ranks(df: DataFrame, key_col: str, value_col: str, ranks: dict[str, list[int]],
-                    max_distinct: int = 500_000, fanout: int = 1000) -> dict[tuple[str, int], tuple[float, int]]:
-    """For each group, the value at each 0-based rank of its ascending order
-    (NULLs skipped), with the first rank holding that value (so ties at the
-    value can be told apart)."""
-    vc = (df.select(F.col(key_col).cast("string").alias("key"), F.col(value_col).cast("double").alias("x"))
-          .where(F.col("x").isNotNull()).groupBy("key", "x").agg(F.count(F.lit(1)).alias("n"))
-          .persist(StorageLevel.MEMORY_AND_DISK))
+def _fallback(df: DataFrame, exprs: dict[str, Column], missing: dict[str, set[int]],
+              max_distinct: int, fanout: int) -> dict[tuple[str, int], tuple[float, int]]:
+    parts = [F.struct(F.lit(k).alias("key"), exprs[k].alias("x")) for k in missing]
+    vc = (df.select(F.explode(F.array(*parts)).alias("kv")).select("kv.*").where(F.col("x").isNotNull())
+          .groupBy("key", "x").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        _, picked = _select(vc, lambda k, n: [r for r in ranks.get(k, []) if 0 <= r < n], max_distinct, fanout)
+        d = {r.key: r.D for r in vc.groupBy("key").agg(F.count(F.lit(1)).alias("D")).collect()}
+        small = {k: v for k, v in missing.items() if d.get(k, 0) <= max_distinct}
+        out = _pick_small(vc, small)
+        for k, rs in missing.items():
+            if k not in small:
+                for r, v in _pick_large(vc, k, rs, max_distinct, fanout).items():
+                    out[(k, r)] = v
     finally:
         vc.unpersist()
+    return out
+
+
+# ---- public API ------------------------------------------------------------
+
+def _few_distinct(df: DataFrame, exprs: dict[str, Column], need: dict[str, set[int]]):
+    """Exact ranks from value counts for columns known to have few distinct
+    values: one narrow group-by per column (unioned), then a running sum per
+    column; each window partition holds at most that column's distinct values."""
+    if not need:
+        return {}
+    parts = [df.select(F.lit(k).alias("key"), exprs[k].alias("x")).where(F.col("x").isNotNull())
+             .groupBy("key", "x").agg(F.count(F.lit(1)).alias("n")) for k in need]
+    return _pick_small(reduce(DataFrame.unionByName, parts), need)
+
+
+def select_ranks(df: DataFrame, exprs: dict[str, Column], ranks_of, sample_rows: int = 100_000,
+                 max_bracket_rows: int = 2_000_000, max_distinct: int = 500_000, fanout: int = 1000):
+    """For each named double expression (NULL/NaN skipped), the value at the
+    0-based ranks ``ranks_of(name, n)`` of its ascending order.
+
+    Returns ``(sizes, picked)``: row counts per name and
+    ``{(name, rank): (value, first rank holding that value)}``."""
+    clean = {k: F.when(~F.isnan(e.cast("double")), e.cast("double")) for k, e in exprs.items()}
+    names = list(clean)
+    cnt = _agg_chunked(df, [x for i, k in enumerate(names) for x in (
+        F.count(clean[k]).alias(f"n{i}"), F.approx_count_distinct(clean[k], 0.05).alias(f"d{i}"))])
+    sizes = {k: cnt[f"n{i}"] for i, k in enumerate(names)}
+    distinct = {k: cnt[f"d{i}"] for i, k in enumerate(names)}
+    need = {k: {r for r in ranks_of(k, n) if 0 <= r < n} for k, n in sizes.items() if n}
+    need = {k: v for k, v in need.items() if v}
+    # the estimate has a few % error: keep a wide margin below the bound
+    few = {k: v for k, v in need.items() if distinct[k] <= max_distinct // 2}
+    picked = _few_distinct(df, clean, few)
+    rest = {k: v for k, v in need.items() if k not in few}
+    picked.update(_bracketed(df, clean, rest, sizes, sample_rows, max_bracket_rows))
+    missing: dict[str, set[int]] = {}
+    for k, rs in need.items():
+        for r in rs:
+            if (k, r) not in picked:
+                missing.setdefault(k, set()).add(r)
+    if missing:
+        picked.update(_fallback(df, clean, missing, max_distinct, fanout))
+    return sizes, picked
+
+
+def values_at_ranks(df: DataFrame, key_col: str, value_col: str, ranks: dict[str, list[int]],
+                    **kw) -> dict[tuple[str, int], tuple[float, int]]:
+    """Per group of ``key_col`` (groups named in ``ranks``), the value of
+    ``value_col`` at each 0-based rank, with the first rank holding it (so
+    ties at the value can be told apart)."""
+    exprs = {k: F.when(F.col(key_col).cast("string") == k, F.col(value_col).cast("double")) for k in ranks}
+    _, picked = select_ranks(df, exprs, lambda k, n: ranks.get(k, []), **kw)
     return picked
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    max_distinct: int = 500_000, fanout: int = 1000) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], **kw) -> dict[str, list[float | None]]:
     """Exact linearly interpolated quantiles of each column (NULL/NaN skipped).
 
     Returns ``{column: [q(p) for p in probs]}``; ``None`` for an empty column.
     """
-    vc = (_long(df, cols).groupBy("key", "x").agg(F.count(F.lit(1)).alias("n"))
-          .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        stats, picked = _select(vc, lambda k, n: [r for _, a, b, _ in _ranks_for(n, probs) for r in (a, b)],
-                                max_distinct, fanout)
-    finally:
-        vc.unpersist()
+    exprs = {c: F.col(c) for c in cols}
+    sizes, picked = select_ranks(df, exprs, lambda k, n: [r for _, a, b, _ in _ranks_for(n, probs) for r in (a, b)],
+                                 **kw)
     out: dict[str, list[float | None]] = {}
     for c in cols:
-        if c not in stats:
+        if not sizes.get(c):
             out[c] = [None] * len(probs)
             continue
         vals = []
-        for _, a, b, pos in _ranks_for(stats[c][0], probs):
+        for _, a, b, pos in _ranks_for(sizes[c], probs):
             xa, xb = picked[(c, a)][0], picked[(c, b)][0]
             vals.append(xa if a == b else xa + (xb - xa) * (pos - a))
         out[c] = vals

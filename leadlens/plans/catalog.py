@@ -127,7 +127,8 @@ def split_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def knn_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = split_items(spark, sf_dir).withColumn("label", F.col("lead_time"))
+    # the neighbour search runs several jobs over its input: materialise it once
+    s = split_items(spark, sf_dir).withColumn("label", F.col("lead_time")).checkpoint(eager=True)
     train = s.where(F.col("split") == "train")
     pred = K.knn_regress(train, s, KNN_FEATURES, k=5)
     return s.select("sku", "split", "label").join(pred, "sku")
