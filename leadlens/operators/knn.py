@@ -49,6 +49,7 @@ def knn_regress(train: DataFrame, query: DataFrame, features: list[str], k: int
     if nb > 1:
         probs = [i / nb for i in range(1, nb)]
         cuts = sorted(set(train.agg(F.percentile_approx(F.col(proj).cast("double"), probs, 10 * nb)).first()[0]))
+    cuts = cuts or [0.0]   # Bucketizer needs two ranges at least; any cut is correct
     splits = [float("-inf")] + cuts + [float("inf")]
     last = len(splits) - 2
 
