@@ -25,6 +25,7 @@ from ..operators import stats as S
 from ..sources.fact import base_columns, fact, items
 from .oracle_eda import eda_sql
 from .ml_catalog import ml_queries, ml_sql
+from .oracle_sources import source_sql
 from .oracle_features import KNN_FEATURES, features_sql
 from .oracle_reports import report_sql
 
@@ -186,12 +187,47 @@ def feature_queries() -> dict[str, Query]:
     }
 
 
+def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.csv import read_supply_chain_csv, write_supply_chain_csv
+    from ..sources.fact import fact_path
+    path = fact_path(spark, sf_dir) + "_csv"
+    try:
+        return read_supply_chain_csv(spark, path)
+    except Exception:  # noqa: BLE001 - not written yet
+        write_supply_chain_csv(base_columns(fact(spark, sf_dir)), path)
+        return read_supply_chain_csv(spark, path)
+
+
+def _stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources.fact import fact_path
+    from ..streaming.monthly import run_monthly_snapshot
+    fact(spark, sf_dir)  # make sure the fact files exist
+    work = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream_{uuid.uuid4().hex}"
+    return run_monthly_snapshot(spark, fact_path(spark, sf_dir), work, files_per_batch=2)
+
+
+def source_queries() -> dict[str, Query]:
+    from ..schema import FACT_COLUMNS
+    base_cols = [n for n, _ in FACT_COLUMNS]
+    return {
+        "fact_typed": _on_base(lambda b: b),
+        "shape": _on_base(lambda b: b.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(b.columns)).alias("columns"))),
+        "head_rows": _on_base(lambda b: b.orderBy(*base_cols).limit(5)),
+        "csv_roundtrip": _csv_roundtrip,
+        "monthly_snapshot_stream": _stream_snapshot,
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(report_queries())
     out.update(eda_queries())
     out.update(feature_queries())
     out.update(ml_queries())
+    out.update(source_queries())
     return out
 
 
@@ -201,4 +237,5 @@ def all_oracles() -> dict[str, str]:
     out.update(eda_sql())
     out.update(features_sql())
     out.update(ml_sql())
+    out.update(source_sql())
     return out

@@ -105,14 +105,17 @@ def _source_signature(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
+def fact_path(spark: SparkSession, sf_dir: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact_{_source_signature(sf_dir)}"
+
+
 def materialized_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build the fact once into the shared checkpoint folder and scan it.
 
     A written table cuts the join lineage: a lost executor re-reads files
     instead of re-running four shuffles.
     """
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/fact_{_source_signature(sf_dir)}"
+    path = fact_path(spark, sf_dir)
     try:
         return spark.read.parquet(path)
     except AnalysisException:
