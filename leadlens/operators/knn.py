@@ -15,7 +15,11 @@ neighbour, all k neighbours lie in the band ``|s(p) - s(q)| <= r``:
    pairs outside the band or beyond ``r`` are dropped, and the k nearest
    (distance, then key) are kept with a per-query top-k.
 
-Ties on the k-th distance are broken by the training key.
+Ties on the k-th distance are broken by the training key.  Training rows
+with identical feature vectors are cut to the k smallest keys per vector
+first (only those can be chosen), so a value repeated on a third of the
+rows does not fill one range.  Distinct vectors sharing one projection
+value still share a range (a second coordinate would split them).
 """
 
 from __future__ import annotations
@@ -55,6 +59,11 @@ def knn_regress(train: DataFrame, query: DataFrame, features: list[str], k: int
 
     t = train.select(F.col(key).alias("t_key"), F.col(label).cast("double").alias("t_label"),
                      *[F.col(c).cast("double").alias(f"t_{c}") for c in features])
+    # identical training vectors tie on every distance, so only the k
+    # smallest keys of each can be chosen; a per-vector top-k (limited
+    # before the shuffle) keeps a hot duplicate group from flooding a range
+    dup = Window.partitionBy(*[f"t_{c}" for c in features]).orderBy("t_key")
+    t = t.withColumn("__d", F.row_number().over(dup)).where(F.col("__d") <= k).drop("__d")
     t = Bucketizer(splits=splits, inputCol=f"t_{proj}", outputCol="b").transform(t).withColumn("b", F.col("b").cast("int"))
     q = query.select(F.col(key).alias("q_key"), *[F.col(c).cast("double").alias(f"q_{c}") for c in features])
     q = Bucketizer(splits=splits, inputCol=f"q_{proj}", outputCol="qb").transform(q) \

@@ -90,3 +90,21 @@ def test_regression_metrics(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (3.0, 2.0)], "label double, prediction double")
     m = regression_metrics(df).first()
     assert m.r2 == 0.0 and m.mae == pytest.approx(2 / 3, abs=1e-6) and m.rmse == pytest.approx((2 / 3) ** 0.5, abs=1e-6)
+
+
+def test_knn_with_hot_duplicate_vector(spark):
+    rng = np.random.default_rng(11)
+    tr = np.round(rng.normal(0, 1, (300, 2)), 2)
+    tr[:150] = [0.1, 0.2]                        # half the training rows are one point
+    qu = np.round(rng.normal(0, 0.3, (40, 2)), 2)
+    lab = rng.integers(0, 30, 300).astype(float)
+    train = spark.createDataFrame([(f"t{i:04d}", float(lab[i]), *map(float, tr[i])) for i in range(300)],
+                                  "sku string, label double, f0 double, f1 double")
+    query = spark.createDataFrame([(f"q{i:04d}", *map(float, qu[i])) for i in range(40)],
+                                  "sku string, f0 double, f1 double")
+    got = {r.sku: r.prediction for r in knn_regress(train, query, ["f0", "f1"], k=5, bucket_rows=16).collect()}
+    keys = [f"t{i:04d}" for i in range(300)]
+    for j in range(40):
+        d2 = ((tr - qu[j]) ** 2).sum(axis=1)
+        order = sorted(range(300), key=lambda i: (d2[i], keys[i]))[:5]
+        assert got[f"q{j:04d}"] == pytest.approx(lab[order].mean(), abs=1e-9)
