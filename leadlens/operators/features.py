@@ -176,22 +176,25 @@ def export(df: DataFrame, path: str, partition_by: str | None = None) -> None:
 
 # ---- scaling --------------------------------------------------------------
 
+def _moments(df: DataFrame, cols: list[str]) -> dict:
+    """Mean and population std of each column: one aggregate, one row."""
+    return df.agg(*[x for c in cols for x in (mean(c).alias(f"mu_{c}"), F.stddev_pop(_d(c)).alias(f"sd_{c}"))]) \
+        .first().asDict()
+
+
 def zscore_features(df: DataFrame, features=ZSCORE_FEATURES) -> DataFrame:
-    """(x - mean) / population std, from one one-row aggregate (broadcast:
-    its size is one row); lead_time kept raw."""
-    stats = df.agg(*[x for c, _ in features for x in (
-        mean(c).alias(f"mu_{c}"), F.stddev_pop(_d(c)).alias(f"sd_{c}"))])
-    j = df.crossJoin(F.broadcast(stats))
-    return j.select("sku", *[F.try_divide(_d(c) - F.col(f"mu_{c}"), F.col(f"sd_{c}")).alias(z) for c, z in features],
-                    "lead_time")
+    """(x - mean) / population std (NULL for a constant column), the moments
+    from one aggregate pass; lead_time kept raw."""
+    st = _moments(df, [c for c, _ in features])
+    return df.select("sku", *[F.try_divide(_d(c) - F.lit(st[f"mu_{c}"]), F.lit(st[f"sd_{c}"]).cast("double"))
+                              .alias(z) for c, z in features], "lead_time")
 
 
 def standard_scale(df: DataFrame, cols=CLUSTER_FEATURES, keep=("sku",)) -> DataFrame:
     """StandardScaler: population std; a constant column scales by 1."""
-    stats = df.agg(*[x for c in cols for x in (mean(c).alias(f"mu_{c}"), F.stddev_pop(_d(c)).alias(f"sd_{c}"))])
-    j = df.crossJoin(F.broadcast(stats))
-    sd = lambda c: F.when(F.col(f"sd_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"sd_{c}"))
-    return j.select(*keep, *[((_d(c) - F.col(f"mu_{c}")) / sd(c)).alias(f"{c}_scaled") for c in cols])
+    st = _moments(df, list(cols))
+    sd = lambda c: F.lit(st[f"sd_{c}"] or 1.0)
+    return df.select(*keep, *[((_d(c) - F.lit(st[f"mu_{c}"])) / sd(c)).alias(f"{c}_scaled") for c in cols])
 
 
 # ---- one-hot --------------------------------------------------------------

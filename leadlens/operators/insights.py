@@ -51,8 +51,8 @@ def insight_rules(target_corr: DataFrame, importance: DataFrame, profile: DataFr
         return c.select(F.lit(0.0).alias("c")) if strict_reference else c.select(F.coalesce("c", F.lit(0.0)).alias("c"))
 
     dc = corr_of("defect_rates")
-    di = importance.where(F.col("feature") == "defect_rates").agg(F.max("importance").alias("imp"))
-    q = dc.crossJoin(di)
+    imp = importance.where(F.col("feature") == "defect_rates").agg(F.max("importance").alias("imp")).first().imp
+    q = dc.withColumn("imp", F.lit(imp).cast("double"))
     quality = _row(q, QUALITY, F.format_string("Correlation: %.3f, Feature Importance: High", F.col("c")),
                    (F.col("c") > QUALITY_CORR) | (F.coalesce(F.col("imp"), F.lit(0.0)) > QUALITY_IMPORTANCE))
 

@@ -47,19 +47,20 @@ def mean_median(df: DataFrame, col: str = "lead_time") -> DataFrame:
 def histogram(df: DataFrame, col: str = "lead_time", bins: int = 20) -> DataFrame:
     """Equal-width bins over [min, max], the last one closed; empty bins kept.
 
-    The one-row (min, max) aggregate is broadcast: its size is one row.
-    """
+    (min, max) come from one aggregate; the bin counts (at most ``bins``
+    rows) are joined to the grid of bins."""
     x = F.col(col).cast("double")
-    rng = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    width = (F.col("hi") - F.col("lo")) / bins
-    b = F.when(F.col("hi") == F.col("lo"), F.lit(1)).otherwise(
-        F.least(F.lit(bins), F.floor((x - F.col("lo")) / width).cast("int") + 1))
-    counts = (df.where(x.isNotNull()).crossJoin(F.broadcast(rng)).groupBy(b.alias("bin"))
-              .agg(F.count(F.lit(1)).alias("count")))
-    grid = rng.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "lo", "hi")
+    rng = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    lo, hi = F.lit(rng.lo).cast("double"), F.lit(rng.hi).cast("double")
+    width = (hi - lo) / bins
+    b = F.when(hi == lo, F.lit(1)).otherwise(F.least(F.lit(bins), F.floor((x - lo) / width).cast("int") + 1))
+    counts = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    grid = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    if rng.lo is None:
+        grid = grid.limit(0)
     return (grid.join(F.broadcast(counts), "bin", "left")
-            .select("bin", F.round(F.col("lo") + (F.col("bin") - 1) * width, D).alias("bin_start"),
-                    F.round(F.col("lo") + F.col("bin") * width, D).alias("bin_end"),
+            .select("bin", F.round(lo + (F.col("bin") - 1) * width, D).alias("bin_start"),
+                    F.round(lo + F.col("bin") * width, D).alias("bin_end"),
                     F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
             .orderBy("bin"))
 

@@ -136,10 +136,12 @@ def knn_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overfit(metrics: DataFrame) -> DataFrame:
-    a = metrics.where(F.col("split") == "train").select(F.col("r2").alias("train_r2"))
-    b = metrics.where(F.col("split") == "test").select(F.col("r2").alias("test_r2"))
-    return a.crossJoin(b).select("train_r2", "test_r2", F.when(F.col("train_r2") == 0, F.lit(0.0)).otherwise(
-        F.round((F.col("train_r2") - F.col("test_r2")) / F.col("train_r2") * 100, 6)).alias("overfit_pct"))
+    """(train_r2, test_r2, overfit %) from the two metric rows, pivoted by
+    one aggregate."""
+    r2 = lambda s: F.max(F.when(F.col("split") == s, F.col("r2")))
+    return metrics.agg(r2("train").alias("train_r2"), r2("test").alias("test_r2")).select(
+        "train_r2", "test_r2", F.when(F.col("train_r2") == 0, F.lit(0.0)).otherwise(
+            F.round((F.col("train_r2") - F.col("test_r2")) / F.col("train_r2") * 100, 6)).alias("overfit_pct"))
 
 
 def feature_queries() -> dict[str, Query]:

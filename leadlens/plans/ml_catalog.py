@@ -37,10 +37,20 @@ def _design(spark, sf):
     return _get(spark, sf, "design", lambda: MO.design(_items(spark, sf)))
 
 
-def _metrics_rows(spark, sf, model):
+def _fit(spark, sf, model):
+    """(fitted model or None for KNN, predictions for every item)."""
     def build():
         vec, names = _design(spark, sf)
-        return [tuple(r) for r in MO.model_metrics(vec, names, model).collect()]
+        m, pred = MO.fit_predict(vec, names, model)
+        return m, pred.checkpoint(eager=True)
+    return _get(spark, sf, f"fit:{model}", build)
+
+
+def _metrics_rows(spark, sf, model):
+    def build():
+        from ..operators.knn import regression_metrics
+        _, pred = _fit(spark, sf, model)
+        return [(model, *tuple(r)) for r in regression_metrics(pred, by=["split"]).collect()]
     return _get(spark, sf, f"metrics:{model}", build)
 
 
@@ -50,11 +60,7 @@ def _metrics_df(spark, sf, models):
 
 
 def _forest(spark, sf):
-    def build():
-        vec, names = _design(spark, sf)
-        m, _ = MO.fit_predict(vec, names, "Random Forest")
-        return m
-    return _get(spark, sf, "forest", build)
+    return _fit(spark, sf, "Random Forest")[0]
 
 
 def _tree(spark, sf):
