@@ -206,7 +206,7 @@ def _few_distinct(df: DataFrame, exprs: dict[str, Column], need: dict[str, set[i
 
 
 def select_ranks(df: DataFrame, exprs: dict[str, Column], ranks_of, sample_rows: int = 100_000,
-                 max_bracket_rows: int = 2_000_000, max_distinct: int = 500_000, fanout: int = 1000):
+                 max_bracket_rows: int = 2_000_000, max_distinct: int = 2_000_000, fanout: int = 1000):
     """For each named double expression (NULL/NaN skipped), the value at the
     0-based ranks ``ranks_of(name, n)`` of its ascending order.
 

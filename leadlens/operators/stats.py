@@ -21,22 +21,20 @@ D = 6  # digits kept in reported doubles
 
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (exact, interpolated), max
-    per numeric column: one row per column."""
+    per numeric column: one row per column, from one wide aggregate pass
+    plus the quantile selection."""
     cols = cols or numeric_columns(df)
     q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
-    parts = [F.struct(F.lit(c).alias("column"), F.lit(i).alias("pos"), F.col(c).alias("x"))
-             for i, c in enumerate(cols)]
-    long = df.select(F.explode(F.array(*[F.struct(p["column"], p["pos"], p["x"].cast("decimal(38,10)").alias("x"))
-                                          for p in parts])).alias("kv")).select("kv.*")
-    agg = long.groupBy("column", "pos").agg(
-        F.count("x").alias("count"), mean("x").alias("mean"), std_samp(F.col("x")).alias("std"),
-        F.min("x").cast("double").alias("min"), F.max("x").cast("double").alias("max"))
-    return (agg.select(
-        "column", "count", F.round("mean", D).alias("mean"), F.round("std", D).alias("std"), "min",
-        F.round(value_map("column", {c: v[0] for c, v in q.items()}), D).alias("q25"),
-        F.round(value_map("column", {c: v[1] for c, v in q.items()}), D).alias("q50"),
-        F.round(value_map("column", {c: v[2] for c, v in q.items()}), D).alias("q75"),
-        "max", "pos").orderBy("pos").drop("pos"))
+    exact = lambda c: F.col(c).cast("decimal(38,10)")  # noqa: E731  exact sums of ints / decimals
+    row = df.agg(*[x for i, c in enumerate(cols) for x in (
+        F.count(c).alias(f"n{i}"), mean(exact(c)).alias(f"m{i}"), std_samp(F.col(c)).alias(f"s{i}"),
+        F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}"))]).first()
+    r6 = lambda v: None if v is None else round(v, D)
+    rows = [(c, row[f"n{i}"], r6(row[f"m{i}"]), r6(row[f"s{i}"]), row[f"lo{i}"], r6(q[c][0]), r6(q[c][1]),
+             r6(q[c][2]), row[f"hi{i}"]) for i, c in enumerate(cols)]
+    return df.sparkSession.createDataFrame(
+        rows, "column string, count bigint, mean double, std double, min double, q25 double, q50 double, "
+              "q75 double, max double")
 
 
 def mean_median(df: DataFrame, col: str = "lead_time") -> DataFrame:

@@ -124,7 +124,8 @@ def _round(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
 def split_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SKU-grain items with their train/test split (seed 42, 20 % test,
     stratified by product type)."""
-    return SP.stratified_split(items(fact(spark, sf_dir)))
+    # the split runs several jobs over the items: materialise them once
+    return SP.stratified_split(items(fact(spark, sf_dir)).checkpoint(eager=True))
 
 
 def knn_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
