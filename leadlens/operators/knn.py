@@ -5,21 +5,22 @@ For any coordinate ``s`` of the feature vector, ``|s(p) - s(q)| <= ||p - q||``.
 So with ``r`` an upper bound of the distance from ``q`` to its k-th
 neighbour, all k neighbours lie in the band ``|s(p) - s(q)| <= r``:
 
-1. ``s`` = the training feature of largest variance; training rows are cut
-   into ranges of about ``bucket_rows`` rows by approximate quantiles of
-   ``s`` (``Bucketizer`` binary search, JVM-side).
-2. Bound: each query is paired with its own and the two adjacent ranges;
-   the k-th smallest distance there is ``r`` (a query seeing fewer than k
-   rows there searches every range).
-3. Exact pass: each query is paired with the ranges covering its band,
-   pairs outside the band or beyond ``r`` are dropped, and the k nearest
-   (distance, then key) are kept with a per-query top-k.
+1. The two training features of largest variance span a grid: each is cut
+   into ranges by approximate quantiles (``Bucketizer`` binary search,
+   JVM-side), about ``bucket_rows`` training rows per cell.
+2. Bound: each query is paired with its own and the adjacent cells; the
+   k-th smallest distance there is ``r`` (a query seeing fewer than k
+   rows there searches every cell).
+3. Exact pass: each query is paired with the cells covering its box
+   ``|s_j(p) - s_j(q)| <= r``, pairs outside the box or beyond ``r`` are
+   dropped, and the k nearest (distance, then key) are kept with a
+   per-query top-k.
 
 Ties on the k-th distance are broken by the training key.  Training rows
 with identical feature vectors are cut to the k smallest keys per vector
-first (only those can be chosen), so a value repeated on a third of the
-rows does not fill one range.  Distinct vectors sharing one projection
-value still share a range (a second coordinate would split them).
+first (only those can be chosen), so a vector repeated on a third of the
+rows does not fill one cell; a value repeated in one grid coordinate is
+split by the other.
 """
 
 from __future__ import annotations
@@ -41,49 +42,85 @@ def _top_k(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k).drop("__rn")
 
 
+def _cuts(train: DataFrame, col: str, nb: int) -> list[float]:
+    cuts = []
+    if nb > 1:
+        probs = [i / nb for i in range(1, nb)]
+        cuts = sorted(set(train.agg(F.percentile_approx(F.col(col).cast("double"), probs, 10 * nb)).first()[0]))
+    return cuts or [0.0]   # Bucketizer needs two ranges at least; any cut is correct
+
+
+def _cell(cols: list[str], sizes: list[int]) -> Column:
+    """Row-major cell number of per-dimension range indices."""
+    cell = F.lit(0)
+    for c, n in zip(cols, sizes):
+        cell = cell * n + F.col(c).cast("int")
+    return cell
+
+
+def _explode_box(df: DataFrame, lo_cols: list[str], hi_cols: list[str], sizes: list[int]) -> DataFrame:
+    """One row per grid cell inside the box [lo_j, hi_j] of range indices."""
+    out = df
+    for j, (lo, hi) in enumerate(zip(lo_cols, hi_cols)):
+        out = out.withColumn(f"__g{j}", F.explode(F.sequence(F.col(lo).cast("int"), F.col(hi).cast("int"))))
+    g = [f"__g{j}" for j in range(len(lo_cols))]
+    return out.withColumn("cell", _cell(g, sizes)).drop(*g)
+
+
 def knn_regress(train: DataFrame, query: DataFrame, features: list[str], k: int = 5, key: str = "sku",
-                label: str = "label", bucket_rows: int = 256) -> DataFrame:
+                label: str = "label", bucket_rows: int = 32, dims: int = 2) -> DataFrame:
     """Prediction for every query row: mean label of its k nearest training
     rows.  Returns (key, prediction)."""
     variances = train.agg(*[F.var_pop(F.col(c).cast("double")).alias(c) for c in features]).first().asDict()
-    proj = max(features, key=lambda c: (variances[c] or 0.0))
+    proj = sorted(features, key=lambda c: -(variances[c] or 0.0))[:max(1, min(dims, len(features)))]
     n_train = train.count()
     nb = max(1, min(100_000, n_train // bucket_rows))
-    cuts = []
-    if nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        cuts = sorted(set(train.agg(F.percentile_approx(F.col(proj).cast("double"), probs, 10 * nb)).first()[0]))
-    cuts = cuts or [0.0]   # Bucketizer needs two ranges at least; any cut is correct
-    splits = [float("-inf")] + cuts + [float("inf")]
-    last = len(splits) - 2
+    per_dim = max(1, round(nb ** (1 / len(proj))))
+    splits = [[float("-inf")] + _cuts(train, c, per_dim) + [float("inf")] for c in proj]
+    sizes = [len(sp) - 1 for sp in splits]
 
     t = train.select(F.col(key).alias("t_key"), F.col(label).cast("double").alias("t_label"),
                      *[F.col(c).cast("double").alias(f"t_{c}") for c in features])
     # identical training vectors tie on every distance, so only the k
     # smallest keys of each can be chosen; a per-vector top-k (limited
-    # before the shuffle) keeps a hot duplicate group from flooding a range
+    # before the shuffle) keeps a hot duplicate group from flooding a cell
     dup = Window.partitionBy(*[f"t_{c}" for c in features]).orderBy("t_key")
     t = t.withColumn("__d", F.row_number().over(dup)).where(F.col("__d") <= k).drop("__d")
-    t = Bucketizer(splits=splits, inputCol=f"t_{proj}", outputCol="b").transform(t).withColumn("b", F.col("b").cast("int"))
+    tb = [f"__tb{j}" for j in range(len(proj))]
+    t = (Bucketizer(splitsArray=splits, inputCols=[f"t_{c}" for c in proj], outputCols=tb).transform(t)
+         .withColumn("cell", _cell(tb, sizes)).drop(*tb))
     q = query.select(F.col(key).alias("q_key"), *[F.col(c).cast("double").alias(f"q_{c}") for c in features])
-    q = Bucketizer(splits=splits, inputCol=f"q_{proj}", outputCol="qb").transform(q) \
-        .withColumn("qb", F.col("qb").cast("int"))
-
-    # pass 1: upper bound of the k-th neighbour distance from nearby ranges
-    near = q.withColumn("b", F.explode(F.sequence(F.greatest(F.col("qb") - 1, F.lit(0)),
-                                                  F.least(F.col("qb") + 1, F.lit(last)))))
-    p1 = _top_k(near.join(t, "b").select("q_key", "t_key", _dist2(features).alias("d2")), k)
+    qb = [f"__qb{j}" for j in range(len(proj))]
+    q = Bucketizer(splitsArray=splits, inputCols=[f"q_{c}" for c in proj], outputCols=qb).transform(q)
+
+    # pass 1: upper bound of the k-th neighbour distance from the adjacent cells
+    near = q
+    for j, b in enumerate(qb):
+        near = (near.withColumn(f"__lo{j}", F.greatest(F.col(b) - 1, F.lit(0.0)))
+                .withColumn(f"__hi{j}", F.least(F.col(b) + 1, F.lit(float(sizes[j] - 1)))))
+    near = _explode_box(near, [f"__lo{j}" for j in range(len(proj))], [f"__hi{j}" for j in range(len(proj))], sizes)
+    p1 = _top_k(near.join(t, "cell").select("q_key", "t_key", _dist2(features).alias("d2")), k)
     bound = p1.groupBy("q_key").agg(F.count(F.lit(1)).alias("m"), F.max("d2").alias("r2"))
     r = F.when(F.col("m") >= k, F.sqrt("r2") * (1 + 1e-9) + 1e-12)
 
-    # pass 2: exact neighbours inside each query's band
-    qb = (q.join(bound, "q_key", "left").withColumn("r", r)
-          .withColumn("lo", F.when(F.col("r").isNull(), F.lit(float("-inf"))).otherwise(F.col(f"q_{proj}") - F.col("r")))
-          .withColumn("hi", F.when(F.col("r").isNull(), F.lit(float("inf"))).otherwise(F.col(f"q_{proj}") + F.col("r"))))
-    qb = Bucketizer(splitsArray=[splits, splits], inputCols=["lo", "hi"], outputCols=["blo", "bhi"]).transform(qb)
-    band = qb.withColumn("b", F.explode(F.sequence(F.col("blo").cast("int"), F.col("bhi").cast("int"))))
-    pairs = (band.join(t, "b")
-             .where(F.col("r").isNull() | (F.abs(F.col(f"q_{proj}") - F.col(f"t_{proj}")) <= F.col("r")))
+    # pass 2: exact neighbours inside each query's box |s_j(p) - s_j(q)| <= r
+    qr = q.join(bound, "q_key", "left").withColumn("r", r)
+    lo_c, hi_c = [], []
+    for j, c in enumerate(proj):
+        qr = (qr.withColumn(f"__l{j}", F.when(F.col("r").isNull(), F.lit(float("-inf")))
+                            .otherwise(F.col(f"q_{c}") - F.col("r")))
+              .withColumn(f"__h{j}", F.when(F.col("r").isNull(), F.lit(float("inf")))
+                          .otherwise(F.col(f"q_{c}") + F.col("r"))))
+        lo_c.append(f"__bl{j}")
+        hi_c.append(f"__bh{j}")
+    qr = Bucketizer(splitsArray=splits + splits, inputCols=[f"__l{j}" for j in range(len(proj))] +
+                    [f"__h{j}" for j in range(len(proj))], outputCols=lo_c + hi_c).transform(qr)
+    band = _explode_box(qr, lo_c, hi_c, sizes)
+    inside = F.lit(True)
+    for c in proj:
+        inside = inside & (F.abs(F.col(f"q_{c}") - F.col(f"t_{c}")) <= F.col("r"))
+    pairs = (band.join(t, "cell")
+             .where(F.col("r").isNull() | inside)
              .select("q_key", "t_key", "t_label", "r", _dist2(features).alias("d2"))
              .where(F.col("r").isNull() | (F.col("d2") <= F.col("r") * F.col("r"))))
     nn = _top_k(pairs, k)
