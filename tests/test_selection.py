@@ -108,3 +108,23 @@ def test_knn_with_hot_duplicate_vector(spark):
         d2 = ((tr - qu[j]) ** 2).sum(axis=1)
         order = sorted(range(300), key=lambda i: (d2[i], keys[i]))[:5]
         assert got[f"q{j:04d}"] == pytest.approx(lab[order].mean(), abs=1e-9)
+
+
+def test_knn_with_hot_value_in_top_coordinate(spark):
+    rng = np.random.default_rng(13)
+    tr = np.round(rng.normal(0, 1, (400, 3)) * np.array([100.0, 5.0, 1.0]), 1)
+    tr[:200, 0] = 12.5                           # half the rows share the dominant coordinate
+    qu = np.round(rng.normal(0, 1, (50, 3)) * np.array([100.0, 5.0, 1.0]), 1)
+    qu[:25, 0] = 12.5
+    lab = rng.integers(0, 30, 400).astype(float)
+    feats = ["f0", "f1", "f2"]
+    train = spark.createDataFrame([(f"t{i:04d}", float(lab[i]), *map(float, tr[i])) for i in range(400)],
+                                  "sku string, label double, f0 double, f1 double, f2 double")
+    query = spark.createDataFrame([(f"q{i:04d}", *map(float, qu[i])) for i in range(50)],
+                                  "sku string, f0 double, f1 double, f2 double")
+    got = {r.sku: r.prediction for r in knn_regress(train, query, feats, k=5, bucket_rows=8).collect()}
+    keys = [f"t{i:04d}" for i in range(400)]
+    for j in range(50):
+        d2 = ((tr - qu[j]) ** 2).sum(axis=1)
+        order = sorted(range(400), key=lambda i: (d2[i], keys[i]))[:5]
+        assert got[f"q{j:04d}"] == pytest.approx(lab[order].mean(), abs=1e-9)
