@@ -147,9 +147,11 @@ def _pick_large(vc: DataFrame, key: str, ranks: set[int], max_distinct: int, fan
     if hi is not None:
         sub = sub.where(F.col("x") < hi)
     cuts = sub.agg(F.percentile_approx("x", [i / fanout for i in range(1, fanout)], fanout * 10).alias("q")).first().q
-    cuts = sorted(set(cuts or []))
-    bucket = F.size(F.filter(F.lit(cuts) if cuts else F.array().cast("array<double>"), lambda c: c <= F.col("x")))
-    stats = (sub.withColumn("b", bucket).groupBy("b")
+    cuts = sorted(set(cuts or [])) or [0.0]
+    # range index = number of cuts <= x (Bucketizer: binary search, JVM-side)
+    from pyspark.ml.feature import Bucketizer
+    ranged = Bucketizer(splits=[float("-inf")] + cuts + [float("inf")], inputCol="x", outputCol="b").transform(sub)
+    stats = (ranged.withColumn("b", F.col("b").cast("int")).groupBy("b")
              .agg(F.sum("n").alias("cnt"), F.count(F.lit(1)).alias("d")).orderBy("b").collect())
     edges = [lo] + cuts + [hi]
     out: dict[int, tuple[float, int]] = {}

@@ -128,3 +128,19 @@ def test_knn_with_hot_value_in_top_coordinate(spark):
         d2 = ((tr - qu[j]) ** 2).sum(axis=1)
         order = sorted(range(400), key=lambda i: (d2[i], keys[i]))[:5]
         assert got[f"q{j:04d}"] == pytest.approx(lab[order].mean(), abs=1e-9)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.integers(-5, 5).map(float), st.floats(-1e6, 1e6, allow_nan=False)),
+                min_size=1, max_size=60),
+       st.sampled_from([{}, {"max_distinct": 4, "sample_rows": 8, "max_bracket_rows": 3}]))
+def test_quantiles_property(spark, xs, kw):
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    probs = [0.0, 0.33, 0.5, 0.9, 1.0]
+    got = exact_quantiles(df, ["x"], probs, **kw)["x"]
+    for p, g in zip(probs, got):
+        assert g == pytest.approx(_np_quantile(xs, p), rel=1e-12, abs=1e-9)
