@@ -35,20 +35,6 @@ def null_count(x) -> Column:
     return F.sum(F.when(_c(x).isNull(), 1).otherwise(0)).cast("bigint")
 
 
-def safe_corr(x, y, digits: int | None = 6) -> Column:
-    """Pairwise-complete Pearson correlation, NULL when either side is constant.
-
-    ``corr`` raises under ANSI on zero variance; this form divides with
-    ``try_divide`` instead.
-    """
-    x, y = _c(x).cast("double"), _c(y).cast("double")
-    xs = F.when(y.isNotNull(), x)
-    ys = F.when(x.isNotNull(), y)
-    den = F.stddev_pop(xs) * F.stddev_pop(ys)
-    r = F.try_divide(F.covar_pop(x, y), F.when(den != 0, den))
-    return F.round(r, digits) if digits is not None else r
-
-
 def moments_corr(x, y, digits: int = 10) -> Column:
     """Pearson r from exact decimal moments, as the SQL report spells it:
     (nΣxy − ΣxΣy) / sqrt((nΣx² − (Σx)²)(nΣy² − (Σy)²)), n = COUNT(*)."""

@@ -266,11 +266,3 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], **kw) ->
             vals.append(xa if a == b else xa + (xb - xa) * (pos - a))
         out[c] = vals
     return out
-
-
-def value_map(col_name: str, values: dict[str, float | None]):
-    """Column expression looking ``col_name``'s value up in a small literal map."""
-    pairs = []
-    for k, v in values.items():
-        pairs += [F.lit(k), F.lit(v).cast("double")]
-    return F.element_at(F.create_map(*pairs), F.col(col_name)) if pairs else F.lit(None).cast("double")

@@ -18,7 +18,7 @@ from ..functions.aggs import mean
 from ..functions.quantiles import exact_quantiles
 from ..schema import (CLUSTER_FEATURES, DEFECT_BIN_EDGES, DEFECT_BIN_LABELS, INSPECTION_SCORES, LOG_FEATURES,
                       SQUARED_FEATURES, TARGET, TRANSPORT_CODES, VOLUME_QUARTILE_LABELS, ZSCORE_FEATURES)
-from .joins import MAX_BROADCAST_ROWS
+from .joins import MAX_BROADCAST_ROWS, join_lookup
 from .quality import numeric_columns, string_columns
 
 
@@ -127,8 +127,8 @@ def target_encode(df: DataFrame, cols: list[str] | None = None, target: str = TA
     out = df
     for c in cols:
         t = enc.where(F.col("key") == c).select(F.col("value").alias(f"__{c}"), F.col("m").alias(f"{c}{suffix}"))
-        t = F.broadcast(t) if sizes.get(c, 0) <= max_rows else t
-        out = (out.join(t, F.col(c).cast("string") == F.col(f"__{c}"), "left").drop(f"__{c}"))
+        out = join_lookup(out, t, F.col(c).cast("string") == F.col(f"__{c}"), "left", sizes.get(c, 0),
+                          max_rows).drop(f"__{c}")
     return out
 
 

@@ -1,34 +1,20 @@
-"""Joins of the fact relation to small derived tables.
+"""Joins of a large relation to small derived tables.
 
-``lookup_join`` broadcasts the right side only after checking its row
-count against a bound; beyond the bound it is a plain shuffle join (AQE
-may still convert it at run time and splits skewed partitions).
+A side is broadcast only when its row count is known to be under a bound;
+beyond the bound it is a plain shuffle join (AQE may still convert it at
+run time and splits skewed partitions).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Persist ``df`` and say whether it has at most ``max_rows`` rows.
-
-    Only ``max_rows + 1`` rows are counted, so the check stays cheap on a
-    large side.
-    """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return df, small
-
-
-def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",
+def join_lookup(left: DataFrame, right: DataFrame, on: str | list | Column, how: str, right_rows: int,
                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    cached, small = bounded(right, max_rows)
-    if small:
-        return left.join(F.broadcast(cached), on, how)
-    cached.unpersist()
-    return left.join(right, on, how)
+    """``left`` joined to ``right`` (of ``right_rows`` rows, counted by the
+    caller), broadcasting ``right`` only under the bound."""
+    return left.join(F.broadcast(right) if right_rows <= max_rows else right, on, how)
