@@ -28,7 +28,7 @@ HEADLINE = [
     "volume_band", "product_by_location", "monthly_snapshot", "high_lead_time", "high_defect",
     "bottleneck_class", "recommendation_summary",
     # profile, cleaning, statistics
-    "missing_profile", "duplicate_count", "category_audit", "impute_median_mode", "clean_pipeline",
+    "missing_profile", "duplicate_count", "category_audit", "impute_median_mode", "cleaned_table",
     "describe_numeric", "histogram20", "box_summary", "correlation_matrix", "value_counts_top10",
     # features and encodings
     "target_encode_all", "encoded_fact", "ml_ready", "quartile_bins", "zscore_features", "standard_scale",

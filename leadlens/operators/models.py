@@ -2,7 +2,7 @@
 
 The design matrix is assembled once and checkpointed to the shared
 checkpoint folder: every fit reads it many times, and a lost executor then
-re-reads files instead of re-running the feature pipeline.
+re-reads files instead of re-running the feature stage.
 """
 
 from __future__ import annotations

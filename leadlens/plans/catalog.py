@@ -103,7 +103,7 @@ def eda_queries() -> dict[str, Query]:
         "standardise_text": _on_gaps(lambda g: g.select(
             "sku", strip_title("inspection_results").alias("inspection_results"),
             strip_title("transportation_modes").alias("transportation_modes"))),
-        "clean_pipeline": _on_gaps(Q.clean),
+        "cleaned_table": _on_gaps(Q.clean),
         "describe_numeric": _on_base(S.describe),
         "mean_median": _on_base(S.mean_median),
         "histogram20": _on_base(S.histogram),

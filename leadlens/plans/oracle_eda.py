@@ -103,7 +103,7 @@ def eda_sql() -> dict[str, str]:
             cleaned_cols.append(f"{title_sql(strip_sql(c))} AS {c}")
         else:
             cleaned_cols.append(c)
-    q["clean_pipeline"] = with_fact(
+    q["cleaned_table"] = with_fact(
         "SELECT " + ", ".join(cleaned_cols) + " FROM (SELECT DISTINCT * FROM imputed)", GAPS_CTE, _imputed_cte())
 
     desc = []

@@ -40,7 +40,7 @@ def save_supply_chain(spark: SparkSession, df: DataFrame, database: str = "suppl
     return name
 
 
-VIEW_NAMES = ["supply_chain", "product_type_encoding", "location_encoding", "sku_encoding",
+VIEW_NAMES = ["supply_chain", "supply_chain_dated", "product_type_encoding", "location_encoding", "sku_encoding",
               "supply_chain_encoded", "clustering_features", "ml_ready_data"]
 
 
@@ -49,6 +49,8 @@ def register_views(fact: DataFrame) -> list[str]:
     the z-score view and the ML export relation."""
     base = fact.select(*[n for n, _ in FACT_COLUMNS])
     base.createOrReplaceTempView("supply_chain")
+    if "order_date" in fact.columns:
+        fact.select(*[n for n, _ in FACT_COLUMNS], "order_date").createOrReplaceTempView("supply_chain_dated")
     for key in ("product_type", "location", "sku"):
         FE.encoding_view(base, key).createOrReplaceTempView(f"{key}_encoding")
     FE.encoded_fact(base).createOrReplaceTempView("supply_chain_encoded")

@@ -1,0 +1,43 @@
+"""The script's SQL statements on Spark SQL equal the DataFrame reports."""
+
+import math
+
+import pytest
+
+from leadlens.plans.catalog import PARAMS, report_queries
+from leadlens.plans.sql_reports import SQL_REPORTS, run_sql_report
+from leadlens.sources.catalog import register_views
+from leadlens.sources.fact import fact
+
+from .conftest import SF_SMALL
+
+
+def _canon(rows):
+    out = []
+    for r in rows:
+        vals = []
+        for v in r:
+            if v is None:
+                vals.append(None)
+            elif isinstance(v, (int, str)):
+                vals.append(v)
+            else:
+                vals.append(round(float(v), 6))
+        out.append(tuple(vals))
+    return sorted(out, key=lambda t: tuple("" if x is None else str(x) for x in t))
+
+
+@pytest.mark.parametrize("name", sorted(SQL_REPORTS))
+def test_sql_equals_dataframe(spark, name):
+    register_views(fact(spark, SF_SMALL))
+    sql = run_sql_report(spark, name, **PARAMS)
+    df = report_queries()[name](spark, SF_SMALL)
+    assert sql.columns == df.columns
+    a, b = _canon(sql.collect()), _canon(df.collect())
+    assert len(a) == len(b)
+    for x, y in zip(a, b):
+        for u, v in zip(x, y):
+            if isinstance(u, float) and isinstance(v, float):
+                assert math.isclose(u, v, rel_tol=1e-9, abs_tol=1e-6)
+            else:
+                assert u == v
