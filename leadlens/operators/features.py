@@ -247,12 +247,24 @@ def engineer(df: DataFrame) -> DataFrame:
 
 
 def model_matrix(features: DataFrame, target: str = TARGET, key: str = "sku",
-                 keep: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
+                 keep: tuple[str, ...] = (), max_levels: int = 256) -> tuple[DataFrame, list[str]]:
     """The design matrix: every column but the key, the target and ``keep``
     (passed through untouched), with category columns as drop-first dummies,
-    all double; plus ``label``.  Returns the frame and the feature names."""
+    all double; plus ``label``.  Returns the frame and the feature names.
+
+    A category column with more than ``max_levels`` levels gets no dense
+    dummies (thousands of columns at scale); its target encoding
+    ``{col}_lead_time_mean`` stays in the matrix."""
     cats = [c for c in string_columns(features) if c not in (key, *keep)]
-    enc = one_hot_drop_first(features, cats)
+    plain = [c for c in cats if c not in CATEGORY_LEVELS]
+    if plain:
+        parts = [F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in plain]
+        n_levels = {r.k: r.n for r in features.select(F.explode(F.array(*parts)).alias("kv")).select("kv.*")
+                    .groupBy("k").agg(F.countDistinct("v").alias("n")).collect()}
+        wide = [c for c in plain if n_levels.get(c, 0) > max_levels]
+    else:
+        wide = []
+    enc = one_hot_drop_first(features.drop(*wide), [c for c in cats if c not in wide])
     names = [c for c in enc.columns if c not in (key, target, *keep)]
     return enc.select(key, *keep, F.col(target).cast("double").alias("label"),
                       *[F.col(f"`{c}`").cast("double").alias(c) for c in names]), names
