@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggs import mean, std_samp
+from ..functions.aggs import mean
 from ..functions.quantiles import exact_quantiles
 from .quality import numeric_columns, string_columns
 
@@ -21,16 +21,24 @@ D = 6  # digits kept in reported doubles
 
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (exact, interpolated), max
-    per numeric column: one row per column, from one wide aggregate pass
-    plus the quantile selection."""
+    per numeric column: one row per column.
+
+    Two wide passes of codegen-friendly aggregates (exact sums, min, max;
+    then centred squares for the sample std) plus the quantile selection."""
     cols = cols or numeric_columns(df)
     q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
     exact = lambda c: F.col(c).cast("decimal(38,10)")  # noqa: E731  exact sums of ints / decimals
     row = df.agg(*[x for i, c in enumerate(cols) for x in (
-        F.count(c).alias(f"n{i}"), mean(exact(c)).alias(f"m{i}"), std_samp(F.col(c)).alias(f"s{i}"),
+        F.count(c).alias(f"n{i}"), mean(exact(c)).alias(f"m{i}"),
         F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}"))]).first()
+    sq = df.agg(*[F.sum(F.pow(F.col(c).cast("double") - F.lit(row[f"m{i}"]), 2)).alias(f"q{i}")
+                  for i, c in enumerate(cols)]).first()
     r6 = lambda v: None if v is None else round(v, D)
-    rows = [(c, row[f"n{i}"], r6(row[f"m{i}"]), r6(row[f"s{i}"]), row[f"lo{i}"], r6(q[c][0]), r6(q[c][1]),
+
+    def std(i):
+        n = row[f"n{i}"]
+        return None if n is None or n < 2 or sq[f"q{i}"] is None else round(round((sq[f"q{i}"] / (n - 1)) ** 0.5, 8), D)
+    rows = [(c, row[f"n{i}"], r6(row[f"m{i}"]), std(i), row[f"lo{i}"], r6(q[c][0]), r6(q[c][1]),
              r6(q[c][2]), row[f"hi{i}"]) for i, c in enumerate(cols)]
     return df.sparkSession.createDataFrame(
         rows, "column string, count bigint, mean double, std double, min double, q25 double, q50 double, "
