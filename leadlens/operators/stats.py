@@ -65,7 +65,7 @@ def histogram(df: DataFrame, col: str = "lead_time", bins: int = 20) -> DataFram
     if rng.lo is None:
         grid = grid.limit(0)
     return (grid.join(F.broadcast(counts), "bin", "left")
-            .select("bin", F.round(lo + (F.col("bin") - 1) * width, D).alias("bin_start"),
+            .select(F.col("bin").cast("bigint").alias("bin"), F.round(lo + (F.col("bin") - 1) * width, D).alias("bin_start"),
                     F.round(lo + F.col("bin") * width, D).alias("bin_end"),
                     F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
             .orderBy("bin"))
