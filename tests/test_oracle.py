@@ -53,6 +53,12 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
+    duck_types = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string"}
+    stypes = dict(sdf.dtypes)
+    for c, t in zip(dcols, res.description):
+        dt_ = str(t[1])
+        if dt_ in duck_types:
+            assert stypes[c] == duck_types[dt_], (c, stypes[c], dt_)
     assert len(srows) == len(drows)
     assert _rows(sdf.columns, srows) == _rows(dcols, drows)
 

@@ -41,3 +41,26 @@ def test_sql_equals_dataframe(spark, name):
                 assert math.isclose(u, v, rel_tol=1e-9, abs_tol=1e-6)
             else:
                 assert u == v
+
+
+def test_sql_views_equal_dataframe_views(spark):
+    from leadlens.operators import features as FE
+    from leadlens.plans.sql_reports import create_sql_views
+    from leadlens.sources.fact import base_columns
+    f = base_columns(fact(spark, SF_SMALL))
+    f.createOrReplaceTempView("supply_chain")
+    create_sql_views(spark)
+    z_sql = _canon(spark.table("clustering_features").collect())
+    z_df = _canon(FE.zscore_features(f).collect())
+    assert len(z_sql) == len(z_df)
+    for x, y in zip(z_sql, z_df):
+        for u, v in zip(x, y):
+            assert (u == v) or (isinstance(u, float) and math.isclose(u, v, abs_tol=2e-6))
+    ml_sql = spark.table("ml_ready_data")
+    ml_df = FE.ml_ready(f)
+    assert ml_sql.columns == ml_df.columns
+    assert ml_sql.count() == ml_df.count() == f.count()
+    enc = spark.table("supply_chain_encoded")
+    assert enc.columns[-3:] == ["product_type_lead_time_mean", "location_lead_time_mean", "sku_lead_time_mean"]
+    plan = spark.table("clustering_features")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") <= 2        # the eight scalar subqueries are merged
