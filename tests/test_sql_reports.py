@@ -63,4 +63,4 @@ def test_sql_views_equal_dataframe_views(spark):
     enc = spark.table("supply_chain_encoded")
     assert enc.columns[-3:] == ["product_type_lead_time_mean", "location_lead_time_mean", "sku_lead_time_mean"]
     plan = spark.table("clustering_features")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Aggregate") <= 2        # the eight scalar subqueries are merged
+    assert "mergedValue" in plan               # the eight scalar subqueries share one aggregate
