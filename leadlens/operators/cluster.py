@@ -43,21 +43,30 @@ def _best_fit(vec: DataFrame, k: int, restarts: int, seed: int):
 
 
 def kmeans_sweep(vec: DataFrame, ks=range(2, 11), restarts: int = 10, seed: int = SEED,
-                 parallel: int = 4) -> DataFrame:
+                 parallel: int = 8) -> DataFrame:
     """(k, inertia, silhouette_sq): best of ``restarts`` seeds per k.
 
+    The (k, seed) fits are independent jobs and run concurrently.
     Silhouette uses Spark's squared-Euclidean definition (the exact
     Euclidean silhouette is quadratic in the rows)."""
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", distanceMeasure="squaredEuclidean")
 
-    def run(k):
-        cost, m = _best_fit(vec, k, restarts, seed)
-        return k, float(cost), float(ev.evaluate(m.transform(vec)))
+    def fit(task):
+        k, i = task
+        m = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(vec)
+        return k, i, m.summary.trainingCost, m
 
+    tasks = [(k, i) for k in ks for i in range(restarts)]
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        fits = list(pool.map(fit, tasks))
+    best: dict[int, tuple] = {}
+    for k, i, cost, m in fits:               # lowest cost, then lowest seed
+        if k not in best or (cost, i) < best[k][:2]:
+            best[k] = (cost, i, m)
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        rows = list(pool.map(run, list(ks)))
-    spark = vec.sparkSession
-    return spark.createDataFrame(rows, "k int, inertia double, silhouette_sq double").orderBy("k")
+        sil = dict(zip(best, pool.map(lambda k: float(ev.evaluate(best[k][2].transform(vec))), list(best))))
+    rows = [(k, float(best[k][0]), sil[k]) for k in sorted(best)]
+    return vec.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_sq double").orderBy("k")
 
 
 def assign(vec: DataFrame, k: int = 4, restarts: int = 10, seed: int = SEED) -> tuple[DataFrame, list]:
