@@ -67,10 +67,12 @@ def modes(df: DataFrame, cols: list[str]) -> dict[str, str | None]:
     return {c: got.get(c) for c in cols}
 
 
-def impute(df: DataFrame) -> DataFrame:
+def impute(df: DataFrame, gaps: set[str] | None = None) -> DataFrame:
     """Median for numeric columns with gaps (such columns become double, as
-    an integer column with gaps does in pandas), mode for the others."""
-    gaps = {r.column for r in missing_profile(df).where(F.col("missing_count") > 0).collect()}
+    an integer column with gaps does in pandas), mode for the others.
+    ``gaps`` (columns with missing values) is profiled when not given."""
+    if gaps is None:
+        gaps = {r.column for r in missing_profile(df).where(F.col("missing_count") > 0).collect()}
     num = [c for c in numeric_columns(df) if c in gaps]
     oth = [c for c in df.columns if c in gaps and c not in num]
     med = exact_quantiles(df, num, [0.5]) if num else {}
@@ -127,9 +129,12 @@ def category_audit(df: DataFrame, k: int = 5) -> DataFrame:
 
 
 def clean(df: DataFrame, max_missing_pct: float = 50.0) -> DataFrame:
-    """The whole cleaning stage."""
-    out = drop_sparse_columns(df, max_missing_pct)
-    out = impute(out)
+    """The whole cleaning stage (one profiling pass serves the drop and the
+    imputation)."""
+    prof = missing_profile(df).collect()
+    sparse = [r.column for r in prof if r.missing_pct > max_missing_pct]
+    out = df.drop(*sparse)
+    out = impute(out, {r.column for r in prof if r.missing_count > 0 and r.column not in sparse})
     out = dedupe(out)
     out = normalise_names(out)
     return standardise_text(out)

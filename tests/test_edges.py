@@ -137,3 +137,12 @@ def test_histogram_last_bin_closed(spark):
     df = spark.createDataFrame([(float(x),) for x in [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10]], "lead_time double")
     h = S.histogram(df, bins=5).collect()
     assert [r["count"] for r in h] == [2, 2, 2, 2, 3]
+
+
+def test_recommendation_text_orders_by_metric(spark):
+    items = spark.createDataFrame([("Locations Needing Improvement", "Delhi", 18.5),
+                                   ("Locations Needing Improvement", "Kolkata", 19.4),
+                                   ("High Defect Suppliers", "Supplier 5", 2.7)],
+                                  "insight_type string, details string, metric double")
+    got = {r.insight_type: r.details for r in R.recommendation_text(items).collect()}
+    assert got == {"Locations Needing Improvement": "Kolkata,Delhi", "High Defect Suppliers": "Supplier 5"}
