@@ -28,6 +28,15 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+def dtype_counts(df: DataFrame) -> DataFrame:
+    """Columns per data type (schema metadata; no data is read)."""
+    counts: dict[str, int] = {}
+    for _, t in df.dtypes:
+        counts[t] = counts.get(t, 0) + 1
+    return df.sparkSession.createDataFrame(sorted(counts.items(), key=lambda kv: (-kv[1], kv[0])),
+                                           "dtype string, columns int")
+
+
 def missing_profile(df: DataFrame) -> DataFrame:
     """(column, missing_count, missing_pct) for every column, in one pass,
     sorted by missing percentage (descending, then column name)."""

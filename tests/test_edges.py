@@ -146,3 +146,9 @@ def test_recommendation_text_orders_by_metric(spark):
                                   "insight_type string, details string, metric double")
     got = {r.insight_type: r.details for r in R.recommendation_text(items).collect()}
     assert got == {"Locations Needing Improvement": "Kolkata,Delhi", "High Defect Suppliers": "Supplier 5"}
+
+
+def test_dtype_counts(spark):
+    df = spark.createDataFrame([], fact_struct())
+    got = {r.dtype: r.columns for r in Q.dtype_counts(df).collect()}
+    assert got["string"] == 9 and got["int"] == 9 and sum(got.values()) == 24
