@@ -120,7 +120,8 @@ def materialized_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.read.parquet(path)
     except AnalysisException:
         pass
-    build_fact(spark, sf_dir).write.mode("overwrite").parquet(path)
+    # bounded files whatever the shuffle partition sizes are
+    build_fact(spark, sf_dir).write.mode("overwrite").option("maxRecordsPerFile", 20_000_000).parquet(path)
     return spark.read.parquet(path)
 
 
