@@ -142,9 +142,11 @@ def tree_rules(model, names: list[str], spark) -> DataFrame:
         done.append(frontier)
         frontier = nxt
     allp = reduce(DataFrame.unionByName, done + [frontier])
-    # leaf index as Spark's leafCol numbers them: leaves in pre-order (node id)
-    from pyspark.sql import Window
-    leaves = nodes.where(F.col("left") < 0).withColumn("leaf", F.row_number().over(Window.orderBy("id")) - 1)
+    # leaf index as Spark's leafCol numbers them: leaves in pre-order (node id);
+    # the node table is model metadata (at most 2^depth leaves)
+    leaf_ids = sorted(r.id for r in nodes.where(F.col("left") < 0).select("id").collect())
+    index = F.create_map(*[x for i, n in enumerate(leaf_ids) for x in (F.lit(n), F.lit(i))])
+    leaves = nodes.where(F.col("left") < 0).withColumn("leaf", F.element_at(index, F.col("id")))
     return (allp.join(leaves, allp.node == leaves.id)
             .select("leaf", F.col("node").alias("node_id"), F.concat_ws(" AND ", "conds").alias("rule"),
                     F.size("conds").alias("depth"), F.round("prediction", 6).alias("prediction"), "count")
