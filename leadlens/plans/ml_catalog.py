@@ -23,7 +23,7 @@ _memo: dict = {}
 
 
 def _get(spark: SparkSession, sf_dir: str, what: str, build):
-    k = (id(spark.sparkContext._jsc), sf_dir, what)
+    k = (spark.sparkContext.applicationId, sf_dir, what)
     if k not in _memo:
         _memo[k] = build()
     return _memo[k]
