@@ -1,11 +1,12 @@
 """Lead-time reports over the fact relation (the SQL script's sections 2-19).
 
-Every report is one aggregation: a partial (map-side) aggregate, one
-shuffle of the partial rows by the group key, a final aggregate and a
-sort.  The group keys are low-cardinality, so the shuffle carries at most
-(#map tasks x #groups) rows whatever the data size, and a hot key costs
-nothing extra.  Thresholds are parameters; the defaults are the values
-the reference uses.
+Grouped reports are one aggregation each: a partial (map-side) aggregate,
+one shuffle of the partial rows by the group key, a final aggregate and a
+sort, so the shuffle carries at most (#map tasks x #groups) rows whatever
+the data size and a hot key costs nothing extra.  Row lists are a filter
+pushed into the scan plus a range-partitioned sort; the summary's top-n
+is a distributed top-k.  Thresholds are parameters; the defaults are the
+values the reference uses.
 """
 
 from __future__ import annotations
