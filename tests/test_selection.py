@@ -1,5 +1,7 @@
 """Exact quantiles, stratified split and nearest neighbours against brute force."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -144,3 +146,15 @@ def test_quantiles_property(spark, xs, kw):
     got = exact_quantiles(df, ["x"], probs, **kw)["x"]
     for p, g in zip(probs, got):
         assert g == pytest.approx(_np_quantile(xs, p), rel=1e-12, abs=1e-9)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.text("abcdef", min_size=1, max_size=3), st.integers(1, 500), min_size=1, max_size=8))
+def test_allocation_property(sizes):
+    alloc = allocate_test(sizes)
+    n = sum(sizes.values())
+    assert sum(alloc.values()) == math.ceil(0.2 * n)
+    n_train = n - math.ceil(0.2 * n)
+    for k, v in sizes.items():
+        assert 0 <= alloc[k] <= v
+        assert abs((v - alloc[k]) - v * n_train / n) < 1.0 + 1e-9   # train share within one row of proportional
