@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
-DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
 
 def table_path(sf_dir: str, name: str) -> str:
