@@ -10,7 +10,7 @@ word inserted, deleted or replaced.  Shorter lines always stay.
    (the edit falls into one of them), so classes that share neither half
    with another class are done.  This drops no pair.
 3. The rest emit their deletion neighbourhood as hashed keys: the line
-   without word i for every i, and the line itself.  Equal (length, i, rest)
+   without word i for every i outside a shared half, and the line itself.  Equal (length, i, rest)
    keys are equal lines but for word i; a full line that equals another's
    variant is that line less one word.  The first place of each key is
    aggregated and joined to all of the key's lines, so a group of any size
@@ -50,7 +50,8 @@ def _keys(line: Column) -> Column:
 
 
 def _halves(w: Column, n: Column) -> Column:
-    """Keys of the halves for the line's own length and for one word less."""
+    """Keys of the first and last half (1, 2) for the line's own length, then
+    (3, 4) for one word less, the length of a line that lacks one word."""
     out = []
     for c in (n, n - 1):
         h = F.floor(c / 2).cast("int")
@@ -60,15 +61,23 @@ def _halves(w: Column, n: Column) -> Column:
     return F.array(*out)
 
 
-def _variants(w: Column, n: Column) -> Column:
+def _variants(w: Column, n: Column, shared: Column) -> Column:
     """(key, kind): 0 the line itself, 1 the line less one word anywhere,
-    2 the line less word i, by i."""
-    rest = lambda i: F.concat(F.slice(w, F.lit(1), i - 1), F.slice(w, i + 1, n - i))
-    own = F.array(F.struct(F.xxhash64(n, w).alias("key"), F.lit(0).alias("kind")))
-    less = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: let(F.xxhash64(n - 1, rest(i)), lambda x: F.array(
-        F.struct(x.alias("key"), F.lit(1).alias("kind")),
-        F.struct(F.xxhash64(x, i).alias("key"), F.lit(2).alias("kind"))))))
-    return F.concat(own, less)
+    2 the line less word i, by i.  ``shared``: numbers of the halves shared
+    with other lines; only the words of the other half can be the edit."""
+    has = lambda k: F.array_contains(shared, k)
+    rest = lambda i: F.xxhash64(n - 1, F.slice(w, F.lit(1), i - 1), F.slice(w, i + 1, n - i))
+    own = F.array(F.struct(F.xxhash64(n, w, F.array().cast("array<string>")).alias("key"), F.lit(0).alias("kind")))
+
+    def less(first, last, h, key, kind):
+        at = F.filter(F.sequence(F.lit(1), n), lambda i: F.when(i <= h, has(last)).otherwise(has(first)))
+        return F.transform(at, lambda i: F.struct(key(i).alias("key"), F.lit(kind).alias("kind")))
+
+    return F.concat(
+        own,
+        less(3, 4, F.floor((n - 1) / 2), lambda i: F.xxhash64(n - 1, F.concat(
+            F.slice(w, F.lit(1), i - 1), F.slice(w, i + 1, n - i)), F.array().cast("array<string>")), 1),
+        less(1, 2, F.floor(n / 2), lambda i: F.xxhash64(rest(i), i), 2))
 
 
 def _within_one(a: Column, b: Column) -> Column:
@@ -97,23 +106,26 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         _halves(F.col("_w"), F.col("n")).alias("halves")), "lines")
     classes = materialise(
         places.groupBy("k").agg(F.min(_place(F.col("line_no"))).alias("first"),
-                                F.first("halves").alias("halves")), "line-classes")
-
-    # classes that share a half with another class
-    half = classes.select("k", F.explode("halves").alias("half"))
-    shared = (half.groupBy("half").agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
-              .where("lo <> hi").select("half"))
-    open_k = half.join(shared, "half").select("k").distinct()
-    open_classes = materialise(classes.join(open_k, "k").select("k", "first"), "line-open")
+                                F.first("n").alias("n"), F.first("halves").alias("halves")), "line-classes")
+
+    # classes that share a half with another class; for the halves of one word
+    # less, with a class that is one word shorter
+    half = classes.select(F.col("k.a").alias("a"), "n", F.posexplode("halves").alias("slot", "half"))
+    shared = (half.groupBy("half").agg(F.min("a").alias("lo"), F.max("a").alias("hi"), F.min("n").alias("short"))
+              .where("lo <> hi").select("half", "short"))
+    open_a = (half.join(shared, "half").where("slot < 2 or short < n")
+              .groupBy("a").agg(F.collect_set(F.col("slot") + 1).alias("shared")))
+    open_classes = materialise(classes.join(open_a, F.col("k.a") == F.col("a"))
+                               .select("k", "first", "shared"), "line-open")
 
     # the words of those classes, from the line at the first place
     text = (_lines(docs).withColumn("k", _keys(F.col("line"))).withColumn("place", _place(F.col("line_no")))
             .join(open_classes.withColumnRenamed("k", "_k"),
                   (F.col("k") == F.col("_k")) & (F.col("place") == F.col("first")))
-            .select("k", "first", "line").dropDuplicates(["k"]))
-    near = materialise(text.select("k", "first", words(F.col("line")).alias("w")), "line-words")
+            .select("k", "first", "shared", "line").dropDuplicates(["k"]))
+    near = materialise(text.select("k", "first", "shared", words(F.col("line")).alias("w")), "line-words")
 
-    keys = materialise(near.select("k", "first", F.explode(_variants(F.col("w"), F.size("w"))).alias("v"))
+    keys = materialise(near.select("k", "first", F.explode(_variants(F.col("w"), F.size("w"), F.col("shared"))).alias("v"))
                        .select("k", "first", "v.key", "v.kind"), "line-variants")
     # first place among the lines of a key, by kind of member
     one = keys.groupBy("key").agg(

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from . import license_scan, line_dedup, quality_rules
+from . import bpe, embedding_dedup, language_id, license_scan, line_dedup, ngram_join, packing, quality_rules, warc
 
 
 def llm_queries() -> dict:
     return {
+        "op2_ngram_jaccard_join": ngram_join.op2_ngram_jaccard_join,
         "op3_host_quality_rules": quality_rules.op3_host_quality_rules,
         "op4_license_scan": license_scan.op4_license_scan,
+        "op5_bpe_automaton": bpe.op5_bpe_automaton,
+        "op6_sum_of_squares_packing": packing.op6_sum_of_squares_packing,
         "op7_line_dedup": line_dedup.op7_line_dedup,
+        "op8_hnsw_near_dedup": embedding_dedup.op8_hnsw_near_dedup,
+        "op9_warc_transactions": warc.op9_warc_transactions,
+        "op10_language_id": language_id.op10_language_id,
     }
 
 
@@ -18,4 +24,5 @@ def llm_oracles() -> dict[str, str]:
         "op3_host_quality_rules": quality_rules.ORACLE,
         "op4_license_scan": license_scan.ORACLE,
         "op7_line_dedup": line_dedup.ORACLE,
+        "op9_warc_transactions": warc.ORACLE,
     }
