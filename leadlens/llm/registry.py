@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, embedding_dedup, language_id, license_scan, line_dedup, ngram_join, packing, quality_rules, warc
+from . import bpe, embedding_dedup, language_id, license_scan, line_dedup, ngram_join, packing, quality_rules
+from . import substring_dedup, warc
 
 
 def llm_queries() -> dict:
     return {
+        "op1_paragraph_minhash": substring_dedup.op1_paragraph_minhash,
         "op2_ngram_jaccard_join": ngram_join.op2_ngram_jaccard_join,
         "op3_host_quality_rules": quality_rules.op3_host_quality_rules,
         "op4_license_scan": license_scan.op4_license_scan,
