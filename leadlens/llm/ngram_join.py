@@ -61,7 +61,7 @@ class Sets:
     """Shingle sets and their prefixes under the orders."""
 
     def __init__(self, frequencies: np.ndarray, size: int, percent: int):
-        self.logs = np.log2(frequencies + 1.0)
+        self.levels = frequencies
         self.size, self.percent = size, percent
 
     def shingles(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +71,7 @@ class Sets:
         h, first = np.unique(h, return_index=True)
         if not len(h):
             return h, np.zeros((3, 0))
-        f = self.logs[(w & np.uint64(BUCKETS - 1)).astype(np.int64)]
+        f = self.levels[(w & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.int16)
         k = min(self.size, len(w))
         parts = np.stack([f[i:len(w) - k + 1 + i] for i in range(k)])[:, first]
         return h, np.stack([parts.sum(axis=0), parts.min(axis=0), parts.max(axis=0)])
@@ -79,8 +79,7 @@ class Sets:
     def prefix(self, h: np.ndarray, keys: np.ndarray, order: int) -> np.ndarray:
         if not len(h):
             return h
-        # the key must be a function of the shingle alone: a float sum in a fixed order is
-        at = np.lexsort((mix(h + np.uint64(order + 1)), np.round(keys[order], 6)))
+        at = np.lexsort((mix(h + np.uint64(order + 1)), keys[order]))
         return h[at[:prefix_length(len(h), self.percent)]]
 
 
@@ -105,7 +104,7 @@ def _first_pass(docs: DataFrame, sets: Sets) -> DataFrame:
 
 
 def _second_pass(docs: DataFrame, sets: Sets) -> DataFrame:
-    """For documents (rep, text): the other prefixes, the set and its bitmap."""
+    """For documents (rep, text): the other prefixes and the set's bitmap."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
@@ -113,11 +112,21 @@ def _second_pass(docs: DataFrame, sets: Sets) -> DataFrame:
                 h, keys = sets.shingles(text)
                 parity = np.bincount((mix(h + np.uint64(99)) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
                 out.append((rep, len(h), signed(sets.prefix(h, keys, 1)), signed(sets.prefix(h, keys, 2)),
-                            np.packbits(parity.astype(np.uint8)).tobytes(), signed(h)))
-            yield pd.DataFrame(out, columns=["rep", "n", "p1", "p2", "bits", "tokens"])
+                            np.packbits(parity.astype(np.uint8)).tobytes()))
+            yield pd.DataFrame(out, columns=["rep", "n", "p1", "p2", "bits"])
 
-    return docs.mapInPandas(
-        run, "rep long, n long, p1 array<long>, p2 array<long>, bits binary, tokens array<long>")
+    return docs.mapInPandas(run, "rep long, n long, p1 array<long>, p2 array<long>, bits binary")
+
+
+def _token_pass(docs: DataFrame, sets: Sets) -> DataFrame:
+    """The sets of documents (rep, component, text)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            tokens = [signed(sets.shingles(t)[0]) for t in pdf["text"]]
+            yield pd.DataFrame({"rep": pdf["rep"], "component": pdf["component"], "n": [len(t) for t in tokens],
+                                "tokens": tokens})
+
+    return docs.mapInPandas(run, "rep long, component long, n long, tokens array<long>")
 
 
 def _postings(sets: DataFrame, prefix: str) -> DataFrame:
@@ -219,8 +228,9 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     own = known.join(classes, ["d", "e"]).where("doc_id = rep").select("rep", "d", "e", "p0").dropDuplicates(["d", "e"])
     keep = materialise(_stay(_postings(own.select("rep", F.col("p0")), "p0")), "ngram-order0")
 
-    text = docs.select(F.col("doc_id").alias("rep"), "text").join(keep, "rep").dropDuplicates(["rep"])
-    second = materialise(_second_pass(text.select("rep", "text"), sets), "ngram-second")
+    text = docs.select(F.col("doc_id").alias("rep"), "text")
+    second = materialise(_second_pass(text.join(keep, "rep").select("rep", "text"), sets).dropDuplicates(["rep"]),
+                         "ngram-second")
     for order, prefix in ((1, "p1"), (2, "p2")):
         keep = materialise(_stay(_postings(second.select("rep", prefix).join(keep, "rep"), prefix)), f"ngram-order{order}")
 
@@ -229,7 +239,8 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     pairs = by_unit(units(light.join(_shared(light), "tok"), "tok", BLOCK_ROWS), "tok",
                     _candidates(percent), "u long, v long")
     groups = components(materialise(pairs.distinct(), "ngram-pairs"), "ngram-groups")
-    full = second.select("rep", "n", "tokens").join(groups.withColumnRenamed("node", "rep"), "rep")
+    chosen = text.join(groups.withColumnRenamed("node", "rep"), "rep").select("rep", "component", "text")
+    full = materialise(_token_pass(chosen, sets).dropDuplicates(["rep"]), "ngram-sets")
     links = by_unit(units(full, "component", GROUP_ROWS, "n", GROUP_TOKENS), "component",
                     _verify(percent), "u long, v long")
     same = members.select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).where("u <> v")

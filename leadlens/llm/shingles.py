@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .bpe import Recent
 
-BUCKETS = 1 << 16            # of the word-frequency table: its size is fixed
+BUCKETS = 1 << 22            # of the word-frequency table, a byte each: its size is fixed
 
 
 class WordHashes(Recent):
@@ -50,20 +50,23 @@ def windows(w: np.ndarray, size: int) -> np.ndarray:
 
 
 def word_frequencies(docs: DataFrame) -> np.ndarray:
-    """Occurrences of words over all documents, by hash bucket; summed per
-    task and then per bucket, so BUCKETS numbers reach the driver."""
+    """How often words occur over all documents, by hash bucket, as
+    4 log2(1 + n) in a byte.  Summed per task, then per bucket; at most
+    BUCKETS rows of five bytes reach the driver, as one Arrow table."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros(BUCKETS, dtype=np.int64)
+        sums = np.zeros(BUCKETS, dtype=np.int32)
         for pdf in batches:
             for text in pdf["text"]:
-                sums += np.bincount((text_word_hashes(text) & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+                b, n = np.unique(text_word_hashes(text) & np.uint64(BUCKETS - 1), return_counts=True)
+                sums[b.astype(np.int64)] += n.astype(np.int32)
         at = np.flatnonzero(sums)
-        yield pd.DataFrame({"b": at, "n": sums[at]})
+        yield pd.DataFrame({"b": at.astype(np.int32), "n": sums[at].astype(np.int64)})
 
-    rows = docs.select("text").mapInPandas(run, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(BUCKETS, dtype=np.int64)
-    for r in rows:
-        out[r["b"]] = r["n"]
+    level = F.least(F.lit(127), F.round(8 * F.log2(F.col("n") + 1)) / 2).cast("tinyint")
+    rows = docs.select("text").mapInPandas(run, "b int, n long").groupBy("b").agg(F.sum("n").alias("n")).select(
+        "b", level.alias("level")).toArrow()
+    out = np.zeros(BUCKETS, dtype=np.int8)
+    out[rows["b"].to_numpy()] = rows["level"].to_numpy()
     return out
 
 
