@@ -5,15 +5,15 @@ similarity is at least 0.9.
 
 Under any global order of the shingles, two linked sets share one of the
 first n - ceil(0.9 n) + 1 shingles of each (prefix filter).  Three orders
-are used: by the summed, by the smallest and by the largest corpus frequency
-of a shingle's words, ties by hash.  A document stays only while it shares a
+are used: by the corpus frequency of a shingle's rarest word, of its middle
+word, and by the summed logarithms of all, ties by hash.  A document stays only while it shares a
 prefix shingle with another document under every order so far, so each order
 works on what the ones before have left.  Orders affect the cost, never the
 result.
 
 1. Documents with equal sets form a class; its smallest doc_id stands for it.
 2. Classes that share a prefix shingle under all orders go on, with their set.
-3. Within a shared prefix shingle, pairs that pass the length filter and a
+3. Within a shared prefix shingle of the first order, pairs that pass the length filter and a
    lower bound on the set difference (the distance of the sets' parity
    bitmaps) connect their classes into candidate groups.
 4. Within a candidate group the exact intersections are counted, and each
@@ -73,8 +73,9 @@ class Sets:
             return h, np.zeros((3, 0))
         f = self.levels[(w & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.int16)
         k = min(self.size, len(w))
-        parts = np.stack([f[i:len(w) - k + 1 + i] for i in range(k)])[:, first]
-        return h, np.stack([parts.sum(axis=0), parts.min(axis=0), parts.max(axis=0)])
+        parts = np.sort(np.stack([f[i:len(w) - k + 1 + i] for i in range(k)])[:, first].astype(np.int64), axis=0)
+        low, mid, top = parts[0], parts[len(parts) // 2], parts[-1]
+        return h, np.stack([(low << 16) + (mid << 8) + top, (mid << 8) + low, parts.sum(axis=0)])
 
     def prefix(self, h: np.ndarray, keys: np.ndarray, order: int) -> np.ndarray:
         if not len(h):
@@ -104,18 +105,18 @@ def _first_pass(docs: DataFrame, sets: Sets) -> DataFrame:
 
 
 def _second_pass(docs: DataFrame, sets: Sets) -> DataFrame:
-    """For documents (rep, text): the other prefixes and the set's bitmap."""
+    """For documents (rep, text): the prefixes and the set's bitmap."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for rep, text in zip(pdf["rep"], pdf["text"], strict=True):
                 h, keys = sets.shingles(text)
                 parity = np.bincount((mix(h + np.uint64(99)) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
-                out.append((rep, len(h), signed(sets.prefix(h, keys, 1)), signed(sets.prefix(h, keys, 2)),
+                out.append((rep, len(h), *[signed(sets.prefix(h, keys, k)) for k in range(3)],
                             np.packbits(parity.astype(np.uint8)).tobytes()))
-            yield pd.DataFrame(out, columns=["rep", "n", "p1", "p2", "bits"])
+            yield pd.DataFrame(out, columns=["rep", "n", "p0", "p1", "p2", "bits"])
 
-    return docs.mapInPandas(run, "rep long, n long, p1 array<long>, p2 array<long>, bits binary")
+    return docs.mapInPandas(run, "rep long, n long, p0 array<long>, p1 array<long>, p2 array<long>, bits binary")
 
 
 def _token_pass(docs: DataFrame, sets: Sets) -> DataFrame:
@@ -234,7 +235,7 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     for order, prefix in ((1, "p1"), (2, "p2")):
         keep = materialise(_stay(_postings(second.select("rep", prefix).join(keep, "rep"), prefix)), f"ngram-order{order}")
 
-    light = second.join(keep, "rep").select("rep", "n", "bits", F.explode("p2").alias("tok"))
+    light = second.join(keep, "rep").select("rep", "n", "bits", F.explode("p0").alias("tok"))
     light = materialise(light, "ngram-light")
     pairs = by_unit(units(light.join(_shared(light), "tok"), "tok", BLOCK_ROWS), "tok",
                     _candidates(percent), "u long, v long")
