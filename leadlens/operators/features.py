@@ -10,15 +10,15 @@ under the bound.  Quantile edges come from exact distributed selection.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggs import mean
 from ..functions.quantiles import exact_quantiles
+from ..session import ensure_checkpoint_dir
 from ..schema import (CLUSTER_FEATURES, DEFECT_BIN_EDGES, DEFECT_BIN_LABELS, INSPECTION_SCORES, LOG_FEATURES,
                       SQUARED_FEATURES, TARGET, TRANSPORT_CODES, VOLUME_QUARTILE_LABELS, ZSCORE_FEATURES)
-from .joins import MAX_BROADCAST_ROWS, join_lookup
+from .joins import join_lookup
 from .quality import numeric_columns, string_columns
 
 
@@ -114,21 +114,21 @@ def encoding_tables(df: DataFrame, cols: list[str], target: str = TARGET) -> Dat
 
 
 def target_encode(df: DataFrame, cols: list[str] | None = None, target: str = TARGET,
-                  exclude=("sku",), max_rows: int = MAX_BROADCAST_ROWS,
-                  suffix: str = "_lead_time_mean") -> DataFrame:
+                  exclude=("sku",), suffix: str = "_lead_time_mean", fit_on: str | None = None) -> DataFrame:
     """Add ``{c}{suffix}`` = mean target of the row's category, per column.
 
-    Encodings use every row (as the reference does, before the split)."""
+    Encodings use every row (as the reference does, before the split), or
+    with ``fit_on="train"`` only the rows whose ``split`` is that value."""
     cols = [c for c in (cols or string_columns(df)) if c not in exclude]
     if not cols:
         return df
-    enc = encoding_tables(df, cols, target).persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {r.key: r["count"] for r in enc.groupBy("key").count().collect()}
+    ensure_checkpoint_dir(df.sparkSession)
+    fit = df if fit_on is None else df.where(F.col("split") == fit_on)
+    enc = encoding_tables(fit, cols, target).checkpoint(eager=True)
     out = df
     for c in cols:
         t = enc.where(F.col("key") == c).select(F.col("value").alias(f"__{c}"), F.col("m").alias(f"{c}{suffix}"))
-        out = join_lookup(out, t, F.col(c).cast("string") == F.col(f"__{c}"), "left", sizes.get(c, 0),
-                          max_rows).drop(f"__{c}")
+        out = join_lookup(out, t, F.col(c).cast("string") == F.col(f"__{c}"), "left").drop(f"__{c}")
     return out
 
 
@@ -137,10 +137,9 @@ def encoding_view(df: DataFrame, key: str, target: str = TARGET) -> DataFrame:
     return df.groupBy(key).agg(mean(target).alias(f"{key}_lead_time_mean"))
 
 
-def encoded_fact(df: DataFrame, keys=("product_type", "location", "sku"),
-                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def encoded_fact(df: DataFrame, keys=("product_type", "location", "sku")) -> DataFrame:
     """The fact with the three SQL encodings left-joined (supply_chain_encoded)."""
-    return target_encode(df, list(keys), exclude=(), max_rows=max_rows)
+    return target_encode(df, list(keys), exclude=())
 
 
 def transport_mode_code(c: str = "transportation_modes") -> Column:
@@ -157,9 +156,9 @@ def inspection_score(c: str = "inspection_results") -> Column:
     return expr.otherwise(0.5).cast("double")
 
 
-def ml_ready(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def ml_ready(df: DataFrame) -> DataFrame:
     """The flat export relation (ml_ready_data)."""
-    enc = encoded_fact(df, max_rows=max_rows)
+    enc = encoded_fact(df)
     return enc.select(
         "sku", "product_type", _d("price").alias("price"), _d("defect_rates").alias("defect_rates"),
         "production_volumes", _d("manufacturing_costs").alias("manufacturing_costs"),
@@ -203,7 +202,7 @@ CATEGORY_LEVELS = {"defect_rate_category": DEFECT_BIN_LABELS,
                    "production_volume_category": VOLUME_QUARTILE_LABELS}
 
 
-def dummy_levels(df: DataFrame, cols: list[str], max_levels: int = 10_000) -> dict[str, list[str]]:
+def dummy_levels(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
     """Sorted distinct levels of each string column (one aggregate pass);
     ordered-category columns keep their label order, unused labels too."""
     plain = [c for c in cols if c not in CATEGORY_LEVELS]
@@ -212,10 +211,6 @@ def dummy_levels(df: DataFrame, cols: list[str], max_levels: int = 10_000) -> di
         parts = [F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("v")) for c in plain]
         d = (df.select(F.explode(F.array(*parts)).alias("kv")).select("kv.*").where(F.col("v").isNotNull())
              .distinct())
-        counts = {r.key: r["count"] for r in d.groupBy("key").count().collect()}
-        too_many = {c: n for c, n in counts.items() if n > max_levels}
-        if too_many:
-            raise ValueError(f"too many levels for dense dummies (use a sparse encoder): {too_many}")
         got: dict[str, list[str]] = {c: [] for c in plain}
         for r in d.collect():
             got[r.key].append(r.v)
@@ -247,24 +242,14 @@ def engineer(df: DataFrame) -> DataFrame:
 
 
 def model_matrix(features: DataFrame, target: str = TARGET, key: str = "sku",
-                 keep: tuple[str, ...] = (), max_levels: int = 256) -> tuple[DataFrame, list[str]]:
+                 keep: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
     """The design matrix: every column but the key, the target and ``keep``
     (passed through untouched), with category columns as drop-first dummies,
     all double; plus ``label``.  Returns the frame and the feature names.
-
-    A category column with more than ``max_levels`` levels gets no dense
-    dummies (thousands of columns at scale); its target encoding
-    ``{col}_lead_time_mean`` stays in the matrix."""
+    Every level counts, whatever their number: the features are the same
+    function of the data at every size."""
     cats = [c for c in string_columns(features) if c not in (key, *keep)]
-    plain = [c for c in cats if c not in CATEGORY_LEVELS]
-    if plain:
-        parts = [F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in plain]
-        n_levels = {r.k: r.n for r in features.select(F.explode(F.array(*parts)).alias("kv")).select("kv.*")
-                    .groupBy("k").agg(F.countDistinct("v").alias("n")).collect()}
-        wide = [c for c in plain if n_levels.get(c, 0) > max_levels]
-    else:
-        wide = []
-    enc = one_hot_drop_first(features.drop(*wide), [c for c in cats if c not in wide])
+    enc = one_hot_drop_first(features, cats)
     names = [c for c in enc.columns if c not in (key, target, *keep)]
     return enc.select(key, *keep, F.col(target).cast("double").alias("label"),
                       *[F.col(f"`{c}`").cast("double").alias(c) for c in names]), names

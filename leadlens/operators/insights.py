@@ -58,7 +58,9 @@ def insight_rules(target_corr: DataFrame, importance: DataFrame, profile: DataFr
 
     hv = (profile.where(F.col("avg_production_volume") > VOLUME)
           .agg(F.count(F.lit(1)).alias("n"),
-               F.concat_ws(", ", F.sort_array(F.collect_list(F.col("cluster").cast("string")))).alias("ids")))
+               F.array_join(F.transform(   # in the profile's order
+                   F.array_sort(F.collect_list(F.struct((-F.col("avg_lead_time")).alias("o"), F.col("cluster")))),
+                   lambda x: x["cluster"].cast("string")), ", ").alias("ids")))
     production = _row(hv, PRODUCTION, F.format_string("Clusters %s show high volumes with long lead times",
                                                       F.col("ids")), F.col("n") > 0)
 

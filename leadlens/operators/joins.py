@@ -1,20 +1,14 @@
-"""Joins of a large relation to small derived tables.
+"""Joins of a large relation to derived tables.
 
-A side is broadcast only when its row count is known to be under a bound;
-beyond the bound it is a plain shuffle join (AQE may still convert it at
-run time and splits skewed partitions).
+No broadcast hint: Spark's byte threshold and AQE decide from measured
+sizes, and AQE splits skewed partitions of a shuffle join.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 2_000_000
 
-
-def join_lookup(left: DataFrame, right: DataFrame, on: str | list | Column, how: str, right_rows: int,
-                max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``left`` joined to ``right`` (of ``right_rows`` rows, counted by the
-    caller), broadcasting ``right`` only under the bound."""
-    return left.join(F.broadcast(right) if right_rows <= max_rows else right, on, how)
+def join_lookup(left: DataFrame, right: DataFrame, on: str | list | Column, how: str) -> DataFrame:
+    """``left`` joined to the derived table ``right``."""
+    return left.join(right, on, how)

@@ -197,13 +197,10 @@ def feature_queries() -> dict[str, Query]:
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.csv import read_supply_chain_csv, write_supply_chain_csv
-    from ..sources.fact import fact_path
-    path = fact_path(spark, sf_dir) + "_csv"
-    try:
-        return read_supply_chain_csv(spark, path)
-    except Exception:  # noqa: BLE001 - not written yet
-        write_supply_chain_csv(base_columns(fact(spark, sf_dir)), path)
-        return read_supply_chain_csv(spark, path)
+    from ..sources.fact import completed, fact_path
+    path = completed(spark, f"{fact_path(spark, sf_dir)}_csv",
+                     lambda to: write_supply_chain_csv(base_columns(fact(spark, sf_dir)), to))
+    return read_supply_chain_csv(spark, path)
 
 
 def _stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from ..operators import explain as EX
 from ..operators import insights as IN
 from ..operators import models as MO
 from ..operators.stats import target_correlations
-from ..sources.fact import base_columns, fact, items
+from ..sources.fact import base_columns, fact, fact_path, items
 from .oracle_features import items_ctes
 from .oracle_fact import with_fact
 
@@ -23,7 +23,10 @@ _memo: dict = {}
 
 
 def _get(spark: SparkSession, sf_dir: str, what: str, build):
-    k = (spark.sparkContext.applicationId, sf_dir, what)
+    # the written fact's folder changes with the source files
+    k = (spark.sparkContext.applicationId, fact_path(spark, sf_dir), what)
+    for old in [x for x in _memo if x[0] != k[0]]:   # of an ended application
+        del _memo[old]
     if k not in _memo:
         _memo[k] = build()
     return _memo[k]

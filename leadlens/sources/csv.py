@@ -18,8 +18,13 @@ from ..schema import CSV_HEADERS, FACT_COLUMNS, NA_TOKENS, csv_struct
 def read_supply_chain_csv(spark: SparkSession, path: str, normalise: bool = True) -> DataFrame:
     """Scan CSV file(s) with the header row; typed as the reference's pandas
     reader infers them (int / double / string)."""
-    raw = (spark.read.option("header", True).option("mode", "FAILFAST")
-           .schema(T.StructType([T.StructField(h, T.StringType(), True) for h in CSV_HEADERS])).csv(path))
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [h for h in CSV_HEADERS if h not in header]
+    if missing:
+        raise ValueError(f"columns missing in {path}: {missing}")
+    # columns in the file's own order, checked against each file's header, then taken by name
+    raw = (spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
+           .schema(T.StructType([T.StructField(h, T.StringType(), True) for h in header])).csv(path))
     typed = csv_struct()
     cols = []
     for f in typed.fields:

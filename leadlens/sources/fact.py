@@ -13,11 +13,10 @@ broadcasts by Spark's own thresholds, the large dimensions sort-merge.
 from __future__ import annotations
 
 import hashlib
-import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..session import ensure_checkpoint_dir
 from .tables import read_table, table_path
@@ -92,37 +91,55 @@ def build_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _source_signature(sf_dir: str) -> str:
+def _files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of the files at ``path``, in any
+    file system that Hadoop reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out, found = [], fs.listFiles(p, True)
+    while found.hasNext():
+        f = found.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
+def source_signature(spark: SparkSession, sf_dir: str) -> str:
+    """Hash of the path, length and modification time of every source file."""
     h = hashlib.sha1(FACT_VERSION.encode())
-    h.update(os.path.abspath(sf_dir).encode())
     for name in ("lineitem", "orders", "customer", "part", "supplier", "nation", "region"):
-        p = table_path(sf_dir, name)
-        try:
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:  # remote store: path identity only
-            h.update(name.encode())
+        h.update(repr(_files(spark, table_path(sf_dir, name))).encode())
     return h.hexdigest()[:16]
 
 
+def completed(spark: SparkSession, prefix: str, write) -> str:
+    """A folder ``prefix``-* that a committed job has finished (``_SUCCESS``),
+    or else a fresh one that ``write(folder)`` fills.  No folder is ever
+    written twice, so two writers cannot disturb each other or a reader."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{prefix}-*/_SUCCESS")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = sorted(x.getPath().getParent().toString() for x in (fs.globStatus(pattern) or []))
+    if done:
+        return done[0]
+    folder = f"{prefix}-{uuid.uuid4().hex}"
+    write(folder)
+    return folder
+
+
 def fact_path(spark: SparkSession, sf_dir: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact_{_source_signature(sf_dir)}"
+    """Folder of the written fact table, built if there is none for the
+    present source files.  A lost executor re-reads its files instead of
+    re-running the joins."""
+    prefix = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact_{source_signature(spark, sf_dir)}"
+    # bounded files whatever the shuffle partition sizes are
+    return completed(spark, prefix, lambda to: build_fact(spark, sf_dir).write
+                     .option("maxRecordsPerFile", 20_000_000).parquet(to))
 
 
 def materialized_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Build the fact once into the shared checkpoint folder and scan it.
-
-    A written table cuts the join lineage: a lost executor re-reads files
-    instead of re-running four shuffles.
-    """
-    path = fact_path(spark, sf_dir)
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        pass
-    # bounded files whatever the shuffle partition sizes are
-    build_fact(spark, sf_dir).write.mode("overwrite").option("maxRecordsPerFile", 20_000_000).parquet(path)
-    return spark.read.parquet(path)
+    """Scan of the written fact table."""
+    return spark.read.parquet(fact_path(spark, sf_dir))
 
 
 def fact(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:

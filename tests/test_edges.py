@@ -152,3 +152,27 @@ def test_dtype_counts(spark):
     df = spark.createDataFrame([], fact_struct())
     got = {r.dtype: r.columns for r in Q.dtype_counts(df).collect()}
     assert got["string"] == 9 and got["int"] == 9 and sum(got.values()) == 24
+
+
+def test_dummies_have_no_level_limit(spark):
+    """1,000 levels give 999 dummies at any size."""
+    df = spark.createDataFrame([(f"S{k}", f"v{k:04d}", float(k)) for k in range(1000)], "sku string, g string, lead_time double")
+    _, names = FE.model_matrix(df)
+    assert len(names) == 999 and names[0] == "g_v0001"
+
+
+def test_target_encode_fit_on_train(spark):
+    df = spark.createDataFrame([("a", "train", 1.0), ("a", "train", 3.0), ("a", "test", 100.0), ("b", "test", 5.0)],
+                               "g string, split string, lead_time double")
+    got = {(r.g, r.split): r.g_lead_time_mean for r in FE.target_encode(df, ["g"], fit_on="train").collect()}
+    assert got == {("a", "train"): 2.0, ("a", "test"): 2.0, ("b", "test"): None}
+
+
+def test_insight_ids_in_profile_order(spark):
+    from leadlens.operators.insights import insight_rules
+    corr = spark.createDataFrame([("defect_rates", 0.9), ("price", 0.0)], "feature string, corr double")
+    imp = spark.createDataFrame([("defect_rates", 0.5)], "feature string, importance double")
+    profile = spark.createDataFrame([(2, 10.0, 1e6), (10, 30.0, 1e6), (1, 20.0, 1e6)],
+                                    "cluster int, avg_lead_time double, avg_production_volume double")
+    text = " ".join(str(tuple(r)) for r in insight_rules(corr, imp, profile).collect())
+    assert "Clusters 10, 1, 2 show" in text
