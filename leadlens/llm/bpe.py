@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from .common import documents
 
 VOCABULARY = "word_bpe_49k.json"
-MAX_WORDS = 250_000          # words in each of the two halves of a task's cache
+MAX_WORDS = 500_000          # words in each of the two halves of a task's cache
 MAX_ARCS = 2_000_000         # decided arcs per task process
 
 # Unicode White_Space (fixed values).

@@ -54,7 +54,7 @@ REACH = 3                    # neighbours on each side that a cut is below
 MIN_RUN = 30
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
+SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)   # odd multipliers
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 POWERS = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64)}
 
@@ -93,7 +93,11 @@ def pieces(w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def band_keys(shingles: np.ndarray) -> np.ndarray:
     """Keys of the MinHash bands of a set of shingles."""
-    low = np.array([mix(shingles ^ s).min() for s in SEEDS]).reshape(BANDS, ROWS)
+    low = np.full(len(SEEDS), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(shingles), 4096):      # bounded blocks of a long line
+        part = shingles[None, at:at + 4096] * SEEDS[:, None]
+        np.minimum(low, (part ^ (part >> np.uint64(29))).min(axis=1), out=low)
+    low = low.reshape(BANDS, ROWS)
     key = np.arange(BANDS, dtype=np.uint64)
     for k in range(ROWS):
         key = mix(key + low[:, k])
@@ -111,11 +115,8 @@ def text_lines(text: str) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def line_hash(w: np.ndarray) -> int:
-    _, _, h = pieces(w)
-    x = np.full(1, len(w), dtype=np.uint64)
-    for part in h:
-        x = mix(x + part)
-    return int(x.view(np.int64)[0])
+    up, _ = _powers(len(w))
+    return int(mix((w * up).sum(keepdims=True) + np.uint64(len(w))).view(np.int64)[0])
 
 
 def _pieces(docs: DataFrame) -> DataFrame:
