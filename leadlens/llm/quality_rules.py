@@ -22,7 +22,7 @@ MIN_WORDS = 50               # fewer words: rejected (contract)
 MAX_REPEAT_PERCENT = 50      # more repeated words: rejected (contract)
 MAX_SYMBOL_PERCENT = 30      # host rule: symbols per 100 word characters
 MAX_DUP_LINE_PERCENT = 50    # host rule: repeated lines per 100 lines with a word
-MAX_HOST_RATE = 0.5          # a host is rejected when its shrunk failure rate is above
+MAX_HOST_RATE = 0.9          # a host is rejected when its shrunk failure rate is above
 PRIOR_STRENGTH = (1.0, 1e6)  # bounds of the prior's weight in documents
 
 
