@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from .common import documents
 
 VOCABULARY = "word_bpe_49k.json"
-MAX_WORDS = 500_000          # words in each of the two halves of a task's cache
+MAX_WORDS = 250_000          # words in each of the two halves of a task's cache
 MAX_ARCS = 2_000_000         # decided arcs per task process
 
 # Unicode White_Space (fixed values).
@@ -83,13 +83,26 @@ def byte_letters() -> list[str]:
 
 
 class Recent(dict):
-    """Cache of at most two times ``MAX_WORDS`` keys: when the newer half is
+    """Cache of at most two times ``limit`` keys: when the newer half is
     full it becomes the older one, and keys used again move to the newer.
     Subclasses compute a value in ``make``; keys over 64 letters are not kept."""
 
+    limit = MAX_WORDS
+    all: list["Recent"] = []
+
     def __init__(self):
         super().__init__()
         self.older: dict = {}
+        Recent.all.append(self)
+
+    @staticmethod
+    def keep_only(*kept: "Recent") -> None:
+        """Empty the other caches of this worker: a reused worker serves
+        several operators, and only the present one's cache counts."""
+        for x in Recent.all:
+            if not any(x is k for k in kept):
+                x.clear()
+                x.older = {}
 
     def __missing__(self, key: str):
         got = self.older.get(key)
@@ -97,7 +110,7 @@ class Recent(dict):
             got = self.make(key)
             if len(key) > 64:
                 return got
-        if len(self) >= MAX_WORDS:
+        if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
         self[key] = got
@@ -271,6 +284,7 @@ def words_of(path: str) -> Words:
     """The automaton and its caches, kept for the next task of a reused worker."""
     if path not in _WORDS:
         _WORDS[path] = Words(Automaton(path))
+    Recent.keep_only(_WORDS[path], _WORDS[path].automaton.words)
     return _WORDS[path]
 
 

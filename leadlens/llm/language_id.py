@@ -368,6 +368,8 @@ def predict(docs: DataFrame, model, path: str | None = None) -> DataFrame:
                     group, n = [], 0
             got += judge(group)
             yield pdf[keep].assign(lang_pred=[x for x, _ in got], score=[x for _, x in got])
+        if scores is not None:
+            Recent.all[:] = [x for x in Recent.all if x is not scores]
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
     return docs.mapInPandas(run, f"{fields}, lang_pred string, score double")

@@ -83,6 +83,7 @@ def ids_of(path: str) -> TextIds:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"     # the tasks are the parallelism
     if path not in _IDS:
         _IDS[path] = TextIds(path)
+    Recent.keep_only(_IDS[path])
     return _IDS[path]
 
 

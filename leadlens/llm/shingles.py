@@ -16,6 +16,8 @@ BUCKETS = 1 << 22            # of the word-frequency table, a byte each: its siz
 
 
 class WordHashes(Recent):
+    limit = 50_000           # hashing a word again is cheap
+
     def make(self, word: bytes) -> int:
         return xxhash.xxh64_intdigest(word)
 
