@@ -3,17 +3,20 @@
 Documents are sets of 3-word shingles; two link when their Jaccard
 similarity is at least 0.9.
 
-Under any global order of the shingles, two linked sets share one of the
-first n - ceil(0.9 n) + 1 shingles of each (prefix filter).  Three orders
-are used: by the corpus frequency of a shingle's rarest word, of its middle
-word, and by the summed logarithms of all, ties by hash.  A document stays only while it shares a
-prefix shingle with another document under every order so far, so each order
-works on what the ones before have left.  Orders affect the cost, never the
-result.
+Under any global order of the shingles, two linked sets share at least
+``SHARE`` of the first n - ceil(0.9 n) + SHARE shingles of each (prefix
+filter with several common shingles; all that must be common, in sets
+smaller than that).  Three orders are used: by the corpus frequency of a
+shingle's rarest word, of its middle word, and by the summed logarithms of
+all, ties by hash.  A document stays only while that many of its prefix
+shingles occur in other documents' prefixes under every order so far, so
+each order works on what the ones before have left.  Orders affect the cost,
+never the result.
 
 1. Documents with equal sets form a class; its smallest doc_id stands for it.
-2. Classes that share a prefix shingle under all orders go on, with their set.
-3. Within a shared prefix shingle of the first order, pairs that pass the length filter and a
+2. Classes that share enough prefix shingles under all orders go on.
+3. Prefix shingles of the first order that occur in the same classes are one
+   posting list.  Within a list, pairs that pass the length filter and a
    lower bound on the set difference (the distance of the sets' parity
    bitmaps) connect their classes into candidate groups.
 4. Within a candidate group the exact intersections are counted, and each
@@ -48,13 +51,28 @@ from .shingles import word_frequencies
 SIZE = 3
 PERCENT = 90
 BITS = 1024                  # of a parity bitmap
+SHARE = 8                    # prefix shingles that a candidate shares under each order
 BLOCK_ROWS = 1024            # rows of a block of a prefix group
 GROUP_ROWS = 512             # documents, and
 GROUP_TOKENS = 1 << 21       # shingles of a block of a candidate group
 
 
+def overlap(n: int, percent: int) -> int:
+    """Shingles that a set of n shares with any set it links to, at least;
+    also the smallest size of such a set."""
+    return -(-percent * n // 100)
+
+
 def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+    """Two linked sets share SHARE shingles (all that must be common, in
+    smaller sets) of prefixes of this length under any order."""
+    return n - overlap(n, percent) + min(SHARE, overlap(n, percent))
+
+
+def needed(n: int, percent: int) -> int:
+    """Prefix shingles that a set of n shares with any set it links to, the
+    smallest possible one included."""
+    return min(SHARE, overlap(overlap(n, percent), percent))
 
 
 class Sets:
@@ -91,17 +109,19 @@ def signed(x: np.ndarray) -> np.ndarray:
 def _first_pass(docs: DataFrame, sets: Sets) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            n, d, e, p = [], [], [], []
+            n, need, d, e, p = [], [], [], [], []
             for text in pdf["text"]:
                 h, keys = sets.shingles(text)
                 digest = np.frombuffer(xxhash.xxh3_128_digest(h.tobytes()), dtype=np.int64)
                 n.append(len(h))
+                need.append(needed(len(h), sets.percent))
                 d.append(digest[0])
                 e.append(digest[1])
                 p.append(signed(sets.prefix(h, keys, 0)))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": n, "d": d, "e": e, "p0": p})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": n, "need": need, "d": d, "e": e, "p0": p})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n long, d long, e long, p0 array<long>")
+    return docs.select("doc_id", "text").mapInPandas(
+        run, "doc_id long, n long, need int, d long, e long, p0 array<long>")
 
 
 def _second_pass(docs: DataFrame, sets: Sets) -> DataFrame:
@@ -112,11 +132,11 @@ def _second_pass(docs: DataFrame, sets: Sets) -> DataFrame:
             for rep, text in zip(pdf["rep"], pdf["text"], strict=True):
                 h, keys = sets.shingles(text)
                 parity = np.bincount((mix(h + np.uint64(99)) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
-                out.append((rep, len(h), *[signed(sets.prefix(h, keys, k)) for k in range(3)],
+                out.append((rep, len(h), needed(len(h), sets.percent), *[signed(sets.prefix(h, keys, k)) for k in range(3)],
                             np.packbits(parity.astype(np.uint8)).tobytes()))
-            yield pd.DataFrame(out, columns=["rep", "n", "p0", "p1", "p2", "bits"])
+            yield pd.DataFrame(out, columns=["rep", "n", "need", "p0", "p1", "p2", "bits"])
 
-    return docs.mapInPandas(run, "rep long, n long, p0 array<long>, p1 array<long>, p2 array<long>, bits binary")
+    return docs.mapInPandas(run, "rep long, n long, need int, p0 array<long>, p1 array<long>, p2 array<long>, bits binary")
 
 
 def _token_pass(docs: DataFrame, sets: Sets) -> DataFrame:
@@ -131,7 +151,7 @@ def _token_pass(docs: DataFrame, sets: Sets) -> DataFrame:
 
 
 def _postings(sets: DataFrame, prefix: str) -> DataFrame:
-    return sets.select("rep", F.explode(prefix).alias("tok"))
+    return sets.select("rep", "need", F.explode(prefix).alias("tok"))
 
 
 def _shared(postings: DataFrame) -> DataFrame:
@@ -141,7 +161,18 @@ def _shared(postings: DataFrame) -> DataFrame:
 
 
 def _stay(postings: DataFrame) -> DataFrame:
-    return postings.join(_shared(postings), "tok").select("rep").distinct()
+    """Classes with as many shared prefix shingles as a link takes."""
+    return (postings.join(_shared(postings), "tok").groupBy("rep", "need").agg(F.count(F.lit(1)).alias("n"))
+            .where("n >= need").select("rep").distinct())
+
+
+def _posting_lists(postings: DataFrame) -> DataFrame:
+    """Postings of two classes or more, one shingle for all that occur in the
+    same classes (equal count and two hashes): these would compare the same pairs."""
+    lists = (postings.groupBy("tok").agg(
+        F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("rep")).alias("x"),
+        F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y")).where("c > 1"))
+    return postings.select("rep", "tok").join(lists.groupBy("c", "x", "y").agg(F.min("tok").alias("tok")).select("tok"), "tok")
 
 
 def _candidates(percent: int):
@@ -226,18 +257,18 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     members = materialise(known.select("doc_id", "d", "e").join(classes, ["d", "e"]).select("doc_id", "rep").distinct(),
                           "ngram-members")
     # a doc_id on rows with different texts stands in several classes, and joins them
-    own = known.join(classes, ["d", "e"]).where("doc_id = rep").select("rep", "d", "e", "p0").dropDuplicates(["d", "e"])
-    keep = materialise(_stay(_postings(own.select("rep", F.col("p0")), "p0")), "ngram-order0")
+    own = known.join(classes, ["d", "e"]).where("doc_id = rep").select("rep", "need", "d", "e", "p0").dropDuplicates(["d", "e"])
+    keep = materialise(_stay(_postings(own, "p0")), "ngram-order0")
 
     text = docs.select(F.col("doc_id").alias("rep"), "text")
     second = materialise(_second_pass(text.join(keep, "rep").select("rep", "text"), sets).dropDuplicates(["rep"]),
                          "ngram-second")
     for order, prefix in ((1, "p1"), (2, "p2")):
-        keep = materialise(_stay(_postings(second.select("rep", prefix).join(keep, "rep"), prefix)), f"ngram-order{order}")
+        keep = materialise(_stay(_postings(second.select("rep", "need", prefix).join(keep, "rep"), prefix)), f"ngram-order{order}")
 
-    light = second.join(keep, "rep").select("rep", "n", "bits", F.explode("p0").alias("tok"))
-    light = materialise(light, "ngram-light")
-    pairs = by_unit(units(light.join(_shared(light), "tok"), "tok", BLOCK_ROWS), "tok",
+    lists = _posting_lists(_postings(second.select("rep", "need", "p0").join(keep, "rep"), "p0"))
+    light = materialise(lists.join(second.select("rep", "n", "bits"), "rep"), "ngram-light")
+    pairs = by_unit(units(light, "tok", BLOCK_ROWS), "tok",
                     _candidates(percent), "u long, v long")
     groups = components(materialise(pairs.distinct(), "ngram-pairs"), "ngram-groups")
     chosen = text.join(groups.withColumnRenamed("node", "rep"), "rep").select("rep", "component", "text")

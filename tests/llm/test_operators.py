@@ -252,3 +252,21 @@ def test_pipeline_on_odd_rows(spark, odd):
     left = {r.doc_id: r.text for r in docs.collect()}
     assert 9 in left and 1 in left and 2 not in left and 3 not in left and "passage30" not in left[8]
     assert C.STAGES[-1][1](spark, docs, SF).select(F.countDistinct("doc_id")).first()[0] == len([i for i in left if i is not None])
+
+
+def test_prefixes_of_linked_sets_share_enough():
+    """Two sets at or above the threshold share the needed number of prefix
+    tokens under any order, at all sizes."""
+    rng = np.random.default_rng(5)
+    for percent in (80, 90):
+        for _ in range(3000):
+            both = int(rng.integers(1, 60))
+            a, b = int(rng.integers(0, 8)), int(rng.integers(0, 8))
+            if 100 * both < percent * (both + a + b):
+                continue
+            order = rng.permutation(both + a + b)
+            x = np.sort(np.concatenate([order[:both], order[both:both + a]]))
+            y = np.sort(np.concatenate([order[:both], order[both + a:]]))
+            common = len(np.intersect1d(x[:ngram_join.prefix_length(len(x), percent)],
+                                        y[:ngram_join.prefix_length(len(y), percent)]))
+            assert common >= max(ngram_join.needed(len(x), percent), ngram_join.needed(len(y), percent))
