@@ -30,13 +30,15 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .bpe import Recent, chunks, id_bytes, vocabulary_path
+from .bpe import Recent, byte_letters, chunks, id_bytes, vocabulary_path
 from .common import documents
 
 SIZE = 4096
 END = 2
 OPEN = 512
 GROUP_LETTERS = 2_000_000    # texts whose new words are encoded in one call
+JOINED = 5000                # new words encoded as one text
+STOPS = ".,;:!?"             # a word and one of these are two pieces
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
@@ -45,15 +47,21 @@ class TextIds(Recent):
     """Ids of texts as bytes, by the tokenizers library; words are cached, and
     the new ones of a group of texts are encoded in one call."""
 
+    limit = 400_000
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.new: dict[str, bytes] = {}
-
-    def make(self, chunk: str) -> bytes:
-        got = self.new.get(chunk)
-        return id_bytes(self.tokenizer.encode(chunk, add_special_tokens=False).ids) if got is None else got
+        # the same model for lower-case ASCII words, which need no normalising
+        self.ascii = Tokenizer(self.tokenizer.model)
+        self.ascii.pre_tokenizer = WhitespaceSplit()
+        # tokens that end a piece; without one for each byte, words are encoded one by one
+        vocab, suffix = self.tokenizer.get_vocab(), self.tokenizer.model.end_of_word_suffix
+        self.last = np.zeros(1 + max(vocab.values()), dtype=bool)
+        if suffix and all(x + suffix in vocab for x in byte_letters()):
+            self.last[[i for x, i in vocab.items() if x.endswith(suffix)]] = True
 
     def texts(self, texts) -> Iterator[bytes]:
         group, letters = [], 0
@@ -66,13 +74,58 @@ class TextIds(Recent):
         yield from self.encoded(group)
 
     def encoded(self, group: list[list[str]]) -> Iterator[bytes]:
-        older = self.older
-        new = [c for c in set().union(*group).difference(self) if c not in older]
-        self.new = {c: id_bytes(e.ids) for c, e in zip(
-            new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
+        """All parts of the group are brought into the newer half first, so
+        texts are joined by plain look-ups; parts over 64 letters leave again."""
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        missing = set().union(*group).difference(self)
+        again = missing.intersection(self.older)
+        self.update({c: self.older[c] for c in again})
+        self.update(self.several(list(missing.difference(again))))
         for parts in group:
-            yield b"".join([self[c] for c in parts])
-        self.new = {}
+            yield b"".join(map(self.__getitem__, parts))
+        for c in missing:
+            if len(c) > 64:
+                del self[c]
+
+    def ids_joined(self, text: str, ascii: bool) -> list[int]:
+        """Ids of words (with or without a stop) between single spaces."""
+        tokenizer = self.tokenizer
+        if ascii:
+            tokenizer, text = self.ascii, text.lower()
+            for stop in STOPS:
+                text = text.replace(stop, " " + stop)
+        return tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def several(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of new parts.  Words, with or without a stop, are encoded as one
+        text and cut after the tokens that end a piece: none has fewer pieces
+        than counted here, so an equal total means that every one is cut
+        right; where it differs, and for other parts, each is encoded alone."""
+        def plain(c: str) -> bool:
+            return c.isalpha() or (c[-1] in STOPS and c[:-1].isalpha())
+
+        joined = [c for c in new if plain(c)] if self.last.any() else []
+        alone = [c for c in new if not plain(c)] if joined else new
+        out = {}
+        for ascii in (True, False):
+            words = [c for c in joined if c.isascii() == ascii]
+            for at in range(0, len(words), JOINED):
+                part = words[at:at + JOINED]
+                ids = np.array(self.ids_joined(" ".join(part), ascii), dtype="<u4")
+                ends = np.flatnonzero(self.last[ids]) + 1
+                count = np.cumsum([2 if c[-1] in STOPS else 1 for c in part])
+                if len(ends) != count[-1]:
+                    alone = alone + part
+                    continue
+                raw, begin = ids.tobytes(), 0
+                for c, end in zip(part, (4 * ends[count - 1]).tolist(), strict=True):
+                    out[c] = raw[begin:end]
+                    begin = end
+        for c, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
+            out[c] = id_bytes(e.ids)
+        return out
 
 
 _IDS: dict[str, TextIds] = {}

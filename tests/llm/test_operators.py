@@ -270,3 +270,18 @@ def test_prefixes_of_linked_sets_share_enough():
             common = len(np.intersect1d(x[:ngram_join.prefix_length(len(x), percent)],
                                         y[:ngram_join.prefix_length(len(y), percent)]))
             assert common >= max(ngram_join.needed(len(x), percent), ngram_join.needed(len(y), percent))
+
+
+def test_joined_words_have_the_ids_of_whole_texts():
+    """Words encoded together equal the library on the whole text, for odd
+    letters, stops, marks and specials too."""
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(bpe.vocabulary_path())
+    tokens = packing.TextIds(bpe.vocabulary_path())
+    assert tokens.last.any()
+    texts = ["plain words, with stops. and! more? a; b: c", "İstanbul İ, ΣΑΣ σς Straße, ǅ ª º ﬁ", "étude ́a ́ é, 한국어 中文。",
+             "don't can't, it's 12,5 x2 <|endoftext|> </w> a</w>b", "", None, " \t\n", "word" * 3000 + ", tail.", "\x1cdark\x1dmatter,  line"]
+    texts += [" ".join(f"{chr(97 + k % 26)}{chr(945 + k % 24)}w{'.' * (k % 2)}" for k in range(n)) for n in (1, 700, 6000)]
+    for group in (texts, texts[::-1]):
+        got = [np.frombuffer(x, "<u4").tolist() for x in tokens.texts(group)]
+        assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in group]
