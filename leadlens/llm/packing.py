@@ -22,6 +22,7 @@ columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -38,7 +39,8 @@ END = 2
 OPEN = 512
 GROUP_LETTERS = 2_000_000    # texts whose new words are encoded in one call
 JOINED = 5000                # new words encoded as one text
-STOPS = ".,;:!?"             # a word and one of these are two pieces
+STOPS = ".,;:!?$%&*#+-/=()"   # a word and a run of these are two pieces
+TAIL = re.compile(r"[^a-z ]+")
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
@@ -90,27 +92,23 @@ class TextIds(Recent):
                 del self[c]
 
     def ids_joined(self, text: str, ascii: bool) -> list[int]:
-        """Ids of words (with or without a stop) between single spaces."""
+        """Ids of words (with or without stops) between single spaces."""
         tokenizer = self.tokenizer
         if ascii:
             tokenizer, text = self.ascii, text.lower()
-            for stop in STOPS:
-                text = text.replace(stop, " " + stop)
+            text = TAIL.sub(r" \g<0>", text)
         return tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def several(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of new parts.  Words, with or without a stop, are encoded as one
+        """Ids of new parts.  Words, with or without stops, are encoded as one
         text and cut after the tokens that end a piece: none has fewer pieces
         than counted here, so an equal total means that every one is cut
         right; where it differs, and for other parts, each is encoded alone."""
-        def plain(c: str) -> bool:
-            return c.isalpha() or (c[-1] in STOPS and c[:-1].isalpha())
-
-        joined = [c for c in new if plain(c)] if self.last.any() else []
-        alone = [c for c in new if not plain(c)] if joined else new
+        plain = {c for c in new if c.rstrip(STOPS).isalpha()} if self.last.any() else set()
+        alone = [c for c in new if c not in plain]
         out = {}
         for ascii in (True, False):
-            words = [c for c in joined if c.isascii() == ascii]
+            words = [c for c in plain if c.isascii() == ascii]
             for at in range(0, len(words), JOINED):
                 part = words[at:at + JOINED]
                 ids = np.array(self.ids_joined(" ".join(part), ascii), dtype="<u4")

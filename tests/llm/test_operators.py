@@ -280,7 +280,8 @@ def test_joined_words_have_the_ids_of_whole_texts():
     tokens = packing.TextIds(bpe.vocabulary_path())
     assert tokens.last.any()
     texts = ["plain words, with stops. and! more? a; b: c", "İstanbul İ, ΣΑΣ σς Straße, ǅ ª º ﬁ", "étude ́a ́ é, 한국어 中文。",
-             "don't can't, it's 12,5 x2 <|endoftext|> </w> a</w>b", "", None, " \t\n", "word" * 3000 + ", tail.", "\x1cdark\x1dmatter,  line"]
+             "don't can't, it's 12,5 x2 <|endoftext|> </w> a</w>b", "", None, " \t\n", "word" * 3000 + ", tail.", "\x1cdark\x1dmatter,\u2009line",
+             "junk$$$ word&&&, Été... x-- (a) a-b end.)", "a.b, c..d !? $$$ é$ 9. x9, -y"]
     texts += [" ".join(f"{chr(97 + k % 26)}{chr(945 + k % 24)}w{'.' * (k % 2)}" for k in range(n)) for n in (1, 700, 6000)]
     for group in (texts, texts[::-1]):
         got = [np.frombuffer(x, "<u4").tolist() for x in tokens.texts(group)]
