@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, let, materialise, words
+from .common import SPACES, documents, let, materialise
 
 MIN_WORDS = 8
 LAST = 9223372036854775807
@@ -38,10 +38,23 @@ def _place(line_no: Column) -> Column:
     return F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("d"), F.col("text_key").alias("t"), line_no.alias("l"))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    return docs.where(F.col("text").isNotNull()).select(
-        "doc_id", F.xxhash64("text").alias("text_key"),
-        F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+def _line_words(line: Column) -> Column:
+    """Words of a line; a line without tabs and the like is split at spaces,
+    which needs no pattern."""
+    parts = F.when(line.rlike(r"[\x09-\x0D]"), F.split(line, SPACES)).otherwise(F.split(line, " "))
+    return F.array_remove(parts, "")
+
+
+def _lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """Lines of at least ``min_words`` words, with the words.  The document's
+    key and the words are evaluated below the generator: once per document
+    and once per line."""
+    parts = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("line"), _line_words(x).alias("w")))
+    return (docs.where(F.col("text").isNotNull())
+            .select("doc_id", F.xxhash64("text").alias("text_key"), parts.alias("parts"))
+            .select("doc_id", "text_key", F.posexplode("parts").alias("line_no", "part"))
+            .where(F.size("part.w") >= min_words)
+            .select("doc_id", "text_key", "line_no", "part.line", "part.w"))
 
 
 def _keys(line: Column) -> Column:
@@ -99,11 +112,10 @@ def _within_one(a: Column, b: Column) -> Column:
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_key, line_no) of every line to remove."""
-    lines = (_lines(docs).withColumn("_w", words(F.col("line")))
-             .withColumn("n", F.size("_w")).where(F.col("n") >= min_words))
+    lines = _lines(docs, min_words)
     places = materialise(lines.select(
-        "doc_id", "text_key", "line_no", _keys(F.col("line")).alias("k"), "n",
-        _halves(F.col("_w"), F.col("n")).alias("halves")), "lines")
+        "doc_id", "text_key", "line_no", _keys(F.col("line")).alias("k"), F.size("w").alias("n"),
+        _halves(F.col("w"), F.size("w")).alias("halves")), "lines")
     classes = materialise(
         places.groupBy("k").agg(F.min(_place(F.col("line_no"))).alias("first"),
                                 F.first("n").alias("n"), F.first("halves").alias("halves")), "line-classes")
@@ -119,11 +131,11 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                                .select("k", "first", "shared"), "line-open")
 
     # the words of those classes, from the line at the first place
-    text = (_lines(docs).withColumn("k", _keys(F.col("line"))).withColumn("place", _place(F.col("line_no")))
+    text = (lines.drop("w").withColumn("k", _keys(F.col("line"))).withColumn("place", _place(F.col("line_no")))
             .join(open_classes.withColumnRenamed("k", "_k"),
                   (F.col("k") == F.col("_k")) & (F.col("place") == F.col("first")))
             .select("k", "first", "shared", "line").dropDuplicates(["k"]))
-    near = materialise(text.select("k", "first", "shared", words(F.col("line")).alias("w")), "line-words")
+    near = materialise(text.select("k", "first", "shared", _line_words(F.col("line")).alias("w")), "line-words")
 
     keys = materialise(near.select("k", "first", F.explode(_variants(F.col("w"), F.size("w"), F.col("shared"))).alias("v"))
                        .select("k", "first", "v.key", "v.kind"), "line-variants")
