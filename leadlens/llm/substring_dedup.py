@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, documents, materialise
-from .shingles import mix, text_word_hashes, windows
+from .shingles import HASHES, mix, text_word_hashes, windows
 
 LINE_WORDS = 40
 SHINGLE = 5
@@ -52,6 +52,7 @@ PERCENT = 80
 BANDS, ROWS = 6, 3
 REACH = 3                    # neighbours on each side that a cut is below
 MIN_RUN = 30
+BLOCK_WORDS = 200_000        # lines hashed in one call
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)   # odd multipliers
@@ -91,27 +92,37 @@ def pieces(w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start, end - start, mix(value + (end - start).astype(np.uint64))
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """Keys of the MinHash bands of a set of shingles."""
-    low = np.full(len(SEEDS), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(shingles), 4096):      # bounded blocks of a long line
-        part = shingles[None, at:at + 4096] * SEEDS[:, None]
-        np.minimum(low, (part ^ (part >> np.uint64(29))).min(axis=1), out=low)
-    low = low.reshape(BANDS, ROWS)
-    key = np.arange(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
-        key = mix(key + low[:, k])
-    return key
-
-
-def text_lines(text: str) -> Iterator[tuple[int, np.ndarray]]:
-    """(start word, word hashes) of the lines of at least LINE_WORDS words."""
+def line_parts(text: str) -> Iterator[tuple[int, list[bytes]]]:
+    """(start word, lower-cased words) of the lines of at least LINE_WORDS words."""
     at = 0
-    for line in text.split("\n"):
-        w = text_word_hashes(line)
-        if len(w) >= LINE_WORDS:
-            yield at, w
-        at += len(w)
+    for line in text.encode("utf-8", "replace").lower().split(b"\n"):
+        parts = line.split()
+        if len(parts) >= LINE_WORDS:
+            yield at, parts
+        at += len(parts)
+
+
+def line_keys(parts: list[bytes], n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and band keys of each line of a block; ``parts`` are the words of
+    all its lines, ``n`` the number of words of each."""
+    w = np.array([HASHES[x] for x in parts], dtype=np.uint64)
+    first = np.cumsum(n) - n
+    place = np.arange(len(w)) - np.repeat(first, n)
+    up, _ = _powers(int(n.max()))
+    hashes = mix(np.add.reduceat(w * up[place], first) + n.astype(np.uint64))
+    # shingles of the whole block, less those that lie across two lines
+    shingles = windows(w, SHINGLE)
+    shingles = shingles[(place <= np.repeat(n, n) - SHINGLE)[:len(shingles)]]
+    count = n - SHINGLE + 1
+    begin = np.cumsum(count) - count
+    keys = []
+    for band in range(BANDS):
+        key = np.full(len(n), band, dtype=np.uint64)
+        for seed in SEEDS[band * ROWS:(band + 1) * ROWS]:
+            x = shingles * seed
+            key = mix(key + np.minimum.reduceat(x ^ (x >> np.uint64(29)), begin))
+        keys.append(key)
+    return hashes, np.stack(keys, axis=1)
 
 
 def line_hash(w: np.ndarray) -> int:
@@ -136,11 +147,24 @@ def _pieces(docs: DataFrame) -> DataFrame:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
+    def rows(block: list[tuple], parts: list[bytes]) -> pd.DataFrame:
+        doc, start, n = (np.array(x, dtype=np.int64) for x in zip(*block, strict=True))
+        h, bands = line_keys(parts, n)
+        return pd.DataFrame({"h": h.view(np.int64), "doc_id": doc, "start": start.astype(np.int32),
+                             "length": n.astype(np.int32), "bands": list(bands.view(np.int64))})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, parts = [], []
         for pdf in batches:
-            out = [(line_hash(w), doc, at, len(w), band_keys(windows(w, SHINGLE)).view(np.int64))
-                   for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True) for at, w in text_lines(text)]
-            yield pd.DataFrame(out, columns=["h", "doc_id", "start", "length", "bands"])
+            for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
+                for at, p in line_parts(text):
+                    block.append((doc, at, len(p)))
+                    parts += p
+                    if len(parts) >= BLOCK_WORDS:
+                        yield rows(block, parts)
+                        block, parts = [], []
+        if block:
+            yield rows(block, parts)
 
     return docs.mapInPandas(run, "h long, doc_id long, start int, length int, bands array<long>")
 
@@ -152,7 +176,8 @@ def _line_sets(docs: DataFrame) -> DataFrame:
             out = []
             for text, wanted in zip(pdf["text"], pdf["wanted"], strict=True):
                 wanted = set(wanted.tolist())
-                for _, w in text_lines(text):
+                for _, parts in line_parts(text):
+                    w = np.array([HASHES[x] for x in parts], dtype=np.uint64)
                     h = line_hash(w)
                     if h in wanted:
                         wanted.remove(h)

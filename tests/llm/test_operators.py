@@ -286,3 +286,19 @@ def test_joined_words_have_the_ids_of_whole_texts():
     for group in (texts, texts[::-1]):
         got = [np.frombuffer(x, "<u4").tolist() for x in tokens.texts(group)]
         assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in group]
+
+
+def test_line_keys_of_a_block_are_those_of_each_line():
+    S = substring_dedup
+    rng = np.random.default_rng(5)
+    lines = [[b"w%d" % k for k in rng.integers(0, 30, n)] for n in (40, 41, 300, 40, 77)]
+    hashes, bands = S.line_keys(sum(lines, []), np.array([len(x) for x in lines]))
+    for parts, h, keys in zip(lines, hashes.view(np.int64), bands, strict=True):
+        w = S.text_word_hashes(b" ".join(parts).decode())
+        assert S.line_hash(w) == h
+        x = S.windows(w, S.SHINGLE)[None, :] * S.SEEDS[:, None]
+        low = (x ^ (x >> np.uint64(29))).min(axis=1).reshape(S.BANDS, S.ROWS)
+        key = np.arange(S.BANDS, dtype=np.uint64)
+        for k in range(S.ROWS):
+            key = S.mix(key + low[:, k])
+        assert (key == keys).all()
