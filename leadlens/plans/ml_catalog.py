@@ -14,7 +14,7 @@ from ..operators import cluster as CL
 from ..operators import explain as EX
 from ..operators import insights as IN
 from ..operators import models as MO
-from ..operators.stats import target_correlations
+from ..operators.stats import target_correlations_all
 from ..sources.fact import base_columns, fact, fact_path, items
 from .oracle_features import items_ctes
 from .oracle_fact import with_fact
@@ -129,7 +129,7 @@ def ml_queries() -> dict:
     q["cluster_bottleneck"] = lambda spark, sf: _profile(spark, sf).select("cluster", "primary_bottleneck")
     q["pca_2d"] = lambda spark, sf: CL.pca_2d(_cluster_vec(spark, sf), _assigned(spark, sf))[0]
     q["insight_rules"] = lambda spark, sf: IN.insight_rules(
-        target_correlations(base_columns(fact(spark, sf)), k=100),
+        target_correlations_all(base_columns(fact(spark, sf))),
         MO.importances(_tree(spark, sf), _design(spark, sf)[1], spark), _profile(spark, sf))
     return q
 

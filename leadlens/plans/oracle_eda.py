@@ -90,8 +90,11 @@ def eda_sql() -> dict[str, str]:
         f"GROUP BY {c} ORDER BY count DESC, value LIMIT 5)" for c in STRING))
     q["drop_sparse_columns"] = with_fact("SELECT * EXCLUDE (production_volumes) FROM gaps", GAPS_CTE)
     q["impute_median_mode"] = with_fact("SELECT * FROM imputed", GAPS_CTE, _imputed_cte())
-    q["dedupe"] = with_fact("SELECT DISTINCT product_type, customer_demographics, shipping_carriers, location, "
-                            "transportation_modes, routes FROM fact")
+    base = ", ".join(BASE)
+    q["dedupe"] = with_fact(f"SELECT DISTINCT {base} FROM (SELECT {base} FROM fact UNION ALL "
+                            f"SELECT {base} FROM fact WHERE lead_time > 20)")
+    q["distinct_categories"] = with_fact("SELECT DISTINCT product_type, customer_demographics, shipping_carriers, location, "
+                                         "transportation_modes, routes FROM fact")
     q["standardise_text"] = with_fact(
         f"SELECT sku, {title_sql(strip_sql('inspection_results'))} AS inspection_results, "
         f"{title_sql(strip_sql('transportation_modes'))} AS transportation_modes FROM gaps", GAPS_CTE)
