@@ -5,8 +5,9 @@ the smallest doc_id.  Two kinds of paragraph are compared, on lower-cased
 words:
 
 * lines of at least ``LINE_WORDS`` words, as sets of 5-word shingles: MinHash
-  bands, a join of the lines that collide in a band, exact Jaccard >= 0.8 of
-  the colliding pairs, connected components of the verified pairs;
+  bands, all lines of a band compared with one another, exact Jaccard >= 0.8
+  within the groups that this leaves, connected components of the verified
+  pairs;
 * pieces of running text between content-defined cuts, which find passages
   that start or end inside a line.  A word is a cut where its hash is the
   smallest among its neighbours, so equal passages are cut alike wherever
@@ -22,9 +23,10 @@ recur by chance stay.
 Bands: 6 of 3 values.  A pair with Jaccard 0.8 meets with probability 0.986,
 0.9 with 0.9996.
 
-Hot paragraphs: classes are minima and maxima per key, partially aggregated
-in each task, and joined back by equi-joins that Spark can split; a key with
-any number of lines gives one pair per line (line, smallest of the key).
+Hot paragraphs: equal lines are one class, a minimum and maximum per key,
+partially aggregated in each task.  The different lines of a band, and of a
+group, are split into blocks of bounded size; every pair of blocks is a unit
+of work that hands on a spanning forest, not pairs.
 
 Defined cases: null and empty texts have no paragraphs; rows with a null
 doc_id are left alone and seen by no other; rows that repeat a doc_id with
@@ -44,7 +46,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, documents, materialise
-from .shingles import HASHES, mix, text_word_hashes, windows
+from .ngram_join import BITS, BLOCK_ROWS, GROUP_ROWS, GROUP_TOKENS, _candidates, _posting_lists, _verify
+from .shingles import HASHES, by_unit, mix, text_word_hashes, units, windows
 
 LINE_WORDS = 40
 SHINGLE = 5
@@ -170,7 +173,8 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _line_sets(docs: DataFrame) -> DataFrame:
-    """(h, shingles) of the lines whose hashes are listed in column ``wanted``."""
+    """(rep, n, tokens, bits) of the lines whose hashes are listed in column
+    ``wanted``: the distinct shingles and their parity bitmap."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
@@ -181,28 +185,32 @@ def _line_sets(docs: DataFrame) -> DataFrame:
                     h = line_hash(w)
                     if h in wanted:
                         wanted.remove(h)
-                        out.append((h, np.unique(windows(w, SHINGLE)).view(np.int64)))
-            yield pd.DataFrame(out, columns=["h", "tokens"])
+                        x = np.unique(windows(w, SHINGLE))
+                        parity = np.bincount((mix(x + np.uint64(99)) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+                        out.append((h, len(x), x.view(np.int64), np.packbits(parity.astype(np.uint8)).tobytes()))
+            yield pd.DataFrame(out, columns=["rep", "n", "tokens", "bits"])
 
-    return docs.mapInPandas(run, "h long, tokens array<long>")
+    return docs.mapInPandas(run, "rep long, n long, tokens array<long>, bits binary")
 
 
 def near_line_pairs(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Verified pairs (u, v) of line classes with Jaccard >= PERCENT."""
-    bands = classes.select("h", F.explode("bands").alias("band"))
-    first = bands.groupBy("band").agg(F.min("h").alias("v"), F.max("h").alias("top")).where("v <> top").select("band", "v")
-    pairs = materialise(bands.join(first, "band").where("h <> v").select(F.col("h").alias("u"), "v").distinct(),
-                        "passage-pairs")
-    need = pairs.select(F.explode(F.array("u", "v")).alias("h")).distinct()
+    """Spanning forest (u, v) of the links, Jaccard >= PERCENT, between line
+    classes.  All classes of a band are compared, in blocks; those whose sizes
+    and bitmaps allow a link form groups, and every pair of a group is verified."""
+    lists = materialise(_posting_lists(classes.select(F.col("h").alias("rep"), F.explode("bands").alias("tok"))),
+                        "passage-lists")
+    need = lists.select(F.col("rep").alias("h")).distinct()
     where = (classes.select("h", "doc").join(need, "h").groupBy(F.col("doc").alias("doc_id"))
              .agg(F.collect_list("h").alias("wanted")))      # lines of one document
     text = docs.join(where, "doc_id").select("text", "wanted")
-    sets = materialise(_line_sets(text).dropDuplicates(["h"]), "passage-sets")
-    a = sets.select(F.col("h").alias("u"), F.col("tokens").alias("a"))
-    b = sets.select(F.col("h").alias("v"), F.col("tokens").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    return (pairs.join(a, "u").join(b, "v")
-            .where(100 * both >= PERCENT * (F.size("a") + F.size("b") - both)).select("u", "v"))
+    sets = materialise(_line_sets(text).dropDuplicates(["rep"]), "passage-sets")
+    light = materialise(lists.join(sets.select("rep", "n", "bits"), "rep"), "passage-light")
+    pairs = by_unit(units(light, "tok", BLOCK_ROWS), "tok", _candidates(PERCENT), "u long, v long")
+    groups = components(materialise(pairs.distinct(), "passage-pairs"), "passage-groups")
+    full = materialise(sets.drop("bits").join(groups.withColumnRenamed("node", "rep"), "rep"), "passage-grouped")
+    links = by_unit(units(full, "component", GROUP_ROWS, "n", GROUP_TOKENS), "component",
+                    _verify(PERCENT), "u long, v long")
+    return links.distinct()
 
 
 def duplicate_spans(table: DataFrame) -> DataFrame:

@@ -302,3 +302,36 @@ def test_line_keys_of_a_block_are_those_of_each_line():
         for k in range(S.ROWS):
             key = S.mix(key + low[:, k])
         assert (key == keys).all()
+
+
+def test_near_lines_of_a_template_by_brute_force(spark):
+    """Lines of one template, most pairs below the threshold: links between
+    lines that are both far from the smallest of their band count too."""
+    S = substring_dedup
+    rng = np.random.default_rng(11)
+    base, rows = [f"t{k}" for k in range(60)], []
+    for _ in range(700):
+        line = list(base)
+        for k in rng.integers(0, 60, 3):
+            line[k] = f"e{rng.integers(0, 10**6)}"
+        rows.append(" ".join(line))
+        line[int(rng.integers(0, 60))] = f"e{rng.integers(0, 10**6)}"
+        rows.append(" ".join(line))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    classes = S._lines(docs).groupBy("h").agg(F.min("doc_id").alias("doc"), F.max("doc_id").alias("last"),
+                                              F.first("bands").alias("bands")).localCheckpoint()
+    info = classes.collect()
+    at = {r.h: k for k, r in enumerate(info)}
+    near = ngram_join.linked([np.unique(S.windows(S.text_word_hashes(rows[r.doc]), S.SHINGLE)) for r in info], S.PERCENT)
+    bands = {b: k for k, b in enumerate({b for r in info for b in r.bands})}
+    meet = np.zeros((len(info), len(bands)), dtype=np.float32)
+    for k, r in enumerate(info):
+        meet[k, [bands[b] for b in r.bands]] = 1
+    want = ngram_join.labels_of(near & (meet @ meet.T > 0))     # near lines that share a band
+    got = np.eye(len(info), dtype=bool)
+    for r in S.near_line_pairs(docs, classes).collect():
+        got[at[r.u], at[r.v]] = got[at[r.v], at[r.u]] = True
+    got = ngram_join.labels_of(got)
+    assert len(set(want.tolist())) < 0.7 * len(info) and (got == got[want]).all()
+    most = ngram_join.labels_of(near)
+    assert (most == most[got]).all()
