@@ -4,10 +4,12 @@ A passage that other documents hold too is removed from all but the one with
 the smallest doc_id.  Two kinds of paragraph are compared, on lower-cased
 words:
 
-* lines of at least ``LINE_WORDS`` words, as sets of 5-word shingles: MinHash
-  bands, all lines of a band compared with one another, exact Jaccard >= 0.8
-  within the groups that this leaves, connected components of the verified
-  pairs;
+* lines of at least ``SHINGLE`` words, and hard-wrapped paragraphs (lines of
+  fewer than ``LINE_WORDS`` words that follow one another without a blank
+  line) as wholes, wherever their lines break, as sets of 5-word shingles:
+  MinHash bands, all lines of a band compared with one another, exact Jaccard
+  >= 0.8 within the groups that this leaves, connected components of the
+  verified pairs;
 * pieces of running text between content-defined cuts, which find passages
   that start or end inside a line.  A word is a cut where its hash is the
   smallest among its neighbours, so equal passages are cut alike wherever
@@ -17,8 +19,10 @@ words:
   has no cut inside, so such a stretch is one piece with what surrounds it.
 
 Duplicate paragraphs that touch in a document are joined into runs, and runs
-of at least ``MIN_RUN`` words are removed; single pieces and short lines that
-recur by chance stay.
+of at least ``MIN_RUN`` words are removed, whatever lines they stand in;
+single pieces and short lines that recur by chance stay.  A near copy that
+starts or ends inside a line, or in wrapped lines that run on without a blank
+line, is found only in its equal stretches.
 
 Bands: 6 of 3 values.  A pair with Jaccard 0.8 meets with probability 0.986,
 0.9 with 0.9996.
@@ -49,7 +53,7 @@ from .common import components, documents, materialise
 from .ngram_join import BITS, BLOCK_ROWS, GROUP_ROWS, GROUP_TOKENS, _candidates, _posting_lists, _verify
 from .shingles import HASHES, by_unit, mix, text_word_hashes, units, windows
 
-LINE_WORDS = 40
+LINE_WORDS = 50              # shorter lines are parts of paragraphs too; one changed word leaves 0.8 of 50
 SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 6, 3
@@ -96,12 +100,21 @@ def pieces(w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def line_parts(text: str) -> Iterator[tuple[int, list[bytes]]]:
-    """(start word, lower-cased words) of the lines of at least LINE_WORDS words."""
-    at = 0
-    for line in text.encode("utf-8", "replace").lower().split(b"\n"):
+    """(start word, lower-cased words) of the lines of at least SHINGLE words,
+    and of the paragraphs: neighbouring lines of fewer than LINE_WORDS words
+    without a blank line between them."""
+    at, paragraph, lines = 0, [], 0
+    for line in [*text.encode("utf-8", "replace").lower().split(b"\n"), b""]:
         parts = line.split()
-        if len(parts) >= LINE_WORDS:
+        if len(parts) >= SHINGLE:
             yield at, parts
+        if 0 < len(parts) < LINE_WORDS:
+            paragraph += parts
+            lines += 1
+        else:
+            if lines > 1 and len(paragraph) >= SHINGLE:
+                yield at - len(paragraph), paragraph
+            paragraph, lines = [], 0
         at += len(parts)
 
 

@@ -335,3 +335,21 @@ def test_near_lines_of_a_template_by_brute_force(spark):
     assert len(set(want.tolist())) < 0.7 * len(info) and (got == got[want]).all()
     most = ngram_join.labels_of(near)
     assert (most == most[got]).all()
+
+
+def test_wrapped_paragraph_with_one_word_changed(spark):
+    """A near copy of a wrapped paragraph goes, also with other line breaks."""
+    def wrapped(words_, n):
+        return "\n".join(" ".join(words_[k:k + n]) for k in range(0, len(words_), n))
+
+    one = [f"p{k}" for k in range(60)]
+    two = one[:30] + ["other"] + one[31:]
+    lines = [[f"s{j}w{k}" for k in range(18)] for j in range(2)]
+    near = [lines[0][:-1] + ["last"], lines[1][:-1] + ["end"]]
+    d = spark.createDataFrame([(1, words("a", 70) + "\n\n" + wrapped(one, 15) + "\n\n" + words("b", 70)),
+                               (2, words("c", 70) + "\n\n" + wrapped(two, 12) + "\n\n" + words("d", 70)),
+                               (3, "\n\n".join(" ".join(x) for x in lines)), (4, "\n\n".join(" ".join(x) for x in near)),
+                               (5, "one short line of eight words in all"), (6, "one short line of eight words in all")],
+                              "doc_id long, text string")
+    got = {(r.doc_id, r.start, r.length, r.kept_doc_id) for r in substring_dedup.duplicate_spans(d).collect()}
+    assert got == {(2, 70, 60, 1), (4, 0, 36, 3)}
