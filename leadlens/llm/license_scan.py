@@ -2,9 +2,12 @@
 
 Base labels come from exact phrases in the document's word sequence.  The
 method's labels come from an exact set-similarity join between the text
-blocks (lines) of all documents and license notice templates: a block
-matches a template when it contains at least ``THRESHOLD`` of the
-template's distinct words.  Template words are ordered by their document
+blocks of all documents and license notice templates: a block matches a
+template when it contains at least ``THRESHOLD`` of the template's distinct
+words.  Blocks are the lines and, for notices wrapped over several lines,
+word windows over line breaks: of twice the longest template's words, one
+every such length, so every stretch of that length lies in one.  A template
+that a line of the document matches takes its containment from lines.  Template words are ordered by their document
 frequency over the whole corpus, rarest first.  A block that meets the
 threshold must hold one of a template's first |T| - need + 1 words (prefix
 filter), have ``need`` distinct words (length filter), and have enough
@@ -82,9 +85,13 @@ def _starts(w: Column, phrase: str) -> Column:
     return F.filter(F.sequence(F.lit(0), F.greatest(F.size(w) - len(parts), F.lit(0))), here)
 
 
+def _all_words(text: str) -> list[str]:
+    return "".join(c if c.isalnum() else " " for c in text.lower()).split()
+
+
 def _template_words(text: str) -> list[str]:
     out: list[str] = []
-    for x in "".join(c if c.isalnum() else " " for c in text.lower()).split():
+    for x in _all_words(text):
         if x not in out:
             out.append(x)
     return out
@@ -128,7 +135,8 @@ def _postings(docs: DataFrame, templates, threshold: float):
 
 
 def block_matches(docs: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataFrame:
-    """Every (doc_id, text_key, line_no, label, containment) that meets the threshold."""
+    """Every (doc_id, text_key, line_no, label, containment) that meets the
+    threshold; line_no is -1 less the first word for a window over lines."""
     order, sets = _postings(docs, templates or TEMPLATES, threshold)
     spark = docs.sparkSession
     ranked = F.array(*[F.lit(x) for x in order])
@@ -137,10 +145,17 @@ def block_matches(docs: DataFrame, templates=None, threshold: float = THRESHOLD)
         [(x, t, label, i, len(ws), need, ws) for t, label, ws, need in sets
          for i, x in enumerate(ws[:len(ws) - need + 1])],
         "x string, t int, label string, i int, size int, need int, ws array<string>")
-    lines = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"),
-                        F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+    key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
+    lines = docs.select("doc_id", key, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line")) \
+        .select("doc_id", "text_key", "line_no", license_words(F.col("line")).alias("w"))
+    span = max(len(_all_words(t)) for _, t in templates or TEMPLATES)
+    wrapped = (docs.where(F.col("text").contains("\n")).select("doc_id", key, license_words(F.col("text")).alias("w"))
+               .select("doc_id", "text_key", F.explode(F.transform(
+                   F.sequence(F.lit(0), F.greatest(F.size("w") - span - 1, F.lit(0)), F.lit(span)),
+                   lambda i: F.struct((-1 - i).alias("line_no"), F.slice("w", i + 1, 2 * span).alias("w")))).alias("x"))
+               .select("doc_id", "text_key", "x.line_no", "x.w"))
     least = min(need for *_, need in sets)
-    blocks = (lines.withColumn("b", F.array_distinct(_lower(license_words(F.col("line")))))
+    blocks = (lines.unionByName(wrapped).withColumn("b", F.array_distinct(_lower(F.col("w"))))
               .where((F.size("b") >= least) & F.arrays_overlap("b", F.array(*[F.lit(x) for x in prefix])))
               .select("doc_id", "text_key", "line_no", F.size("b").alias("n"),
                       F.array_intersect(ranked, F.col("b")).alias("seen")))  # template words, rarest first
@@ -160,7 +175,11 @@ def scan(docs: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataF
     a score: 1 for a phrase, else the best containment, else 0."""
     base = phrase_hits(docs)
     found = materialise(
-        block_matches(docs, templates, threshold).groupBy("doc_id", "text_key")
+        block_matches(docs, templates, threshold).groupBy("doc_id", "text_key", "label")
+        .agg(F.max(F.when(F.col("line_no") >= 0, F.col("containment"))).alias("line"),
+             F.max("containment").alias("any"))
+        .select("doc_id", "text_key", "label", F.coalesce("line", "any").alias("containment"))
+        .groupBy("doc_id", "text_key")
         .agg(F.collect_set("label").alias("found"), F.max("containment").alias("best")), "license")
     found = found.withColumnsRenamed({"doc_id": "_d", "text_key": "_k"})
     both = base.join(found, (F.col("text_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left")

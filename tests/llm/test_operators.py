@@ -353,3 +353,16 @@ def test_wrapped_paragraph_with_one_word_changed(spark):
                               "doc_id long, text string")
     got = {(r.doc_id, r.start, r.length, r.kept_doc_id) for r in substring_dedup.duplicate_spans(d).collect()}
     assert got == {(2, 70, 60, 1), (4, 0, 36, 3)}
+
+
+def test_license_notices_wrapped_over_lines(spark):
+    rows = []
+    for k, (_, text) in enumerate(license_scan.TEMPLATES):
+        w = text.split()
+        notice = "\n".join(" * " + " ".join(w[i:i + 5]) for i in range(0, len(w), 5))
+        rows += [(k * 100 + n, f"{words('a', n)}\n{notice}\n{words('b', 90)}") for n in (0, 7, 31, 64)]
+    rows.append((9999, "\n".join(words(f"n{k}", 9) for k in range(30))))
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows) and got[9999].labels == "" and got[9999].score == 0
+    for i, _ in rows[:-1]:
+        assert license_scan.TEMPLATES[i // 100][0] in got[i].labels.split(",") and got[i].score == 1, i
