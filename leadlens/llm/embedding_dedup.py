@@ -10,8 +10,12 @@ through the links of hits until no new vector within the threshold is met,
 so a group of any size is collected whole.  Cosines are computed in double
 precision before a link counts.
 
-The beam is widened until an audit passes: the links of a fixed share of the
-queries are compared with brute force, in blocks, over all vectors.
+The beam of a shard is widened until its audit passes: the links of a fixed
+share of the queries are compared with brute force, in blocks, over all
+vectors.  Recall is taken by class of the true number of links in the shard
+(powers of two), as the mean over queries and over links, and each must reach
+the bound, so a large group does not decide for ordinary vectors.  A shard
+that fails with the widest beam is searched exactly, in blocks.
 
 Tasks hand on one row per query and shard with the number of links, and a
 spanning forest of the links (at most as many rows as vectors), not pairs.
@@ -28,6 +32,8 @@ not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -44,6 +50,7 @@ BLOCK_ROWS = 25_000
 LINKS = 12                   # per vector in a layer, twice as many in the lowest
 BEAM, MAX_BEAM = 24, 1536
 RECALL = 0.99
+EXACT_ROWS = 64              # queries compared exactly in one call
 AUDIT_EVERY = 100            # one query in so many is audited
 
 
@@ -230,52 +237,71 @@ def _load(pdf: pd.DataFrame) -> tuple[Graph, np.ndarray]:
     return Graph(unit_rows(np.stack(pdf["v"])), level, layers), pdf["vec_id"].to_numpy()
 
 
-def _search(index: DataFrame, vectors: DataFrame, shards: int, blocks: int, beam: int, threshold: float) -> DataFrame:
-    """Query every shard with every vector.  Rows: kind 0 (u = vec_id, n =
-    links in the shard) and kind 1 (u, v: forest of the links)."""
+def _search(index: DataFrame, vectors: DataFrame, shards: list[int], blocks: int, beam: int | None,
+            threshold: float) -> DataFrame:
+    """Query the given shards with every vector, by beam search or, without a
+    beam, exactly.  Rows: kind 0 (u = vec_id, n = links in the shard) and
+    kind 1 (u, v: forest of the links)."""
     block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")
     q = vectors.select("vec_id", "v", block.alias("block")).withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    ix = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        "shard", F.explode(F.array(*[F.lit(k) for k in shards])))
+    ix = index.where(F.col("shard").isin(shards)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            graph, ids = _load(right)
-            for at in range(0, len(left), 512):
-                part = left.iloc[at:at + 512]
-                own = part["vec_id"].to_numpy()
-                a, b = graph.within(unit_rows(np.stack(part["v"])), beam, threshold)
+            shard = int(right["shard"].iloc[0])
+            if beam:
+                graph, ids = _load(right)
+            else:
+                x, ids = unit_rows(np.stack(right["v"])), right["vec_id"].to_numpy()
+            step = 512 if beam else EXACT_ROWS
+            for at in range(0, len(left), step):
+                part = left.iloc[at:at + step]
+                own, q = part["vec_id"].to_numpy(), unit_rows(np.stack(part["v"]))
+                a, b = graph.within(q, beam, threshold) if beam else np.nonzero(q @ x.T >= threshold)
                 a, b = own[a], ids[b]
                 a, b = a[a != b], b[a != b]
                 u, n = np.unique(a, return_counts=True)
-                x, y = forest(a, b)
-                out += [pd.DataFrame({"kind": 0, "u": u, "v": u, "n": n}), pd.DataFrame({"kind": 1, "u": x, "v": y, "n": 0})]
-        return pd.concat(out) if out else pd.DataFrame({"kind": [], "u": [], "v": [], "n": []})
+                c, d = forest(a, b)
+                out += [pd.DataFrame({"shard": shard, "kind": 0, "u": u, "v": u, "n": n}),
+                        pd.DataFrame({"shard": shard, "kind": 1, "u": c, "v": d, "n": 0})]
+        return pd.concat(out) if out else pd.DataFrame({"shard": [], "kind": [], "u": [], "v": [], "n": []})
 
     return q.groupBy("shard", "block").cogroup(ix.groupBy("shard", "block")).applyInPandas(
-        run, "kind int, u long, v long, n long")
+        run, "shard int, kind int, u long, v long, n long")
 
 
 def _audit(vectors: DataFrame, shards: int, threshold: float) -> DataFrame:
-    """Brute-force numbers of links of the audited queries, (u, n_true): the
-    queries meet each shard's vectors in blocks."""
+    """Brute-force numbers of links of the audited queries in each shard,
+    (u, shard, n_true): the queries meet the shard's vectors in blocks."""
     chosen = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(AUDIT_EVERY)) == 0).select("vec_id", "v")
     q = chosen.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"u": [], "n": []})
+            return pd.DataFrame({"u": [], "shard": [], "n_true": []})
         x, own, ids = unit_rows(np.stack(right["v"])), left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
         n = np.zeros(len(left), dtype=np.int64)
         for at in range(0, len(left), 512):
             hit = unit_rows(np.stack(left["v"].iloc[at:at + 512])) @ x.T >= threshold
             n[at:at + 512] = (hit & (own[at:at + 512, None] != ids[None, :])).sum(axis=1)
-        return pd.DataFrame({"u": own, "n": n})
+        return pd.DataFrame({"u": own, "shard": left["shard"].to_numpy(), "n_true": n})
+
+    return q.groupBy("shard").cogroup(vectors.select("shard", "vec_id", "v").groupBy("shard")).applyInPandas(
+        run, "u long, shard int, n_true long")
+
 
-    got = q.groupBy("shard").cogroup(vectors.select("shard", "vec_id", "v").groupBy("shard")).applyInPandas(
-        run, "u long, n long")
-    return got.groupBy("u").agg(F.sum("n").alias("n_true"))
+def _failing(truth: DataFrame, found: DataFrame, shards: list[int], recall: float) -> list[int]:
+    """The shards of ``shards`` in which a size class misses the bound."""
+    counts = found.where("kind = 0").groupBy("shard", "u").agg(F.sum("n").alias("n"))
+    true = truth.where(F.col("shard").isin(shards)).groupBy("shard", "u").agg(F.sum("n_true").alias("n_true"))
+    met = (true.where("n_true > 0").join(counts, ["shard", "u"], "left")
+           .withColumn("got", F.least("n_true", F.coalesce("n", F.lit(0)))))
+    low = (met.groupBy("shard", F.floor(F.log2("n_true")).alias("size"))
+           .agg(F.avg(F.col("got") / F.col("n_true")).alias("query"), (F.sum("got") / F.sum("n_true")).alias("link"))
+           .where(F.least("query", "link") < recall))
+    return sorted(r["shard"] for r in low.select("shard").distinct().collect())     # at most the shards
 
 
 def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -292,15 +318,15 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, recall: floa
         .select("vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard")), "vectors")
     index = materialise(_build(vectors), "vector-graphs")
     truth = materialise(_audit(vectors, shards, threshold), "vector-audit")
-    beam = BEAM
-    while True:
-        found = materialise(_search(index, vectors, shards, blocks, beam, threshold), f"vector-links-{beam}")
-        counts = found.where("kind = 0").groupBy("u").agg(F.sum("n").alias("n"))
-        got = truth.join(counts, "u", "left").agg(
-            F.sum(F.least("n_true", F.coalesce("n", F.lit(0)))).alias("found"), F.sum("n_true").alias("all")).first()
-        if not got["all"] or got["found"] >= recall * got["all"] or beam >= MAX_BEAM:
-            break
-        beam *= 4
+    beam, left, parts = BEAM, list(range(shards)), []
+    while left:
+        wide = beam if beam <= MAX_BEAM else None
+        part = materialise(_search(index, vectors, left, blocks, wide, threshold), f"vector-links-{wide or 'exact'}")
+        failing = _failing(truth, part, left, recall) if wide else []
+        parts.append(part.where(~F.col("shard").isin(failing)) if failing else part)
+        beam, left = beam * 4, failing
+    found = reduce(DataFrame.unionAll, parts)
+    counts = found.where("kind = 0").groupBy("u").agg(F.sum("n").alias("n"))
     linked = components(found.where("kind = 1").select("u", "v").distinct(), "vector-components")
     out = (table.select("vec_id").join(counts.withColumnRenamed("u", "vec_id"), "vec_id", "left")
            .join(linked.withColumnRenamed("node", "vec_id"), "vec_id", "left"))

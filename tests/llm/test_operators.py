@@ -366,3 +366,18 @@ def test_license_notices_wrapped_over_lines(spark):
     assert len(got) == len(rows) and got[9999].labels == "" and got[9999].score == 0
     for i, _ in rows[:-1]:
         assert license_scan.TEMPLATES[i // 100][0] in got[i].labels.split(",") and got[i].score == 1, i
+
+
+def test_embeddings_of_failing_shards_are_searched_exactly(spark, monkeypatch):
+    """A hot group finds itself by any search; the ordinary pairs do not, and
+    the widest beam misses them."""
+    for name in ("BEAM", "MAX_BEAM", "AUDIT_EVERY"):
+        monkeypatch.setattr(embedding_dedup, name, 1)
+    rng = np.random.default_rng(8)
+    centre, pairs = rng.normal(size=64), rng.normal(size=(750, 64))
+    x = np.concatenate([centre + 0.03 * rng.normal(size=(600, 64)), pairs, pairs + 0.05 * rng.normal(size=(750, 64))])
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = ((y @ y.T >= 0.9) & ~np.eye(len(y), dtype=bool)).sum(axis=1)
+    t = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(t, recall=0.9999).collect()}
+    assert [got[k] for k in range(len(y))] == links.tolist()
