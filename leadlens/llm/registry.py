@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, embedding_dedup, language_id, license_scan, line_dedup, ngram_join, packing, quality_rules
-from . import substring_dedup, warc
+from . import bpe, embedding_dedup, exact_dedup, hard_negatives, language_id, license_scan, line_dedup, ngram_join
+from . import packing, quality_rules, substring_dedup, token_alignment, warc
 
 
 def llm_queries() -> dict:
@@ -18,6 +18,9 @@ def llm_queries() -> dict:
         "op8_hnsw_near_dedup": embedding_dedup.op8_hnsw_near_dedup,
         "op9_warc_transactions": warc.op9_warc_transactions,
         "op10_language_id": language_id.op10_language_id,
+        "op11_token_alignment": token_alignment.op11_token_alignment,
+        "op12_four_russians_negatives": hard_negatives.op12_four_russians_negatives,
+        "op13_chunk_recipes": exact_dedup.op13_chunk_recipes,
     }
 
 
@@ -27,4 +30,6 @@ def llm_oracles() -> dict[str, str]:
         "op4_license_scan": license_scan.ORACLE,
         "op7_line_dedup": line_dedup.ORACLE,
         "op9_warc_transactions": warc.ORACLE,
+        "op12_four_russians_negatives": hard_negatives.ORACLE,
+        "op13_chunk_recipes": exact_dedup.ORACLE,
     }
