@@ -50,10 +50,10 @@ from .common import documents, materialise
 
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
-SLICE_CHARS = 16_000_000     # text whose distinct parts are encoded together
+SLICE_CHARS = 4_000_000      # text whose distinct parts are encoded together
 BLOCK_CHARS = 64_000_000     # text of a block of documents
 PARTS_AT_ONCE = 256          # in one text for B
-LINKS_AT_ONCE = 2_000_000    # put together in one step
+LINKS_AT_ONCE = 1_000_000    # put together in one step
 
 PIECE_SPACE = "\u2581"
 # Places where tokens of A and B both end, whatever else the text holds.
@@ -281,11 +281,11 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[
     """Ids and texts in slices of some SLICE_CHARS, over the bounds of batches."""
     ids, texts, chars = [], [], 0
     for batch in batches:
-        got = batch.column("text").to_pylist()
-        for lo, hi in _ranges([len(t or "") for t in got], SLICE_CHARS // 4):
+        sizes = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_pylist()
+        for lo, hi in _ranges(sizes, SLICE_CHARS // 4):
             ids.append(batch.column("doc_id").cast(pa.int64()).slice(lo, hi - lo))
-            texts += got[lo:hi]
-            chars += sum(len(t or "") for t in got[lo:hi])
+            texts += batch.column("text").slice(lo, hi - lo).to_pylist()
+            chars += sum(sizes[lo:hi])
             if chars >= SLICE_CHARS:
                 yield pa.concat_arrays(ids), texts
                 ids, texts, chars = [], [], 0
