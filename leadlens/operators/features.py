@@ -4,8 +4,8 @@ script's encoding views).
 Row-wise features are column expressions inside one projection.  Target
 encodings are computed for all category columns in one aggregate pass
 (pre-aggregated per (column, value), so hot values cost one row) and
-joined back; each encoding table is broadcast only when its row count is
-under the bound.  Quantile edges come from exact distributed selection.
+joined back without a broadcast hint.  Quantile edges come from exact
+distributed selection.  One-hot features are in ``sparse.py``.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from ..session import ensure_checkpoint_dir
 from ..schema import (CLUSTER_FEATURES, DEFECT_BIN_EDGES, DEFECT_BIN_LABELS, INSPECTION_SCORES, LOG_FEATURES,
                       SQUARED_FEATURES, TARGET, TRANSPORT_CODES, VOLUME_QUARTILE_LABELS, ZSCORE_FEATURES)
 from .joins import join_lookup
-from .quality import numeric_columns, string_columns
+from .quality import string_columns
 
 
 def _d(c: str) -> Column:
@@ -196,39 +196,7 @@ def standard_scale(df: DataFrame, cols=CLUSTER_FEATURES, keep=("sku",)) -> DataF
     return df.select(*keep, *[((_d(c) - F.lit(st[f"mu_{c}"])) / sd(c)).alias(f"{c}_scaled") for c in cols])
 
 
-# ---- one-hot --------------------------------------------------------------
-
-CATEGORY_LEVELS = {"defect_rate_category": DEFECT_BIN_LABELS,
-                   "production_volume_category": VOLUME_QUARTILE_LABELS}
-
-
-def dummy_levels(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
-    """Sorted distinct levels of each string column (one aggregate pass);
-    ordered-category columns keep their label order, unused labels too."""
-    plain = [c for c in cols if c not in CATEGORY_LEVELS]
-    levels = {c: list(CATEGORY_LEVELS[c]) for c in cols if c in CATEGORY_LEVELS}
-    if plain:
-        parts = [F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("v")) for c in plain]
-        d = (df.select(F.explode(F.array(*parts)).alias("kv")).select("kv.*").where(F.col("v").isNotNull())
-             .distinct())
-        got: dict[str, list[str]] = {c: [] for c in plain}
-        for r in d.collect():
-            got[r.key].append(r.v)
-        for c in plain:
-            levels[c] = sorted(got[c])
-    return levels
-
-
-def one_hot_drop_first(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """``pd.get_dummies(drop_first=True)``: 0/1 columns ``{col}_{level}`` for
-    every level but the first; NULL gives all zeros.  Non-category columns
-    first, then each category column's dummies."""
-    cols = cols or [c for c in df.columns if c in string_columns(df)]
-    levels = dummy_levels(df, cols)
-    keep = [F.col(c) for c in df.columns if c not in cols]
-    dummies = [F.when(F.col(c) == lv, 1).otherwise(0).alias(f"{c}_{lv}") for c in cols for lv in levels[c][1:]]
-    return df.select(*keep, *dummies)
-
+# ---- all feature steps ----------------------------------------------------
 
 def engineer(df: DataFrame) -> DataFrame:
     """All feature steps in the reference's order (24 -> 45 columns)."""
@@ -239,17 +207,3 @@ def engineer(df: DataFrame) -> DataFrame:
     out = squared_features(out)
     out = bin_features(out)
     return efficiency_feature(out)
-
-
-def model_matrix(features: DataFrame, target: str = TARGET, key: str = "sku",
-                 keep: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
-    """The design matrix: every column but the key, the target and ``keep``
-    (passed through untouched), with category columns as drop-first dummies,
-    all double; plus ``label``.  Returns the frame and the feature names.
-    Every level counts, whatever their number: the features are the same
-    function of the data at every size."""
-    cats = [c for c in string_columns(features) if c not in (key, *keep)]
-    enc = one_hot_drop_first(features, cats)
-    names = [c for c in enc.columns if c not in (key, target, *keep)]
-    return enc.select(key, *keep, F.col(target).cast("double").alias("label"),
-                      *[F.col(f"`{c}`").cast("double").alias(c) for c in names]), names

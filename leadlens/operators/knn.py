@@ -1,40 +1,203 @@
-"""Exact k-nearest-neighbour regression (Euclidean, uniform weights) as a
-band join, without pairing every query with every training row.
-
-For any coordinate ``s`` of the feature vector, ``|s(p) - s(q)| <= ||p - q||``.
-So with ``r`` an upper bound of the distance from ``q`` to its k-th
-neighbour, all k neighbours lie in the band ``|s(p) - s(q)| <= r``:
-
-1. The two training features of largest variance span a grid: each is cut
-   into ranges by approximate quantiles (``Bucketizer`` binary search,
-   JVM-side), about ``bucket_rows`` training rows per cell.
-2. Bound: each query is paired with its own and the adjacent cells; the
-   k-th smallest distance there is ``r`` (a query seeing fewer than k
-   rows there searches every cell).
-3. Exact pass: each query is paired with the cells covering its box
-   ``|s_j(p) - s_j(q)| <= r``, pairs outside the box or beyond ``r`` are
-   dropped, and the k nearest (distance, then key) are kept with a
-   per-query top-k.
-
-Ties on the k-th distance are broken by the training key.  Training rows
-with identical feature vectors are cut to the k smallest keys per vector
-first (only those can be chosen), so a vector repeated on a third of the
-rows does not fill one cell; a value repeated in one grid coordinate is
-split by the other.
+"""Exact k-nearest-neighbour regression (Euclidean, uniform weights) with a
+space-partitioning tree.
+
+1. A k-d tree over the training rows' vectors is grown from bounded samples:
+   a cell with more than ``CELL_ROWS`` rows is sampled and split at the median
+   of its widest coordinate, over and over, until no cell is too heavy or the
+   tree has ``MAX_CELLS`` cells.  The tree, and each cell's row count and
+   bounding box over all its rows, are the only things shared with all tasks.
+2. Each query is compared with the rows of its own cell: the k-th distance
+   there bounds its radius.  Where the cell holds fewer than k rows, the bound
+   is the distance to the far corner of enough of the nearest boxes.
+3. Each query then visits the other cells whose box is within its radius, and
+   the k nearest rows of all cells (distance, then key) are kept.
+
+A cell is compared in units of at most ``CELL_ROWS`` training rows and
+``QUERY_ROWS`` queries, so a cell that the tree cannot split, and a cell that
+many queries visit, are spread over tasks.  Rows with identical vectors are
+cut to the k smallest keys first (only those can be chosen).  Category columns
+enter as codes: two rows that differ there are apart by the number of their
+dummies, as with drop-first dummies.  Ties go to the smaller training key.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
-from pyspark.ml.feature import Bucketizer
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from ..session import materialise
+
+CELL_ROWS = 2048             # training rows of a cell, and of a unit
+QUERY_ROWS = 4096            # queries of a unit
+MAX_CELLS = 4096             # the tree's size bound
+SAMPLE_ROWS = 50_000         # rows that grow the tree in one round, at most about so many
+DISTANCES = 1 << 21          # computed in one step
+
+
+# ---- the tree ----------------------------------------------------------------
+
+class Tree:
+    """Inner nodes (coordinate, cut, children); leaves are cells."""
+
+    def __init__(self, coordinate=(-1,), cut=(0.0,), left=(-1,), right=(-1,)):
+        self.coordinate, self.cut, self.left, self.right = list(coordinate), list(cut), list(left), list(right)
+
+    def cells(self) -> list[int]:
+        return [k for k, c in enumerate(self.coordinate) if c < 0]
+
+    def cell_of(self, x: np.ndarray) -> np.ndarray:
+        """The cell of each row of ``x``."""
+        at = np.zeros(len(x), dtype=np.int64)
+        coordinate, cut, left, right = [np.array(v) for v in (self.coordinate, self.cut, self.left, self.right)]
+        while True:
+            inner = np.flatnonzero(coordinate[at] >= 0)
+            if not len(inner):
+                return at
+            here = at[inner]
+            at[inner] = np.where(x[inner, coordinate[here]] <= cut[here], left[here], right[here])
+
+    def split(self, cell: int, x: np.ndarray, parts: int) -> None:
+        """Split a cell at the median of its sample's widest coordinate, on
+        until it is in ``parts`` or the sample does not tell its rows apart."""
+        if parts < 2 or len(x) < 2:
+            return
+        for c in np.argsort(-x.var(axis=0), kind="stable"):
+            cut = float(np.median(x[:, c]))
+            if cut >= x[:, c].max():                     # half the sample is at the top: cut below it
+                below = x[:, c][x[:, c] < cut]
+                if not len(below):
+                    continue
+                cut = float(below.max())
+            low = x[:, c] <= cut
+            self.coordinate[cell], self.cut[cell] = int(c), cut
+            for side, rows in ((self.left, low), (self.right, ~low)):
+                side[cell] = len(self.coordinate)
+                self.coordinate.append(-1)
+                self.cut.append(0.0)
+                self.left.append(-1)
+                self.right.append(-1)
+                self.split(side[cell], x[rows], -(-parts // 2))
+            return
+
+
+def _matrix(batch: pa.RecordBatch | pa.Table, col: str, kind: type) -> np.ndarray:
+    lists = batch.column(col)
+    flat = (pa.concat_arrays(x.flatten() for x in lists.chunks) if isinstance(lists, pa.ChunkedArray) and lists.num_chunks
+            else lists.flatten() if not isinstance(lists, pa.ChunkedArray) else pa.array([], pa.float64()))
+    return flat.to_numpy(zero_copy_only=False).astype(kind).reshape(batch.num_rows, -1)
+
+
+def _with_cells(rows: DataFrame, tree: Tree) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.append_column("cell", pa.array(tree.cell_of(_matrix(batch, "x", np.float64))))
 
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("cell", LongType())]))
 
-def _dist2(features: list[str]) -> Column:
-    return reduce(lambda a, b: a + b, [(F.col(f"q_{c}") - F.col(f"t_{c}")) * (F.col(f"q_{c}") - F.col(f"t_{c}"))
-                                       for c in features])
+
+def _counts(rows: DataFrame) -> dict[int, int]:
+    """Rows of each cell; as many numbers as the tree has cells."""
+    return {r.cell: r.n for r in rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def grow(rows: DataFrame) -> Tree:
+    """A tree whose cells hold at most CELL_ROWS rows, as far as its size
+    bound and equal vectors allow."""
+    tree = Tree()
+    counts = {0: rows.count()}
+    while True:
+        heavy = {c: n for c, n in counts.items() if n > CELL_ROWS}
+        room = MAX_CELLS - len(tree.cells())
+        if not heavy or room <= 0:
+            return tree
+        placed = _with_cells(rows, tree).where(F.col("cell").isin(list(heavy)))
+        share = min(1.0, SAMPLE_ROWS / sum(heavy.values()))
+        sample = placed.select("cell", "x").sample(share, seed=len(tree.coordinate)).toArrow()
+        cell, x = sample.column("cell").to_numpy(), _matrix(sample, "x", np.float64)
+        before = len(tree.cells())
+        for c, n in sorted(heavy.items(), key=lambda e: -e[1]):
+            room = MAX_CELLS - len(tree.cells())
+            # two more than needed at the mean, so that most need no other round
+            tree.split(c, x[cell == c], min(room, 2 * n // CELL_ROWS + 1, max(1, int((cell == c).sum()) // 8)))
+        if len(tree.cells()) == before:
+            return tree
+        counts = _counts(_with_cells(rows, tree))
+
+
+def boxes(rows: DataFrame, dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(cell, rows, low corner, high corner) over all rows of each cell."""
+    x = [F.get("x", F.lit(i)) for i in range(dims)]
+    got = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.array(*[F.min(c) for c in x]).alias("low"),
+                                   F.array(*[F.max(c) for c in x]).alias("high")).collect()
+    shape = (len(got), dims)
+    return (np.array([r.cell for r in got], dtype=np.int64), np.array([r.n for r in got], dtype=np.int64),
+            np.array([r.low for r in got], dtype=np.float64).reshape(shape),
+            np.array([r.high for r in got], dtype=np.float64).reshape(shape))
+
+
+# ---- comparing ---------------------------------------------------------------
+
+def nearest(q: np.ndarray, q_codes: np.ndarray, t: np.ndarray, t_codes: np.ndarray, most: np.ndarray,
+            k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, squared distance) of each query's first k rows by distance,
+    then row, with a squared distance of at most ``most``."""
+    out = []
+    step = max(1, DISTANCES // max(1, len(t)))
+    for lo in range(0, len(q), step):
+        d2 = np.zeros((len(q[lo:lo + step]), len(t)))
+        for c in range(q.shape[1]):
+            gap = q[lo:lo + step, c, None] - t[None, :, c]
+            d2 += gap * gap
+        for c in range(q_codes.shape[1]):
+            a, b = q_codes[lo:lo + step, c, None], t_codes[None, :, c]
+            d2 += np.where(a != b, (a >= 0).astype(np.int64) + (b >= 0), 0)
+        d2[~(d2 <= most[lo:lo + step, None])] = np.inf
+        if len(t) > k:
+            bar = np.partition(d2, k - 1, axis=1)[:, k - 1]
+            inside = (d2 <= bar[:, None]) & np.isfinite(d2)
+        else:
+            inside = np.isfinite(d2)
+        query, row = np.nonzero(inside)
+        order = np.lexsort((row, d2[query, row], query))
+        query, row = query[order], row[order]
+        first = np.arange(len(query)) - np.searchsorted(query, query) < k
+        query, row = query[first], row[first]
+        out.append((query + lo, row, d2[query, row]))
+    return tuple(np.concatenate([x[i] for x in out]) if out else np.zeros(0) for i in range(3))
+
+
+def _compare(train: DataFrame, query: DataFrame, k: int) -> DataFrame:
+    """(q_key, t_key, t_label, d2): each query's first k rows in each unit of
+    the cells it is sent to."""
+    of_train = train.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).cast("int").alias("nt"))
+    of_query = query.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("nq"))
+    units = of_train.join(of_query, "cell")              # at most MAX_CELLS rows
+    block = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    t = train.join(units, "cell").withColumn("tb", block("t_key", "nt")).withColumn("qb", every("nq"))
+    q = query.join(units, "cell").withColumn("qb", block("q_key", "nq")).withColumn("tb", every("nt"))
+    t = t.select(F.col("cell").alias("t_cell"), F.col("tb").alias("t_tb"), F.col("qb").alias("t_qb"), "t_key", "t_label",
+                 F.col("x").alias("t_x"), F.col("codes").alias("t_codes"))
+    q = q.select("cell", "tb", "qb", "q_key", "x", "codes", "most")
+    kind = dict(train.dtypes)["t_key"], dict(query.dtypes)["q_key"]
+    schema = f"q_key {kind[1]}, t_key {kind[0]}, t_label double, d2 double"
+
+    def run(qs: pa.Table, ts: pa.Table) -> pa.Table:
+        ts = ts.sort_by("t_key")
+        a, b, d2 = nearest(_matrix(qs, "x", np.float64), _matrix(qs, "codes", np.int64), _matrix(ts, "t_x", np.float64),
+                           _matrix(ts, "t_codes", np.int64), qs.column("most").to_numpy(), k) if ts.num_rows and qs.num_rows \
+            else (np.zeros(0), np.zeros(0), np.zeros(0))
+        a, b = pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))
+        return pa.table([qs.column("q_key").take(a), ts.column("t_key").take(b), ts.column("t_label").take(b), pa.array(d2)],
+                        names=["q_key", "t_key", "t_label", "d2"])
+
+    return q.groupBy("cell", "tb", "qb").cogroup(t.groupBy("t_cell", "t_tb", "t_qb")).applyInArrow(run, schema)
 
 
 def _top_k(pairs: DataFrame, k: int) -> DataFrame:
@@ -42,88 +205,60 @@ def _top_k(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k).drop("__rn")
 
 
-def _cuts(train: DataFrame, col: str, nb: int) -> list[float]:
-    cuts = []
-    if nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        cuts = sorted(set(train.agg(F.percentile_approx(F.col(col).cast("double"), probs, 10 * nb)).first()[0]))
-    return cuts or [0.0]   # Bucketizer needs two ranges at least; any cut is correct
+def _visits(query: DataFrame, box: tuple, categories: int, k: int) -> DataFrame:
+    """A row for each query and other cell that may hold one of its k nearest
+    rows; ``most`` becomes the squared radius."""
+    cells, n, low, high = box
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, own = _matrix(batch, "x", np.float64), batch.column("cell").to_numpy()
+            found = batch.column("r2").to_numpy(zero_copy_only=False)     # NaN: fewer than k rows in the own cell
+            for lo in range(0, batch.num_rows, 64):
+                at = x[lo:lo + 64, None, :]
+                near = (np.maximum(0, np.maximum(low - at, at - high)) ** 2).sum(axis=2)
+                far = (np.maximum(np.abs(at - low), np.abs(high - at)) ** 2).sum(axis=2) + 2 * categories
+                order = np.argsort(far, axis=1)
+                enough = np.argmax(np.cumsum(n[order], axis=1) >= k, axis=1)
+                bound = np.take_along_axis(far, order, axis=1)[np.arange(len(far)), enough]
+                bound[n.sum() < k] = np.inf
+                r2 = np.where(np.isnan(found[lo:lo + 64]), bound, found[lo:lo + 64])
+                r2 = r2 * (1 + 1e-9) + 1e-12             # the boxes' distances are rounded
+                row, cell = np.nonzero((near <= r2[:, None]) & (cells[None, :] != own[lo:lo + 64, None]))
+                some = batch.slice(lo, 64).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("q_key"), some.column("x"), some.column("codes"), pa.array(r2[row]), pa.array(cells[cell])],
+                    names=["q_key", "x", "codes", "most", "cell"])
 
-def _cell(cols: list[str], sizes: list[int]) -> Column:
-    """Row-major cell number of per-dimension range indices."""
-    cell = F.lit(0)
-    for c, n in zip(cols, sizes):
-        cell = cell * n + F.col(c).cast("int")
-    return cell
+    kind = dict(query.dtypes)["q_key"]
+    return query.select("q_key", "x", "codes", "cell", F.coalesce("r2", F.lit(float("nan"))).alias("r2")).mapInArrow(
+        run, f"q_key {kind}, x array<double>, codes array<int>, most double, cell long")
 
 
-def _explode_box(df: DataFrame, lo_cols: list[str], hi_cols: list[str], sizes: list[int]) -> DataFrame:
-    """One row per grid cell inside the box [lo_j, hi_j] of range indices."""
-    out = df
-    for j, (lo, hi) in enumerate(zip(lo_cols, hi_cols)):
-        out = out.withColumn(f"__g{j}", F.explode(F.sequence(F.col(lo).cast("int"), F.col(hi).cast("int"))))
-    g = [f"__g{j}" for j in range(len(lo_cols))]
-    return out.withColumn("cell", _cell(g, sizes)).drop(*g)
-
-
-def knn_regress(train: DataFrame, query: DataFrame, features: list[str], k: int = 5, key: str = "sku",
-                label: str = "label", bucket_rows: int = 32, dims: int = 2) -> DataFrame:
+def knn_regress(train: DataFrame, query: DataFrame, features: list[str] | Column, k: int = 5, key: str = "sku",
+                label: str = "label", codes: Column | None = None) -> DataFrame:
     """Prediction for every query row: mean label of its k nearest training
-    rows.  Returns (key, prediction)."""
-    variances = train.agg(*[F.var_pop(F.col(c).cast("double")).alias(c) for c in features]).first().asDict()
-    proj = sorted(features, key=lambda c: -(variances[c] or 0.0))[:max(1, min(dims, len(features)))]
-    n_train = train.count()
-    nb = max(1, min(100_000, n_train // bucket_rows))
-    per_dim = max(1, round(nb ** (1 / len(proj))))
-    splits = [[float("-inf")] + _cuts(train, c, per_dim) + [float("inf")] for c in proj]
-    sizes = [len(sp) - 1 for sp in splits]
-
-    t = train.select(F.col(key).alias("t_key"), F.col(label).cast("double").alias("t_label"),
-                     *[F.col(c).cast("double").alias(f"t_{c}") for c in features])
-    # identical training vectors tie on every distance, so only the k
-    # smallest keys of each can be chosen; a per-vector top-k (limited
-    # before the shuffle) keeps a hot duplicate group from flooding a cell
-    dup = Window.partitionBy(*[f"t_{c}" for c in features]).orderBy("t_key")
-    t = t.withColumn("__d", F.row_number().over(dup)).where(F.col("__d") <= k).drop("__d")
-    tb = [f"__tb{j}" for j in range(len(proj))]
-    t = (Bucketizer(splitsArray=splits, inputCols=[f"t_{c}" for c in proj], outputCols=tb).transform(t)
-         .withColumn("cell", _cell(tb, sizes)).drop(*tb))
-    q = query.select(F.col(key).alias("q_key"), *[F.col(c).cast("double").alias(f"q_{c}") for c in features])
-    qb = [f"__qb{j}" for j in range(len(proj))]
-    q = Bucketizer(splitsArray=splits, inputCols=[f"q_{c}" for c in proj], outputCols=qb).transform(q)
-
-    # pass 1: upper bound of the k-th neighbour distance from the adjacent cells
-    near = q
-    for j, b in enumerate(qb):
-        near = (near.withColumn(f"__lo{j}", F.greatest(F.col(b) - 1, F.lit(0.0)))
-                .withColumn(f"__hi{j}", F.least(F.col(b) + 1, F.lit(float(sizes[j] - 1)))))
-    near = _explode_box(near, [f"__lo{j}" for j in range(len(proj))], [f"__hi{j}" for j in range(len(proj))], sizes)
-    p1 = _top_k(near.join(t, "cell").select("q_key", "t_key", _dist2(features).alias("d2")), k)
-    bound = p1.groupBy("q_key").agg(F.count(F.lit(1)).alias("m"), F.max("d2").alias("r2"))
-    r = F.when(F.col("m") >= k, F.sqrt("r2") * (1 + 1e-9) + 1e-12)
-
-    # pass 2: exact neighbours inside each query's box |s_j(p) - s_j(q)| <= r
-    qr = q.join(bound, "q_key", "left").withColumn("r", r)
-    lo_c, hi_c = [], []
-    for j, c in enumerate(proj):
-        qr = (qr.withColumn(f"__l{j}", F.when(F.col("r").isNull(), F.lit(float("-inf")))
-                            .otherwise(F.col(f"q_{c}") - F.col("r")))
-              .withColumn(f"__h{j}", F.when(F.col("r").isNull(), F.lit(float("inf")))
-                          .otherwise(F.col(f"q_{c}") + F.col("r"))))
-        lo_c.append(f"__bl{j}")
-        hi_c.append(f"__bh{j}")
-    qr = Bucketizer(splitsArray=splits + splits, inputCols=[f"__l{j}" for j in range(len(proj))] +
-                    [f"__h{j}" for j in range(len(proj))], outputCols=lo_c + hi_c).transform(qr)
-    band = _explode_box(qr, lo_c, hi_c, sizes)
-    inside = F.lit(True)
-    for c in proj:
-        inside = inside & (F.abs(F.col(f"q_{c}") - F.col(f"t_{c}")) <= F.col("r"))
-    pairs = (band.join(t, "cell")
-             .where(F.col("r").isNull() | inside)
-             .select("q_key", "t_key", "t_label", "r", _dist2(features).alias("d2"))
-             .where(F.col("r").isNull() | (F.col("d2") <= F.col("r") * F.col("r"))))
-    nn = _top_k(pairs, k)
+    rows (of all, if fewer).  ``features``: numeric columns, or one array
+    column; ``codes``: an array column of category codes, -1 for none.
+    Returns (key, prediction); a table without training rows predicts nothing."""
+    x = F.array(*[F.col(c).cast("double") for c in features]) if isinstance(features, list) else features
+    codes = F.array().cast("array<int>") if codes is None else codes
+    t = train.select(F.col(key).alias("t_key"), F.col(label).cast("double").alias("t_label"), x.alias("x"), codes.alias("codes"))
+    dup = Window.partitionBy("x", "codes").orderBy("t_key")
+    t = materialise(t.withColumn("__d", F.row_number().over(dup)).where(F.col("__d") <= k).drop("__d"), "knn-train")
+    first = t.first()
+    if first is None:
+        return query.select(key, F.lit(None).cast("double").alias("prediction")).where("false")
+    tree = grow(t.select("x"))
+    t = materialise(_with_cells(t, tree), "knn-cells")
+    box = boxes(t, len(first.x))
+    q = query.select(F.col(key).alias("q_key"), x.alias("x"), codes.alias("codes"))
+    q = materialise(_with_cells(q, tree), "knn-queries")
+
+    own = materialise(_top_k(_compare(t, q.withColumn("most", F.lit(float("inf"))), k), k), "knn-own")
+    bound = own.groupBy("q_key").agg(F.when(F.count(F.lit(1)) >= k, F.max("d2")).alias("r2"))
+    visits = materialise(_visits(q.join(bound, "q_key", "left"), box, len(first.codes), k), "knn-visits")
+    nn = _top_k(own.unionByName(_compare(t, visits, k)), k)
     return nn.groupBy("q_key").agg(F.avg("t_label").alias("prediction")).withColumnRenamed("q_key", key)
 
 

@@ -9,42 +9,41 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .features import engineer, model_matrix
+from .features import engineer
 from .knn import knn_regress, regression_metrics
+from .sparse import Design, design_matrix
 from .split import stratified_split
 
 SEED = 42
 
 
-def design(items_df: DataFrame, seed: int = SEED) -> tuple[DataFrame, list[str]]:
-    """(sku, split, label, features vector) for the SKU-grain items, plus
-    the feature names.  Encodings and bins use all rows, then the split."""
+def design(items_df: DataFrame, seed: int = SEED) -> Design:
+    """The design matrix of the SKU-grain items, with the split.  Encodings and
+    bins use all rows, then the split."""
     ensure_checkpoint_dir(items_df.sparkSession)
     # each stage below runs several small jobs over its input: cut lineage
     base = items_df.checkpoint(eager=True)
-    feats = stratified_split(engineer(base).checkpoint(eager=True), seed=seed)
-    mm, names = model_matrix(feats, keep=("split",))
-    vec = VectorAssembler(inputCols=names, outputCol="features").transform(mm)
-    return vec.select("sku", "split", "label", "features", *names).checkpoint(eager=True), names
+    return design_matrix(stratified_split(engineer(base).checkpoint(eager=True), seed=seed), keep=("split",))
 
 
 def estimators(train: DataFrame) -> dict:
-    """The eight regressors.  Ridge's penalty is rescaled to Spark's
-    objective: regParam = alpha * std_pop(y) / n."""
+    """The regressors.  Ridge's penalty is rescaled to Spark's objective:
+    regParam = alpha * std_pop(y) / n.  Least squares and ridge solve the
+    normal equations up to 4,096 features and descend on the gradient, whose
+    size is the number of features, beyond (Spark's "auto")."""
     st = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("sd")).first()
     n, sd = st.n, st.sd or 1.0
     common = dict(featuresCol="features", labelCol="label")
     return {
-        "Linear Regression": LinearRegression(regParam=0.0, solver="normal", **common),
+        "Linear Regression": LinearRegression(regParam=0.0, solver="auto", **common),
         "Ridge Regression": LinearRegression(regParam=1.0 * sd / n, elasticNetParam=0.0, standardization=False,
-                                             solver="normal", **common),
+                                             solver="auto", **common),
         "Lasso Regression": LinearRegression(regParam=0.1, elasticNetParam=1.0, standardization=False, **common),
         "Decision Tree": DecisionTreeRegressor(maxDepth=5, seed=SEED, maxBins=64, **common),
         "Random Forest": RandomForestRegressor(numTrees=100, featureSubsetStrategy="all", maxDepth=30,
@@ -57,22 +56,22 @@ def estimators(train: DataFrame) -> dict:
     }
 
 
-def fit_predict(vec: DataFrame, names: list[str], model: str):
+def fit_predict(d: Design, model: str):
     """Fit one named model on the train split; predictions for all rows."""
-    train = vec.where(F.col("split") == "train")
+    train = d.rows.where(F.col("split") == "train")
     if model == "KNN":
-        pred = knn_regress(train, vec, names, k=5)
-        return None, vec.select("sku", "split", "label").join(pred, "sku")
+        pred = knn_regress(train, d.rows, F.col("dense"), k=5, codes=F.col("codes"))
+        return None, d.rows.select("sku", "split", "label").join(pred, "sku")
     m = estimators(train)[model].fit(train)
-    return m, m.transform(vec).select("sku", "split", "label", "prediction")
+    return m, m.transform(d.rows).select("sku", "split", "label", "prediction")
 
 
 MODEL_NAMES = ["Linear Regression", "Ridge Regression", "Lasso Regression", "Decision Tree", "Random Forest",
                "Gradient Boosting", "Gradient Boosting (deep)", "KNN"]
 
 
-def model_metrics(vec: DataFrame, names: list[str], model: str) -> DataFrame:
-    _, pred = fit_predict(vec, names, model)
+def model_metrics(d: Design, model: str) -> DataFrame:
+    _, pred = fit_predict(d, model)
     return regression_metrics(pred, by=["split"]).select(F.lit(model).alias("model"), "*")
 
 
@@ -89,24 +88,28 @@ def leaderboard(metrics: DataFrame) -> DataFrame:
                     over.alias("overfit_pct")).orderBy(F.desc("test_r2"))
 
 
-def all_metrics(vec: DataFrame, names: list[str], models=MODEL_NAMES) -> DataFrame:
-    return reduce(DataFrame.unionByName, [model_metrics(vec, names, m) for m in models])
+def all_metrics(d: Design, models=MODEL_NAMES) -> DataFrame:
+    return reduce(DataFrame.unionByName, [model_metrics(d, m) for m in models])
 
 
 # ---- bottleneck tree -------------------------------------------------------
 
-def bottleneck_tree(vec: DataFrame):
+def bottleneck_tree(d: Design):
     """Depth 4, at least 5 rows per leaf (so at least 10 per split)."""
-    train = vec.where(F.col("split") == "train")
+    train = d.rows.where(F.col("split") == "train")
     return DecisionTreeRegressor(maxDepth=4, minInstancesPerNode=5, seed=SEED, maxBins=64,
                                  featuresCol="features", labelCol="label", leafCol="leaf").fit(train)
 
 
-def importances(model, names: list[str], spark) -> DataFrame:
-    """Impurity importances (sum 1) ranked; model metadata, one row per feature."""
-    imp = model.featureImportances.toArray().tolist()
-    rows = [(n, float(v)) for n, v in zip(names, imp)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
+def importances(model, names: DataFrame) -> DataFrame:
+    """Impurity importances (sum 1) ranked, one row per feature; the model
+    names only the features that it splits on."""
+    imp = model.featureImportances
+    used = names.sparkSession.createDataFrame(
+        [(int(i), float(imp[int(i)])) for i in imp.indices], "feature int, importance double")
+    return (names.join(used, "feature", "left")
+            .select(F.col("name").alias("feature"), F.coalesce("importance", F.lit(0.0)).alias("importance"))
+            .orderBy(F.desc("importance"), "feature"))
 
 
 def tree_nodes(model, spark) -> DataFrame:
@@ -121,13 +124,13 @@ def tree_nodes(model, spark) -> DataFrame:
                     F.try_element_at("split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold"))
 
 
-def tree_rules(model, names: list[str], spark) -> DataFrame:
-    """Root-to-leaf rules as rows (leaf id, rule, depth, prediction, count):
-    the text dump re-aimed as a table.  One self-join per tree level."""
+def tree_rules(model, names: DataFrame, spark, limit: int | None = None) -> DataFrame:
+    """Root-to-leaf rules as rows (leaf id, rule, depth, prediction, count),
+    the first ``limit`` of them if given: the text dump re-aimed as a table.
+    One self-join per tree level."""
     nodes = tree_nodes(model, spark)
-    name_of = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("feature") + 1)
-    edges = nodes.where(F.col("left") >= 0).select(
-        "id", name_of.alias("fname"), "threshold", "left", "right")
+    edges = nodes.where(F.col("left") >= 0).join(names, "feature").select(
+        "id", F.col("name").alias("fname"), "threshold", "left", "right")
     kids = (edges.select(F.col("left").alias("child"), F.col("id").alias("parent"),
                          F.format_string("%s <= %.2f", "fname", "threshold").alias("cond"))
             .unionByName(edges.select(F.col("right").alias("child"), F.col("id").alias("parent"),
@@ -147,14 +150,15 @@ def tree_rules(model, names: list[str], spark) -> DataFrame:
     leaf_ids = sorted(r.id for r in nodes.where(F.col("left") < 0).select("id").collect())
     index = F.create_map(*[x for i, n in enumerate(leaf_ids) for x in (F.lit(n), F.lit(i))])
     leaves = nodes.where(F.col("left") < 0).withColumn("leaf", F.element_at(index, F.col("id")))
-    return (allp.join(leaves, allp.node == leaves.id)
-            .select("leaf", F.col("node").alias("node_id"), F.concat_ws(" AND ", "conds").alias("rule"),
-                    F.size("conds").alias("depth"), F.round("prediction", 6).alias("prediction"), "count")
-            .orderBy("leaf"))
+    rules = (allp.join(leaves, allp.node == leaves.id)
+             .select("leaf", F.col("node").alias("node_id"), F.concat_ws(" AND ", "conds").alias("rule"),
+                     F.size("conds").alias("depth"), F.round("prediction", 6).alias("prediction"), "count")
+             .orderBy("leaf"))
+    return rules if limit is None else rules.limit(limit)
 
 
-def leaf_patterns(model, vec: DataFrame) -> DataFrame:
+def leaf_patterns(model, d: Design) -> DataFrame:
     """Observed rows and mean lead time per leaf, on each split."""
-    return (model.transform(vec).groupBy("leaf", "split")
+    return (model.transform(d.rows).groupBy("leaf", "split")
             .agg(F.count(F.lit(1)).alias("rows"), F.round(F.avg("label"), 6).alias("avg_lead_time"))
             .orderBy("leaf", "split"))

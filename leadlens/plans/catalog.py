@@ -20,6 +20,7 @@ from ..operators import features as FE
 from ..operators import knn as K
 from ..operators import quality as Q
 from ..operators import split as SP
+from ..operators.sparse import one_hot_drop_first
 from ..operators import reports as R
 from ..operators import stats as S
 from ..sources.fact import base_columns, fact, items
@@ -186,7 +187,8 @@ def feature_queries() -> dict[str, Query]:
         "standard_scale": _on_base(lambda b: _round(FE.standard_scale(b), [
             f"{c}_scaled" for c in FE.CLUSTER_FEATURES])),
         "feature_matrix_width": _on_base(_feature_width),
-        "one_hot_drop_first": lambda spark, sf: FE.model_matrix(FE.engineer(items(fact(spark, sf))))[0],
+        "one_hot_drop_first": lambda spark, sf: one_hot_drop_first(
+            FE.bin_features(items(fact(spark, sf)))),
         "sku_items": lambda spark, sf: items(fact(spark, sf)),
         "stratified_split": lambda spark, sf: split_items(spark, sf).select("sku", "product_type", "split"),
         "split_sizes": lambda spark, sf: split_items(spark, sf).groupBy("split", "product_type").agg(

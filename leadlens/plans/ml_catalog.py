@@ -43,8 +43,7 @@ def _design(spark, sf):
 def _fit(spark, sf, model):
     """(fitted model or None for KNN, predictions for every item)."""
     def build():
-        vec, names = _design(spark, sf)
-        m, pred = MO.fit_predict(vec, names, model)
+        m, pred = MO.fit_predict(_design(spark, sf), model)
         return m, pred.checkpoint(eager=True)
     return _get(spark, sf, f"fit:{model}", build)
 
@@ -67,14 +66,14 @@ def _forest(spark, sf):
 
 
 def _tree(spark, sf):
-    return _get(spark, sf, "tree", lambda: MO.bottleneck_tree(_design(spark, sf)[0]))
+    return _get(spark, sf, "tree", lambda: MO.bottleneck_tree(_design(spark, sf)))
 
 
 def _attributions(spark, sf):
     def build():
-        vec, names = _design(spark, sf)
-        test = vec.where(F.col("split") == "test")
-        return EX.attributions(_forest(spark, sf), test, names, spark).checkpoint(eager=True)
+        d = _design(spark, sf)
+        test = d.rows.where(F.col("split") == "test")
+        return EX.attributions(_forest(spark, sf), test, d.names, spark).checkpoint(eager=True)
     return _get(spark, sf, "attr", build)
 
 
@@ -107,14 +106,15 @@ def _model_query(name):
 def ml_queries() -> dict:
     q = {k: _model_query(v) for k, v in MODEL_KEYS.items()}
     q["leaderboard"] = lambda spark, sf: MO.leaderboard(_metrics_df(spark, sf, MO.MODEL_NAMES))
-    q["tree_importance"] = lambda spark, sf: MO.importances(_tree(spark, sf), _design(spark, sf)[1], spark)
-    q["tree_rules"] = lambda spark, sf: MO.tree_rules(_tree(spark, sf), _design(spark, sf)[1], spark)
-    q["leaf_patterns"] = lambda spark, sf: MO.leaf_patterns(_tree(spark, sf), _design(spark, sf)[0])
+    q["tree_importance"] = lambda spark, sf: MO.importances(_tree(spark, sf), _design(spark, sf).names)
+    q["tree_rules"] = lambda spark, sf: MO.tree_rules(_tree(spark, sf), _design(spark, sf).names, spark)
+    q["leaf_patterns"] = lambda spark, sf: MO.leaf_patterns(_tree(spark, sf), _design(spark, sf))
     q["literal_patterns"] = lambda spark, sf: IN.decision_patterns(fact(spark, sf))
     q["tree_attributions"] = lambda spark, sf: _attributions(spark, sf)
-    q["attribution_ranking"] = lambda spark, sf: EX.attribution_ranking(_attributions(spark, sf))
+    q["attribution_ranking"] = lambda spark, sf: EX.attribution_ranking(
+        _attributions(spark, sf), _design(spark, sf).rows.where(F.col("split") == "test").count())
     q["attribution_dependence"] = lambda spark, sf: EX.dependence(
-        _attributions(spark, sf), MO.importances(_tree(spark, sf), _design(spark, sf)[1], spark))
+        _attributions(spark, sf), MO.importances(_tree(spark, sf), _design(spark, sf).names))
 
     def sample(spark, sf):
         attr = _attributions(spark, sf)
@@ -130,7 +130,7 @@ def ml_queries() -> dict:
     q["pca_2d"] = lambda spark, sf: CL.pca_2d(_cluster_vec(spark, sf), _assigned(spark, sf))[0]
     q["insight_rules"] = lambda spark, sf: IN.insight_rules(
         target_correlations_all(base_columns(fact(spark, sf))),
-        MO.importances(_tree(spark, sf), _design(spark, sf)[1], spark), _profile(spark, sf))
+        MO.importances(_tree(spark, sf), _design(spark, sf).names), _profile(spark, sf))
     return q
 
 

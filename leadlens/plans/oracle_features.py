@@ -138,6 +138,20 @@ FROM fact sc {joins}""", *views)
                                    f"AS {c}_scaled" for c in cf)
         + " FROM fact CROSS JOIN st", f"st AS (SELECT {stats5} FROM fact)")
     q["sku_items"] = with_fact("SELECT * FROM items", *items_ctes())
+    # long dummies: every level but the first of its column; bins have fixed first labels
+    cats = [c for c in STRING if c != "sku"]
+    first = {c: f"(SELECT min({c}) FROM binned)" for c in cats} | {
+        "defect_rate_category": f"'{DEFECT_BIN_LABELS[0]}'", "production_volume_category": f"'{L[0]}'"}
+    q["one_hot_drop_first"] = with_fact(
+        " UNION ALL ".join(f"SELECT sku, '{c}_' || {c} AS feature, 1 AS value FROM binned WHERE {c} <> {lv}"
+                           for c, lv in first.items()),
+        *items_ctes(), "edges AS (SELECT " + ", ".join(f"{x} AS e{i}" for i, x in enumerate(e)) + " FROM items)",
+        f"""binned AS (SELECT items.*, {_cut_sql(D('defect_rates'))} AS defect_rate_category,
+  CASE WHEN production_volumes >= e0 AND production_volumes <= e1 THEN '{L[0]}'
+  WHEN production_volumes > e1 AND production_volumes <= e2 THEN '{L[1]}'
+  WHEN production_volumes > e2 AND production_volumes <= e3 THEN '{L[2]}'
+  WHEN production_volumes > e3 AND production_volumes <= e4 THEN '{L[3]}' END AS production_volume_category
+FROM items CROSS JOIN edges)""")
     q["stratified_split"] = with_fact("SELECT sku, product_type, split FROM splitted", *split_ctes())
     q["split_sizes"] = with_fact("SELECT split, product_type, count(*) AS n FROM splitted GROUP BY ALL",
                                  *split_ctes())

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Defaults for local runs.  AQE re-plans joins and coalesces shuffle
 # partitions at run time; skew-join splits hot partitions.
@@ -68,3 +70,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return base
+
+
+def materialise(df: DataFrame, tag: str, schema: StructType | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and return the written table,
+    read with ``schema`` if given.
+
+    Cuts the lineage: what reads the result reads files, so a lost executor
+    costs a reread and not a recomputation."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)

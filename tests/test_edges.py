@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadlens.functions.aggs import mean, null_count
+from leadlens.functions.ids import numbered
 from leadlens.functions.text import strip, strip_title, title
 from leadlens.operators import features as FE
 from leadlens.operators import quality as Q
 from leadlens.operators import reports as R
+from leadlens.operators import sparse as SP
 from leadlens.operators import stats as S
 from leadlens.schema import DEFECT_BIN_EDGES, DEFECT_BIN_LABELS, fact_struct
 
@@ -127,10 +129,19 @@ def test_bottleneck_rules_first_match_wins(spark):
 
 
 def test_one_hot_drop_first_levels(spark):
-    df = spark.createDataFrame([("b", 1.0), ("a", 2.0), ("c", 3.0), (None, 4.0)], "g string, v double")
-    out = FE.one_hot_drop_first(df, ["g"])
-    assert out.columns == ["v", "g_b", "g_c"]
-    assert [tuple(r) for r in out.collect()] == [(1.0, 1, 0), (2.0, 0, 0), (3.0, 0, 1), (4.0, 0, 0)]
+    df = spark.createDataFrame([("s1", "b", "x"), ("s2", "a", None), ("s3", "c", "y"), ("s4", None, "y")], "sku string, g string, h string")
+    out = SP.one_hot_drop_first(df)
+    assert out.columns == ["sku", "feature", "value"]
+    assert sorted(tuple(r) for r in out.collect()) == [("s1", "g_b", 1), ("s3", "g_c", 1), ("s3", "h_y", 1), ("s4", "h_y", 1)]
+    assert SP.one_hot_drop_first(df.where("false")).count() == 0
+
+
+def test_numbered_is_dense_and_stable(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v"), F.lit("x").alias("w"))
+    for parts in (1, 7):
+        got = numbered(df.repartition(parts), ["v"]).orderBy("v").collect()
+        assert [(r.id, r.v) for r in got] == [(k + 1, k) for k in range(5000)]
+    assert numbered(df.where("false"), ["v"]).count() == 0
 
 
 def test_histogram_last_bin_closed(spark):
@@ -157,8 +168,9 @@ def test_dtype_counts(spark):
 def test_dummies_have_no_level_limit(spark):
     """1,000 levels give 999 dummies at any size."""
     df = spark.createDataFrame([(f"S{k}", f"v{k:04d}", float(k)) for k in range(1000)], "sku string, g string, lead_time double")
-    _, names = FE.model_matrix(df)
-    assert len(names) == 999 and names[0] == "g_v0001"
+    d = SP.design_matrix(df)
+    names = [r.name for r in d.names.orderBy("feature").collect()]
+    assert d.width == len(names) == 999 and names[0] == "g_v0001"
 
 
 def test_target_encode_fit_on_train(spark):

@@ -6,12 +6,13 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from leadlens.operators import cluster as CL
 from leadlens.operators import explain as EX
 from leadlens.operators import models as MO
+from leadlens.operators import sparse as SP
 from leadlens.sources.fact import fact, items
 
 from .conftest import SF_SMALL
@@ -22,10 +23,9 @@ def design(spark):
     return MO.design(items(fact(spark, SF_SMALL)))
 
 
-def _cond_exp(tree, x, subset, j=None):
+def _cond_exp(tree, x, subset, j=0):
     """Path-dependent E[f(x) | x_S]: follow x on features in S, else weight
     children by training cover."""
-    j = tree["root"] if j is None else j
     if tree["left"][j] < 0:
         return tree["value"][j]
     f, l, r = tree["feature"][j], tree["left"][j], tree["right"][j]
@@ -43,8 +43,8 @@ def test_tree_shap_equals_brute_force_shapley(spark):
     from pyspark.sql.types import DoubleType, StructField, StructType
     schema = StructType([StructField("features", VectorUDT()), StructField("label", DoubleType())])
     df = spark.createDataFrame([(Vectors.dense(list(map(float, a))), float(b)) for a, b in zip(x, y)], schema)
-    m = DecisionTreeRegressor(maxDepth=3, seed=1).fit(df)
-    tree = EX.ensemble_arrays(m, spark)[0]
+    m = DecisionTreeRegressor(maxDepth=5, seed=1).fit(df)     # features repeat on paths
+    tree = EX.tree_arrays(EX.node_table(m, spark).toArrow())[0]
     feats = sorted({int(f) for f, l in zip(tree["feature"], tree["left"]) if l >= 0})
     rows = x[:6]
     phi = EX.tree_shap(tree, rows)
@@ -64,33 +64,55 @@ def test_tree_shap_equals_brute_force_shapley(spark):
 
 
 def test_forest_attributions_sum_to_prediction(spark, design):
-    vec, names = design
-    train = vec.where("split = 'train'")
-    test = vec.where("split = 'test'")
+    train = design.rows.where("split = 'train'")
+    test = design.rows.where("split = 'test'")
     rf = RandomForestRegressor(numTrees=5, maxDepth=6, featureSubsetStrategy="all", seed=42).fit(train)
-    attr = EX.attributions(rf, test, names, spark)
+    attr = EX.attributions(rf, test, design.names, spark)
     s = attr.groupBy("sku").agg(F.sum("phi").alias("s"), F.first("base_value").alias("b"))
     err = (s.join(rf.transform(test).select("sku", "prediction"), "sku")
            .agg(F.max(F.abs(F.col("s") + F.col("b") - F.col("prediction")))).first()[0])
     assert err < 1e-6
 
 
+def test_attributions_over_many_units(spark, design, monkeypatch):
+    """Groups of trees and blocks of rows give what one unit gives."""
+    train, test = (design.rows.where(f"split = '{s}'") for s in ("train", "test"))
+    rf = RandomForestRegressor(numTrees=6, maxDepth=8, featureSubsetStrategy="all", seed=1).fit(train)
+    whole = {(r.sku, r.feature): r.phi for r in EX.attributions(rf, test, design.names, spark).collect()}
+    monkeypatch.setattr(EX, "GROUP_NODES", 50)
+    monkeypatch.setattr(EX, "BLOCK_ROWS", 7)
+    parts = {(r.sku, r.feature): r.phi for r in EX.attributions(rf, test, design.names, spark).collect()}
+    assert parts.keys() == whole.keys() and all(abs(parts[k] - v) < 1e-9 for k, v in whole.items())
+
+
+def test_ten_thousand_levels_are_fitted(spark):
+    df = spark.range(25_000).select(
+        F.concat(F.lit("s"), "id").alias("sku"), F.format_string("v%05d", F.col("id") % 10_000).alias("g"),
+        (F.col("id") % 13).cast("double").alias("a"), ((F.col("id") % 10_000) / 100 + F.col("id") % 13).alias("lead_time"))
+    d = SP.design_matrix(df)
+    assert d.width == 10_000 and d.names.where("feature = 1").first().name == "g_v00001"
+    model = LinearRegression(regParam=1e-3, solver="auto", maxIter=20, labelCol="label").fit(d.rows)
+    assert model.coefficients.size == 10_000 and model.summary.r2 > 0.9
+    row = d.rows.where("sku = 's10001'").first()
+    assert row.features.indices.tolist() == [0, 1] and row.codes == [1]
+
+
 def test_linear_models_order_and_tree_tables(spark, design):
-    vec, names = design
-    m = {r.model: r for r in MO.all_metrics(vec, names, ["Linear Regression", "Ridge Regression",
+    m = {r.model: r for r in MO.all_metrics(design, ["Linear Regression", "Ridge Regression",
                                                        "Lasso Regression", "Decision Tree"]).collect()
          if r.split == "train"}
     assert m["Linear Regression"].r2 >= 0
     assert m["Linear Regression"].r2 >= m["Ridge Regression"].r2 - 1e-9
     assert m["Linear Regression"].r2 >= m["Lasso Regression"].r2 - 1e-9
-    tree = MO.bottleneck_tree(vec)
-    imp = MO.importances(tree, names, spark)
+    tree = MO.bottleneck_tree(design)
+    imp = MO.importances(tree, design.names)
     assert imp.agg(F.sum("importance")).first()[0] == pytest.approx(1.0, abs=1e-9)
-    rules = MO.tree_rules(tree, names, spark).collect()
-    n_train = vec.where("split = 'train'").count()
+    rules = MO.tree_rules(tree, design.names, spark).collect()
+    assert len(MO.tree_rules(tree, design.names, spark, limit=3).collect()) == min(3, len(rules))
+    n_train = design.rows.where("split = 'train'").count()
     assert sum(r["count"] for r in rules) == n_train
     assert all(r.depth <= 4 and r["count"] >= 5 for r in rules)
-    leaves = {(r.leaf, r.split): r.rows for r in MO.leaf_patterns(tree, vec).collect()}
+    leaves = {(r.leaf, r.split): r.rows for r in MO.leaf_patterns(tree, design).collect()}
     assert {r.leaf: r["count"] for r in rules} == {lf: n for (lf, sp), n in leaves.items() if sp == "train"}
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadlens.functions.quantiles import exact_quantiles, select_ranks
+from leadlens.operators import knn
 from leadlens.operators.knn import knn_regress, regression_metrics
 from leadlens.operators.split import allocate_test, stratified_split
 
@@ -68,8 +69,9 @@ def test_stratified_split_is_exact_and_disjoint(spark):
         assert first == {r.sku for r in out if r.product_type == g and r.split == "test"}
 
 
-@pytest.mark.parametrize("bucket_rows", [4, 64, 10_000])
-def test_knn_matches_brute_force(spark, bucket_rows):
+@pytest.mark.parametrize("cell_rows", [4, 64, 10_000])
+def test_knn_matches_brute_force(spark, cell_rows, monkeypatch):
+    monkeypatch.setattr(knn, "CELL_ROWS", cell_rows)
     rng = np.random.default_rng(3)
     n_train, n_query, d = 300, 80, 3
     tr = np.round(rng.normal(0, 1, (n_train, d)) * np.array([50.0, 1.0, 0.1]), 1)   # ties in distances
@@ -80,7 +82,7 @@ def test_knn_matches_brute_force(spark, bucket_rows):
                                   "sku string, label double, f0 double, f1 double, f2 double")
     query = spark.createDataFrame([(f"q{i:04d}", *map(float, qu[i])) for i in range(n_query)],
                                   "sku string, f0 double, f1 double, f2 double")
-    got = {r.sku: r.prediction for r in knn_regress(train, query, feats, k=5, bucket_rows=bucket_rows).collect()}
+    got = {r.sku: r.prediction for r in knn_regress(train, query, feats, k=5).collect()}
     keys = [f"t{i:04d}" for i in range(n_train)]
     for j in range(n_query):
         d2 = ((tr - qu[j]) ** 2).sum(axis=1)
@@ -94,7 +96,8 @@ def test_regression_metrics(spark):
     assert m.r2 == 0.0 and m.mae == pytest.approx(2 / 3, abs=1e-6) and m.rmse == pytest.approx((2 / 3) ** 0.5, abs=1e-6)
 
 
-def test_knn_with_hot_duplicate_vector(spark):
+def test_knn_with_hot_duplicate_vector(spark, monkeypatch):
+    monkeypatch.setattr(knn, "CELL_ROWS", 16)
     rng = np.random.default_rng(11)
     tr = np.round(rng.normal(0, 1, (300, 2)), 2)
     tr[:150] = [0.1, 0.2]                        # half the training rows are one point
@@ -104,7 +107,7 @@ def test_knn_with_hot_duplicate_vector(spark):
                                   "sku string, label double, f0 double, f1 double")
     query = spark.createDataFrame([(f"q{i:04d}", *map(float, qu[i])) for i in range(40)],
                                   "sku string, f0 double, f1 double")
-    got = {r.sku: r.prediction for r in knn_regress(train, query, ["f0", "f1"], k=5, bucket_rows=16).collect()}
+    got = {r.sku: r.prediction for r in knn_regress(train, query, ["f0", "f1"], k=5).collect()}
     keys = [f"t{i:04d}" for i in range(300)]
     for j in range(40):
         d2 = ((tr - qu[j]) ** 2).sum(axis=1)
@@ -112,7 +115,8 @@ def test_knn_with_hot_duplicate_vector(spark):
         assert got[f"q{j:04d}"] == pytest.approx(lab[order].mean(), abs=1e-9)
 
 
-def test_knn_with_hot_value_in_top_coordinate(spark):
+def test_knn_with_hot_value_in_top_coordinate(spark, monkeypatch):
+    monkeypatch.setattr(knn, "CELL_ROWS", 8)
     rng = np.random.default_rng(13)
     tr = np.round(rng.normal(0, 1, (400, 3)) * np.array([100.0, 5.0, 1.0]), 1)
     tr[:200, 0] = 12.5                           # half the rows share the dominant coordinate
@@ -124,7 +128,7 @@ def test_knn_with_hot_value_in_top_coordinate(spark):
                                   "sku string, label double, f0 double, f1 double, f2 double")
     query = spark.createDataFrame([(f"q{i:04d}", *map(float, qu[i])) for i in range(50)],
                                   "sku string, f0 double, f1 double, f2 double")
-    got = {r.sku: r.prediction for r in knn_regress(train, query, feats, k=5, bucket_rows=8).collect()}
+    got = {r.sku: r.prediction for r in knn_regress(train, query, feats, k=5).collect()}
     keys = [f"t{i:04d}" for i in range(400)]
     for j in range(50):
         d2 = ((tr - qu[j]) ** 2).sum(axis=1)
@@ -132,6 +136,30 @@ def test_knn_with_hot_value_in_top_coordinate(spark):
         assert got[f"q{j:04d}"] == pytest.approx(lab[order].mean(), abs=1e-9)
 
 
+def test_knn_with_heavy_cell_sparse_corner_and_codes(spark, monkeypatch):
+    """A crowd that one cell cannot hold, a few rows far away, queries beyond
+    them, a tree that may not grow, and category columns."""
+    monkeypatch.setattr(knn, "CELL_ROWS", 8)
+    monkeypatch.setattr(knn, "QUERY_ROWS", 5)
+    monkeypatch.setattr(knn, "MAX_CELLS", 12)
+    rng = np.random.default_rng(17)
+    tr = np.round(np.concatenate([rng.normal(0, 0.2, (350, 2)), [[90.0, 90.0], [95.0, 80.0], [-70.0, 99.0]]]), 2)
+    qu = np.round(np.concatenate([rng.normal(0, 0.2, (40, 2)), [[99.0, 99.0], [-99.0, 99.0], [50.0, -50.0]]]), 2)
+    tc, qc = rng.integers(-1, 3, (len(tr), 2)), rng.integers(-1, 3, (len(qu), 2))
+    lab = rng.integers(0, 30, len(tr)).astype(float)
+    schema = "sku string, label double, x array<double>, c array<int>"
+    train = spark.createDataFrame([(f"t{i:04d}", float(lab[i]), tr[i].tolist(), tc[i].tolist()) for i in range(len(tr))], schema)
+    query = spark.createDataFrame([(f"q{i:04d}", 0.0, qu[i].tolist(), qc[i].tolist()) for i in range(len(qu))], schema)
+    got = {r.sku: r.prediction for r in knn_regress(train, query, F.col("x"), k=5, codes=F.col("c")).collect()}
+    dummies = lambda c: np.concatenate([np.arange(3)[None, :] == c[:, [j]] for j in range(2)], axis=1).astype(float)
+    a, b = np.concatenate([tr, dummies(tc)], axis=1), np.concatenate([qu, dummies(qc)], axis=1)
+    for j in range(len(qu)):
+        d2 = ((a - b[j]) ** 2).sum(axis=1)
+        order = sorted(range(len(tr)), key=lambda i: (round(d2[i], 9), i))[:5]
+        assert got[f"q{j:04d}"] == pytest.approx(lab[order].mean(), abs=1e-9)
+    assert knn_regress(train.where("false"), query, F.col("x"), codes=F.col("c")).count() == 0
+
+
 from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 

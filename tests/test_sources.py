@@ -51,7 +51,7 @@ def test_stream_snapshot_equals_batch(spark):
 def _copy_tables(to):
     import shutil
     for name in ("lineitem", "orders", "customer", "part", "supplier", "nation", "region"):
-        shutil.copy(f"{SF_SMALL}/{name}.parquet", to / f"{name}.parquet")
+        shutil.copyfile(f"{SF_SMALL}/{name}.parquet", to / f"{name}.parquet")
 
 
 def test_fact_follows_changed_source_files_under_a_uri(spark, tmp_path):
