@@ -37,7 +37,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from .common import documents
+from .common import documents, integers_again, integers_as_text
 
 VOCABULARY = "word_bpe_49k.json"
 MAX_WORDS = 250_000          # words in each of the two halves of a task's cache
@@ -305,7 +305,8 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [np.frombuffer(a, "<u4").astype("i8") for a, _ in got],
                                 "decoded": [b for _, b in got]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, ids array<long>, decoded string")
+    docs = docs.select("doc_id", "text")
+    return integers_again(integers_as_text(docs).mapInPandas(run, "doc_id string, ids array<long>, decoded string"), docs)
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -323,8 +324,9 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
                 b.append(hashlib.sha256(decoded.encode()).hexdigest())
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": n, "ids_sha256": a, "decoded_sha256": b})
 
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    docs = docs.select("doc_id", "text")
+    return integers_again(integers_as_text(docs).mapInPandas(
+        run, "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string"), docs)
 
 
 def op5_bpe_automaton(spark, sf_dir) -> DataFrame:

@@ -36,6 +36,22 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def integers_as_text(df: DataFrame) -> DataFrame:
+    """Integer columns as text: pandas would turn them into doubles beside a
+    null, which rounds numbers above 2^53."""
+    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) if t in INTEGERS else F.col(f"`{c}`") for c, t in df.dtypes])
+
+
+def integers_again(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns that ``integers_as_text`` turned into text, as they were in
+    ``like``."""
+    kinds = {c: t for c, t in like.dtypes if t in INTEGERS}
+    return df.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns])
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row."""
     return F.transform(F.array(value), body)[0]

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Recent, byte_letters, vocabulary_path
-from .common import documents, materialise
+from .common import documents, integers_again, integers_as_text, materialise
 
 ROUNDS = 1
 SMOOTHING = 0.5            # added to each expected piece count
@@ -371,8 +371,9 @@ def predict(docs: DataFrame, model, path: str | None = None) -> DataFrame:
         if scores is not None:
             Recent.all[:] = [x for x in Recent.all if x is not scores]
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    return docs.mapInPandas(run, f"{fields}, lang_pred string, score double")
+    given = integers_as_text(docs)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema if f.name != "text")
+    return integers_again(given.mapInPandas(run, f"{fields}, lang_pred string, score double"), docs.drop("lang_pred", "score"))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, documents, materialise
+from .common import components, documents, integers_again, integers_as_text, materialise
 from .shingles import BUCKETS, by_unit, labels_of, mix, text_word_hashes, unit_bounds, units, windows
 from .shingles import word_frequencies
 
@@ -106,31 +106,39 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def digest(h: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set of shingles."""
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(h.tobytes()), dtype=np.int64).tolist())
+
+
 def _first_pass(docs: DataFrame, sets: Sets) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             n, need, d, e, p = [], [], [], [], []
             for text in pdf["text"]:
                 h, keys = sets.shingles(text)
-                digest = np.frombuffer(xxhash.xxh3_128_digest(h.tobytes()), dtype=np.int64)
                 n.append(len(h))
                 need.append(needed(len(h), sets.percent))
-                d.append(digest[0])
-                e.append(digest[1])
+                for part, into in zip(digest(h), (d, e), strict=True):
+                    into.append(part)
                 p.append(signed(sets.prefix(h, keys, 0)))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": n, "need": need, "d": d, "e": e, "p0": p})
 
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, n long, need int, d long, e long, p0 array<long>")
+    docs = docs.select("doc_id", "text")
+    return integers_again(integers_as_text(docs).mapInPandas(
+        run, "doc_id string, n long, need int, d long, e long, p0 array<long>"), docs)
 
 
 def _second_pass(docs: DataFrame, sets: Sets) -> DataFrame:
-    """For documents (rep, text): the prefixes and the set's bitmap."""
+    """For classes' documents (rep, d, e, text): the prefixes and the bitmap of
+    the set; texts with another set than the class's are left out."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for rep, text in zip(pdf["rep"], pdf["text"], strict=True):
+            for rep, d, e, text in zip(pdf["rep"], pdf["d"], pdf["e"], pdf["text"], strict=True):
                 h, keys = sets.shingles(text)
+                if digest(h) != (d, e):
+                    continue
                 parity = np.bincount((mix(h + np.uint64(99)) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
                 out.append((rep, len(h), needed(len(h), sets.percent), *[signed(sets.prefix(h, keys, k)) for k in range(3)],
                             np.packbits(parity.astype(np.uint8)).tobytes()))
@@ -140,12 +148,13 @@ def _second_pass(docs: DataFrame, sets: Sets) -> DataFrame:
 
 
 def _token_pass(docs: DataFrame, sets: Sets) -> DataFrame:
-    """The sets of documents (rep, component, text)."""
+    """The sets of classes' documents (rep, component, d, e, text)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            tokens = [signed(sets.shingles(t)[0]) for t in pdf["text"]]
-            yield pd.DataFrame({"rep": pdf["rep"], "component": pdf["component"], "n": [len(t) for t in tokens],
-                                "tokens": tokens})
+            found = [(rep, c, h) for rep, c, d, e, h in zip(
+                pdf["rep"], pdf["component"], pdf["d"], pdf["e"], [sets.shingles(t)[0] for t in pdf["text"]], strict=True)
+                if digest(h) == (d, e)]
+            yield pd.DataFrame([(rep, c, len(h), signed(h)) for rep, c, h in found], columns=["rep", "component", "n", "tokens"])
 
     return docs.mapInPandas(run, "rep long, component long, n long, tokens array<long>")
 
@@ -251,18 +260,20 @@ def _verify(percent: int):
 def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     sets = Sets(word_frequencies(docs), size, percent)
-    first = materialise(_first_pass(docs, sets), "ngram-first")
+    first = materialise(_first_pass(docs, sets).withColumn("r", F.monotonically_increasing_id()), "ngram-first")
     known = first.where("n > 0 and doc_id is not null")
-    classes = known.groupBy("d", "e").agg(F.min("doc_id").alias("rep"))
-    members = materialise(known.select("doc_id", "d", "e").join(classes, ["d", "e"]).select("doc_id", "rep").distinct(),
-                          "ngram-members")
+    # a class of equal sets: its number is that of its first row, its owner the smallest id with that set
+    classes = materialise(known.groupBy("d", "e").agg(F.min("r").alias("rep"), F.min("doc_id").alias("owner")), "ngram-classes")
     # a doc_id on rows with different texts stands in several classes, and joins them
-    own = known.join(classes, ["d", "e"]).where("doc_id = rep").select("rep", "need", "d", "e", "p0").dropDuplicates(["d", "e"])
+    members = materialise(known.select("doc_id", "d", "e").join(classes, ["d", "e"]).select("doc_id", "owner").distinct(),
+                          "ngram-members")
+    own = known.join(classes.select("rep"), F.col("r") == F.col("rep")).select("rep", "need", "p0")
     keep = materialise(_stay(_postings(own, "p0")), "ngram-order0")
 
-    text = docs.select(F.col("doc_id").alias("rep"), "text")
-    second = materialise(_second_pass(text.join(keep, "rep").select("rep", "text"), sets).dropDuplicates(["rep"]),
-                         "ngram-second")
+    # all texts of the owner's id; the passes take those with the class's set
+    text = docs.select(F.col("doc_id").alias("owner"), "text")
+    second = materialise(_second_pass(classes.join(keep, "rep").join(text, "owner").select("rep", "d", "e", "text"), sets)
+                         .dropDuplicates(["rep"]), "ngram-second")
     for order, prefix in ((1, "p1"), (2, "p2")):
         keep = materialise(_stay(_postings(second.select("rep", "need", prefix).join(keep, "rep"), prefix)), f"ngram-order{order}")
 
@@ -271,11 +282,14 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     pairs = by_unit(units(light, "tok", BLOCK_ROWS), "tok",
                     _candidates(percent), "u long, v long")
     groups = components(materialise(pairs.distinct(), "ngram-pairs"), "ngram-groups")
-    chosen = text.join(groups.withColumnRenamed("node", "rep"), "rep").select("rep", "component", "text")
+    chosen = classes.join(groups.withColumnRenamed("node", "rep"), "rep").join(text, "owner").select(
+        "rep", "component", "d", "e", "text")
     full = materialise(_token_pass(chosen, sets).dropDuplicates(["rep"]), "ngram-sets")
     links = by_unit(units(full, "component", GROUP_ROWS, "n", GROUP_TOKENS), "component",
                     _verify(percent), "u long, v long")
-    same = members.select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).where("u <> v")
+    owner = lambda c: classes.select(F.col("rep").alias(c), F.col("owner").alias(f"{c}_owner"))
+    links = links.join(owner("u"), "u").join(owner("v"), "v").select(F.col("u_owner").alias("u"), F.col("v_owner").alias("v"))
+    same = members.select(F.col("doc_id").alias("u"), F.col("owner").alias("v")).where("u <> v")
     final = components(materialise(links.unionAll(same).distinct(), "ngram-links"), "ngram-components")
     return (first.select("doc_id", F.col("n").alias("n_shingles"))
             .join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")

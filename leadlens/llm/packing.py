@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .bpe import Recent, byte_letters, chunks, id_bytes, vocabulary_path
-from .common import documents
+from .common import documents, integers_as_text
 
 SIZE = 4096
 END = 2
@@ -221,8 +221,7 @@ class Packer:
     def take(self) -> pd.DataFrame:
         rows, self.rows = self.rows, []
         names = [x.split()[0] for x in SCHEMA.split(", ")]
-        out = pd.DataFrame(rows, columns=names)
-        return out.astype({c: "Int64" for c in names})
+        return pd.DataFrame({c: pd.array([r[k] for r in rows], dtype="Int64") for k, c in enumerate(names)})
 
 
 def pack(docs: DataFrame, path: str | None = None, size: int = SIZE) -> DataFrame:
@@ -241,7 +240,7 @@ def pack(docs: DataFrame, path: str | None = None, size: int = SIZE) -> DataFram
         packer.drain(last=True)
         yield packer.take()
 
-    return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
+    return integers_as_text(docs.select("doc_id", "text")).mapInPandas(run, SCHEMA)
 
 
 def op6_sum_of_squares_packing(spark, sf_dir) -> DataFrame:
