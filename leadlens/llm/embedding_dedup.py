@@ -10,12 +10,16 @@ through the links of hits until no new vector within the threshold is met,
 so a group of any size is collected whole.  Cosines are computed in double
 precision before a link counts.
 
-The beam of a shard is widened until its audit passes: the links of a fixed
-share of the queries are compared with brute force, in blocks, over all
-vectors.  Recall is taken by class of the true number of links in the shard
-(powers of two), as the mean over queries and over links, and each must reach
-the bound, so a large group does not decide for ordinary vectors.  A shard
-that fails with the widest beam is searched exactly, in blocks.
+Equal vectors are one node with a number of copies, so a vector repeated on a
+third of the rows is compared once.  Vectors of each length have shards of
+their own.
+
+The beam is widened until its audit passes: the links of some ``AUDITED``
+queries are compared with brute force over all vectors, and pooled over the
+shards by class of a query's true number of links (powers of two; classes with
+fewer than ``AUDIT_LINKS`` audited links are one class).  Each class must reach
+the bound, so a large group does not decide for ordinary vectors.  If the
+widest beam fails, all is searched exactly, in blocks.
 
 Tasks hand on one row per query and shard with the number of links, and a
 spanning forest of the links (at most as many rows as vectors), not pairs.
@@ -23,17 +27,14 @@ spanning forest of the links (at most as many rows as vectors), not pairs.
 Shards hold ``SHARD_ROWS`` vectors and query blocks ``BLOCK_ROWS`` queries,
 whatever the table's size, so memory is bounded.
 
-Defined cases: null vectors, zero vectors, vectors with null or non-finite
-components and vectors of another length than most link with nothing; rows
-with one vec_id are one node, of which each row is compared; a null vec_id
-links with nothing; an empty table gives an empty table; other columns are
-not read.
+Defined cases: null vectors, zero vectors and vectors with null or non-finite
+components link with nothing; each row is compared, and rows with one vec_id
+share their links and component; a null vec_id links with nothing; an empty
+table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -44,14 +45,18 @@ from .common import components, materialise
 from .shingles import mix
 
 THRESHOLD = 0.9
-SHARDS = 6                   # at least
+SHARDS = 6                   # of a length, at least, once it has SMALL vectors for each
+SMALL = 1000
 SHARD_ROWS = 100_000
 BLOCK_ROWS = 25_000
 LINKS = 12                   # per vector in a layer, twice as many in the lowest
-BEAM, MAX_BEAM = 24, 1536
-RECALL = 0.99
+BEAM, MAX_BEAM = 24, 384
+RECALL = 0.97
 EXACT_ROWS = 64              # queries compared exactly in one call
-AUDIT_EVERY = 100            # one query in so many is audited
+AUDITED = 2000               # queries audited, about (all, if there are fewer)
+AUDIT_LINKS = 100            # of a class that is judged by itself
+SALTS = 64                   # parts in which copies of a vector are counted
+PAIRS = 200_000              # cosines computed in one call
 
 
 def unit_rows(raw: np.ndarray) -> np.ndarray:
@@ -184,7 +189,9 @@ class Graph:
             i, near = np.repeat(i, near.shape[1]), near.ravel()
             nxt = np.unique(i[near >= 0] * len(self.x) + near[near >= 0])
             nxt = nxt[~np.isin(nxt, key)]
-            hit = np.einsum("ij,ij->i", self.x[nxt % len(self.x)], q[nxt // len(self.x)]) >= threshold
+            hit = np.concatenate([np.zeros(0, dtype=bool), *(
+                np.einsum("ij,ij->i", self.x[part % len(self.x)], q[part // len(self.x)]) >= threshold
+                for part in np.array_split(nxt, -(-len(nxt) // PAIRS)))]) if len(nxt) else np.zeros(0, dtype=bool)
             fresh = nxt[hit]
             key = np.union1d(key, fresh)
         return key // len(self.x), key % len(self.x)
@@ -210,126 +217,118 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[hit], nodes[label[hit]]
 
 
+def nodes(good: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct vectors (node, v, copies, owner: the smallest vec_id, dims,
+    shard) and the rows' nodes (vec_id, node).  Copies are counted in parts."""
+    salted = good.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)))
+    parts = materialise(salted.groupBy("v", "salt").agg(F.count(F.lit(1)).alias("c"), F.min("vec_id").alias("low")), "vector-parts")
+    whole = materialise(parts.groupBy("v").agg(F.sum("c").alias("copies"), F.min("low").alias("owner"))
+                        .withColumn("node", F.monotonically_increasing_id()), "vector-nodes")
+    members = salted.join(parts.select("v", "salt").join(whole.select("v", "node"), "v"), ["v", "salt"]).select("vec_id", "node")
+    sizes = whole.groupBy(F.size("v").alias("dims")).agg(F.count(F.lit(1)).alias("n")).select("dims", F.greatest(
+        F.ceil(F.col("n") / SHARD_ROWS), F.least(F.lit(SHARDS), F.ceil(F.col("n") / SMALL))).alias("of"))
+    dealt = whole.withColumn("dims", F.size("v")).join(sizes, "dims").withColumn(
+        "shard", F.xxhash64("dims", F.pmod(F.xxhash64("node"), F.col("of")))).drop("of")
+    return materialise(dealt, "vectors"), materialise(members, "vector-members")
+
+
 def _build(vectors: DataFrame) -> DataFrame:
     """One row per shard and vector: its number, vector, level and links."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id", ignore_index=True)
-        graph = Graph.build(unit_rows(np.stack(pdf["v"])), pdf["vec_id"].to_numpy())
+        pdf = pdf.sort_values("node", ignore_index=True)
+        graph = Graph.build(unit_rows(np.stack(pdf["v"])), pdf["node"].to_numpy())
         links = [[t[k][t[k] >= 0] for _, t in graph.layers[:graph.level[k] + 1]] for k in range(len(pdf))]
-        return pd.DataFrame({"shard": pdf["shard"], "number": np.arange(len(pdf)), "vec_id": pdf["vec_id"], "v": pdf["v"],
-                             "links": links})
+        return pd.DataFrame({"shard": pdf["shard"], "number": np.arange(len(pdf)), "node": pdf["node"], "v": pdf["v"],
+                             "copies": pdf["copies"], "links": links})
 
-    return vectors.groupBy("shard").applyInPandas(
-        run, "shard int, number int, vec_id long, v array<double>, links array<array<int>>")
+    return vectors.select("shard", "node", "v", "copies").groupBy("shard").applyInPandas(
+        run, "shard long, number int, node long, v array<double>, copies long, links array<array<int>>")
 
 
-def _load(pdf: pd.DataFrame) -> tuple[Graph, np.ndarray]:
-    pdf = pdf.sort_values("number", ignore_index=True)
+def _load(pdf: pd.DataFrame) -> Graph:
     level = np.array([len(x) for x in pdf["links"]]) - 1
     layers = []
     for k in range(int(level.max()) + 1):
         table = np.full((len(pdf), LINKS * (2 if k == 0 else 1)), -1, dtype=np.int32)
-        nodes = np.flatnonzero(level >= k)
-        for g in nodes.tolist():
+        at = np.flatnonzero(level >= k)
+        for g in at.tolist():
             row = pdf["links"][g][k]
             table[g, :len(row)] = row
-        layers.append((nodes, table))
-    return Graph(unit_rows(np.stack(pdf["v"])), level, layers), pdf["vec_id"].to_numpy()
+        layers.append((at, table))
+    return Graph(unit_rows(np.stack(pdf["v"])), level, layers)
 
 
-def _search(index: DataFrame, vectors: DataFrame, shards: list[int], blocks: int, beam: int | None,
+def _search(index: DataFrame, queries: DataFrame, shards: DataFrame, blocks: int, beam: int | None,
             threshold: float) -> DataFrame:
-    """Query the given shards with every vector, by beam search or, without a
-    beam, exactly.  Rows: kind 0 (u = vec_id, n = links in the shard) and
-    kind 1 (u, v: forest of the links)."""
-    block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")
-    q = vectors.select("vec_id", "v", block.alias("block")).withColumn(
-        "shard", F.explode(F.array(*[F.lit(k) for k in shards])))
-    ix = index.where(F.col("shard").isin(shards)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    """Query the shards of a vector's length with it, by beam search or,
+    without a beam, exactly.  Rows: kind 0 (u = node, n = rows linked with it in
+    the shard) and kind 1 (u, v: forest of the links)."""
+    block = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(blocks)).cast("int")
+    q = queries.join(shards, "dims").select("node", "v", "shard", block.alias("block"))
+    ix = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out = [pd.DataFrame({"kind": [], "u": [], "v": [], "n": []}, dtype="int64")]
         if len(left) and len(right):
-            shard = int(right["shard"].iloc[0])
-            if beam:
-                graph, ids = _load(right)
-            else:
-                x, ids = unit_rows(np.stack(right["v"])), right["vec_id"].to_numpy()
+            right = right.sort_values("number", ignore_index=True)
+            ids, copies = right["node"].to_numpy(), right["copies"].to_numpy()
+            graph, x = (_load(right), None) if beam else (None, unit_rows(np.stack(right["v"])))
             step = 512 if beam else EXACT_ROWS
             for at in range(0, len(left), step):
                 part = left.iloc[at:at + step]
-                own, q = part["vec_id"].to_numpy(), unit_rows(np.stack(part["v"]))
+                own, q = part["node"].to_numpy(), unit_rows(np.stack(part["v"]))
                 a, b = graph.within(q, beam, threshold) if beam else np.nonzero(q @ x.T >= threshold)
-                a, b = own[a], ids[b]
-                a, b = a[a != b], b[a != b]
-                u, n = np.unique(a, return_counts=True)
-                c, d = forest(a, b)
-                out += [pd.DataFrame({"shard": shard, "kind": 0, "u": u, "v": u, "n": n}),
-                        pd.DataFrame({"shard": shard, "kind": 1, "u": c, "v": d, "n": 0})]
-        return pd.concat(out) if out else pd.DataFrame({"shard": [], "kind": [], "u": [], "v": [], "n": []})
+                a, b = own[a][own[a] != ids[b]], b[own[a] != ids[b]]
+                u, which = np.unique(a, return_inverse=True)
+                c, d = forest(a, ids[b])
+                n = np.bincount(which, weights=copies[b], minlength=len(u)).astype(np.int64)
+                out += [pd.DataFrame({"kind": 0, "u": u, "v": u, "n": n}), pd.DataFrame({"kind": 1, "u": c, "v": d, "n": 0})]
+        return pd.concat(out)
 
     return q.groupBy("shard", "block").cogroup(ix.groupBy("shard", "block")).applyInPandas(
-        run, "shard int, kind int, u long, v long, n long")
+        run, "kind int, u long, v long, n long")
 
 
-def _audit(vectors: DataFrame, shards: int, threshold: float) -> DataFrame:
-    """Brute-force numbers of links of the audited queries in each shard,
-    (u, shard, n_true): the queries meet the shard's vectors in blocks."""
-    chosen = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(AUDIT_EVERY)) == 0).select("vec_id", "v")
-    q = chosen.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"u": [], "shard": [], "n_true": []})
-        x, own, ids = unit_rows(np.stack(right["v"])), left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
-        n = np.zeros(len(left), dtype=np.int64)
-        for at in range(0, len(left), 512):
-            hit = unit_rows(np.stack(left["v"].iloc[at:at + 512])) @ x.T >= threshold
-            n[at:at + 512] = (hit & (own[at:at + 512, None] != ids[None, :])).sum(axis=1)
-        return pd.DataFrame({"u": own, "shard": left["shard"].to_numpy(), "n_true": n})
-
-    return q.groupBy("shard").cogroup(vectors.select("shard", "vec_id", "v").groupBy("shard")).applyInPandas(
-        run, "u long, shard int, n_true long")
-
-
-def _failing(truth: DataFrame, found: DataFrame, shards: list[int], recall: float) -> list[int]:
-    """The shards of ``shards`` in which a size class misses the bound."""
-    counts = found.where("kind = 0").groupBy("shard", "u").agg(F.sum("n").alias("n"))
-    true = truth.where(F.col("shard").isin(shards)).groupBy("shard", "u").agg(F.sum("n_true").alias("n_true"))
-    met = (true.where("n_true > 0").join(counts, ["shard", "u"], "left")
-           .withColumn("got", F.least("n_true", F.coalesce("n", F.lit(0)))))
-    low = (met.groupBy("shard", F.floor(F.log2("n_true")).alias("size"))
-           .agg(F.avg(F.col("got") / F.col("n_true")).alias("query"), (F.sum("got") / F.sum("n_true")).alias("link"))
-           .where(F.least("query", "link") < recall))
-    return sorted(r["shard"] for r in low.select("shard").distinct().collect())     # at most the shards
+def recall_by_class(truth: DataFrame, found: DataFrame) -> DataFrame:
+    """(size, links, recall): of the audited queries' links, by class of a
+    query's number of links; size -1 pools the classes with few links."""
+    n = lambda df, c: df.where("kind = 0").groupBy("u").agg(F.sum("n").alias(c))
+    both = n(truth, "n_true").join(n(found, "n"), "u", "left").withColumn("got", F.least("n_true", F.coalesce("n", F.lit(0))))
+    by = both.groupBy(F.floor(F.log2("n_true")).cast("int").alias("size")).agg(
+        F.sum("n_true").alias("links"), F.sum("got").alias("got"))
+    return by.groupBy(F.when(F.col("links") >= AUDIT_LINKS, F.col("size")).otherwise(-1).alias("size")).agg(
+        F.sum("links").alias("links"), (F.sum("got") / F.sum("links")).alias("recall"))
 
 
 def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``table``."""
     rows = table.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    size = F.size("v")
-    good = rows.where(F.col("vec_id").isNotNull() & usable(F.col("v"))).withColumn("_n", size)
-    common = good.groupBy("_n").agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "_n").first()
-    n = common["c"] if common else 0
-    shards = max(SHARDS, -(-n // SHARD_ROWS))
+    vectors, members = nodes(rows.where(F.col("vec_id").isNotNull() & usable(F.col("v"))))
+    shards = vectors.select("dims", "shard").distinct()
+    n = vectors.count()
     blocks = max(1, -(-n // BLOCK_ROWS))
-    vectors = materialise(
-        good.where(F.col("_n") == (common["_n"] if common else 0)).dropDuplicates(["vec_id", "v"])
-        .select("vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard")), "vectors")
+    queries = vectors.select("node", "v", "dims")
     index = materialise(_build(vectors), "vector-graphs")
-    truth = materialise(_audit(vectors, shards, threshold), "vector-audit")
-    beam, left, parts = BEAM, list(range(shards)), []
-    while left:
-        wide = beam if beam <= MAX_BEAM else None
-        part = materialise(_search(index, vectors, left, blocks, wide, threshold), f"vector-links-{wide or 'exact'}")
-        failing = _failing(truth, part, left, recall) if wide else []
-        parts.append(part.where(~F.col("shard").isin(failing)) if failing else part)
-        beam, left = beam * 4, failing
-    found = reduce(DataFrame.unionAll, parts)
+    audited = queries.where(F.pmod(F.xxhash64("node", F.lit(2)), F.lit(max(1, n // AUDITED))) == 0)
+    truth = materialise(_search(index, audited, shards, 1, None, threshold), "vector-audit")
+    beam: int | None = BEAM
+    while True:
+        found = materialise(_search(index, queries, shards, blocks, beam, threshold), f"vector-links-{beam or 'exact'}")
+        if beam is None or recall_by_class(truth, found).where(F.col("recall") < recall).isEmpty():
+            break
+        beam = 4 * beam if 4 * beam <= MAX_BEAM else None
     counts = found.where("kind = 0").groupBy("u").agg(F.sum("n").alias("n"))
-    linked = components(found.where("kind = 1").select("u", "v").distinct(), "vector-components")
-    out = (table.select("vec_id").join(counts.withColumnRenamed("u", "vec_id"), "vec_id", "left")
-           .join(linked.withColumnRenamed("node", "vec_id"), "vec_id", "left"))
+    known = vectors.select("node", "owner", "copies").join(counts, F.col("node") == F.col("u"), "left").select(
+        "node", "owner", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"))
+    of_rows = members.join(known, "node").groupBy("vec_id").agg(F.sum("n").alias("n"))
+    # links between owners, and of each vec_id with the owners of its vectors
+    owner = lambda c: vectors.select(F.col("node").alias(c), F.col("owner").alias(f"{c}_owner"))
+    linked = (found.where("kind = 1").select("u", "v").distinct().join(owner("u"), "u").join(owner("v"), "v")
+              .select(F.col("u_owner").alias("u"), F.col("v_owner").alias("v")))
+    same = members.join(known, "node").select(F.col("vec_id").alias("u"), F.col("owner").alias("v")).where("u <> v")
+    joined = components(linked.unionAll(same).distinct(), "vector-components")
+    out = (table.select("vec_id").join(of_rows.select("vec_id", "n"), "vec_id", "left")
+           .join(joined.withColumnRenamed("node", "vec_id"), "vec_id", "left"))
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
                       (component == F.col("vec_id")).alias("kept"))

@@ -371,8 +371,8 @@ def test_license_notices_wrapped_over_lines(spark):
 def test_embeddings_of_failing_shards_are_searched_exactly(spark, monkeypatch):
     """A hot group finds itself by any search; the ordinary pairs do not, and
     the widest beam misses them."""
-    for name in ("BEAM", "MAX_BEAM", "AUDIT_EVERY"):
-        monkeypatch.setattr(embedding_dedup, name, 1)
+    for name, value in (("BEAM", 1), ("MAX_BEAM", 1), ("AUDITED", 10**6)):
+        monkeypatch.setattr(embedding_dedup, name, value)
     rng = np.random.default_rng(8)
     centre, pairs = rng.normal(size=64), rng.normal(size=(750, 64))
     x = np.concatenate([centre + 0.03 * rng.normal(size=(600, 64)), pairs, pairs + 0.05 * rng.normal(size=(750, 64))])
@@ -381,3 +381,20 @@ def test_embeddings_of_failing_shards_are_searched_exactly(spark, monkeypatch):
     t = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
     got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(t, recall=0.9999).collect()}
     assert [got[k] for k in range(len(y))] == links.tolist()
+
+
+def test_embeddings_of_other_lengths_repeated_ids_and_copies(spark):
+    a, b, c = [1.0, 2.0, 3.0, 4.0], [1.0, 2.0, 3.0, 4.1], [4.0, -3.0, 0.0, 0.0]
+    rows = [(1, [1.0] * 8), (2, [1.0] * 8), (3, [-1.0] * 8), (10, a), (11, a), (12, b), (13, c), (20, [2.0]), (21, [3.0]),
+            (30, c), (30, [0.0, 1.0]), (31, [0.0, 2.0]), (None, a), (2**53 + 1, [5.0] * 5), (2**53 + 3, [6.0] * 5)]
+    rows += [(100 + k, [0.5, 0.25, 0.0]) for k in range(400)] + [(500, [0.5, 0.25, 0.01]), (501, None)]
+    t = spark.createDataFrame([(i, v, "x", 0) for i, v in rows], "vec_id long, embedding array<float>, node string, shard int")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(t).collect()}
+    assert got[1] == got[2][:1] + (1, True) and got[2] == (1, 1, False) and got[3] == (0, 3, True)
+    assert got[10] == (2, 10, True) and got[11] == (2, 10, False) and got[12] == (2, 10, False)
+    assert got[20] == (1, 20, True) and got[21] == (1, 20, False)
+    # 30 is c, as 13 is, and stands beside 31: one component through the id
+    assert got[13] == (1, 13, True) and got[30] == (2, 13, False) and got[31] == (1, 13, False)
+    assert got[2**53 + 1] == (1, 2**53 + 1, True) and got[2**53 + 3] == (1, 2**53 + 1, False)
+    assert got[500] == (400, 100, False) and got[100] == (400, 100, True) and got[499] == (400, 100, False)
+    assert got[501] == (0, 501, True) and got[None] == (0, None, None)
