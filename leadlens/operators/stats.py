@@ -2,17 +2,18 @@
 
 All outputs are small DataFrames derived from one or two aggregate passes;
 exact quantiles come from ``functions.quantiles`` (distributed selection),
-correlations from a few codegen-sized one-row aggregates over all column pairs.
+correlations from one pass that folds the moments of all column pairs.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggs import mean
+from ..functions.moments import correlations
 from ..functions.quantiles import exact_quantiles
 from .quality import numeric_columns, string_columns
 
@@ -88,93 +89,19 @@ def box_summary(df: DataFrame, col: str = "lead_time", whis: float = 1.5) -> Dat
         F.count_if(x.isNotNull() & ~inside).cast("bigint").alias("fliers"))
 
 
-def _chunked_row(df: DataFrame, exprs: dict[str, Column], chunk: int = 80) -> dict:
-    """Evaluate many aggregates as a few codegen-sized one-row aggregates."""
-    items = list(exprs.items())
-    out: dict = {}
-    for i in range(0, len(items), chunk):
-        out.update(df.agg(*[e.alias(k) for k, e in items[i:i + chunk]]).first().asDict())
-    return out
-
-
-def _corr_cells(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """One row holding ``c_<a>_<b>`` = pairwise-complete Pearson r of each pair,
-    rounded to 6 digits; NULL when a side is constant.
-
-    Two passes of plain sums (whole-stage codegen): pass 1 the means over
-    the rows where both sides are present, pass 2 the centred sums
-    Σ(x-μx)(y-μy), Σ(x-μx)², Σ(y-μy)².  Columns without nulls share one mean.
-    Only per-pair scalars reach the driver."""
-    cols = sorted({c for p in pairs for c in p})
-    d = lambda c: F.col(c).cast("double")
-    nn = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(c).alias(c) for c in cols]).first()
-    free = {c for c in cols if nn[c] == nn["__n"]}
-    both = lambda a, b: d(a).isNotNull() & d(b).isNotNull()
-    p1: dict[str, Column] = {}
-    for c in free:
-        p1[f"sum_{c}"] = F.sum(d(c))
-    for a, b in pairs:
-        if not (a in free and b in free):
-            p1[f"n_{a}_{b}"] = F.count_if(both(a, b))
-            p1[f"sa_{a}_{b}"] = F.sum(F.when(both(a, b), d(a)))
-            p1[f"sb_{a}_{b}"] = F.sum(F.when(both(a, b), d(b)))
-    r1 = _chunked_row(df, p1)
-    p2: dict[str, Column] = {}
-    spec = {}
-    for a, b in pairs:
-        if a in free and b in free:
-            n = nn["__n"]
-            ma, mb = (r1[f"sum_{a}"] or 0.0) / n if n else 0.0, (r1[f"sum_{b}"] or 0.0) / n if n else 0.0
-            xa, xb = d(a) - F.lit(ma), d(b) - F.lit(mb)
-            ka, kb = f"q_{a}", f"q_{b}"
-            p2[ka], p2[kb] = F.sum(xa * xa), F.sum(xb * xb)
-        else:
-            n = r1[f"n_{a}_{b}"]
-            ma = (r1[f"sa_{a}_{b}"] or 0.0) / n if n else 0.0
-            mb = (r1[f"sb_{a}_{b}"] or 0.0) / n if n else 0.0
-            m = both(a, b)
-            xa, xb = F.when(m, d(a) - F.lit(ma)), F.when(m, d(b) - F.lit(mb))
-            ka, kb = f"qa_{a}_{b}", f"qb_{a}_{b}"
-            p2[ka], p2[kb] = F.sum(xa * xa), F.sum(xb * xb)
-        p2[f"x_{a}_{b}"] = F.sum(xa * xb)
-        spec[(a, b)] = (f"x_{a}_{b}", ka, kb)
-    r2 = _chunked_row(df, p2)
-    vals = []
-    for (a, b), (kx, ka, kb) in spec.items():
-        sxy, sxx, syy = r2[kx], r2[ka], r2[kb]
-        if a == b:
-            r = 1.0 if sxx else None
-        elif not sxx or not syy:
-            r = None
-        else:
-            r = round(sxy / (sxx ** 0.5 * syy ** 0.5), 6)
-        vals.append(F.lit(r).cast("double").alias(f"c_{a}_{b}"))
-    return df.sparkSession.range(1).select(*vals)
-
-
 def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Pairwise-complete Pearson matrix in long form (x, y, corr) for every
-    ordered pair incl. the diagonal.  ``i``/``j`` are column positions
-    (lower triangle: i > j)."""
-    cols = cols or numeric_columns(df)
-    pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if j <= i]
-    row = _corr_cells(df, pairs)
-    cells = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            key = f"c_{a}_{b}" if j <= i else f"c_{b}_{a}"
-            cells.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.lit(i).alias("i"),
-                                  F.lit(j).alias("j"), F.col(key).alias("corr")))
-    return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    ordered pair incl. the diagonal, from one pass over the rows.  ``i``/``j``
+    are column positions (lower triangle: i > j)."""
+    return correlations(df, cols or numeric_columns(df))
 
 
 def target_correlations_all(df: DataFrame, target: str = "lead_time",
                             cols: list[str] | None = None) -> DataFrame:
     """(feature, corr) of every numeric column (target included) with the target."""
     cols = cols or numeric_columns(df)
-    row = _corr_cells(df, [(c, target) for c in cols])
-    return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"c_{c}_{target}").alias("corr"))
-                                          for c in cols])).alias("c")).select("c.*")
+    matrix = correlations(df, list(dict.fromkeys([*cols, target])))
+    return matrix.where((F.col("y") == target) & F.col("x").isin(cols)).select(F.col("x").alias("feature"), "corr")
 
 
 def target_correlations(df: DataFrame, target: str = "lead_time", k: int = 10, bottom: bool = False) -> DataFrame:

@@ -219,10 +219,12 @@ def _stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_queries() -> dict[str, Query]:
+    from ..sources.catalog import typed
     from ..schema import FACT_COLUMNS
     base_cols = [n for n, _ in FACT_COLUMNS]
     return {
         "fact_typed": _on_base(lambda b: b),
+        "typed_table": _on_base(typed),
         "shape": _on_base(lambda b: b.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(b.columns)).alias("columns"))),
         "head_rows": _on_base(lambda b: b.orderBy(*base_cols).limit(5)),
         "csv_roundtrip": _csv_roundtrip,

@@ -13,6 +13,8 @@ def source_sql() -> dict[str, str]:
     as_read = ", ".join(f"cast({n} AS double) AS {n}" if t.startswith("decimal") else n for n, t in FACT_COLUMNS)
     return {
         "fact_typed": with_fact(f"SELECT {', '.join(BASE)} FROM fact"),
+        "typed_table": with_fact(
+            f"SELECT row_number() OVER (ORDER BY {', '.join(f'{n} NULLS FIRST' for n in BASE)}) AS id, {', '.join(BASE)} FROM fact"),
         "shape": with_fact(f"SELECT count(*) AS rows, {len(BASE)} AS columns FROM fact"),
         "head_rows": with_fact(f"SELECT {', '.join(BASE)} FROM fact ORDER BY {', '.join(BASE)} LIMIT 5"),
         "csv_roundtrip": with_fact(f"SELECT {as_read} FROM fact"),

@@ -10,16 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ids import numbered
 from ..operators import features as FE
 from ..schema import FACT_COLUMNS, sql_type
 
 
 def typed(df: DataFrame) -> DataFrame:
     """Coerce the base columns to the declared SQL types (decimals round
-    half-up) and add a surrogate ``id`` (unique, not dense: no global
-    ordering is needed to make it)."""
-    cols = [F.col(n).cast(sql_type(t)).alias(n) for n, t in FACT_COLUMNS]
-    return df.select(F.monotonically_increasing_id().alias("id"), *cols)
+    half-up) and add a surrogate ``id``: 1..n in the order of all columns, so
+    the same rows get the same ids however they are partitioned."""
+    rows = df.select(*[F.col(n).cast(sql_type(t)).alias(n) for n, t in FACT_COLUMNS])
+    return numbered(rows, [n for n, _ in FACT_COLUMNS])
 
 
 def save_supply_chain(spark: SparkSession, df: DataFrame, database: str = "supplychaindb",

@@ -1,8 +1,9 @@
 """Incremental monthly snapshot with Structured Streaming.
 
 New fact files landing in a folder update the per-month, per-product-type
-aggregates; each micro-batch rewrites the (small) result table.  Sums and
-counts are kept in the state store, so the means stay exact; the state
+aggregates; each micro-batch writes the (small) result table of its epoch.
+Readers take the last epoch that is complete, so they never see a table in
+the making, and a crash leaves the one before.  Sums and counts are kept in the state store, so the means stay exact; the state
 holds one row per (month, product type).
 """
 
@@ -17,7 +18,7 @@ def monthly_snapshot_stream(spark: SparkSession, source_dir: str, output_dir: st
     """Start the stream; returns the ``StreamingQuery``.
 
     ``source_dir`` holds fact parquet files (schema taken from them).  The
-    output folder holds the full current snapshot after every batch."""
+    output folder holds the full snapshot of every epoch."""
     schema = spark.read.parquet(source_dir).schema
     reader = spark.readStream.schema(schema)
     if files_per_batch:
@@ -29,17 +30,26 @@ def monthly_snapshot_stream(spark: SparkSession, source_dir: str, output_dir: st
                 F.sum("defect_rates").alias("sum_defect_rates"), F.count("defect_rates").alias("n_defect_rates")))
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        # complete mode: the batch is the whole snapshot; write it atomically per epoch
+        # complete mode: the batch is the whole snapshot; _SUCCESS, written last, publishes it
         batch.write.mode("overwrite").parquet(f"{output_dir}/epoch={epoch}")
-        batch.write.mode("overwrite").parquet(f"{output_dir}/current")
 
     return (agg.writeStream.outputMode("complete").foreachBatch(publish)
             .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
 
 
+def last_epoch(spark: SparkSession, output_dir: str) -> int:
+    """The last epoch whose table is complete."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{output_dir}/epoch=*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    epochs = [int(f.getPath().getParent().getName().split("=")[1]) for f in found]
+    if not epochs:
+        raise FileNotFoundError(f"no complete epoch in {output_dir}")
+    return max(epochs)
+
+
 def snapshot_table(spark: SparkSession, output_dir: str) -> DataFrame:
     """The published snapshot as the batch report's columns."""
-    s = spark.read.parquet(f"{output_dir}/current")
+    s = spark.read.parquet(f"{output_dir}/epoch={last_epoch(spark, output_dir)}")
     return (s.select("month", "product_type", "total_orders",
                      F.try_divide(F.col("sum_lead_time").cast("double"), F.col("n_lead_time").cast("double"))
                      .alias("avg_lead_time"),

@@ -29,3 +29,13 @@ def test_no_cartesian_or_nested_loop_join(spark, name):
     q = {**report_queries(), **eda_queries(), **feature_queries()}[name]
     p = _plan(q(spark, SF_SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_correlations_scan_the_rows_once(spark):
+    from leadlens.functions.moments import moment_parts
+    from leadlens.operators.quality import numeric_columns
+    from leadlens.operators.stats import correlation_matrix
+    from leadlens.sources.fact import base_columns, fact, fact_path
+    base = base_columns(fact(spark, SF_SMALL))
+    assert _plan(moment_parts(base, numeric_columns(base))).count("FileScan parquet") == 1
+    assert fact_path(spark, SF_SMALL).split("/")[-1] not in _plan(correlation_matrix(base))

@@ -1,5 +1,7 @@
 """Sources, sinks, catalog DDL, views and the streaming snapshot."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,7 +66,6 @@ def test_fact_follows_changed_source_files_under_a_uri(spark, tmp_path):
 
 
 def test_fact_needs_a_committed_folder(spark, tmp_path):
-    import os
 
     from leadlens.sources.fact import fact_path
     _copy_tables(tmp_path)
@@ -87,3 +88,22 @@ def test_csv_columns_by_header_name(spark, tmp_path):
     q.write_text(",".join(turned[1:]) + "\n" + ",".join(row[h] for h in turned[1:]) + "\n")
     with pytest.raises(ValueError):
         read_supply_chain_csv(spark, str(q))
+
+
+def test_stream_readers_see_the_last_complete_epoch(spark, tmp_path):
+    from leadlens.streaming.monthly import snapshot_table
+    row = [("2024-01", "a", 2, 20, 2, 1.0, 2)]
+    schema = "month string, product_type string, total_orders long, sum_lead_time long, n_lead_time long, sum_defect_rates double, n_defect_rates long"
+    spark.createDataFrame(row, schema).write.parquet(f"{tmp_path}/epoch=9")
+    # a later batch that stopped while it was written
+    spark.createDataFrame(row * 2, schema).write.parquet(f"{tmp_path}/epoch=10")
+    os.remove(f"{tmp_path}/epoch=10/_SUCCESS")
+    assert [r.avg_lead_time for r in snapshot_table(spark, str(tmp_path)).collect()] == [10.0]
+    assert spark.read.parquet(f"{tmp_path}/epoch=10").count() == 2
+
+
+def test_surrogate_ids_do_not_depend_on_the_partitions(spark):
+    from leadlens.sources.catalog import typed
+    base = base_columns(fact(spark, SF_SMALL)).limit(500).checkpoint()
+    one, many = [sorted(tuple(r) for r in typed(base.repartition(n)).collect()) for n in (1, 9)]
+    assert one == many and [r[0] for r in one] == list(range(1, len(one) + 1))
