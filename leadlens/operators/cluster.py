@@ -8,6 +8,8 @@ small thread pool; every fit is itself distributed (k-means|| init).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
@@ -80,6 +82,15 @@ def assign(vec: DataFrame, k: int = 4, restarts: int = 10, seed: int = SEED) ->
     return out, [centres[i] for i in order]
 
 
+def nearest_centre(items_df: DataFrame, centres: list[dict[str, float]]) -> DataFrame:
+    """(sku, cluster): the number of the nearest of the given centres (plain
+    squared distance over a centre's columns, the first among ties)."""
+    apart = [reduce(lambda a, b: a + b, [(F.col(c).cast("double") - v) * (F.col(c).cast("double") - v) for c, v in at.items()])
+             for at in centres]
+    best = F.array_min(F.array(*[F.struct(d.alias("d"), F.lit(k).alias("k")) for k, d in enumerate(apart)]))
+    return items_df.select("sku", best["k"].alias("cluster"))
+
+
 def cluster_means(items_df: DataFrame, assigned: DataFrame, cols=CLUSTER_FEATURES) -> DataFrame:
     """Mean of each cluster feature and row count per cluster, by cluster."""
     j = items_df.join(assigned, "sku")
@@ -95,12 +106,17 @@ def bottleneck_label(avg_defect: Column, avg_volume: Column, avg_lead: Column) -
 
 def cluster_profile(items_df: DataFrame, assigned: DataFrame) -> DataFrame:
     """Per cluster: size, mean lead time / defect rate / volume / price, the
-    modal product type and the primary bottleneck; by mean lead time."""
+    modal product type and the primary bottleneck; by mean lead time.  A mean
+    of a column that the items lack is NULL and decides no bottleneck; the
+    product type is then 'N/A'."""
     j = items_df.join(assigned, "sku")
+    has = set(items_df.columns)
+    avg = lambda c: mean(c) if c in has else F.max(F.lit(None).cast("double"))
+    kind = F.mode("product_type", True) if "product_type" in has else F.max(F.lit("N/A"))
     prof = j.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("count"), mean("lead_time").alias("avg_lead_time"),
-        mean("defect_rates").alias("avg_defect_rate"), mean("production_volumes").alias("avg_production_volume"),
-        mean("price").alias("avg_price"), F.mode("product_type", True).alias("product_types"))
+        F.count(F.lit(1)).alias("count"), avg("lead_time").alias("avg_lead_time"),
+        avg("defect_rates").alias("avg_defect_rate"), avg("production_volumes").alias("avg_production_volume"),
+        avg("price").alias("avg_price"), kind.alias("product_types"))
     return (prof.withColumn("primary_bottleneck", bottleneck_label(F.col("avg_defect_rate"),
                                                                    F.col("avg_production_volume"),
                                                                    F.col("avg_lead_time")))

@@ -116,6 +116,7 @@ def eda_queries() -> dict[str, Query]:
         "target_correlations_bottom": _on_base(S.target_correlations, bottom=True),
         "correlation_lower_triangle": _on_base(S.correlation_lower_triangle),
         "value_counts_top10": _on_base(S.value_counts_top),
+        "frequency_in_key_order": _on_base(lambda b: S.frequency(b, "supplier_name", by_key=True)),
         "category_mean_top10": _on_base(S.category_mean_top),
     }
 

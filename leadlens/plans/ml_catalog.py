@@ -92,6 +92,22 @@ def _profile(spark, sf):
     return CL.cluster_profile(_items(spark, sf), _assigned(spark, sf))
 
 
+#: Centres of the segments that are reported without a fit.
+SEGMENT_CENTRES = [{"lead_time": 14.0, "price": 915.0}, {"lead_time": 15.0, "price": 940.0},
+                   {"lead_time": 16.0, "price": 965.0}, {"lead_time": 15.0, "price": 990.0}]
+
+
+def _segments_sql(columns: str, order: str) -> str:
+    """Items with the number of their nearest centre, grouped."""
+    apart = [" + ".join(f"(cast({c} AS double) - {v}) * (cast({c} AS double) - {v})" for c, v in at.items())
+             for at in SEGMENT_CENTRES]
+    d = ", ".join(f"{x} AS d{k}" for k, x in enumerate(apart))
+    least = f"least({', '.join(f'd{k}' for k in range(len(apart)))})"
+    case = " ".join(f"WHEN d{k} = {least} THEN {k}" for k in range(len(apart)))
+    return with_fact(f"SELECT {columns} FROM seg GROUP BY cluster ORDER BY {order}", *items_ctes(),
+                     f"seg AS (SELECT *, cast(CASE {case} END AS int) AS cluster FROM (SELECT *, {d} FROM items))")
+
+
 MODEL_KEYS = {
     "ols": "Linear Regression", "ridge": "Ridge Regression", "lasso": "Lasso Regression",
     "decision_tree": "Decision Tree", "random_forest": "Random Forest", "gbt": "Gradient Boosting",
@@ -127,6 +143,14 @@ def ml_queries() -> dict:
     q["cluster_means"] = lambda spark, sf: CL.cluster_means(_items(spark, sf), _assigned(spark, sf))
     q["cluster_profile"] = _profile
     q["cluster_bottleneck"] = lambda spark, sf: _profile(spark, sf).select("cluster", "primary_bottleneck")
+    # the same reports over an assignment that SQL can make: the nearest of given centres
+    q["segment_means"] = lambda spark, sf: CL.cluster_means(
+        _items(spark, sf), CL.nearest_centre(_items(spark, sf), SEGMENT_CENTRES))
+    q["segment_profile"] = lambda spark, sf: CL.cluster_profile(
+        _items(spark, sf), CL.nearest_centre(_items(spark, sf), SEGMENT_CENTRES))
+    q["segment_profile_without_prices"] = lambda spark, sf: CL.cluster_profile(
+        _items(spark, sf).drop("price", "product_type", "defect_rates"),
+        CL.nearest_centre(_items(spark, sf), SEGMENT_CENTRES))
     q["pca_2d"] = lambda spark, sf: CL.pca_2d(_cluster_vec(spark, sf), _assigned(spark, sf))[0]
     q["insight_rules"] = lambda spark, sf: IN.insight_rules(
         target_correlations_all(base_columns(fact(spark, sf))),
@@ -147,7 +171,22 @@ def ml_sql() -> dict:
              f"cast(sum(lead_time) FILTER (WHERE {w}) AS double) / nullif(count(*) FILTER (WHERE {w}), 0) "
              f"AS avg_lead_time, '{t}' AS interpretation, '{r}' AS recommendation FROM fact"
              for c, w, t, r in conds]
+    avg = lambda c, name: f"round(cast(sum({c}) AS double) / count({c}), 6) AS {name}"
+    label = lambda d: (f"CASE {d}WHEN sum(production_volumes) / count(production_volumes) > 700 THEN 'Production Volume' "
+                       "WHEN sum(lead_time) / count(lead_time) > 20 THEN 'Logistics' ELSE 'Efficient' END AS primary_bottleneck")
+    head = f"cluster, count(*) AS count, {avg('lead_time', 'avg_lead_time')}, "
+    modal = ("(SELECT product_type FROM seg t WHERE t.cluster = seg.cluster GROUP BY product_type "
+             "ORDER BY count(*) DESC, product_type LIMIT 1) AS product_types")
     return {
+        "segment_means": _segments_sql(
+            "cluster, count(*) AS count, " + ", ".join(avg(c, c) for c in CL.CLUSTER_FEATURES), "cluster"),
+        "segment_profile": _segments_sql(
+            head + f"{avg('defect_rates', 'avg_defect_rate')}, {avg('production_volumes', 'avg_production_volume')}, "
+            f"{avg('price', 'avg_price')}, {modal}, "
+            + label("WHEN sum(defect_rates) / count(defect_rates) > 2.5 THEN 'Quality Issues' "), "avg_lead_time DESC"),
+        "segment_profile_without_prices": _segments_sql(
+            head + f"cast(NULL AS double) AS avg_defect_rate, {avg('production_volumes', 'avg_production_volume')}, "
+            f"cast(NULL AS double) AS avg_price, 'N/A' AS product_types, " + label(""), "avg_lead_time DESC"),
         "cluster_features": with_fact(f"SELECT sku, {cf} FROM items", *items_ctes()),
         "literal_patterns": with_fact(" UNION ALL ".join(parts)),
     }

@@ -148,6 +148,8 @@ FROM (SELECT cast(lead_time AS double) AS x FROM fact) CROSS JOIN q GROUP BY q1,
         "ORDER BY corr ASC NULLS FIRST, feature DESC LIMIT 10) ORDER BY corr DESC, feature", _matrix_sql())
     q["correlation_lower_triangle"] = with_fact("SELECT x, y, i, j, corr FROM m WHERE i > j ORDER BY i, j",
                                                 _matrix_sql())
+    q["frequency_in_key_order"] = with_fact(
+        "SELECT supplier_name, count(*) AS count FROM fact WHERE supplier_name IS NOT NULL GROUP BY supplier_name ORDER BY supplier_name")
     q["value_counts_top10"] = with_fact(" UNION ALL ".join(
         f"SELECT * FROM (SELECT '{c}' AS \"column\", {c} AS value, count(*) AS count FROM fact WHERE {c} IS NOT NULL "
         f"GROUP BY {c} ORDER BY count DESC, value LIMIT 10)" for c in STRING[:3]))

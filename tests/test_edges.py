@@ -188,3 +188,25 @@ def test_insight_ids_in_profile_order(spark):
                                     "cluster int, avg_lead_time double, avg_production_volume double")
     text = " ".join(str(tuple(r)) for r in insight_rules(corr, imp, profile).collect())
     assert "Clusters 10, 1, 2 show" in text
+
+
+@pytest.mark.parametrize("defects, importance, price, strict, fired", [
+    (0.26, 0.0, 0.0, False, ["Quality Control"]), (0.25, 0.2, 0.15, False, []), (0.0, 0.21, 0.0, False, ["Quality Control"]),
+    (0.0, 0.0, 0.16, False, ["Pricing & SKU Management"]), (0.9, 0.0, 0.9, True, []), (0.9, 0.3, 0.9, True, ["Quality Control"]),
+    (None, None, None, False, [])])
+def test_quality_and_pricing_rules(spark, defects, importance, price, strict, fired):
+    from leadlens.operators.insights import insight_rules
+    corr = spark.createDataFrame([("defect_rates", defects), ("price", price)], "feature string, corr double")
+    imp = spark.createDataFrame([("defect_rates", importance)], "feature string, importance double")
+    none = spark.createDataFrame([], "cluster int, avg_lead_time double, avg_production_volume double")
+    got = insight_rules(corr, imp, none, strict_reference=strict).collect()
+    assert [r.category for r in got] == fired
+    seen = 0.0 if strict else defects
+    assert all(r.evidence == f"Correlation: {seen:.3f}, Feature Importance: High" for r in got if r.category == "Quality Control")
+
+
+def test_nearest_centre_takes_the_first_of_ties(spark):
+    from leadlens.operators.cluster import nearest_centre
+    df = spark.createDataFrame([("a", 1.0, 0.0), ("b", 2.0, 5.0), ("c", 3.0, 9.0)], "sku string, x double, y double")
+    got = nearest_centre(df, [{"x": 1.0}, {"x": 3.0}]).collect()
+    assert [(r.sku, r.cluster) for r in got] == [("a", 0), ("b", 0), ("c", 1)]
