@@ -4,10 +4,10 @@ Base labels come from exact phrases in the document's word sequence.  The
 method's labels come from an exact set-similarity join between the text
 blocks of all documents and license notice templates: a block matches a
 template when it contains at least ``THRESHOLD`` of the template's distinct
-words.  Blocks are the lines and, for notices wrapped over several lines,
-word windows over line breaks: of twice the longest template's words, one
-every such length, so every stretch of that length lies in one.  A template
-that a line of the document matches takes its containment from lines.  Template words are ordered by their document
+words.  Blocks are the lines of up to twice the longest template's words and,
+for notices wrapped over several lines or inside longer ones, word windows of
+that length over the whole text, one every half a window, so every stretch of
+half a window lies in one; words scattered more widely are no notice.  Template words are ordered by their document
 frequency over the whole corpus, rarest first.  A block that meets the
 threshold must hold one of a template's first |T| - need + 1 words (prefix
 filter), have ``need`` distinct words (length filter), and have enough
@@ -97,6 +97,11 @@ def _template_words(text: str) -> list[str]:
     return out
 
 
+def longest(templates) -> int:
+    """Words of the longest template."""
+    return max(len(_all_words(t)) for _, t in templates)
+
+
 def phrase_hits(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, n_words, n_base, first_word, last_word, base_list."""
     gap = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -136,7 +141,7 @@ def _postings(docs: DataFrame, templates, threshold: float):
 
 def block_matches(docs: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataFrame:
     """Every (doc_id, text_key, line_no, label, containment) that meets the
-    threshold; line_no is -1 less the first word for a window over lines."""
+    threshold; line_no is -1 less the first word for a window."""
     order, sets = _postings(docs, templates or TEMPLATES, threshold)
     spark = docs.sparkSession
     ranked = F.array(*[F.lit(x) for x in order])
@@ -146,10 +151,12 @@ def block_matches(docs: DataFrame, templates=None, threshold: float = THRESHOLD)
          for i, x in enumerate(ws[:len(ws) - need + 1])],
         "x string, t int, label string, i int, size int, need int, ws array<string>")
     key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
+    span = longest(templates or TEMPLATES)
     lines = docs.select("doc_id", key, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line")) \
-        .select("doc_id", "text_key", "line_no", license_words(F.col("line")).alias("w"))
-    span = max(len(_all_words(t)) for _, t in templates or TEMPLATES)
-    wrapped = (docs.where(F.col("text").contains("\n")).select("doc_id", key, license_words(F.col("text")).alias("w"))
+        .select("doc_id", "text_key", "line_no", license_words(F.col("line")).alias("w")).where(F.size("w") <= 2 * span)
+    # a text of one short line is the only window of itself
+    wrapped = (docs.select("doc_id", key, F.col("text").contains("\n").alias("many"), license_words(F.col("text")).alias("w"))
+               .where(F.col("many") | (F.size("w") > 2 * span))
                .select("doc_id", "text_key", F.explode(F.transform(
                    F.sequence(F.lit(0), F.greatest(F.size("w") - span - 1, F.lit(0)), F.lit(span)),
                    lambda i: F.struct((-1 - i).alias("line_no"), F.slice("w", i + 1, 2 * span).alias("w")))).alias("x"))
@@ -175,11 +182,7 @@ def scan(docs: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataF
     a score: 1 for a phrase, else the best containment, else 0."""
     base = phrase_hits(docs)
     found = materialise(
-        block_matches(docs, templates, threshold).groupBy("doc_id", "text_key", "label")
-        .agg(F.max(F.when(F.col("line_no") >= 0, F.col("containment"))).alias("line"),
-             F.max("containment").alias("any"))
-        .select("doc_id", "text_key", "label", F.coalesce("line", "any").alias("containment"))
-        .groupBy("doc_id", "text_key")
+        block_matches(docs, templates, threshold).groupBy("doc_id", "text_key")
         .agg(F.collect_set("label").alias("found"), F.max("containment").alias("best")), "license")
     found = found.withColumnsRenamed({"doc_id": "_d", "text_key": "_k"})
     both = base.join(found, (F.col("text_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left")
@@ -199,6 +202,7 @@ def _oracle() -> str:
     rows = ", ".join(f"({t}, '{label}', [{', '.join(repr(x) for x in _template_words(text))}])"
                      for t, (label, text) in enumerate(TEMPLATES))
     pats = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
+    span = longest(TEMPLATES)
     at = []
     for label, p in pats.items():
         cond = " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(p.split(), 1))
@@ -211,9 +215,13 @@ places AS (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM d),
 hit AS ({' UNION ALL '.join(at)}),
 base AS (SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS z, list_sort(list(DISTINCT label)) AS bl FROM hit GROUP BY doc_id),
 tpl AS (SELECT * FROM (VALUES {rows}) AS v(t, label, ws)),
-blk AS (SELECT doc_id, list_distinct(list_transform(list_filter(regexp_split_to_array(l,
-               '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> ''), lambda x: lower(x))) AS b
-        FROM (SELECT doc_id, unnest(ls) AS l FROM d)),
+line AS (SELECT doc_id, list_transform(list_filter(regexp_split_to_array(l,
+                '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> ''), lambda x: lower(x)) AS b
+         FROM (SELECT doc_id, unnest(ls) AS l FROM d)),
+blk AS (SELECT doc_id, list_distinct(b) AS b FROM line WHERE len(b) <= {2 * span}
+        UNION ALL
+        SELECT doc_id, list_distinct(w[i + 1:i + {2 * span}]) AS b
+        FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - {span}, 1), {span})) AS i FROM d)),
 m AS (SELECT doc_id, label, len(list_intersect(ws, b)) / len(ws) AS c FROM blk, tpl
       WHERE len(list_intersect(ws, b)) >= ceil({THRESHOLD} * len(ws) - 1e-9)),
 found AS (SELECT doc_id, list(DISTINCT label) AS fl, max(c) AS best FROM m GROUP BY doc_id)
