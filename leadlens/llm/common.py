@@ -33,7 +33,19 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     path = new_folder(spark, tag)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` wrote.  Only for tables of the
+    caller's own, once all that it made of them is written: what is read later
+    must not go back to them, also after the loss of an executor."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 INTEGERS = ("tinyint", "smallint", "int", "bigint")
@@ -78,23 +90,26 @@ def components(edges: DataFrame, tag: str = "cc") -> DataFrame:
     nodes = materialise(
         e.select(F.explode(F.array("u", "v")).alias("node")).distinct()
         .select("node", F.col("node").alias("component")), f"{tag}-nodes")
-    e = e.where("u <> v")
+    whole, e = e, e.where("u <> v")
     while not e.isEmpty():
         both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         hop = materialise(
             both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("p")), f"{tag}-hop")
         # a node's pointer never rises, so following it twice stays inside the component
         second = hop.select(F.col("u").alias("p"), F.col("p").alias("q"))
-        hop = hop.join(second, "p").select("u", F.col("q").alias("p"))
-        hop = materialise(
-            hop.join(second, "p").select("u", F.col("q").alias("p")), f"{tag}-jump")
-        nodes = materialise(
-            nodes.join(hop.select(F.col("u").alias("component"), "p"), "component", "left")
+        jump = materialise(
+            hop.join(second, "p").select("u", F.col("q").alias("p"))
+            .join(second, "p").select("u", F.col("q").alias("p")), f"{tag}-jump")
+        moved = materialise(
+            nodes.join(jump.select(F.col("u").alias("component"), "p"), "component", "left")
             .select("node", F.coalesce("p", "component").alias("component")), f"{tag}-nodes")
-        left = hop.select("u", F.col("p").alias("a"))
-        right = hop.select(F.col("u").alias("v"), F.col("p").alias("b"))
-        e = materialise(
+        left = jump.select("u", F.col("p").alias("a"))
+        right = jump.select(F.col("u").alias("v"), F.col("p").alias("b"))
+        rest = materialise(
             e.join(left, "u").join(right, "v").where("a <> b")
             .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), f"{tag}-edges")
+        discard(whole, nodes, hop, jump)
+        nodes, e, whole = moved, rest, rest
+    discard(whole)
     # hooks always go to smaller nodes and contraction keeps the smallest, so the root is the minimum
     return nodes

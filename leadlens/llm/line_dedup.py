@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, documents, let, materialise
+from .common import SPACES, discard, documents, let, materialise
 
 MIN_WORDS = 8
 LAST = 9223372036854775807
@@ -156,9 +156,11 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                  .select("k").distinct().withColumn("near", F.lit(True)))
 
     state = classes.select("k", "first").join(near_gone, "k", "left")
-    return (places.select("doc_id", "text_key", "line_no", "k").join(state, "k")
-            .where(F.col("near").isNotNull() | (_place(F.col("line_no")) != F.col("first")))
-            .select("doc_id", "text_key", "line_no").distinct())
+    gone = materialise(places.select("doc_id", "text_key", "line_no", "k").join(state, "k")
+                       .where(F.col("near").isNotNull() | (_place(F.col("line_no")) != F.col("first")))
+                       .select("doc_id", "text_key", "line_no").distinct(), "line-gone")
+    discard(places, classes, open_classes, near, keys)
+    return gone
 
 
 def _by_document(removed: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, documents, integers_again, integers_as_text, materialise
+from .common import components, discard, documents, integers_again, integers_as_text, materialise
 from .shingles import BUCKETS, by_unit, labels_of, mix, text_word_hashes, unit_bounds, units, windows
 from .shingles import word_frequencies
 
@@ -269,19 +269,26 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
                           "ngram-members")
     own = known.join(classes.select("rep"), F.col("r") == F.col("rep")).select("rep", "need", "p0")
     keep = materialise(_stay(_postings(own, "p0")), "ngram-order0")
+    counted = materialise(first.select("doc_id", F.col("n").alias("n_shingles")), "ngram-counted")
+    discard(first)
 
     # all texts of the owner's id; the passes take those with the class's set
     text = docs.select(F.col("doc_id").alias("owner"), "text")
     second = materialise(_second_pass(classes.join(keep, "rep").join(text, "owner").select("rep", "d", "e", "text"), sets)
                          .dropDuplicates(["rep"]), "ngram-second")
     for order, prefix in ((1, "p1"), (2, "p2")):
-        keep = materialise(_stay(_postings(second.select("rep", "need", prefix).join(keep, "rep"), prefix)), f"ngram-order{order}")
+        rest = materialise(_stay(_postings(second.select("rep", "need", prefix).join(keep, "rep"), prefix)), f"ngram-order{order}")
+        discard(keep)
+        keep = rest
 
     lists = _posting_lists(_postings(second.select("rep", "need", "p0").join(keep, "rep"), "p0"))
     light = materialise(lists.join(second.select("rep", "n", "bits"), "rep"), "ngram-light")
-    pairs = by_unit(units(light, "tok", BLOCK_ROWS), "tok",
-                    _candidates(percent), "u long, v long")
-    groups = components(materialise(pairs.distinct(), "ngram-pairs"), "ngram-groups")
+    discard(second, keep)
+    pairs = materialise(by_unit(units(light, "tok", BLOCK_ROWS), "tok", _candidates(percent), "u long, v long").distinct(),
+                        "ngram-pairs")
+    discard(light)
+    groups = components(pairs, "ngram-groups")
+    discard(pairs)
     chosen = classes.join(groups.withColumnRenamed("node", "rep"), "rep").join(text, "owner").select(
         "rep", "component", "d", "e", "text")
     full = materialise(_token_pass(chosen, sets).dropDuplicates(["rep"]), "ngram-sets")
@@ -290,9 +297,11 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     owner = lambda c: classes.select(F.col("rep").alias(c), F.col("owner").alias(f"{c}_owner"))
     links = links.join(owner("u"), "u").join(owner("v"), "v").select(F.col("u_owner").alias("u"), F.col("v_owner").alias("v"))
     same = members.select(F.col("doc_id").alias("u"), F.col("owner").alias("v")).where("u <> v")
-    final = components(materialise(links.unionAll(same).distinct(), "ngram-links"), "ngram-components")
-    return (first.select("doc_id", F.col("n").alias("n_shingles"))
-            .join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    links = materialise(links.unionAll(same).distinct(), "ngram-links")
+    discard(full, groups, classes, members)
+    final = components(links, "ngram-components")
+    discard(links)
+    return (counted.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
 
 

@@ -49,7 +49,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, documents, materialise
+from .common import components, discard, documents, materialise
 from .ngram_join import BITS, BLOCK_ROWS, GROUP_ROWS, GROUP_TOKENS, _candidates, _posting_lists, _verify
 from .shingles import HASHES, by_unit, mix, text_word_hashes, units, windows
 
@@ -218,12 +218,16 @@ def near_line_pairs(docs: DataFrame, classes: DataFrame) -> DataFrame:
     text = docs.join(where, "doc_id").select("text", "wanted")
     sets = materialise(_line_sets(text).dropDuplicates(["rep"]), "passage-sets")
     light = materialise(lists.join(sets.select("rep", "n", "bits"), "rep"), "passage-light")
-    pairs = by_unit(units(light, "tok", BLOCK_ROWS), "tok", _candidates(PERCENT), "u long, v long")
-    groups = components(materialise(pairs.distinct(), "passage-pairs"), "passage-groups")
+    pairs = materialise(by_unit(units(light, "tok", BLOCK_ROWS), "tok", _candidates(PERCENT), "u long, v long").distinct(),
+                        "passage-pairs")
+    discard(lists, light)
+    groups = components(pairs, "passage-groups")
     full = materialise(sets.drop("bits").join(groups.withColumnRenamed("node", "rep"), "rep"), "passage-grouped")
-    links = by_unit(units(full, "component", GROUP_ROWS, "n", GROUP_TOKENS), "component",
-                    _verify(PERCENT), "u long, v long")
-    return links.distinct()
+    discard(pairs, sets, groups)
+    links = materialise(by_unit(units(full, "component", GROUP_ROWS, "n", GROUP_TOKENS), "component",
+                                _verify(PERCENT), "u long, v long").distinct(), "passage-links")
+    discard(full)
+    return links
 
 
 def duplicate_spans(table: DataFrame) -> DataFrame:
@@ -231,11 +235,12 @@ def duplicate_spans(table: DataFrame) -> DataFrame:
     smallest document that keeps the passage) and component_id."""
     docs = table.select("doc_id", "text").where("doc_id is not null and text is not null")
     lines = materialise(_lines(docs), "passage-lines")
-    classes = materialise(
+    every = materialise(
         lines.groupBy("h").agg(F.min("doc_id").alias("doc"), F.max("doc_id").alias("last"),
                                F.first("bands").alias("bands")), "passage-classes")
-    groups = components(near_line_pairs(docs, classes), "passage-components")
-    classes = classes.select("h", "doc", "last").join(groups.withColumnRenamed("node", "h"), "h", "left") \
+    links = near_line_pairs(docs, every)
+    groups = components(links, "passage-components")
+    classes = every.select("h", "doc", "last").join(groups.withColumnRenamed("node", "h"), "h", "left") \
         .withColumn("component", F.coalesce("component", "h"))
     kept = classes.groupBy("component").agg(F.min("doc").alias("kept"), F.max("last").alias("last")).where("kept <> last")
     line_of = classes.select("h", "component").join(kept.select("component", "kept"), "component")
@@ -249,6 +254,7 @@ def duplicate_spans(table: DataFrame) -> DataFrame:
     more = _pieces(docs).join(repeated, "h").where("doc_id <> kept") \
         .select("doc_id", "start", "length", "kept", F.col("h").alias("component"))
     units = materialise(found.unionAll(more).distinct(), "passage-units")
+    discard(lines, every, links, groups, repeated)
 
     # runs of touching or overlapping units: a window per document
     own = Window.partitionBy("doc_id").orderBy("start", "length", "kept", "component")

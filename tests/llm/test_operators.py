@@ -398,3 +398,30 @@ def test_embeddings_of_other_lengths_repeated_ids_and_copies(spark):
     assert got[2**53 + 1] == (1, 2**53 + 1, True) and got[2**53 + 3] == (1, 2**53 + 1, False)
     assert got[500] == (400, 100, False) and got[100] == (400, 100, True) and got[499] == (400, 100, False)
     assert got[501] == (0, 501, True) and got[None] == (0, None, None)
+
+
+def test_license_words_scattered_over_a_line_are_no_notice(spark):
+    """One line of thousands of words is covered by windows, as wrapped text
+    is; the best containment counts, from a line or a window."""
+    notice = dict((label, text) for label, text in license_scan.TEMPLATES)["unlicense"].split()
+    far = " ".join(f"{x} " + words(f"w{k}x", 400) for k, x in enumerate(notice))
+    near = words("u", 500) + " " + " ".join(notice) + " " + words("v", 500)
+    part = " ".join(notice[:9]) + "\nand\n" + " ".join(notice[:9]) + "\n" + " ".join(notice[9:])
+    rows = [(1, far), (2, far.replace("w3x", "\nw3x")), (3, near), (4, part)]
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].labels, got[1].score, got[2].labels, got[2].score) == ("", 0, "", 0)
+    assert (got[3].labels, got[3].score) == (got[4].labels, got[4].score) == ("unlicense", 1)
+
+
+def test_discarded_tables_go_and_results_stay(spark, odd):
+    """Operators delete the tables they wrote on the way and no longer need."""
+    from pathlib import Path
+    from leadlens.session import ensure_checkpoint_dir
+    folder = Path(ensure_checkpoint_dir(spark)) / "llm"
+    kinds = lambda: {p.name for p in folder.iterdir()}
+    old = kinds()
+    joined, gone = ngram_join.jaccard_components(odd), line_dedup.removed_lines(odd)
+    spans = substring_dedup.duplicate_spans(odd)
+    left = sorted(x.rsplit("-", 1)[0] for x in kinds() - old)
+    assert left == ["line-gone", "ngram-components-nodes", "ngram-counted", "passage-units"]
+    assert joined.count() == odd.count() and gone.count() >= 0 and spans.count() > 0
