@@ -68,16 +68,23 @@ def moment_parts(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInArrow(run, SCHEMA)
 
 
-def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(x, y, i, j, corr) of every ordered pair: Pearson r over the rows that
-    have both, to 6 digits; NULL when a side is constant or no row has both."""
+def merged_moments(df: DataFrame, cols: list[str]) -> DataFrame:
+    """One row per ordered pair of columns (i, j) with common rows: n, mean_i,
+    cij, cii and cjj over these rows, and whether column i varies there."""
     parts = materialise(moment_parts(df, cols), "moments")
     mean = parts.groupBy("i", "j").agg((F.sum(F.col("n") * F.col("mi")) / F.sum("n")).alias("mean_i"),
                                        (F.sum(F.col("n") * F.col("mj")) / F.sum("n")).alias("mean_j"))
     a, b = F.col("mi") - F.col("mean_i"), F.col("mj") - F.col("mean_j")
-    whole = parts.join(mean, ["i", "j"]).groupBy("i", "j").agg(
-        F.sum(F.col("cij") + F.col("n") * a * b).alias("cij"), F.sum(F.col("cii") + F.col("n") * a * a).alias("cii"),
-        F.sum(F.col("cjj") + F.col("n") * b * b).alias("cjj"), (F.min("lo") < F.max("hi")).alias("varies"))
+    return parts.join(mean, ["i", "j"]).groupBy("i", "j").agg(
+        F.sum("n").alias("n"), F.min("mean_i").alias("mean_i"), F.sum(F.col("cij") + F.col("n") * a * b).alias("cij"),
+        F.sum(F.col("cii") + F.col("n") * a * a).alias("cii"), F.sum(F.col("cjj") + F.col("n") * b * b).alias("cjj"),
+        (F.min("lo") < F.max("hi")).alias("varies"))
+
+
+def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(x, y, i, j, corr) of every ordered pair: Pearson r over the rows that
+    have both, to 6 digits; NULL when a side is constant or no row has both."""
+    whole = merged_moments(df, cols)
     other = whole.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("varies").alias("other_varies"))
     r = F.when(F.col("varies") & F.col("other_varies"), F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(
         F.round(F.col("cij") / (F.sqrt("cii") * F.sqrt("cjj")), 6)))

@@ -1,20 +1,16 @@
-"""K-means segmentation of items into bottleneck groups (Spark ML).
+"""K-means segmentation of items into bottleneck groups.
 
 The five cluster features (lead time included, as in the reference) are
 standardised with the population std, assembled once and checkpointed.
-The k sweep fits are independent Spark jobs and run concurrently from a
-small thread pool; every fit is itself distributed (k-means|| init).
+All fits of the k sweep share one scan per iteration (``kmeans.py``).
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +18,7 @@ from ..functions.aggs import mean
 from ..schema import CLUSTER_FEATURES
 from ..session import ensure_checkpoint_dir
 from .features import standard_scale
+from .kmeans import best_by_k, fit_all, silhouettes
 
 SEED = 42
 
@@ -34,52 +31,34 @@ def cluster_matrix(items_df: DataFrame, cols=CLUSTER_FEATURES) -> DataFrame:
     return vec.select("sku", "features").checkpoint(eager=True)
 
 
-def _best_fit(vec: DataFrame, k: int, restarts: int, seed: int):
-    best = None
-    for i in range(restarts):
-        m = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(vec)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, m)
-    return best
+def _points(vec: DataFrame) -> DataFrame:
+    return vec.select(vector_to_array("features").alias("x"))
 
 
-def kmeans_sweep(vec: DataFrame, ks=range(2, 11), restarts: int = 10, seed: int = SEED,
-                 parallel: int = 8) -> DataFrame:
+def kmeans_sweep(vec: DataFrame, ks=range(2, 11), restarts: int = 10, seed: int = SEED) -> DataFrame:
     """(k, inertia, silhouette_sq): best of ``restarts`` seeds per k.
 
-    The (k, seed) fits are independent jobs and run concurrently.
-    Silhouette uses Spark's squared-Euclidean definition (the exact
-    Euclidean silhouette is quadratic in the rows)."""
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", distanceMeasure="squaredEuclidean")
-
-    def fit(task):
-        k, i = task
-        m = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(vec)
-        return k, i, m.summary.trainingCost, m
-
-    tasks = [(k, i) for k in ks for i in range(restarts)]
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        fits = list(pool.map(fit, tasks))
-    best: dict[int, tuple] = {}
-    for k, i, cost, m in fits:               # lowest cost, then lowest seed
-        if k not in best or (cost, i) < best[k][:2]:
-            best[k] = (cost, i, m)
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        sil = dict(zip(best, pool.map(lambda k: float(ev.evaluate(best[k][2].transform(vec))), list(best))))
-    rows = [(k, float(best[k][0]), sil[k]) for k in sorted(best)]
+    All fits share one scan per iteration, and all silhouettes one more.
+    Silhouette is the squared-Euclidean one (the exact Euclidean silhouette is
+    quadratic in the rows)."""
+    points = _points(vec)
+    best = best_by_k(fit_all(points, ks, restarts, seed))
+    rows = [(k, f.inertia[-1], s) for (k, f), s in zip(best.items(), silhouettes(points, list(best.values())), strict=True)]
     return vec.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_sq double").orderBy("k")
 
 
 def assign(vec: DataFrame, k: int = 4, restarts: int = 10, seed: int = SEED) -> tuple[DataFrame, list]:
     """(sku, cluster) with clusters numbered by ascending centre (features in
-    order), so labels do not depend on the initialisation; and the centres."""
-    _, m = _best_fit(vec, k, restarts, seed)
-    centres = [list(map(float, c)) for c in m.clusterCenters()]
-    order = sorted(range(k), key=lambda i: centres[i])
-    relabel = F.create_map(*[x for new, old in enumerate(order) for x in (F.lit(old), F.lit(new))])
-    out = m.transform(vec).select("sku", F.element_at(relabel, F.col("cluster")).alias("cluster"))
-    return out, [centres[i] for i in order]
+    order), so labels do not depend on the initialisation; and the centres.
+    No rows give no clusters."""
+    fits = best_by_k(fit_all(_points(vec), [k], restarts, seed))
+    centres = sorted(list(map(float, c)) for f in fits.values() for c in f.centres)
+    x = vector_to_array("features")
+    if not centres:
+        return vec.select("sku", F.lit(None).cast("int").alias("cluster")), []
+    apart = [reduce(lambda a, b: a + b, [(x[i] - v) * (x[i] - v) for i, v in enumerate(c)]) for c in centres]
+    best = F.array_min(F.array(*[F.struct(d.alias("d"), F.lit(n).alias("n")) for n, d in enumerate(apart)]))
+    return vec.select("sku", best["n"].alias("cluster")), centres
 
 
 def nearest_centre(items_df: DataFrame, centres: list[dict[str, float]]) -> DataFrame:
@@ -134,7 +113,6 @@ def pca_2d(vec: DataFrame, assigned: DataFrame | None = None) -> tuple[DataFrame
     m = PCA(k=2, inputCol="features", outputCol="pc").fit(vec)
     pcm = m.pc.toArray()
     signs = [1.0 if pcm[abs(pcm[:, j]).argmax(), j] >= 0 else -1.0 for j in range(2)]
-    from pyspark.ml.functions import vector_to_array
     out = m.transform(vec).select("sku", vector_to_array("pc").alias("pc"))
     out = out.select("sku", (F.col("pc")[0] * signs[0]).alias("pc1"), (F.col("pc")[1] * signs[1]).alias("pc2"))
     if assigned is not None:

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from ..operators import cluster as CL
 from ..operators import explain as EX
 from ..operators import insights as IN
+from ..operators import linear as LI
 from ..operators import models as MO
 from ..operators.stats import target_correlations_all
+from ..schema import TARGET
 from ..sources.fact import base_columns, fact, fact_path, items
 from .oracle_features import items_ctes
 from .oracle_fact import with_fact
@@ -92,6 +94,10 @@ def _profile(spark, sf):
     return CL.cluster_profile(_items(spark, sf), _assigned(spark, sf))
 
 
+#: Columns of the linear models that are solved on the moment matrix.
+RIDGE_FEATURES = ["price", "defect_rates"]
+LASSO_FEATURES = ["price", "stock_levels", "order_quantities", "production_volumes", "defect_rates", "shipping_costs"]
+
 #: Centres of the segments that are reported without a fit.
 SEGMENT_CENTRES = [{"lead_time": 14.0, "price": 915.0}, {"lead_time": 15.0, "price": 940.0},
                    {"lead_time": 16.0, "price": 965.0}, {"lead_time": 15.0, "price": 990.0}]
@@ -137,6 +143,10 @@ def ml_queries() -> dict:
         first = attr.agg(F.min("sku").alias("k")).first().k
         return EX.sample_explanation(attr, first)
     q["sample_explanation"] = sample
+    q["ridge_two_features"] = lambda spark, sf: LI.fit_on_moments(
+        base_columns(fact(spark, sf)), RIDGE_FEATURES, TARGET, ridge=1.0)
+    q["lasso_on_moments"] = lambda spark, sf: LI.fit_on_moments(
+        base_columns(fact(spark, sf)), LASSO_FEATURES, TARGET, lasso=0.01)
     q["cluster_features"] = lambda spark, sf: _items(spark, sf).select("sku", *CL.CLUSTER_FEATURES)
     q["kmeans_sweep"] = lambda spark, sf: CL.kmeans_sweep(_cluster_vec(spark, sf))
     q["cluster_assign"] = lambda spark, sf: _assigned(spark, sf)
@@ -177,7 +187,17 @@ def ml_sql() -> dict:
     head = f"cluster, count(*) AS count, {avg('lead_time', 'avg_lead_time')}, "
     modal = ("(SELECT product_type FROM seg t WHERE t.cluster = seg.cluster GROUP BY product_type "
              "ORDER BY count(*) DESC, product_type LIMIT 1) AS product_types")
+    x1, x2 = RIDGE_FEATURES
+    ridge = [f"m AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my, count(*) * covar_pop(a, a) + 1 AS aa, "
+             f"count(*) * covar_pop(b, b) + 1 AS bb, count(*) * covar_pop(a, b) AS ab, count(*) * covar_pop(a, y) AS ay, "
+             f"count(*) * covar_pop(b, y) AS by FROM (SELECT cast({x1} AS double) AS a, cast({x2} AS double) AS b, "
+             f"cast({TARGET} AS double) AS y FROM fact) WHERE a IS NOT NULL AND b IS NOT NULL AND y IS NOT NULL)",
+             "w AS (SELECT *, (ay * bb - by * ab) / (aa * bb - ab * ab) AS wa, "
+             "(by * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM m)"]
     return {
+        "ridge_two_features": with_fact(
+            f"SELECT '{x1}' AS feature, round(wa, 6) AS coefficient FROM w UNION ALL SELECT '{x2}', round(wb, 6) FROM w "
+            "UNION ALL SELECT 'intercept', round(my - wa * ma - wb * mb, 6) FROM w", *ridge),
         "segment_means": _segments_sql(
             "cluster, count(*) AS count, " + ", ".join(avg(c, c) for c in CL.CLUSTER_FEATURES), "cluster"),
         "segment_profile": _segments_sql(

@@ -131,3 +131,75 @@ def test_clustering_invariants(spark):
     assert sum(r["count"] for r in prof) == len(a)
     pcs, ratio = CL.pca_2d(vec)
     assert len(ratio) == 2 and ratio[0] >= ratio[1]
+
+
+def _vectors(spark, x):
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import StringType, StructField, StructType
+    return spark.createDataFrame([(f"s{i}", Vectors.dense(list(map(float, r)))) for i, r in enumerate(x)],
+                                 StructType([StructField("sku", StringType()), StructField("features", VectorUDT())]))
+
+
+def test_all_kmeans_fits_share_their_scans(spark, monkeypatch):
+    """One scan per iteration for all fits; the inertia never rises and is that
+    of the centres; the silhouette is Spark's."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from leadlens.operators import kmeans as KM
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(c, 0.6, size=(60, 3)) for c in (0, 2, 5)] + [np.ones((40, 3))])
+    vec = _vectors(spark, x).repartition(4).checkpoint()
+    scans, step = [], KM._step
+    monkeypatch.setattr(KM, "_step", lambda *a: scans.append(len(a[2])) or step(*a))
+    fits = KM.fit_all(CL._points(vec), range(2, 6), 3, 42)
+    assert len(fits) == 12 and scans[0] == 12 and len(scans) <= 21 and scans == sorted(scans, reverse=True)
+    for f in fits:
+        assert all(b <= a + 1e-9 for a, b in zip(f.inertia, f.inertia[1:]))
+        assert f.inertia[-1] == pytest.approx(((x[:, None] - f.centres[None]) ** 2).sum(axis=2).min(axis=1).sum())
+        assert f.counts.sum() == len(x)
+    best = KM.best_by_k(fits)
+    for k, s in zip(best, KM.silhouettes(CL._points(vec), list(best.values()))):
+        own = ((x[:, None] - best[k].centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        mean = np.array([[((p - x[own == c]) ** 2).sum(axis=1).sum() for c in range(k)] for p in x])
+        n = np.bincount(own, minlength=k)
+        a = mean[np.arange(len(x)), own] / np.maximum(n[own] - 1, 1)
+        mean = mean / n
+        mean[np.arange(len(x)), own] = np.inf
+        b = mean.min(axis=1)
+        assert s == pytest.approx(np.where(n[own] > 1, (b - a) / np.maximum(a, b), 0).mean(), abs=1e-9)
+        if k == 3:
+            got = spark.createDataFrame([(Vectors.dense(p.tolist()), float(c)) for p, c in zip(x, own)], ["features", "prediction"])
+            assert s == pytest.approx(ClusteringEvaluator().evaluate(got), abs=1e-9)
+
+
+def test_kmeans_of_few_points(spark):
+    assigned, centres = CL.assign(_vectors(spark, [[0, 0]] * 30 + [[9, 9]]), k=4, restarts=2)
+    assert centres == [[0, 0], [9, 9]]
+    assert sorted((r.cluster for r in assigned.collect())) == [0] * 30 + [1]
+    none = _vectors(spark, [[0, 0]]).where("false")
+    assert CL.kmeans_sweep(none, ks=[2], restarts=1).count() == 0 and CL.assign(none)[0].count() == 0
+
+
+def test_linear_models_on_moments(spark):
+    """Ridge in closed form, lasso by its optimality conditions, on rows with
+    gaps and a constant column."""
+    from leadlens.operators import linear as LI
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 4)) * [1, 5, 0.2, 1] + [100, 0, 3, 0]
+    x[:, 3] += 0.7 * x[:, 0]
+    y = 2 * x[:, 0] - 0.3 * x[:, 1] + rng.normal(size=300)
+    rows = [(*map(float, r), 7.0, float(t)) for r, t in zip(x, y)] + [(None, 1.0, 1.0, 1.0, 7.0, 1e6), (1.0, 1.0, 1.0, 1.0, 7.0, None)]
+    cols = ["a", "b", "c", "d", "e"]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in [*cols, "y"])).repartition(5)
+    full = np.column_stack([x, np.full(300, 7.0)])
+    c, t = full - full.mean(axis=0), y - y.mean()
+    got = {r.feature: r.coefficient for r in LI.fit_on_moments(df, cols, "y", ridge=3.0).collect()}
+    want = np.linalg.solve(c.T @ c + 3 * np.eye(5), c.T @ t)
+    assert np.allclose([got[k] for k in cols], want, atol=2e-6)
+    assert got["intercept"] == pytest.approx(y.mean() - full.mean(axis=0) @ want, abs=2e-6)
+    got = {r.feature: r.coefficient for r in LI.fit_on_moments(df, cols, "y", lasso=0.2).collect()}
+    b = np.array([got[k] for k in cols])
+    pull = c.T @ (t - c @ b) / 300
+    assert (b != 0).sum() in (2, 3) and b[4] == 0
+    assert np.allclose(pull[b != 0], 0.2 * np.sign(b[b != 0]), atol=1e-4) and (np.abs(pull[b == 0]) <= 0.2 + 1e-4).all()
+    none = LI.fit_on_moments(df.where("a is null"), cols, "y").collect()
+    assert len(none) == 6 and all(r.coefficient is None for r in none)
