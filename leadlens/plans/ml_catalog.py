@@ -189,11 +189,11 @@ def ml_sql() -> dict:
              "ORDER BY count(*) DESC, product_type LIMIT 1) AS product_types")
     x1, x2 = RIDGE_FEATURES
     ridge = [f"m AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my, count(*) * covar_pop(a, a) + 1 AS aa, "
-             f"count(*) * covar_pop(b, b) + 1 AS bb, count(*) * covar_pop(a, b) AS ab, count(*) * covar_pop(a, y) AS ay, "
-             f"count(*) * covar_pop(b, y) AS by FROM (SELECT cast({x1} AS double) AS a, cast({x2} AS double) AS b, "
+             f"count(*) * covar_pop(b, b) + 1 AS bb, count(*) * covar_pop(a, b) AS ab, count(*) * covar_pop(a, y) AS ya, "
+             f"count(*) * covar_pop(b, y) AS yb FROM (SELECT cast({x1} AS double) AS a, cast({x2} AS double) AS b, "
              f"cast({TARGET} AS double) AS y FROM fact) WHERE a IS NOT NULL AND b IS NOT NULL AND y IS NOT NULL)",
-             "w AS (SELECT *, (ay * bb - by * ab) / (aa * bb - ab * ab) AS wa, "
-             "(by * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM m)"]
+             "w AS (SELECT *, (ya * bb - yb * ab) / (aa * bb - ab * ab) AS wa, "
+             "(yb * aa - ya * ab) / (aa * bb - ab * ab) AS wb FROM m)"]
     return {
         "ridge_two_features": with_fact(
             f"SELECT '{x1}' AS feature, round(wa, 6) AS coefficient FROM w UNION ALL SELECT '{x2}', round(wb, 6) FROM w "
