@@ -70,11 +70,14 @@ def nearest_centre(items_df: DataFrame, centres: list[dict[str, float]]) -> Data
     return items_df.select("sku", best["k"].alias("cluster"))
 
 
-def cluster_means(items_df: DataFrame, assigned: DataFrame, cols=CLUSTER_FEATURES) -> DataFrame:
-    """Mean of each cluster feature and row count per cluster, by cluster."""
+def cluster_means(items_df: DataFrame, assigned: DataFrame, cols=CLUSTER_FEATURES, digits: int = 6,
+                  half_even: bool = False) -> DataFrame:
+    """Mean of each cluster feature and row count per cluster, by cluster;
+    ``half_even`` rounds ties to the even digit."""
     j = items_df.join(assigned, "sku")
+    rounded = F.bround if half_even else F.round
     return (j.groupBy("cluster").agg(F.count(F.lit(1)).alias("count"),
-                                     *[F.round(mean(c), 6).alias(c) for c in cols]).orderBy("cluster"))
+                                     *[rounded(mean(c), digits).alias(c) for c in cols]).orderBy("cluster"))
 
 
 def bottleneck_label(avg_defect: Column, avg_volume: Column, avg_lead: Column) -> Column:

@@ -9,6 +9,8 @@ the library functions keep the reference's values as defaults.
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,7 @@ from ..operators import split as SP
 from ..operators.sparse import one_hot_drop_first
 from ..operators import reports as R
 from ..operators import stats as S
+from ..session import ensure_checkpoint_dir
 from ..sources.fact import base_columns, fact, items
 from .oracle_eda import eda_sql
 from .ml_catalog import ml_queries, ml_sql
@@ -209,9 +212,6 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
     from ..sources.fact import fact_path
     from ..streaming.monthly import run_monthly_snapshot
     fact(spark, sf_dir)  # make sure the fact files exist
@@ -219,6 +219,26 @@ def _stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_monthly_snapshot(spark, fact_path(spark, sf_dir), work, files_per_batch=2)
 
 
+def _ml_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export relation, written by product type and read back."""
+    rows = FE.ml_ready(base_columns(fact(spark, sf_dir)))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ml_export_{uuid.uuid4().hex}"
+    FE.export(rows, path, partition_by="product_type")
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
+def _sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A SQL report on the export view, itself a view on the encoding views."""
+    from ..sources.catalog import register_views
+    register_views(fact(spark, sf_dir))
+    return spark.sql(SQL_VIEWS.format(view="ml_ready_data"))
+
+
+#: Report on the export view, in Spark's and DuckDB's SQL alike.
+SQL_VIEWS = ("SELECT product_type, transport_mode_code, count(*) AS rows, cast(sum(lead_time) AS bigint) AS lead_time_sum, "
+             "round(max(product_type_lead_time_mean), 6) AS type_mean FROM {view} GROUP BY product_type, transport_mode_code")
+
+
 def source_queries() -> dict[str, Query]:
     from ..sources.catalog import typed
     from ..schema import FACT_COLUMNS
@@ -226,6 +246,9 @@ def source_queries() -> dict[str, Query]:
     return {
         "fact_typed": _on_base(lambda b: b),
         "typed_table": _on_base(typed),
+        "ml_export": _ml_export,
+        "sql_views": _sql_views,
+        "dtype_counts": _on_base(Q.dtype_counts),
         "shape": _on_base(lambda b: b.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(b.columns)).alias("columns"))),
         "head_rows": _on_base(lambda b: b.orderBy(*base_cols).limit(5)),
         "csv_roundtrip": _csv_roundtrip,
@@ -250,4 +273,6 @@ def all_oracles() -> dict[str, str]:
     out.update(features_sql())
     out.update(ml_sql())
     out.update(source_sql())
+    out["ml_export"] = out["ml_ready"]
+    out["sql_views"] = SQL_VIEWS.format(view=f"({out['ml_ready']}) AS v")
     return out

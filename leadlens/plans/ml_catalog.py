@@ -156,6 +156,8 @@ def ml_queries() -> dict:
     # the same reports over an assignment that SQL can make: the nearest of given centres
     q["segment_means"] = lambda spark, sf: CL.cluster_means(
         _items(spark, sf), CL.nearest_centre(_items(spark, sf), SEGMENT_CENTRES))
+    q["segment_means_half_even"] = lambda spark, sf: CL.cluster_means(
+        _items(spark, sf), CL.nearest_centre(_items(spark, sf), SEGMENT_CENTRES), digits=2, half_even=True)
     q["segment_profile"] = lambda spark, sf: CL.cluster_profile(
         _items(spark, sf), CL.nearest_centre(_items(spark, sf), SEGMENT_CENTRES))
     q["segment_profile_without_prices"] = lambda spark, sf: CL.cluster_profile(
@@ -200,6 +202,9 @@ def ml_sql() -> dict:
             "UNION ALL SELECT 'intercept', round(my - wa * ma - wb * mb, 6) FROM w", *ridge),
         "segment_means": _segments_sql(
             "cluster, count(*) AS count, " + ", ".join(avg(c, c) for c in CL.CLUSTER_FEATURES), "cluster"),
+        "segment_means_half_even": _segments_sql(
+            "cluster, count(*) AS count, " + ", ".join(
+                f"round_even(cast(sum({c}) AS double) / count({c}), 2) AS {c}" for c in CL.CLUSTER_FEATURES), "cluster"),
         "segment_profile": _segments_sql(
             head + f"{avg('defect_rates', 'avg_defect_rate')}, {avg('production_volumes', 'avg_production_volume')}, "
             f"{avg('price', 'avg_price')}, {modal}, "

@@ -16,6 +16,9 @@ def source_sql() -> dict[str, str]:
         "typed_table": with_fact(
             f"SELECT row_number() OVER (ORDER BY {', '.join(f'{n} NULLS FIRST' for n in BASE)}) AS id, {', '.join(BASE)} FROM fact"),
         "shape": with_fact(f"SELECT count(*) AS rows, {len(BASE)} AS columns FROM fact"),
+        "dtype_counts": "SELECT CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' "
+                        "WHEN 'BIGINT' THEN 'bigint' ELSE lower(column_type) END AS dtype, cast(count(*) AS int) AS columns "
+                        f"FROM (DESCRIBE {with_fact(f'SELECT {", ".join(BASE)} FROM fact')}) GROUP BY 1",
         "head_rows": with_fact(f"SELECT {', '.join(BASE)} FROM fact ORDER BY {', '.join(BASE)} LIMIT 5"),
         "csv_roundtrip": with_fact(f"SELECT {as_read} FROM fact"),
         # the feature stage widens the 24 base columns to 45

@@ -44,7 +44,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    # "local-cluster" has executors of their own
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
