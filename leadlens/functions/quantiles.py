@@ -1,268 +1,221 @@
-"""Exact order statistics and quantiles (linear interpolation, as pandas /
-SQL ``quantile_cont``) computed as distributed selection.
-
-Spark's exact ``percentile`` merges a map of every distinct value of a
-group in one task, which does not hold for high-cardinality doubles.
-Here each needed rank is found in a constant number of passes over the
-input, for every column at once.  A first pass counts rows and estimates
-distinct values.  A column with few distinct values (below
-``max_distinct``) is ranked exactly from its value counts.  For the others:
-
-1. row counts, then exact percentiles of a bounded Bernoulli sample just
-   below and above each needed rank (binomial margin): a bracket
-   ``[lo, hi]``;
-2. the exact number of rows below and inside each bracket (conditional
-   counts), which proves the rank lies inside;
-3. the rows inside the brackets, as (bracket, value) -> count (a value
-   holding a third of the rows is one row), ranked by a running sum per
-   bracket; only the row holding the rank is collected.
-
-If a rank is not inside its bracket (an unlucky sample) or the bracket
-is too large, the fallback narrows by value ranges: per-range counts (``fanout`` rows)
-locate the range holding the rank and the search recurses into it.
-
-Only bounded data reaches the driver: counts, bracket edges and the
-selected order statistics.
+"""Exact order statistics, quantiles (linear interpolation, as pandas / SQL
+``quantile_cont``) and moments of many columns or groups in a few scans.
+
+Spark's exact ``percentile`` merges a map of every distinct value of a group in
+one task, which does not hold for high-cardinality doubles.  Here one scan
+folds the rows of every column into mergeable rank summaries of bounded size
+(``functions.sketch``), whose bounds prove an interval [lo, hi] around each
+rank, whatever the data.  A column with few distinct values is settled by that
+scan.  The next scan counts the rows below each open interval and summarises
+the rows inside it, which is exact once the interval holds few distinct values.
+That takes two scans up to some ten million rows; each further scan narrows
+the intervals by three to four orders of magnitude, so 10^12 rows take four.
+
+A task hands on one summary per column (or group) and interval; summaries
+merge in two rounds, by blocks of tasks and then all.  Only the intervals and
+the selected values reach the driver.  A value holding a third of the rows is
+one entry of a summary; no group's rows are gathered or sorted anywhere.
+
+NULL and NaN are missing values.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
-
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _ranks_for(n: int, probs: list[float]) -> list[tuple[float, int, int, float]]:
-    out = []
-    for p in probs:
-        pos = (n - 1) * p
-        out.append((p, math.floor(pos), math.ceil(pos), pos))
-    return out
-
-
-def _agg_chunked(df: DataFrame, exprs: list[Column], chunk: int = 80) -> dict:
-    """Many aggregates as a few one-row aggregates small enough for codegen."""
-    out: dict = {}
-    for i in range(0, len(exprs), chunk):
-        out.update(df.agg(*exprs[i:i + chunk]).first().asDict())
-    return out
-
-
-def _lit_map(vals: list) -> Column:
-    return F.create_map(*[x for i, v in enumerate(vals) for x in (F.lit(i), F.lit(v))])
-
-
-def _bracketed(df: DataFrame, exprs: dict[str, Column], need: dict[str, set[int]], sizes: dict[str, int],
-               sample_rows: int, max_bracket_rows: int) -> dict[tuple[str, int], tuple[float, int]]:
-    """(value, first rank holding it) for each (name, rank) it can place."""
-    if not need:
-        return {}
-    n_max = max(sizes[k] for k in need)
-    f = min(1.0, sample_rows / n_max)
-    slots = []
-    for k, rs in need.items():
-        n = sizes[k]
-        for r in sorted(rs):
-            p = r / (n - 1) if n > 1 else 0.0
-            m = 0.0 if f >= 1.0 else 6.0 * math.sqrt(p * (1 - p) / (f * n)) + 3.0 / (f * n)
-            slots.append((k, r, max(0.0, p - m), min(1.0, p + m)))
-    probs = {k: sorted({q for kk, _, a, b in slots if kk == k for q in (a, b)}) for k in need}
-    names = list(need)
-    src = df if f >= 1.0 else df.sample(False, f, seed=42)
-    # exact percentiles of a bounded sample: the value map holds <= sample_rows values
-    approx = src.agg(*[F.percentile(exprs[k], probs[k]).alias(f"a{i}") for i, k in enumerate(names)]).first()
-    edge = {k: dict(zip(probs[k], approx[f"a{i}"] or [])) for i, k in enumerate(names)}
-    bounds = [(k, r, edge[k].get(a), edge[k].get(b)) for k, r, a, b in slots]
-    bounds = [(k, r, lo, hi) for k, r, lo, hi in bounds if lo is not None and hi is not None]
-    if not bounds:
-        return {}
-    counts = _agg_chunked(df, [x for i, (k, _, lo, hi) in enumerate(bounds) for x in (
-        F.count_if(exprs[k] < lo).alias(f"b{i}"), F.count_if(exprs[k].between(lo, hi)).alias(f"c{i}"))])
-    # keep the brackets that provably hold their rank and are small enough
-    ok = [i for i, (k, r, lo, hi) in enumerate(bounds)
-          if counts[f"b{i}"] <= r < counts[f"b{i}"] + counts[f"c{i}"] and counts[f"c{i}"] <= max_bracket_rows]
-    if not ok:
-        return {}
-    bounds = [bounds[i] for i in ok]
-    below = [counts[f"b{i}"] for i in ok]
-    # values inside the brackets: one narrow filtered select per column
-    # (hot values collapse in the count), then each value is tagged with the
-    # brackets of its column that hold it
-    per_key: dict[str, list[int]] = {}
-    for i, (k, _, _, _) in enumerate(bounds):
-        per_key.setdefault(k, []).append(i)
-    parts = []
-    for k, idx in per_key.items():
-        cond = F.lit(False)
-        for i in idx:
-            cond = cond | exprs[k].between(bounds[i][2], bounds[i][3])
-        parts.append(df.where(cond).select(F.lit(k).alias("key"), exprs[k].alias("x")))
-    vals = reduce(DataFrame.unionByName, parts).groupBy("key", "x").agg(F.count(F.lit(1)).alias("n"))
-    slot_ids = F.array_compact(F.array(*[
-        F.when((F.col("key") == k) & F.col("x").between(lo, hi), F.lit(i)) for i, (k, _, lo, hi) in enumerate(bounds)]))
-    base = F.element_at(_lit_map(below), F.col("slot"))
-    rank = F.element_at(_lit_map([r for _, r, _, _ in bounds]), F.col("slot"))
-    w = Window.partitionBy("slot").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hits = (vals.select("x", "n", F.explode(slot_ids).alias("slot"))
-            .withColumn("cum", F.sum("n").over(w))
-            .where((base + F.col("cum") - F.col("n") <= rank) & (rank < base + F.col("cum")))
-            .select("slot", "x", (base + F.col("cum") - F.col("n")).alias("first")).collect())
-    out = {}
-    for h in hits:
-        k, r, _, _ = bounds[h.slot]
-        out[(k, r)] = (h.x, int(h["first"]))
-    return out
-
-
-# ---- fallback: narrowing by value ranges --------------------------------
-
-def _pick_small(vc: DataFrame, need: dict[str, set[int]]) -> dict[tuple[str, int], tuple[float, int]]:
-    """Ranks in value counts ``vc(key, x, n)`` of keys with few distinct values."""
-    if not need:
-        return {}
-    w = Window.partitionBy("key").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = vc.where(F.col("key").isin(list(need))).withColumn("cum", F.sum("n").over(w))
-    cond = F.lit(False)
-    for k, ranks in need.items():
-        for r in ranks:
-            cond = cond | ((F.col("key") == k) & (F.col("cum") - F.col("n") <= r) & (F.col("cum") > r))
-    out = {}
-    for row in cum.where(cond).select("key", "x", "n", "cum").collect():
-        for r in need[row.key]:
-            if row.cum - row.n <= r < row.cum:
-                out[(row.key, r)] = (row.x, row.cum - row.n)
-    return out
-
-
-def _pick_large(vc: DataFrame, key: str, ranks: set[int], max_distinct: int, fanout: int,
-                lo: float | None = None, hi: float | None = None, depth: int = 0) -> dict[int, tuple[float, int]]:
-    """Cut one key's distinct values into ``fanout`` ranges (approximate
-    quantiles), count each range, recurse into the ranges holding ranks."""
-    sub = vc.where(F.col("key") == key)
-    if lo is not None:
-        sub = sub.where(F.col("x") >= lo)
-    if hi is not None:
-        sub = sub.where(F.col("x") < hi)
-    cuts = sub.agg(F.percentile_approx("x", [i / fanout for i in range(1, fanout)], fanout * 10).alias("q")).first().q
-    cuts = sorted(set(cuts or [])) or [0.0]
-    # range index = number of cuts <= x (Bucketizer: binary search, JVM-side)
-    from pyspark.ml.feature import Bucketizer
-    ranged = Bucketizer(splits=[float("-inf")] + cuts + [float("inf")], inputCol="x", outputCol="b").transform(sub)
-    stats = (ranged.withColumn("b", F.col("b").cast("int")).groupBy("b")
-             .agg(F.sum("n").alias("cnt"), F.count(F.lit(1)).alias("d")).orderBy("b").collect())
-    edges = [lo] + cuts + [hi]
-    out: dict[int, tuple[float, int]] = {}
-    start = 0
-    for s in stats:
-        local = {r - start for r in ranks if start <= r < start + s.cnt}
-        if local:
-            b_lo, b_hi = edges[s.b], edges[s.b + 1]
-            if s.d <= max_distinct or depth >= 6 or len(stats) == 1:
-                part = vc.where(F.col("key") == key)
-                if b_lo is not None:
-                    part = part.where(F.col("x") >= b_lo)
-                if b_hi is not None:
-                    part = part.where(F.col("x") < b_hi)
-                got = _pick_small(part, {key: local})
-                vals = {r: got[(key, r)] for r in local}
+from .sketch import Fold, Summary, merge_all, merge_moments, unpack
+
+SIZE = 2048        # values a summary of the first scan keeps (up to twice as many)
+MORE = 8           # times as many in each further scan,
+MOST = 65_536      # up to this many
+BLOCKS = 512       # blocks of tasks whose summaries are merged first
+PART = "grp string, col int, slot int, part int, below long, n long, mean double, m2 double, summary binary"
+FOUND = ("grp string, col int, slot int, n long, mean double, m2 double, low double, high double, "
+         "found array<struct<rank:long,lo:double,hi:double,before:long>>")
+
+Name = tuple[str | None, int]      # (group, column)
+
+
+class Stat(NamedTuple):
+    n: int = 0
+    mean: float | None = None
+    m2: float | None = None
+    low: float | None = None
+    high: float | None = None
+
+
+def _fold(df: DataFrame, size: int, slots: dict[Name, list[tuple[int, float, float]]] | None) -> DataFrame:
+    """One row per task, (group, column) and interval (see PART) from one scan
+    of ``df`` (the group, then a double per column).  Without ``slots`` a
+    column is one interval, slot 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: dict[tuple, Fold] = {}
+
+        def take(name: Name, x: np.ndarray) -> None:
+            for slot, lo, hi in ([(0, None, None)] if slots is None else slots.get(name, [])):
+                fold = state.get((*name, slot))
+                if fold is None:
+                    fold = state[(*name, slot)] = Fold(size)
+                if lo is None:
+                    fold.add(x)
+                else:
+                    fold.below += int(np.count_nonzero(x < lo))
+                    fold.add(x[(x >= lo) & (x <= hi)])
+
+        for batch in batches:
+            groups = batch.column(0)
+            if groups.null_count == len(groups):
+                parts = [(None, slice(None))]
             else:
-                vals = _pick_large(vc, key, local, max_distinct, fanout, b_lo, b_hi, depth + 1)
-            for r, (v, first) in vals.items():
-                out[r + start] = (v, first + start)
-        start += s.cnt
-    return out
-
-
-def _fallback(df: DataFrame, exprs: dict[str, Column], missing: dict[str, set[int]],
-              max_distinct: int, fanout: int) -> dict[tuple[str, int], tuple[float, int]]:
-    parts = [F.struct(F.lit(k).alias("key"), exprs[k].alias("x")) for k in missing]
-    vc = (df.select(F.explode(F.array(*parts)).alias("kv")).select("kv.*").where(F.col("x").isNotNull())
-          .groupBy("key", "x").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        d = {r.key: r.D for r in vc.groupBy("key").agg(F.count(F.lit(1)).alias("D")).collect()}
-        small = {k: v for k, v in missing.items() if d.get(k, 0) <= max_distinct}
-        out = _pick_small(vc, small)
-        for k, rs in missing.items():
-            if k not in small:
-                for r, v in _pick_large(vc, k, rs, max_distinct, fanout).items():
-                    out[(k, r)] = v
-    finally:
-        vc.unpersist()
-    return out
-
-
-# ---- public API ------------------------------------------------------------
-
-def _few_distinct(df: DataFrame, exprs: dict[str, Column], need: dict[str, set[int]]):
-    """Exact ranks from value counts for columns known to have few distinct
-    values: one narrow group-by per column (unioned), then a running sum per
-    column; each window partition holds at most that column's distinct values."""
-    if not need:
-        return {}
-    parts = [df.select(F.lit(k).alias("key"), exprs[k].alias("x")).where(F.col("x").isNotNull())
-             .groupBy("key", "x").agg(F.count(F.lit(1)).alias("n")) for k in need]
-    return _pick_small(reduce(DataFrame.unionByName, parts), need)
-
-
-def select_ranks(df: DataFrame, exprs: dict[str, Column], ranks_of, sample_rows: int = 100_000,
-                 max_bracket_rows: int = 2_000_000, max_distinct: int = 2_000_000, fanout: int = 1000):
-    """For each named double expression (NULL/NaN skipped), the value at the
-    0-based ranks ``ranks_of(name, n)`` of its ascending order.
+                coded = groups.dictionary_encode()
+                codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+                order = np.argsort(codes, kind="stable")
+                cuts = np.flatnonzero(np.diff(codes[order])) + 1
+                names = coded.dictionary.to_pylist()
+                parts = [(names[codes[rows[0]]] if codes[rows[0]] >= 0 else None, rows)
+                         for rows in np.split(order, cuts) if len(rows)]
+            for c in range(1, batch.num_columns):
+                x = batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
+                for name, rows in parts:
+                    take((name, c - 1), (y := x[rows])[~np.isnan(y)])
+        part, rows = TaskContext.get().partitionId(), []
+        for (name, c, slot), fold in state.items():
+            s = fold.summary()
+            rows.append((name, c, slot, part, fold.below, fold.n, fold.mean, fold.m2, s and s.pack()))
+        if rows:
+            types = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), types, strict=True)],
+                                             names=[x.split()[0] for x in PART.split(", ")])
+    return df.mapInArrow(run, PART)
+
+
+def _merged(pdf: pd.DataFrame, size: int) -> tuple[int, tuple[int, float, float], Summary | None]:
+    pdf = pdf.sort_values("part")
+    moments = (0, 0.0, 0.0)
+    for one in zip(pdf["n"].tolist(), pdf["mean"].tolist(), pdf["m2"].tolist()):
+        moments = merge_moments(moments, one)
+    parts = [unpack(x) for x in pdf["summary"] if x is not None]
+    return int(pdf["below"].sum()), moments, merge_all(parts, size) if parts else None
+
+
+def _brackets(parts: DataFrame, size: int, ranks: Callable[[Name, int, int], list[int]]) -> list:
+    """Merge the parts and bracket the ranks asked for: ``ranks(name, slot, n)``
+    are 0-based in the whole column; rows below the interval come off."""
+    def some(pdf: pd.DataFrame) -> pd.DataFrame:
+        below, (n, mean, m2), s = _merged(pdf, size)
+        first = pdf.iloc[0]
+        return pd.DataFrame({"grp": [first["grp"]], "col": [first["col"]], "slot": [first["slot"]], "part": [pdf["part"].min()],
+                             "below": [below], "n": [n], "mean": [mean], "m2": [m2], "summary": [s and s.pack()]})
+
+    def every(pdf: pd.DataFrame) -> pd.DataFrame:
+        below, (n, mean, m2), s = _merged(pdf, size)
+        first, found = pdf.iloc[0], []
+        for r in ranks((first["grp"], int(first["col"])), int(first["slot"]), n) if s else []:
+            lo, hi, before = s.bracket(r - below)
+            found.append({"rank": r, "lo": lo, "hi": hi, "before": None if before is None else below + before})
+        return pd.DataFrame({"grp": [first["grp"]], "col": [first["col"]], "slot": [first["slot"]], "n": [n], "mean": [mean], "m2": [m2],
+                             "low": [float(s.values[0]) if s else None], "high": [float(s.values[-1]) if s else None],
+                             "found": [found]})
+
+    blocks = parts.groupBy("grp", "col", "slot", (F.col("part") % BLOCKS).alias("_b")).applyInPandas(some, PART)
+    return blocks.groupBy("grp", "col", "slot").applyInPandas(every, FOUND).collect()
+
+
+def profile(df: DataFrame, exprs: list[Column], ranks_of: Callable[[Name, int], list[int]], group: Column | None = None,
+            size: int = SIZE) -> tuple[dict[Name, Stat], dict[tuple[Name, int], tuple[float, int]]]:
+    """Statistics and selected order statistics per (group, column position).
+
+    ``ranks_of(name, n)`` gives the 0-based ranks wanted of a column with n
+    values (it runs in tasks).  Returns the moments and extremes per name, and
+    per (name, rank) its value and the first rank that holds this value.
+    Groups are as text; their number, times ``size``, has to fit in a task."""
+    key = (F.lit(None) if group is None else group).cast("string")
+    clean = [F.when(~F.isnan(e.cast("double")), e.cast("double")) for e in exprs]
+    wanted = list(range(len(clean)))
+    stats: dict[Name, Stat] = {}
+    picked: dict[tuple[Name, int], tuple[float, int]] = {}
+    slots: dict[Name, list[tuple[int, float, float]]] | None = None
+    asked: dict[tuple[Name, int], list[int]] = {}
+    while wanted:
+        place = {c: i for i, c in enumerate(wanted)}
+        rows = df.select(key.alias("grp"), *[clean[c].alias(f"c{c}") for c in wanted])
+        near = None if slots is None else {(g, place[c]): v for (g, c), v in slots.items()}
+        if slots is None:
+            ranks = lambda name, _, n: sorted({r for r in ranks_of(name, n) if 0 <= r < n})
+        else:
+            local = {((g, place[c]), s): v for ((g, c), s), v in asked.items()}
+            ranks = lambda name, slot, _, local=local: local[(name, slot)]
+        open_: dict[Name, dict[tuple[float, float], list[int]]] = {}
+        for row in _brackets(_fold(rows, size, near), size, ranks):
+            name = (row.grp, wanted[row.col])
+            if slots is None:
+                stats[name] = Stat(row.n, row["mean"], row.m2, row.low, row.high)
+            for f in row.found:
+                if f.before is not None:
+                    picked[(name, f.rank)] = (f.lo, f.before)
+                else:
+                    open_.setdefault(name, {}).setdefault((f.lo, f.hi), []).append(f.rank)
+        slots = {name: [(i, lo, hi) for i, (lo, hi) in enumerate(at)] for name, at in open_.items()}
+        asked = {(name, i): v for name, at in open_.items() for i, v in enumerate(at.values())}
+        wanted = sorted({c for _, c in open_})
+        size = min(size * MORE, max(size, MOST))
+    return stats, picked
+
+
+def _ranks_for(n: int, probs: list[float]) -> list[tuple[int, int, float]]:
+    return [(math.floor(pos), math.ceil(pos), pos) for pos in ((n - 1) * p for p in probs)]
+
+
+def select_ranks(df: DataFrame, exprs: dict[str, Column], ranks_of, size: int = SIZE):
+    """For each named double expression, the value at the 0-based ranks
+    ``ranks_of(name, n)`` of its ascending order.
 
     Returns ``(sizes, picked)``: row counts per name and
     ``{(name, rank): (value, first rank holding that value)}``."""
-    clean = {k: F.when(~F.isnan(e.cast("double")), e.cast("double")) for k, e in exprs.items()}
-    names = list(clean)
-    cnt = _agg_chunked(df, [x for i, k in enumerate(names) for x in (
-        F.count(clean[k]).alias(f"n{i}"), F.approx_count_distinct(clean[k], 0.05).alias(f"d{i}"))])
-    sizes = {k: cnt[f"n{i}"] for i, k in enumerate(names)}
-    distinct = {k: cnt[f"d{i}"] for i, k in enumerate(names)}
-    need = {k: {r for r in ranks_of(k, n) if 0 <= r < n} for k, n in sizes.items() if n}
-    need = {k: v for k, v in need.items() if v}
-    # the estimate has a few % error: keep a wide margin below the bound
-    few = {k: v for k, v in need.items() if distinct[k] <= max_distinct // 2}
-    picked = _few_distinct(df, clean, few)
-    rest = {k: v for k, v in need.items() if k not in few}
-    picked.update(_bracketed(df, clean, rest, sizes, sample_rows, max_bracket_rows))
-    missing: dict[str, set[int]] = {}
-    for k, rs in need.items():
-        for r in rs:
-            if (k, r) not in picked:
-                missing.setdefault(k, set()).add(r)
-    if missing:
-        picked.update(_fallback(df, clean, missing, max_distinct, fanout))
-    return sizes, picked
+    names = list(exprs)
+    stats, picked = profile(df, list(exprs.values()), lambda name, n: ranks_of(names[name[1]], n), size=size)
+    return ({k: stats.get((None, i), Stat()).n for i, k in enumerate(names)},
+            {(names[c], r): v for ((_, c), r), v in picked.items()})
 
 
 def values_at_ranks(df: DataFrame, key_col: str, value_col: str, ranks: dict[str, list[int]],
-                    **kw) -> dict[tuple[str, int], tuple[float, int]]:
+                    size: int = SIZE) -> dict[tuple[str, int], tuple[float, int]]:
     """Per group of ``key_col`` (groups named in ``ranks``), the value of
     ``value_col`` at each 0-based rank, with the first rank holding it (so
     ties at the value can be told apart)."""
-    exprs = {k: F.when(F.col(key_col).cast("string") == k, F.col(value_col).cast("double")) for k in ranks}
-    _, picked = select_ranks(df, exprs, lambda k, n: ranks.get(k, []), **kw)
-    return picked
+    _, picked = profile(df, [F.col(value_col)], lambda name, n: ranks.get(name[0], []), F.col(key_col), size)
+    return {(k, r): v for ((k, _), r), v in picked.items()}
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], **kw) -> dict[str, list[float | None]]:
-    """Exact linearly interpolated quantiles of each column (NULL/NaN skipped).
+def interpolated(stats: dict[Name, Stat], picked: dict, name: Name, probs: list[float]) -> list[float | None]:
+    """Quantiles of one column from the ranks of ``quantile_ranks``."""
+    n = stats.get(name, Stat()).n
+    if not n:
+        return [None] * len(probs)
+    out = []
+    for a, b, pos in _ranks_for(n, probs):
+        xa, xb = picked[(name, a)][0], picked[(name, b)][0]
+        out.append(xa if a == b else xa + (xb - xa) * (pos - a))
+    return out
+
+
+def quantile_ranks(probs: list[float]) -> Callable[[Name, int], list[int]]:
+    return lambda _, n: [r for a, b, _ in _ranks_for(n, probs) for r in (a, b)]
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], size: int = SIZE) -> dict[str, list[float | None]]:
+    """Exact linearly interpolated quantiles of each column.
 
     Returns ``{column: [q(p) for p in probs]}``; ``None`` for an empty column.
     """
-    exprs = {c: F.col(c) for c in cols}
-    sizes, picked = select_ranks(df, exprs, lambda k, n: [r for _, a, b, _ in _ranks_for(n, probs) for r in (a, b)],
-                                 **kw)
-    out: dict[str, list[float | None]] = {}
-    for c in cols:
-        if not sizes.get(c):
-            out[c] = [None] * len(probs)
-            continue
-        vals = []
-        for _, a, b, pos in _ranks_for(sizes[c], probs):
-            xa, xb = picked[(c, a)][0], picked[(c, b)][0]
-            vals.append(xa if a == b else xa + (xb - xa) * (pos - a))
-        out[c] = vals
-    return out
+    stats, picked = profile(df, [F.col(c) for c in cols], quantile_ranks(probs), size=size)
+    return {c: interpolated(stats, picked, (None, i), probs) for i, c in enumerate(cols)}

@@ -5,9 +5,10 @@ Rows of each stratum are ordered by ``md5('<seed>|<key>')``; the first
 largest-remainder rule on the train share (the training allocation is
 fixed first, the test set takes the rest), remainder ties by stratum name.
 
-The per-stratum cut is found by distributed rank selection, so no stratum
-is sorted in one task; only the stratum sizes and the cut values reach the
-driver.
+The cuts of all strata are found together by merged rank summaries, so no
+stratum is sorted in one task, and joined to the rows by stratum; only the
+stratum sizes and the cut values reach the driver.  A null stratum is a stratum
+of its own.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def allocate_test(sizes: dict[str, int], test_size: float = 0.2) -> dict[str, in
     cont = {k: v * n_train / n for k, v in sizes.items()}
     train = {k: math.floor(c) for k, c in cont.items()}
     left = n_train - sum(train.values())
-    for k in sorted(sizes, key=lambda k: (-(cont[k] - train[k]), k))[:left]:
+    for k in sorted(sizes, key=lambda k: (-(cont[k] - train[k]), k is not None, k or ""))[:left]:
         train[k] += 1
     return {k: sizes[k] - train[k] for k in sizes}
 
@@ -45,28 +46,22 @@ def allocate_test(sizes: dict[str, int], test_size: float = 0.2) -> dict[str, in
 def stratified_split(df: DataFrame, strata: str = "product_type", key: str = "sku",
                      test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """``df`` plus ``split`` = 'train' / 'test'."""
-    h = order_hash(key, seed)
-    hashed = df.withColumn("__h", h).withColumn("__x", _hash_num(F.col("__h")))
-    sizes = {r[0]: r[1] for r in hashed.groupBy(F.col(strata).cast("string")).count().collect()}
+    name = F.col(strata).cast("string")
+    hashed = df.withColumn("__h", order_hash(key, seed)).withColumn("__x", _hash_num(F.col("__h"))).withColumn("__s", name)
+    sizes = {r[0]: r[1] for r in hashed.groupBy("__s").count().collect()}
     alloc = allocate_test(sizes, test_size)
-    ranks = {k: [n - 1] for k, n in alloc.items() if n > 0}
-    cut = values_at_ranks(hashed, strata, "__x", ranks)
-    # cut value per stratum, and how many test rows sit exactly on it
-    cond_lt, cond_eq = F.lit(False), F.lit(False)
-    on_cut = {}
-    for k, n in alloc.items():
-        if n <= 0:
-            continue
-        x, first = cut[(k, n - 1)]
-        s = F.col(strata).cast("string") == k
-        cond_lt = cond_lt | (s & (F.col("__x") < x))
-        cond_eq = cond_eq | (s & (F.col("__x") == x))
-        on_cut[k] = n - first
+    cut = values_at_ranks(hashed, "__s", "__x", {k: [n - 1] for k, n in alloc.items() if n > 0})
+    # per stratum the cut value and how many test rows sit exactly on it
+    cuts = df.sparkSession.createDataFrame(
+        [(k, *cut[(k, n - 1)], n) for k, n in alloc.items() if n > 0],
+        "__k string, __cut double, __first long, __n long")
+    rows = hashed.join(cuts, F.col("__s").eqNullSafe(F.col("__k")), "left")
     # rows on a cut value (52-bit hash collisions: a handful at most) are
     # ranked by the full hash, then key
-    w = Window.partitionBy(F.col(strata).cast("string")).orderBy("__h", key)
-    ties = hashed.where(cond_eq).select(F.col(strata).cast("string").alias("__s"), key, "__h",
-                                        F.row_number().over(w).alias("__rn"))
-    tie_keys = [r[key] for r in ties.collect() if r["__rn"] <= on_cut.get(r["__s"], 0)]
-    in_test = cond_lt | (cond_eq & F.col(key).isin(tie_keys)) if tie_keys else cond_lt
-    return hashed.withColumn("split", F.when(in_test, "test").otherwise("train")).drop("__h", "__x")
+    w = Window.partitionBy("__s").orderBy("__h", key)
+    ties = (rows.where(F.col("__x") == F.col("__cut"))
+            .select("__s", key, "__n", "__first", F.row_number().over(w).alias("__rn")).collect())
+    late = {r[key] for r in ties if r["__rn"] > r["__n"] - r["__first"]}
+    on_cut = (F.col("__x") == F.col("__cut")) & ~F.col(key).isin(list(late)) if late else F.col("__x") == F.col("__cut")
+    in_test = F.coalesce((F.col("__x") < F.col("__cut")) | on_cut, F.lit(False))
+    return rows.select(*df.columns, F.when(in_test, "test").otherwise("train").alias("split"))

@@ -1,7 +1,7 @@
 """Descriptive statistics of the fact relation (the Python script's EDA stage).
 
 All outputs are small DataFrames derived from one or two aggregate passes;
-exact quantiles come from ``functions.quantiles`` (distributed selection),
+exact quantiles come from ``functions.quantiles`` (merged rank summaries),
 correlations from one pass that folds the moments of all column pairs.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.aggs import mean
 from ..functions.moments import correlations
-from ..functions.quantiles import exact_quantiles
+from ..functions.quantiles import Stat, exact_quantiles, interpolated, profile, quantile_ranks
 from .quality import numeric_columns, string_columns
 
 D = 6  # digits kept in reported doubles
@@ -22,25 +22,20 @@ D = 6  # digits kept in reported doubles
 
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (exact, interpolated), max
-    per numeric column: one row per column.
+    per numeric column: one row per column; NaN counts as missing.
 
-    Two wide passes of codegen-friendly aggregates (exact sums, min, max;
-    then centred squares for the sample std) plus the quantile selection."""
+    One scan gives the moments, the extremes and proven intervals around the
+    quartiles; another settles the quartiles of columns with many values."""
     cols = cols or numeric_columns(df)
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
-    exact = lambda c: F.col(c).cast("decimal(38,10)")  # noqa: E731  exact sums of ints / decimals
-    row = df.agg(*[x for i, c in enumerate(cols) for x in (
-        F.count(c).alias(f"n{i}"), mean(exact(c)).alias(f"m{i}"),
-        F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}"))]).first()
-    sq = df.agg(*[F.sum(F.pow(F.col(c).cast("double") - F.lit(row[f"m{i}"]), 2)).alias(f"q{i}")
-                  for i, c in enumerate(cols)]).first()
+    quartiles = [0.25, 0.5, 0.75]
+    stats, picked = profile(df, [F.col(c) for c in cols], quantile_ranks(quartiles))
     r6 = lambda v: None if v is None else round(v, D)
-
-    def std(i):
-        n = row[f"n{i}"]
-        return None if n is None or n < 2 or sq[f"q{i}"] is None else round(round((sq[f"q{i}"] / (n - 1)) ** 0.5, 8), D)
-    rows = [(c, row[f"n{i}"], r6(row[f"m{i}"]), std(i), row[f"lo{i}"], r6(q[c][0]), r6(q[c][1]),
-             r6(q[c][2]), row[f"hi{i}"]) for i, c in enumerate(cols)]
+    rows = []
+    for i, c in enumerate(cols):
+        s = stats.get((None, i), Stat())
+        std = round(round((s.m2 / (s.n - 1)) ** 0.5, 8), D) if s.n > 1 else None
+        q = interpolated(stats, picked, (None, i), quartiles)
+        rows.append((c, s.n, r6(s.mean if s.n else None), std, s.low, *map(r6, q), s.high))
     return df.sparkSession.createDataFrame(
         rows, "column string, count bigint, mean double, std double, min double, q25 double, q50 double, "
               "q75 double, max double")

@@ -39,3 +39,17 @@ def test_correlations_scan_the_rows_once(spark):
     base = base_columns(fact(spark, SF_SMALL))
     assert _plan(moment_parts(base, numeric_columns(base))).count("FileScan parquet") == 1
     assert fact_path(spark, SF_SMALL).split("/")[-1] not in _plan(correlation_matrix(base))
+
+
+@pytest.mark.parametrize("name", ["describe_numeric", "box_summary", "quartile_bins"])
+def test_quantiles_scan_the_rows_twice_at_most(spark, monkeypatch, name):
+    from leadlens.functions import quantiles
+    scans, fold = [], quantiles._fold
+
+    def counted(*args):
+        parts = fold(*args)
+        scans.append(_plan(parts).count("FileScan parquet"))
+        return parts
+    monkeypatch.setattr(quantiles, "_fold", counted)
+    E.queries()[name](spark, SF_SMALL).collect()
+    assert 1 <= len(scans) <= 2 and set(scans) == {1}

@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from leadlens.functions.quantiles import exact_quantiles, select_ranks
+from leadlens.functions.quantiles import exact_quantiles, profile, select_ranks
+from leadlens.functions.sketch import Fold, merge_all, unpack
 from leadlens.operators import knn
 from leadlens.operators.knn import knn_regress, regression_metrics
 from leadlens.operators.split import allocate_test, stratified_split
@@ -16,8 +17,7 @@ def _np_quantile(x, p):
     return float(np.quantile(np.asarray(x, dtype=float), p))
 
 
-@pytest.mark.parametrize("kw", [{}, {"max_distinct": 10}, {"max_distinct": 10, "sample_rows": 50},
-                                {"max_distinct": 10, "sample_rows": 50, "max_bracket_rows": 5}])
+@pytest.mark.parametrize("kw", [{}, {"size": 200}, {"size": 20}, {"size": 2}])
 def test_quantiles_match_numpy_with_hot_value(spark, kw):
     rng = np.random.default_rng(7)
     a = np.concatenate([rng.normal(0, 1, 2000), np.full(1000, 0.25)])      # a third of rows on one value
@@ -45,6 +45,57 @@ def test_empty_column_quantile_is_none(spark):
     assert exact_quantiles(df, ["x"], [0.5]) == {"x": [None]}
 
 
+def test_summary_bounds_hold_in_any_merge_order():
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(0, 1, 4000), np.full(2000, 0.25), rng.integers(-3, 3, 1500).astype(float)])
+    rng.shuffle(x)
+    folds = []
+    for part in np.array_split(x, 13):
+        fold = Fold(30)
+        for batch in np.array_split(part, 7):
+            fold.add(batch)
+        folds.append(fold.summary())
+    rng.shuffle(folds)
+    s = merge_all(folds, 30)
+    assert s.n == len(x) and len(s.values) <= 2 * 30 + 2
+    less = np.array([(x < v).sum() for v in s.values])
+    upto = np.array([(x <= v).sum() for v in s.values])
+    assert (s.bounds[0] <= less).all() and (less <= s.bounds[1]).all()
+    assert (s.bounds[2] <= upto).all() and (upto <= s.bounds[3]).all()
+    ordered = np.sort(x)
+    for r in range(0, len(x), 97):
+        lo, hi, before = s.bracket(r)
+        assert lo <= ordered[r] <= hi
+        assert before is None or (before == (x < lo).sum() and lo == ordered[r])
+    # an interval holds a small share of the rows, but for a value that many rows hold
+    spans = [(lo, hi) for lo, hi, _ in map(s.bracket, range(0, len(x), 97))]
+    assert max(((x > lo) & (x < hi)).sum() for lo, hi in spans) < len(x) / 4
+    back = unpack(s.pack())
+    assert back.n == s.n and (back.values == s.values).all() and (back.bounds == s.bounds).all()
+
+
+def test_moments_and_ranks_per_group_with_gaps(spark):
+    rows = [(None if i % 7 == 0 else f"g{i % 3}", float(i * i % 101) if i % 5 else None, float("nan") if i % 4 else float(i))
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(7)
+    stats, picked = profile(df, [F.col("x"), F.col("y")], lambda name, n: [0, n // 2, n], F.col("g"), size=4)
+    for g in {r[0] for r in rows}:
+        for c in (0, 1):
+            v = np.sort([r[1 + c] for r in rows if r[0] == g and r[1 + c] is not None and r[1 + c] == r[1 + c]])
+            s = stats[(g, c)]
+            assert (s.n, s.low, s.high) == (len(v), v[0], v[-1])
+            assert s.mean == pytest.approx(v.mean()) and s.m2 == pytest.approx(((v - v.mean()) ** 2).sum())
+            for r in (0, len(v) // 2):
+                assert picked[((g, c), r)] == (v[r], (v < v[r]).sum())
+            assert ((g, c), len(v)) not in picked
+
+
+def test_split_with_a_null_stratum(spark):
+    rows = [(f"k{i}", None if i % 4 == 0 else "a") for i in range(80)]
+    out = stratified_split(spark.createDataFrame(rows, "sku string, product_type string")).collect()
+    assert {(g, sum(1 for r in out if r.product_type == g and r.split == "test")) for g in (None, "a")} == {(None, 4), ("a", 12)}
+
+
 def test_allocation_largest_remainder():
     assert allocate_test({"haircare": 34, "skincare": 40, "cosmetics": 26}) == \
         {"haircare": 7, "skincare": 8, "cosmetics": 5}
@@ -167,7 +218,7 @@ from hypothesis import strategies as st  # noqa: E402
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.integers(-5, 5).map(float), st.floats(-1e6, 1e6, allow_nan=False)),
                 min_size=1, max_size=60),
-       st.sampled_from([{}, {"max_distinct": 4, "sample_rows": 8, "max_bracket_rows": 3}]))
+       st.sampled_from([{}, {"size": 2}]))
 def test_quantiles_property(spark, xs, kw):
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     probs = [0.0, 0.33, 0.5, 0.9, 1.0]
