@@ -34,6 +34,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -42,6 +44,7 @@ from .common import documents, integers_again, integers_as_text
 VOCABULARY = "word_bpe_49k.json"
 MAX_WORDS = 250_000          # words in each of the two halves of a task's cache
 MAX_ARCS = 2_000_000         # decided arcs per task process
+GROUP_LETTERS = 8_000_000    # texts whose distinct parts are looked up together
 
 # Unicode White_Space (fixed values).
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -63,6 +66,48 @@ def chunks(text: str) -> list[str]:
     return text.split()
 
 
+#: white space beyond ASCII, or taken for it by Python
+OTHER_WHITE = re.compile(f"[\x1c-\x1f{WHITE[4:]}]")
+
+
+def coded(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct parts between white space of some texts, the number of the
+    part at each place, and each text's first place, with the end of the last."""
+    column = pa.array([" ".join(chunks(t)) if t and not t.isascii() and OTHER_WHITE.search(t) or t and ODD.search(t) else t or ""
+                       for t in texts], pa.large_string())
+    parts = pc.ascii_split_whitespace(column)
+    flat = parts.flatten()
+    there = pc.not_equal(flat, "")          # before the first and after the last white space
+    starts = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))])[parts.offsets.to_numpy()]
+    flat = flat.filter(there).dictionary_encode()
+    return flat.dictionary.to_pylist(), flat.indices.to_numpy(), starts
+
+
+def joined(found: list[bytes], at: np.ndarray, starts: np.ndarray) -> Iterator[bytes]:
+    """Per text the ids of its parts, given those of each distinct part."""
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    n = sizes[at]
+    begins = np.concatenate([[0], np.cumsum(n)])
+    places = np.repeat((np.cumsum(sizes) - sizes)[at] - begins[:-1], n) + np.arange(begins[-1])
+    ids = np.frombuffer(b"".join(found), "<u4")[places]
+    ends = begins[starts].tolist()
+    for begin, end in zip(ends, ends[1:]):
+        yield ids[begin:end].tobytes()
+
+
+def groups(texts, letters: int = GROUP_LETTERS) -> Iterator[list[str | None]]:
+    """The texts in groups of some letters, or one longer text."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text or "")
+        if size > letters:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def id_bytes(ids: list[int]) -> bytes:
     """ids as little-endian unsigned 32-bit integers."""
     out = array("I", ids)
@@ -288,10 +333,16 @@ def words_of(path: str) -> Words:
     return _WORDS[path]
 
 
-def encode_text(words: Words, text: str | None) -> tuple[bytes, str]:
-    """(ids as little-endian unsigned 32-bit integers, decoded text)."""
-    parts = [words[c] for c in chunks(text or "")]
-    return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts if p[1]])
+def encode_texts(words: Words, texts) -> Iterator[tuple[bytes, str]]:
+    """(ids as little-endian unsigned 32-bit integers, decoded text) per text."""
+    for group in groups(texts):
+        parts, at, starts = coded(group)
+        found = list(map(words.__getitem__, parts))
+        labels, places, ends = [b for _, b in found], at.tolist(), starts.tolist()
+        every = all(labels)
+        for ids, begin, end in zip(joined([a for a, _ in found], at, starts), ends, ends[1:]):
+            said = map(labels.__getitem__, places[begin:end])
+            yield ids, " ".join(said if every else filter(None, said))
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -301,7 +352,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = words_of(place)
         for pdf in batches:
-            got = [encode_text(words, t) for t in pdf["text"]]
+            got = list(encode_texts(words, pdf["text"]))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [np.frombuffer(a, "<u4").astype("i8") for a, _ in got],
                                 "decoded": [b for _, b in got]})
 
@@ -317,8 +368,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
         words = words_of(place)
         for pdf in batches:
             n, a, b = [], [], []
-            for t in pdf["text"]:
-                ids, decoded = encode_text(words, t)
+            for ids, decoded in encode_texts(words, pdf["text"]):
                 n.append(len(ids) // 4)
                 a.append(hashlib.sha256(ids).hexdigest())
                 b.append(hashlib.sha256(decoded.encode()).hexdigest())

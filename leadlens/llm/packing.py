@@ -31,13 +31,12 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .bpe import Recent, byte_letters, chunks, id_bytes, vocabulary_path
+from .bpe import Recent, byte_letters, coded, groups, id_bytes, joined, vocabulary_path
 from .common import documents, integers_as_text
 
 SIZE = 4096
 END = 2
 OPEN = 512
-GROUP_LETTERS = 2_000_000    # texts whose new words are encoded in one call
 JOINED = 5000                # new words encoded as one text
 STOPS = ".,;:!?$%&*#+-/=()"   # a word and a run of these are two pieces
 TAIL = re.compile(r"[^a-z ]+")
@@ -66,30 +65,25 @@ class TextIds(Recent):
             self.last[[i for x, i in vocab.items() if x.endswith(suffix)]] = True
 
     def texts(self, texts) -> Iterator[bytes]:
-        group, letters = [], 0
-        for text in texts:
-            group.append(chunks(text or ""))
-            letters += len(text or "")
-            if letters > GROUP_LETTERS:
-                yield from self.encoded(group)
-                group, letters = [], 0
-        yield from self.encoded(group)
-
-    def encoded(self, group: list[list[str]]) -> Iterator[bytes]:
-        """All parts of the group are brought into the newer half first, so
-        texts are joined by plain look-ups; parts over 64 letters leave again."""
+        for group in groups(texts):
+            words, at, starts = coded(group)
+            yield from joined(self.known(words), at, starts)
+
+    def known(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words; those not met before are encoded together."""
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
-        missing = set().union(*group).difference(self)
-        again = missing.intersection(self.older)
-        self.update({c: self.older[c] for c in again})
-        self.update(self.several(list(missing.difference(again))))
-        for parts in group:
-            yield b"".join(map(self.__getitem__, parts))
-        for c in missing:
-            if len(c) > 64:
-                del self[c]
+        missing = [w for w in words if w not in self]
+        older = self.older
+        again = {w: older[w] for w in missing if w in older}
+        self.update(again)
+        self.update(self.several([w for w in missing if w not in again] if again else missing))
+        out = list(map(self.__getitem__, words))
+        for w in missing:
+            if len(w) > 64:
+                del self[w]
+        return out
 
     def ids_joined(self, text: str, ascii: bool) -> list[int]:
         """Ids of words (with or without stops) between single spaces."""
