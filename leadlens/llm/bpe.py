@@ -12,7 +12,11 @@ the gadgets are stored (spines and merge ranks) and an arc is decided by
 them when first met, then kept in the transition table.
 
 Encoding reads a pre-split word left to right and records, per prefix, the
-state the automaton reaches.  Decoding emits the labels of the arcs.
+state the automaton reaches: a table of the tokens' spellings from their last
+letter gives the tokens that end there, and the one whose arc comes from the
+state before it is taken.  States of a prefix shared with the word before are
+kept, so new words are read in alphabetical order.  Decoding emits the labels
+of the arcs.
 
 Runs inside tasks, one pass, no shuffle.  Memory: the table of words and
 arcs seen, both cleared at a fixed size.
@@ -186,13 +190,23 @@ class Automaton:
                 parts[w], born[w] = (u, v), r
         self.right = [self._spine(t, parts, born, 1) for t in range(n)]
         self.left = [self._spine(t, parts, born, 0) for t in range(n)]
-        self.arcs: dict[tuple[int, int], bool] = {}
+        self.arcs: dict[int, bool] = {}           # by x * number of tokens + y
         self.made: dict[int, bool] = {}
         # spellings of the tokens BPE can make, inside a word and at its end
         use = [(x, t) for x, t in self.ids.items() if self._reaches(t)]
         self.ends = {x.removesuffix(self.end): t for x, t in use if x.endswith(self.end)}
-        self.mids = {x: t for x, t in use if not self.end or not x.endswith(self.end)}
-        self.longest = max(map(len, [*self.ends, *self.mids]))
+        # letter -> [next letters, token inside a word, token at its end], from the last letter on
+        self.spellings: dict[str, list] = {}
+        for x, t in use:
+            at_end = bool(self.end) and x.endswith(self.end)
+            nexts = self.spellings
+            for letter in reversed(x.removesuffix(self.end) if at_end else x):
+                node = nexts.setdefault(letter, [{}, -1, -1])
+                nexts = node[0]
+            node[2 if at_end or not self.end else 1] = t
+            if not self.end:
+                node[1] = t
+        self.read, self.states, self.starts = "", [-1], [0]     # the last word's prefixes
         self.letters = byte_letters()
         self.words = WordPaths(self)
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
@@ -210,7 +224,8 @@ class Automaton:
     def arc(self, x: int, y: int) -> bool:
         """Whether y may follow x.  On equal ranks the left place merges
         first, hence < for x and <= for y."""
-        got = self.arcs.get((x, y))
+        key = x * len(self.labels) + y
+        got = self.arcs.get(key)
         if got is None:
             rank, got = self.rank, True
             for u, gone_u in self.right[x]:
@@ -223,33 +238,55 @@ class Automaton:
                     break
             if len(self.arcs) >= MAX_ARCS:
                 self.arcs.clear()
-            self.arcs[x, y] = got
+            self.arcs[key] = got
         return got
 
+    def _last(self, word: str, i: int, side: int) -> tuple[int, int]:
+        """The last token of the first ``i`` letters and where it starts; side
+        1: inside the word, 2: at its end."""
+        nexts, found, j = self.spellings, [], i
+        while j:
+            node = nexts.get(word[j - 1])
+            if node is None:
+                break
+            j -= 1
+            nexts = node[0]
+            if node[side] >= 0:
+                found.append((node[side], j))
+        arcs, states, n = self.arcs, self.states, len(self.labels)
+        for t, j in reversed(found):
+            if not j:
+                return t, 0
+            ok = arcs.get(states[j] * n + t)
+            if ok or ok is None and self.arc(states[j], t):
+                return t, j
+        return -1, 0
+
     def word(self, word: str) -> list[int]:
         """Token ids of one word given as byte letters."""
         whole = self.ends.get(word)
         if whole is not None:
             return [whole]
-        n, arcs, longest = len(word), self.arcs, self.longest
-        state, back = [-1] * (n + 1), [0] * (n + 1)
-        for i in range(1, n + 1):
-            names = self.ends if i == n else self.mids
-            for j in range(i - longest if i > longest else 0, i):
-                t = names.get(word[j:i])
-                if t is None:
-                    continue
-                if j:
-                    at = state[j], t
-                    ok = arcs.get(at)
-                    if not (self.arc(*at) if ok is None else ok):
-                        continue
-                state[i], back[i] = t, j
+        n, same = len(word), 0
+        if not n:
+            return []
+        for a, b in zip(self.read, word):
+            if a != b:
                 break
-        out, i = [], n
+            same += 1
+        states, starts = self.states, self.starts
+        same = min(same, n - 1)
+        del states[same + 1:], starts[same + 1:]
+        self.read = word[:-1]
+        for i in range(same + 1, n):
+            t, j = self._last(word, i, 1)
+            states.append(t)
+            starts.append(j)
+        t, i = self._last(word, n, 2)
+        out = [t]
         while i > 0:
-            out.append(state[i])
-            i = back[i]
+            out.append(states[i])
+            i = starts[i]
         return out[::-1]
 
     def _reaches(self, t: int) -> bool:
@@ -337,6 +374,8 @@ def encode_texts(words: Words, texts) -> Iterator[tuple[bytes, str]]:
     """(ids as little-endian unsigned 32-bit integers, decoded text) per text."""
     for group in groups(texts):
         parts, at, starts = coded(group)
+        for part in sorted(set(parts).difference(words)):
+            words[part]
         found = list(map(words.__getitem__, parts))
         labels, places, ends = [b for _, b in found], at.tolist(), starts.tolist()
         every = all(labels)
