@@ -11,7 +11,7 @@ values the reference uses.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.aggs import mean, moments_corr, null_count, std_pop
@@ -180,7 +180,7 @@ def recommendation_items(fact: DataFrame, top_n: int = 5, location_avg: float =
     Section 1 is a distributed top-n (TakeOrderedAndProject: per-partition
     top-n, then one merge of n x partitions rows).  Sections 2 and 3 are
     grouped means filtered by HAVING.  No list is concatenated into one
-    string, so no section is gathered into a single task.
+    string here; ``recommendation_text`` does that for the first of them.
     """
     top = (fact.select("sku", "lead_time")
            .orderBy(F.desc("lead_time"), F.asc("sku")).limit(top_n)
@@ -202,9 +202,28 @@ def recommendation_items(fact: DataFrame, top_n: int = 5, location_avg: float =
             .orderBy(section, F.desc("metric"), F.asc("details")))
 
 
-def recommendation_text(items: DataFrame) -> DataFrame:
-    """Concatenate each section, in rank order, into one ``details`` string
-    (GROUP_CONCAT).  Only for sections known to be small: the string of a
-    section is built in one task."""
-    return (items.groupBy("insight_type")
-            .agg(F.expr("listagg(details, ',') WITHIN GROUP (ORDER BY metric DESC, details)").alias("details")))
+def ranked_text(items: DataFrame, group: str, text: str, metric: str, limit: int, sep: str = ",") -> DataFrame:
+    """Per group the texts in rank order (metric descending, then text) as one
+    string of at most ``limit`` texts: group, text, ``listed`` of ``total``.
+
+    The rank filter is cut in the map stage (a group limit below the shuffle),
+    so a group holding a third of the rows sends ``limit`` rows per task, and no
+    string is longer than ``limit`` texts.  Null texts are neither listed nor
+    counted; a null group is a group; a null metric comes last."""
+    there = items.where(F.col(text).isNotNull())
+    order = (F.desc_nulls_last(metric), F.asc(text))
+    first = (there.select(group, text, metric, F.row_number().over(Window.partitionBy(group).orderBy(*order)).alias("_rank"))
+             .where(F.col("_rank") <= limit))
+    lists = first.groupBy(F.col(group).alias("_group")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rank", F.col(text).alias("_text")))),
+                                 lambda x: x["_text"]), sep).alias(text),
+        F.count(F.lit(1)).alias("listed"))
+    totals = there.groupBy(group).agg(F.count(F.lit(1)).alias("total"))
+    return (totals.join(lists, F.col(group).eqNullSafe(F.col("_group")))
+            .select(group, text, "listed", "total"))
+
+
+def recommendation_text(items: DataFrame, limit: int = 1_000) -> DataFrame:
+    """Each section of the summary as one ``details`` string in rank order
+    (GROUP_CONCAT), with the first ``limit`` items and the count of all."""
+    return ranked_text(items, "insight_type", "details", "metric", limit)

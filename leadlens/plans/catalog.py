@@ -38,6 +38,7 @@ PARAMS = {
     "min_orders": 600,        # HAVING COUNT(*) > 5 in the script
     "location_avg": 15.5,     # HAVING AVG(lead_time) > 18
     "supplier_defect": 2.5,   # HAVING AVG(defect_rates) > 2.5
+    "listed": 20,             # items named per section of the text summary (a top-k report)
     "premium_price": 950,     # price > 60
     "lead_threshold": 20,     # lead_time > 20
 }
@@ -73,6 +74,8 @@ def report_queries() -> dict[str, Query]:
         "high_lead_time": _on_fact(R.high_lead_time, threshold=p["lead_threshold"]),
         "high_defect": _on_fact(R.high_defect),
         "bottleneck_class": _on_fact(R.bottleneck_class, premium_price=str(p["premium_price"])),
+        "recommendation_text": _on_fact(lambda f: R.recommendation_text(R.recommendation_items(
+            f, location_avg=p["location_avg"], supplier_defect=p["supplier_defect"]), p["listed"])),
         "recommendation_summary": _on_fact(R.recommendation_items, location_avg=p["location_avg"],
                                            supplier_defect=p["supplier_defect"]),
     }

@@ -23,6 +23,14 @@ def corr_moments(x: str, y: str) -> str:
 
 def report_sql(params: dict) -> dict[str, str]:
     p = params
+    items = f"""SELECT * FROM (SELECT 'Top 5 Longest Lead Time SKUs' AS insight_type, sku AS details,
+      cast(lead_time AS double) AS metric, 1 AS s FROM fact ORDER BY lead_time DESC, sku LIMIT 5)
+  UNION ALL
+  SELECT 'Locations Needing Improvement', location, {M('lead_time')}, 2 FROM fact GROUP BY location
+    HAVING {M('lead_time')} > {p['location_avg']}
+  UNION ALL
+  SELECT 'High Defect Suppliers', supplier_name, {M('defect_rates')}, 3 FROM fact GROUP BY supplier_name
+    HAVING {M('defect_rates')} > {p['supplier_defect']}"""
     lt = "cast(lead_time AS decimal(18,0))"
     return {
         "overview": with_fact("""SELECT count(*) AS total_rows, count(DISTINCT sku) AS unique_skus,
@@ -82,14 +90,8 @@ def report_sql(params: dict) -> dict[str, str]:
        WHEN price > {p['premium_price']} AND lead_time > 20 THEN 'Premium & Delayed'
        ELSE 'Normal' END AS bottleneck_category
   FROM fact ORDER BY lead_time DESC"""),
-        "recommendation_summary": with_fact(f"""SELECT insight_type, details, metric FROM (
-  SELECT * FROM (SELECT 'Top 5 Longest Lead Time SKUs' AS insight_type, sku AS details,
-      cast(lead_time AS double) AS metric, 1 AS s FROM fact ORDER BY lead_time DESC, sku LIMIT 5)
-  UNION ALL
-  SELECT 'Locations Needing Improvement', location, {M('lead_time')}, 2 FROM fact GROUP BY location
-    HAVING {M('lead_time')} > {p['location_avg']}
-  UNION ALL
-  SELECT 'High Defect Suppliers', supplier_name, {M('defect_rates')}, 3 FROM fact GROUP BY supplier_name
-    HAVING {M('defect_rates')} > {p['supplier_defect']}
-) ORDER BY s, metric DESC, details"""),
+        "recommendation_summary": with_fact(f"""SELECT insight_type, details, metric FROM ({items}) ORDER BY s, metric DESC, details"""),
+        "recommendation_text": with_fact(f"""SELECT insight_type, count(*) AS total, count(*) FILTER (r <= {p['listed']}) AS listed,
+  string_agg(details, ',' ORDER BY r) FILTER (r <= {p['listed']}) AS details FROM (
+    SELECT *, row_number() OVER (PARTITION BY s ORDER BY metric DESC, details) AS r FROM ({items})) GROUP BY insight_type"""),
     }

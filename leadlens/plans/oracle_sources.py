@@ -24,5 +24,5 @@ def source_sql() -> dict[str, str]:
         # the feature stage widens the 24 base columns to 45
         "feature_matrix_width": with_fact("SELECT 24 AS columns_before, 45 AS columns_after, count(*) AS rows FROM fact"),
         "monthly_snapshot_stream": report_sql({"min_orders": 0, "lead_threshold": 0, "premium_price": 0,
-                                               "location_avg": 0, "supplier_defect": 0})["monthly_snapshot"],
+                                               "location_avg": 0, "supplier_defect": 0, "listed": 0})["monthly_snapshot"],
     }

@@ -159,6 +159,18 @@ def test_recommendation_text_orders_by_metric(spark):
     assert got == {"Locations Needing Improvement": "Kolkata,Delhi", "High Defect Suppliers": "Supplier 5"}
 
 
+def test_ranked_text_of_a_hot_group_ties_and_nulls(spark):
+    rows = [("hot", f"t{i:04d}", float(i % 50)) for i in range(3000)] + [(None, "b", None), (None, "a", 1.0), (None, None, 9.0), ("x", None, 1.0)]
+    items = spark.createDataFrame(rows, "g string, t string, m double").repartition(4)
+    out = R.ranked_text(items, "g", "t", "m", 70, sep="; ")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan          # cut before the shuffle
+    got = {r.g: (r.t, r.listed, r.total) for r in out.collect()}
+    best = sorted((r for r in rows if r[0] == "hot"), key=lambda r: (-r[2], r[1]))[:70]
+    assert got == {"hot": ("; ".join(r[1] for r in best), 70, 3000), None: ("a; b", 2, 2)}
+    assert R.ranked_text(items.limit(0), "g", "t", "m", 5).count() == 0
+
+
 def test_dtype_counts(spark):
     df = spark.createDataFrame([], fact_struct())
     got = {r.dtype: r.columns for r in Q.dtype_counts(df).collect()}
