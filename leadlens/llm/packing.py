@@ -37,6 +37,7 @@ from .common import documents, integers_as_text
 SIZE = 4096
 END = 2
 OPEN = 512
+GROUP = 1_000_000            # letters of texts whose words are looked up together
 JOINED = 5000                # new words encoded as one text
 STOPS = ".,;:!?$%&*#+-/=()"   # a word and a run of these are two pieces
 TAIL = re.compile(r"[^a-z ]+")
@@ -48,7 +49,7 @@ class TextIds(Recent):
     """Ids of texts as bytes, by the tokenizers library; words are cached, and
     the new ones of a group of texts are encoded in one call."""
 
-    limit = 400_000
+    limit = 200_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -65,7 +66,7 @@ class TextIds(Recent):
             self.last[[i for x, i in vocab.items() if x.endswith(suffix)]] = True
 
     def texts(self, texts) -> Iterator[bytes]:
-        for group in groups(texts):
+        for group in groups(texts, GROUP):
             words, at, starts = coded(group)
             yield from joined(self.known(words), at, starts)
 
