@@ -9,8 +9,9 @@ space-partitioning tree.
 2. Each query is compared with the rows of its own cell: the k-th distance
    there bounds its radius.  Where the cell holds fewer than k rows, the bound
    is the distance to the far corner of enough of the nearest boxes.
-3. Each query then visits the other cells whose box is within its radius, and
-   the k nearest rows of all cells (distance, then key) are kept.
+3. Each query then visits the other cells whose box is within its radius, found
+   from the root down, so that it is compared with the boxes near it and not
+   with all.  The k nearest rows of all cells (distance, then key) are kept.
 
 A cell is compared in units of at most ``CELL_ROWS`` training rows and
 ``QUERY_ROWS`` queries, so a cell that the tree cannot split, and a cell that
@@ -37,6 +38,7 @@ QUERY_ROWS = 4096            # queries of a unit
 MAX_CELLS = 4096             # the tree's size bound
 SAMPLE_ROWS = 50_000         # rows that grow the tree in one round, at most about so many
 DISTANCES = 1 << 21          # computed in one step
+PAIRS = 1 << 13              # queries and tree nodes compared in one step
 
 
 # ---- the tree ----------------------------------------------------------------
@@ -205,29 +207,79 @@ def _top_k(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k).drop("__rn")
 
 
-def _visits(query: DataFrame, box: tuple, categories: int, k: int) -> DataFrame:
+def node_boxes(tree: Tree, box: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, low corner, high corner) of every node: a cell's own, an inner
+    node's around those of its cells."""
+    cells, n, low, high = box
+    size = len(tree.coordinate)
+    rows = np.zeros(size, dtype=np.int64)
+    lows, highs = np.full((size, low.shape[1]), np.inf), np.full((size, low.shape[1]), -np.inf)
+    rows[cells], lows[cells], highs[cells] = n, low, high
+    for v in reversed(range(size)):                      # children come after their parent
+        if tree.coordinate[v] >= 0:
+            some = [c for c in (tree.left[v], tree.right[v]) if rows[c]]
+            rows[v] = rows[some].sum()
+            if some:                                     # a NaN hides its own cell alone
+                lows[v], highs[v] = np.fmin.reduce(lows[some]), np.fmax.reduce(highs[some])
+    return rows, lows, highs
+
+
+def reached(tree: Tree, nodes: tuple, x: np.ndarray, r2: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, cell) arrays of the cells with rows whose box lies within a row's
+    squared radius.  Each row goes down the tree from the root, past nodes whose
+    box is out of its radius; ``PAIRS`` rows and nodes are looked at in a step."""
+    rows, low, high = nodes
+    coordinate, left, right = np.array(tree.coordinate), np.array(tree.left), np.array(tree.right)
+    todo = [(np.arange(len(x)), np.zeros(len(x), dtype=np.int64))] if rows[0] else []
+    while todo:
+        row, node = todo.pop()
+        if len(row) > PAIRS:
+            todo.append((row[PAIRS:], node[PAIRS:]))
+            row, node = row[:PAIRS], node[:PAIRS]
+        at = x[row]
+        near = (np.maximum(0, np.maximum(low[node] - at, at - high[node])) ** 2).sum(axis=1)
+        inside = near <= r2[row]
+        row, node = row[inside], node[inside]
+        cell = coordinate[node] < 0
+        if cell.any():
+            yield row[cell], node[cell]
+        row, node = row[~cell], node[~cell]
+        if len(row):
+            row, node = np.concatenate([row, row]), np.concatenate([left[node], right[node]])
+            some = rows[node] > 0
+            todo.append((row[some], node[some]))
+
+
+def _visits(query: DataFrame, tree: Tree, box: tuple, categories: int, k: int) -> DataFrame:
     """A row for each query and other cell that may hold one of its k nearest
     rows; ``most`` becomes the squared radius."""
-    cells, n, low, high = box
+    _, n, low, high = box
+    nodes = node_boxes(tree, box)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             x, own = _matrix(batch, "x", np.float64), batch.column("cell").to_numpy()
-            found = batch.column("r2").to_numpy(zero_copy_only=False)     # NaN: fewer than k rows in the own cell
-            for lo in range(0, batch.num_rows, 64):
-                at = x[lo:lo + 64, None, :]
-                near = (np.maximum(0, np.maximum(low - at, at - high)) ** 2).sum(axis=2)
+            r2 = batch.column("r2").to_numpy(zero_copy_only=False).copy()
+            few = np.flatnonzero(np.isnan(r2))           # fewer than k rows in the own cell
+            for lo in range(0, len(few), 64):
+                at = x[few[lo:lo + 64], None, :]
                 far = (np.maximum(np.abs(at - low), np.abs(high - at)) ** 2).sum(axis=2) + 2 * categories
                 order = np.argsort(far, axis=1)
                 enough = np.argmax(np.cumsum(n[order], axis=1) >= k, axis=1)
                 bound = np.take_along_axis(far, order, axis=1)[np.arange(len(far)), enough]
                 bound[n.sum() < k] = np.inf
-                r2 = np.where(np.isnan(found[lo:lo + 64]), bound, found[lo:lo + 64])
-                r2 = r2 * (1 + 1e-9) + 1e-12             # the boxes' distances are rounded
-                row, cell = np.nonzero((near <= r2[:, None]) & (cells[None, :] != own[lo:lo + 64, None]))
-                some = batch.slice(lo, 64).take(pa.array(row))
+                r2[few[lo:lo + 64]] = bound
+            r2 = r2 * (1 + 1e-9) + 1e-12                 # the boxes' distances are rounded
+            for row, cell in reached(tree, nodes, x, r2):
+                other = cell != own[row]
+                row, cell = row[other], cell[other]
+                if not len(row):
+                    continue
+                some = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("q_key"), some.column("x"), some.column("codes"), pa.array(r2[row]), pa.array(cells[cell])],
+                    [some.column("q_key"), some.column("x"), some.column("codes"), pa.array(r2[row]), pa.array(cell)],
                     names=["q_key", "x", "codes", "most", "cell"])
 
     kind = dict(query.dtypes)["q_key"]
@@ -257,7 +309,7 @@ def knn_regress(train: DataFrame, query: DataFrame, features: list[str] | Column
 
     own = materialise(_top_k(_compare(t, q.withColumn("most", F.lit(float("inf"))), k), k), "knn-own")
     bound = own.groupBy("q_key").agg(F.when(F.count(F.lit(1)) >= k, F.max("d2")).alias("r2"))
-    visits = materialise(_visits(q.join(bound, "q_key", "left"), box, len(first.codes), k), "knn-visits")
+    visits = materialise(_visits(q.join(bound, "q_key", "left"), tree, box, len(first.codes), k), "knn-visits")
     nn = _top_k(own.unionByName(_compare(t, visits, k)), k)
     return nn.groupBy("q_key").agg(F.avg("t_label").alias("prediction")).withColumnRenamed("q_key", key)
 

@@ -237,3 +237,25 @@ def test_allocation_property(sizes):
     for k, v in sizes.items():
         assert 0 <= alloc[k] <= v
         assert abs((v - alloc[k]) - v * n_train / n) < 1.0 + 1e-9   # train share within one row of proportional
+
+
+def test_knn_visits_look_at_few_boxes_whatever_the_number_of_cells(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.random((20_000, 3))
+    tree = knn.Tree()
+    tree.split(0, x, 1024)
+    at = tree.cell_of(x)
+    cells = np.unique(at)
+    low, high = (np.array([f(x[at == c], axis=0) for c in cells]) for f in (np.min, np.max))
+    low[5, 1] = high[5, 1] = np.nan                      # a cell with a NaN is not reached, its neighbours are
+    nodes = knn.node_boxes(tree, (cells, np.bincount(at)[cells], low, high))
+    q, r2 = x[:500], np.full(500, 0.02 ** 2)
+    near = (np.maximum(0, np.maximum(low - q[:, None], q[:, None] - high)) ** 2).sum(axis=2)
+    want = {(int(i), int(cells[j])) for i, j in zip(*np.nonzero(near <= r2[:, None]))}
+    looked, maximum = [], np.maximum
+    monkeypatch.setattr(knn, "PAIRS", 100)
+    monkeypatch.setattr(np, "maximum", lambda a, b: looked.append(len(b)) or maximum(a, b))
+    got = [(int(i), int(c)) for rows, on in knn.reached(tree, nodes, q, r2) for i, c in zip(rows, on)]
+    monkeypatch.undo()
+    assert len(got) == len(set(got)) and set(got) == want and len(cells) > 900
+    assert max(looked) <= 100 and sum(looked) / 2 < 60 * len(q)       # all boxes: over 900 a query
