@@ -27,12 +27,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .bpe import Recent, byte_letters, coded, groups, id_bytes, joined, vocabulary_path
-from .common import documents, integers_as_text
+from .common import documents
 
 SIZE = 4096
 END = 2
@@ -75,15 +76,18 @@ class TextIds(Recent):
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
-        missing = [w for w in words if w not in self]
-        older = self.older
-        again = {w: older[w] for w in missing if w in older}
-        self.update(again)
-        self.update(self.several([w for w in missing if w not in again] if again else missing))
-        out = list(map(self.__getitem__, words))
-        for w in missing:
-            if len(w) > 64:
-                del self[w]
+        out = list(map(self.get, words))
+        missing = [k for k, e in enumerate(out) if e is None]
+        found = list(map(self.older.get, map(words.__getitem__, missing)))
+        new = [words[k] for k, e in zip(missing, found, strict=True) if e is None]
+        encoded = iter(self.several(new))
+        for k, e in zip(missing, found, strict=True):
+            if e is None:
+                e = next(encoded)
+            out[k] = e
+            w = words[k]
+            if len(w) <= 64:
+                self[w] = e
         return out
 
     def ids_joined(self, text: str, ascii: bool) -> list[int]:
@@ -94,30 +98,35 @@ class TextIds(Recent):
             text = TAIL.sub(r" \g<0>", text)
         return tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def several(self, new: list[str]) -> dict[str, bytes]:
+    def several(self, new: list[str]) -> list[bytes]:
         """Ids of new parts.  Words, with or without stops, are encoded as one
         text and cut after the tokens that end a piece: none has fewer pieces
         than counted here, so an equal total means that every one is cut
         right; where it differs, and for other parts, each is encoded alone."""
-        plain = {c for c in new if c.rstrip(STOPS).isalpha()} if self.last.any() else set()
-        alone = [c for c in new if c not in plain]
-        out = {}
+        out: list[bytes] = [b""] * len(new)
+        plain: tuple[list[int], list[int]] = ([], [])    # others, ASCII
+        alone, by_word = [], self.last.any()
+        for k, c in enumerate(new):
+            if by_word and (c.isalpha() or c.rstrip(STOPS).isalpha()):
+                plain[c.isascii()].append(k)
+            else:
+                alone.append(k)
         for ascii in (True, False):
-            words = [c for c in plain if c.isascii() == ascii]
-            for at in range(0, len(words), JOINED):
-                part = words[at:at + JOINED]
-                ids = np.array(self.ids_joined(" ".join(part), ascii), dtype="<u4")
+            for at in range(0, len(plain[ascii]), JOINED):
+                part = plain[ascii][at:at + JOINED]
+                some = [new[k] for k in part]
+                ids = np.array(self.ids_joined(" ".join(some), ascii), dtype="<u4")
                 ends = np.flatnonzero(self.last[ids]) + 1
-                count = np.cumsum([2 if c[-1] in STOPS else 1 for c in part])
+                count = np.cumsum([1 if c.isalpha() else 2 for c in some])
                 if len(ends) != count[-1]:
-                    alone = alone + part
+                    alone += part
                     continue
                 raw, begin = ids.tobytes(), 0
-                for c, end in zip(part, (4 * ends[count - 1]).tolist(), strict=True):
-                    out[c] = raw[begin:end]
+                for k, end in zip(part, (4 * ends[count - 1]).tolist(), strict=True):
+                    out[k] = raw[begin:end]
                     begin = end
-        for c, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-            out[c] = id_bytes(e.ids)
+        for k, e in zip(alone, self.tokenizer.encode_batch_fast([new[k] for k in alone], add_special_tokens=False), strict=True):
+            out[k] = id_bytes(e.ids)
         return out
 
 
@@ -213,10 +222,10 @@ class Packer:
             self.levels[left] = 1
             self.open = 1
 
-    def take(self) -> pd.DataFrame:
+    def take(self) -> pa.RecordBatch:
         rows, self.rows = self.rows, []
         names = [x.split()[0] for x in SCHEMA.split(", ")]
-        return pd.DataFrame({c: pd.array([r[k] for r in rows], dtype="Int64") for k, c in enumerate(names)})
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(len(names))], names=names)
 
 
 def pack(docs: DataFrame, path: str | None = None, size: int = SIZE) -> DataFrame:
@@ -224,18 +233,21 @@ def pack(docs: DataFrame, path: str | None = None, size: int = SIZE) -> DataFram
     place = path or vocabulary_path()
     end = np.array([END], dtype="<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # sequence numbers: the task's partition above 2^33 numbers of its own
         packer = Packer(TaskContext.get().partitionId() << 33, size)
         tokens = ids_of(place)
-        for pdf in batches:
-            for doc, ids in zip(pdf["doc_id"], tokens.texts(pdf["text"]), strict=True):
-                packer.add(None if pd.isna(doc) else int(doc), ids + end)
+        for batch in batches:
+            # the texts stay in Arrow; those of a group at a time become strings
+            docs, texts = ((x.as_py() for x in batch.column(c)) for c in ("doc_id", "text"))
+            for doc, ids in zip(docs, tokens.texts(texts), strict=True):
+                packer.add(doc, ids + end)
             yield packer.take()
         packer.drain(last=True)
         yield packer.take()
+        tokens.older = {}        # the worker may wait beside the next stage
 
-    return integers_as_text(docs.select("doc_id", "text")).mapInPandas(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
 
 
 def op6_sum_of_squares_packing(spark, sf_dir) -> DataFrame:
