@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.aggs import mean
 from ..schema import CLUSTER_FEATURES
-from ..session import ensure_checkpoint_dir
+from ..session import materialise
 from .features import standard_scale
 from .kmeans import best_by_k, fit_all, silhouettes
 
@@ -24,11 +24,10 @@ SEED = 42
 
 
 def cluster_matrix(items_df: DataFrame, cols=CLUSTER_FEATURES) -> DataFrame:
-    """(sku, features = standardised cluster features), checkpointed."""
-    ensure_checkpoint_dir(items_df.sparkSession)
+    """(sku, features = standardised cluster features), written."""
     scaled = standard_scale(items_df, cols, keep=("sku",))
     vec = VectorAssembler(inputCols=[f"{c}_scaled" for c in cols], outputCol="features").transform(scaled)
-    return vec.select("sku", "features").checkpoint(eager=True)
+    return materialise(vec.select("sku", "features"), "cluster-matrix")
 
 
 def _points(vec: DataFrame) -> DataFrame:

@@ -25,8 +25,8 @@ from ..operators import split as SP
 from ..operators.sparse import one_hot_drop_first
 from ..operators import reports as R
 from ..operators import stats as S
-from ..session import ensure_checkpoint_dir
-from ..sources.fact import base_columns, fact, items
+from ..session import ensure_checkpoint_dir, materialise
+from ..sources.fact import base_columns, fact, written_items
 from .oracle_eda import eda_sql
 from .ml_catalog import ml_queries, ml_sql
 from .oracle_sources import source_sql
@@ -135,12 +135,12 @@ def split_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SKU-grain items with their train/test split (seed 42, 20 % test,
     stratified by product type)."""
     # the split runs several jobs over the items: materialise them once
-    return SP.stratified_split(items(fact(spark, sf_dir)).checkpoint(eager=True))
+    return SP.stratified_split(written_items(fact(spark, sf_dir)))
 
 
 def knn_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the neighbour search runs several jobs over its input: materialise it once
-    s = split_items(spark, sf_dir).withColumn("label", F.col("lead_time")).checkpoint(eager=True)
+    s = materialise(split_items(spark, sf_dir).withColumn("label", F.col("lead_time")), "split-items")
     train = s.where(F.col("split") == "train")
     pred = K.knn_regress(train, s, KNN_FEATURES, k=5)
     return s.select("sku", "split", "label").join(pred, "sku")
@@ -186,7 +186,7 @@ def feature_queries() -> dict[str, Query]:
         "encode_product_type": _on_base(lambda b: FE.encoding_view(b, "product_type")),
         "encode_location": _on_base(lambda b: FE.encoding_view(b, "location")),
         "encode_sku": _on_base(lambda b: FE.encoding_view(b, "sku")),
-        "encoded_fact": _on_base(FE.encoded_fact),
+        "encoded_fact": _on_base(FE.written_encoded_fact),
         "ml_ready": _on_base(FE.ml_ready),
         "zscore_features": _on_base(lambda b: _round(FE.zscore_features(b),
                                                      ["defect_rate_z", "production_volume_z", "price_z",
@@ -195,8 +195,8 @@ def feature_queries() -> dict[str, Query]:
             f"{c}_scaled" for c in FE.CLUSTER_FEATURES])),
         "feature_matrix_width": _on_base(_feature_width),
         "one_hot_drop_first": lambda spark, sf: one_hot_drop_first(
-            FE.bin_features(items(fact(spark, sf)))),
-        "sku_items": lambda spark, sf: items(fact(spark, sf)),
+            FE.bin_features(written_items(fact(spark, sf)))),
+        "sku_items": lambda spark, sf: written_items(fact(spark, sf)),
         "stratified_split": lambda spark, sf: split_items(spark, sf).select("sku", "product_type", "split"),
         "split_sizes": lambda spark, sf: split_items(spark, sf).groupBy("split", "product_type").agg(
             F.count(F.lit(1)).alias("n")),

@@ -10,17 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ids import numbered
+from ..functions.ids import SORT_PARTS, numbered
 from ..operators import features as FE
 from ..schema import FACT_COLUMNS, sql_type
+from .fact import PART_ROWS, parts_of
 
 
-def typed(df: DataFrame) -> DataFrame:
+def typed(df: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """Coerce the base columns to the declared SQL types (decimals round
     half-up) and add a surrogate ``id``: 1..n in the order of all columns, so
     the same rows get the same ids however they are partitioned."""
     rows = df.select(*[F.col(n).cast(sql_type(t)).alias(n) for n, t in FACT_COLUMNS])
-    return numbered(rows, [n for n, _ in FACT_COLUMNS])
+    n = df.count()
+    return numbered(rows, [n for n, _ in FACT_COLUMNS], parts=parts_of(n, part_rows, SORT_PARTS), n_rows=n)
 
 
 def save_supply_chain(spark: SparkSession, df: DataFrame, database: str = "supplychaindb",
