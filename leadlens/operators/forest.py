@@ -5,9 +5,11 @@ number of times, told by its key's hash and the tree's number.  All trees share
 the passes of the upper levels, which add up cells as ``trees`` does.  A node of
 few rows is a unit: its rows go to one task, which grows the rest of the tree
 below it, and what a task holds is bounded by ``UNIT_ROWS``.  The rows that a
-level reads are those of the bags, so the work grows as rows times depth.
+level reads are those of the bags, so the work grows as rows times depth.  Units
+are dealt by groups of trees, one after the other, so that only a group's rows
+lie in shuffle files.
 
-The forest is a table of nodes keyed by unit; the driver holds the upper levels
+The forest is a table of units, each a record with its nodes; the driver holds the upper levels
 only.  To be scored, rows go down the upper levels and then to their units.
 The rules are those of Spark's learner, see ``trees``.
 """
@@ -21,18 +23,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import discard, materialise, shuffles_freed
+from ..session import discard, materialise, materialise_parts, shuffles_freed, with_value
 from . import trees as T
 from .knn import _matrix
 from .trees import BINS, EPSILON, Tree
 
 UNIT_ROWS = 50_000           # drawn rows of a node that one task grows to the end
+GROUP_ROWS = 5_000_000       # drawn rows of the trees whose units are dealt at a time, as long as
+MOST_GROUPS = 10             # there are no more groups of trees than this
 UNIT_IDS = 1 << 17           # more than the nodes below a node of UNIT_ROWS rows
 PASS_NODES = 1_024           # nodes whose cells are added up in one pass
 TIE = 1e-10                  # gains as near as this are equal, the first feature is taken
 POISSON = np.cumsum(np.exp(-1) / np.cumprod([1, *range(1, 20)]))
 NODE_DDL = ("unit int, tree int, id long, left long, right long, feature int, threshold double, value double, cover double, "
             "col int, cut int, hot boolean")
+UNIT_DDL = "unit int, tree int, nodes int, split binary, col binary, cut binary, mean binary, rows binary"
 
 
 def bag(ids: np.ndarray, tree: int) -> np.ndarray:
@@ -119,20 +124,62 @@ def grow_unit(x: np.ndarray, e: np.ndarray, w: np.ndarray, numeric: int, depth:
     return t
 
 
-def _grow_units(dealt: DataFrame, top: Tree, tree_of: np.ndarray, units: np.ndarray, depth_of: np.ndarray, numeric: int,
-                thresholds: list[np.ndarray], base: float, max_depth: int, min_rows: int) -> DataFrame:
-    """The nodes of all units."""
-    n_top = len(top.left)
+def _grow_units(dealt: DataFrame, top: Tree, tree_of: np.ndarray, units: np.ndarray, count: int, depth_of: np.ndarray,
+                numeric: int, max_depth: int, min_rows: int) -> DataFrame:
+    """The trees below the dealt units (``count`` of them), a record each."""
 
     def run(rows: pa.Table) -> pa.Table:
         unit = rows.column("unit")[0].as_py()
         e, w = (np.frombuffer(b"".join(rows.column(c).to_pylist()), dtype=d) for c, d in (("e", np.float64), ("w", np.uint8)))
-        x = np.frombuffer(b"".join(rows.column("x").to_pylist()), dtype=np.int32).reshape(len(e), -1)
         v = int(units[unit])
-        t = grow_unit(x, e, w, numeric, max_depth - int(depth_of[v]), min_rows)
-        return _node_rows(t, unit, np.full(len(t.left), tree_of[v]), v, n_top + unit * UNIT_IDS, thresholds, base)
-
-    return _by_unit(dealt, len(units)).groupBy("unit").applyInArrow(run, NODE_DDL)
+        t = grow_unit(_unpacked(rows, len(e)), e, w, numeric, max_depth - int(depth_of[v]), min_rows)
+        return _packed_tree(t, unit, int(tree_of[v]))
+
+    return _by_unit(dealt, count).groupBy("unit").applyInArrow(run, UNIT_DDL)
+
+
+def _packed(x: np.ndarray, numeric: int) -> tuple[bytes, bytes]:
+    """Columns of rows: a byte for a bin, four for a feature number."""
+    return x[:, :numeric].astype(np.uint8).tobytes(), x[:, numeric:].tobytes()
+
+
+def _unpacked(rows: pa.Table, n: int) -> np.ndarray:
+    """The columns of the ``n`` rows of records with ``_packed`` rows."""
+    parts = [[np.frombuffer(r, dtype=d) for r in rows.column(c).to_pylist() if r] for c, d in (("b", np.uint8), ("c", np.int32))]
+    return np.concatenate([np.concatenate(p or [np.zeros(0)]).astype(np.int32).reshape(n, -1) for p in parts], axis=1)
+
+
+def _packed_tree(t: Tree, unit: int, tree: int) -> pa.Table:
+    """A tree as one record: which nodes are split (their children are numbered in
+    that order), by what, and the mean and rows of the leaves."""
+    inner = t.left >= 0
+    if not np.array_equal(t.left[inner], 1 + 2 * np.arange(inner.sum())):
+        raise ValueError("children must be numbered in the order of their parents")
+    n = np.maximum(t.count[~inner], 1)
+    parts = (np.packbits(inner), t.col[inner].astype(np.int32), t.cut[inner].astype(np.int32), t.total[~inner] / n, n.astype(np.int32))
+    return pa.table([pa.array([unit], pa.int32()), pa.array([tree], pa.int32()), pa.array([len(inner)], pa.int32()),
+                     *(pa.array([p.tobytes()], pa.binary()) for p in parts)], names=[c.split()[0] for c in UNIT_DDL.split(", ")])
+
+
+def _tree_of(r: dict, numeric: int) -> Tree:
+    """The tree of a ``_packed_tree`` record."""
+    inner = np.unpackbits(np.frombuffer(r["split"], dtype=np.uint8), count=r["nodes"]).astype(bool)
+    t = Tree(np.zeros(len(inner), dtype=np.int64), np.zeros(len(inner)))
+    t.left, t.col, t.cut = (np.full(len(inner), k, dtype=np.int32) for k in (-1, 0, 0))
+    t.left[inner] = 1 + 2 * np.arange(inner.sum())
+    t.col[inner], t.cut[inner] = (np.frombuffer(r[c], dtype=np.int32) for c in ("col", "cut"))
+    t.hot = inner & (t.col >= numeric)
+    t.count[~inner] = np.frombuffer(r["rows"], dtype=np.int32)
+    t.total[~inner] = np.frombuffer(r["mean"]) * t.count[~inner]
+    levels = [np.array([0])]
+    while len(v := levels[-1][t.left[levels[-1]] >= 0]):
+        levels.append(np.concatenate([t.left[v], t.left[v] + 1]))
+    for level in levels[::-1]:
+        v = level[t.left[level] >= 0]
+        t.count[v] = t.count[t.left[v]] + t.count[t.left[v] + 1]
+        t.total[v] = t.total[t.left[v]] + t.total[t.left[v] + 1]
+    t.depth = len(levels) - 1
+    return t
 
 
 def _by_unit(df: DataFrame, units: int) -> DataFrame:
@@ -227,8 +274,8 @@ def _roots(rows: DataFrame, n_trees: int) -> Tree:
                 np.zeros(n_trees, dtype=np.int32), np.zeros(n_trees, dtype=bool), np.full(n_trees, -1, dtype=np.int32), np.zeros(n_trees))
 
 
-def _dealt(rows: DataFrame, top: Tree, units: np.ndarray, n_trees: int) -> DataFrame:
-    """The drawn rows of every unit, many to a record."""
+def _dealt(rows: DataFrame, top: Tree, units: np.ndarray, trees: list[int], numeric: int) -> DataFrame:
+    """The drawn rows of the units of some trees, many to a record."""
     slot = np.full(len(top.left), -1, dtype=np.int64)
     slot[units] = np.arange(len(units))
 
@@ -238,17 +285,18 @@ def _dealt(rows: DataFrame, top: Tree, units: np.ndarray, n_trees: int) -> DataF
                 continue
             x, e = T._read(b)
             h = b.column("h").to_numpy()
-            for t in range(n_trees):
+            for t in trees:
                 w = bag(h, t)
                 r = np.flatnonzero(w)
                 found = list(_parts(slot[top.walk(x[r], t)]))
                 if found:
+                    packed = [_packed(x[r[i]], numeric) for _, i in found]
                     yield pa.record_batch([
-                        pa.array([u for u, _ in found], pa.int32()), pa.array([x[r[i]].tobytes() for _, i in found], pa.binary()),
+                        pa.array([u for u, _ in found], pa.int32()), *(pa.array(p, pa.binary()) for p in zip(*packed)),
                         pa.array([e[r[i]].tobytes() for _, i in found], pa.binary()),
-                        pa.array([w[r[i]].astype(np.uint8).tobytes() for _, i in found], pa.binary())], names=["unit", "x", "e", "w"])
+                        pa.array([w[r[i]].astype(np.uint8).tobytes() for _, i in found], pa.binary())], names=["unit", "b", "c", "e", "w"])
 
-    return rows.mapInArrow(run, "unit int, x binary, e binary, w binary")
+    return rows.mapInArrow(run, "unit int, b binary, c binary, e binary, w binary")
 
 
 def _parts(unit: np.ndarray):
@@ -265,7 +313,8 @@ def _parts(unit: np.ndarray):
 @dataclass
 class ForestModel:
     """``top``: the upper levels, tree t from node t; ``units``: the nodes of
-    ``top`` that go on in the table ``below``."""
+    ``top`` that go on in the table ``below``, which is written by group of trees
+    (tree t is in group t modulo ``groups``)."""
 
     top: Tree
     tree_of: np.ndarray
@@ -275,19 +324,30 @@ class ForestModel:
     thresholds: list[np.ndarray]
     base: float
     width: int
+    groups: int = 1
 
     def node_table(self, spark) -> DataFrame:
         """(tree, id, left, right, feature, threshold, value, cover)."""
         upper = np.setdiff1d(np.arange(len(self.top.left)), self.units)
         rows = _node_rows(self.top, -1, self.tree_of, -1, 0, self.thresholds, self.base).take(pa.array(upper))
-        out = spark.createDataFrame(rows.to_pylist(), NODE_DDL).unionByName(self.below)
+        n_top, units, thresholds, base = len(self.top.left), self.units, self.thresholds, self.base
+
+        def expand(batches):
+            for b in batches:
+                for r in b.to_pylist():
+                    t = _tree_of(r, len(thresholds))
+                    yield from _node_rows(t, r["unit"], np.full(len(t.left), r["tree"]), int(units[r["unit"]]),
+                                          n_top + r["unit"] * UNIT_IDS, thresholds, base).to_batches()
+
+        below = self.below.drop("part").mapInArrow(expand, NODE_DDL)
+        out = spark.createDataFrame(rows.to_pylist(), NODE_DDL).unionByName(below)
         return out.select("tree", "id", "left", "right", "feature", "threshold", "value", "cover")
 
     def transform(self, rows: DataFrame) -> DataFrame:
         """The rows of a design, without its vectors, with ``prediction``."""
         kept = [c for c in rows.columns if c not in ("features", "dense", "codes")]
-        top, n_trees, thresholds, n_top = self.top, self.n_trees, self.thresholds, len(self.top.left)
-        slot = np.full(n_top, -1, dtype=np.int64)
+        top, n_trees, thresholds, numeric = self.top, self.n_trees, self.thresholds, len(self.thresholds)
+        slot = np.full(len(top.left), -1, dtype=np.int64)
         slot[self.units] = np.arange(len(self.units))
         ended = np.where(slot < 0, top.total / np.maximum(top.count, 1), 0.0)
 
@@ -302,42 +362,49 @@ class ForestModel:
                         [*(b.column(c) for c in (*kept, "__r")), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(told)],
                         names=[*kept, "__r", "__x", "__told"])
 
-        def deal(batches):
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                x, r = T._read_x(b.rename_columns(["__r", "x"])), b.column("__r").to_numpy()
-                for t in range(n_trees):
-                    found = list(_parts(slot[top.walk(x, t)]))
-                    if found:
-                        yield pa.record_batch([
-                            pa.array([u for u, _ in found], pa.int32()), pa.array([x[i].tobytes() for _, i in found], pa.binary()),
-                            pa.array([r[i].tobytes() for _, i in found], pa.binary())], names=["unit", "x", "r"])
-
-        def score(some: pa.Table, nodes: pa.Table) -> pa.Table:
+        def deal(trees):
+            def run(batches):
+                for b in batches:
+                    if not b.num_rows:
+                        continue
+                    x, r = T._read_x(b.rename_columns(["__r", "x"])), b.column("__r").to_numpy()
+                    for t in trees:
+                        found = list(_parts(slot[top.walk(x, t)]))
+                        if found:
+                            packed = [_packed(x[i], numeric) for _, i in found]
+                            yield pa.record_batch([
+                                pa.array([u for u, _ in found], pa.int32()), *(pa.array(p, pa.binary()) for p in zip(*packed)),
+                                pa.array([r[i].tobytes() for _, i in found], pa.binary())], names=["unit", "b", "c", "r"])
+            return run
+
+        def score(some: pa.Table, unit: pa.Table) -> pa.Table:
             if not some.num_rows:
                 return pa.table([pa.array([], pa.int64()), pa.array([], pa.float64())], names=["r", "v"])
-            nodes = nodes.sort_by("id")
-            c = {k: nodes.column(k).to_numpy() for k in ("left", "col", "cut", "hot", "value")}
-            left = c["left"] - (n_top + some.column("unit")[0].as_py() * UNIT_IDS)
+            t = _tree_of(unit.to_pylist()[0], numeric)
             r = np.frombuffer(b"".join(some.column("r").to_pylist()), dtype=np.int64)
-            x = np.frombuffer(b"".join(some.column("x").to_pylist()), dtype=np.int32).reshape(len(r), -1)
+            x = _unpacked(some, len(r))
             at, on = np.zeros(len(r), dtype=np.int64), np.arange(len(r))
-            while len(on := on[c["left"][at[on]] >= 0]):
+            while len(on := on[t.left[at[on]] >= 0]):
                 v = at[on]
-                value = x[on, c["col"][v]]
-                at[on] = left[v] + np.where(c["hot"][v], value == c["cut"][v], value > c["cut"][v])
-            return pa.table([pa.array(r), pa.array(c["value"][at] - base)], names=["r", "v"])
+                value = x[on, t.col[v]]
+                at[on] = t.left[v] + np.where(t.hot[v], value == t.cut[v], value > t.cut[v])
+            return pa.table([pa.array(r), pa.array(t.total[at] / np.maximum(t.count[at], 1))], names=["r", "v"])
 
         base = self.base
         schema = rows.select(*kept).schema
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         told = materialise(rows.select(*kept, "dense", "codes").withColumn("__r", F.monotonically_increasing_id()).mapInArrow(
             upper, f"{ddl}{', ' if ddl else ''}__r long, __x binary, __told double"), "scored")
-        count = len(self.units)
-        values = _by_unit(told.select("__r", "__x").mapInArrow(deal, "unit int, x binary, r binary"), count).groupBy("unit").cogroup(
-            _by_unit(self.below, count).groupBy("unit")).applyInArrow(score, "r long, v double")
-        summed = values.groupBy(F.col("r").alias("__r")).agg(F.sum("v").alias("__v"))
+        of = self.tree_of[self.units] % self.groups
+
+        def group_sums(g):
+            trees, count = list(range(g, n_trees, self.groups)), int((of == g).sum())
+            values = _by_unit(told.select("__r", "__x").mapInArrow(deal(trees), "unit int, b binary, c binary, r binary"), count)
+            values = values.groupBy("unit").cogroup(_by_unit(with_value(self.below, "part", str(g)), count).groupBy("unit"))
+            return values.applyInArrow(score, "r long, v double").groupBy(F.col("r").alias("__r")).agg(F.sum("v").alias("__v"))
+
+        summed = materialise_parts(rows.sparkSession, (group_sums(g) for g in range(self.groups)), "forest-values").groupBy(
+            "__r").agg(F.sum("__v").alias("__v"))
         return told.join(summed, "__r", "left").select(
             *kept, (F.lit(base) + (F.col("__told") + F.coalesce("__v", F.lit(0.0))) / n_trees).alias("prediction"))
 
@@ -370,6 +437,14 @@ def fit(train: DataFrame, width: int, n_trees: int, max_depth: int, min_rows: in
         tree_of = np.concatenate([tree_of, np.repeat(tree_of[parents], 2)])
         depth_of = np.concatenate([depth_of, np.repeat(depth_of[parents] + 1, 2)])
     units = np.concatenate(units)
-    below = materialise(_grow_units(_dealt(rows, top, units, n_trees), top, tree_of, units, depth_of, numeric, thresholds,
-                                    st.mean, max_depth, min_rows), "forest-nodes")
-    return ForestModel(top, tree_of, n_trees, units, below, thresholds, st.mean, width)
+    groups = max(1, min(MOST_GROUPS, n_trees, -(-int(top.count[:n_trees].sum()) // GROUP_ROWS)))
+    of = tree_of[units] % groups
+
+    def group(g):
+        dealt = _dealt(rows, top, units, list(range(g, n_trees, groups)), numeric)
+        return _grow_units(dealt, top, tree_of, units, int((of == g).sum()), depth_of, numeric, max_depth, min_rows).withColumn(
+            "part", F.lit(g))
+
+    below = materialise_parts(train.sparkSession, (group(g) for g in range(groups)), "forest-nodes", by="part")
+    discard(rows)
+    return ForestModel(top, tree_of, n_trees, units, below, thresholds, st.mean, width, groups)

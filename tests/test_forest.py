@@ -107,3 +107,17 @@ def test_a_forest_row_holds_its_columns_not_the_dummies(design):
     rows = T.binned(train, train.count(), model.thresholds, model.base, F.xxhash64("sku"))
     assert design.width > 190 and rows.agg(F.max(F.length("x"))).first()[0] == 4 * (2 + 3)
     assert model.below.where("tree < 100").select("tree").distinct().count() == 100
+
+
+def test_groups_of_trees_give_the_same_forest_in_a_record_a_unit(spark, design, monkeypatch):
+    """Before, all trees' drawn rows were dealt at once, and every node was a row of 69 bytes."""
+    kw = dict(n_trees=5, max_depth=12)
+    want = _predictions(FO.fit(_train(design), design.width, **kw), design)
+    monkeypatch.setattr(FO, "UNIT_ROWS", 200)
+    monkeypatch.setattr(FO, "GROUP_ROWS", 1_500)
+    model = FO.fit(_train(design), design.width, **kw)
+    assert model.groups == 3 and model.below.count() == len(model.units) > 10
+    got = _predictions(model, design)
+    assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in want) < 1e-8
+    size = model.below.agg(F.sum(sum(F.length(c) for c in ("split", "col", "cut", "mean", "rows"))), F.sum("nodes")).first()
+    assert size[0] < 11 * size[1]
