@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadlens.functions.ids import numbered
+from leadlens.llm.common import materialise as llm_materialise
 from leadlens.operators.features import encoded_fact, written_encoded_fact
 from leadlens.plans import ml_catalog
 from leadlens.session import materialise
@@ -61,3 +62,9 @@ def test_the_first_call_makes_the_items_once(spark, tmp_path):
     first = fact_path(spark, str(d))
     assert first == fact_path(spark, str(d))
     assert ml_catalog._items(spark, str(d)) is ml_catalog._items(spark, str(d))
+
+
+def test_shuffle_files_of_an_operators_step_go(spark):
+    before = _shuffle_files(spark)
+    t = llm_materialise(spark.range(5_000).repartition(7, "id").groupBy((F.col("id") % 13).alias("k")).count(), "freed")
+    assert _shuffle_files(spark) <= before and t.count() == 13
